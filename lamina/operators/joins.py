@@ -70,14 +70,16 @@ def lookup_join(
     A counted small ``right`` is broadcast, so the fact side is not shuffled at all. A larger one
     is shuffled; hot keys of ``left`` are then spread over salts and their few ``right`` rows
     repeated per salt, and rows with a NULL key, which match nothing, are spread likewise.
-    ``how`` is inner, left, left_semi or left_anti. ``right_is_large`` skips the count where the
-    caller knows that ``right`` grows with the data.
+    ``how`` is inner, left, left_semi or left_anti; columns keep the order of ``left``.
+    ``right_is_large`` skips the count where the caller knows that ``right`` grows with the data.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"a lookup join keeps the left side; {how!r} does not")
     on = list(on)
+    added = [c for c in right.columns if c not in on] if how in ("inner", "left") else []
+    columns = [*left.columns, *added]
     if not right_is_large and right.count() <= policy.broadcast_rows:
-        return left.join(F.broadcast(right), on, how)
+        return left.join(F.broadcast(right), on, how).select(*columns)
     hot = hot_groups(left, on, policy)
     # The salt of a row depends on its input partition alone: a recomputed task after a lost
     # executor sends its rows to the same place, and copies of one row still spread.
@@ -105,4 +107,4 @@ def lookup_join(
             )
             .drop(_SALTS)
         )
-    return salted.join(lookup, [*on, _SALT], how).drop(_SALT)
+    return salted.join(lookup, [*on, _SALT], how).select(*columns)

@@ -35,6 +35,27 @@ class IngestResult:
     output_path: str | None = None
 
 
+def increments(spec: TableSpec, store: TableStore) -> str:
+    """Name of the table holding what came in after the current version was written."""
+    version = store.path(spec.source).rsplit("/", 1)[-1].replace("version=", "")
+    return f"{spec.source}_since_{version}"
+
+
+def read_raw(spec: TableSpec, store: TableStore) -> DataFrame:
+    """The raw table as of now: its version, and the latest row of each key that came in since."""
+    base = store.read(spec.source)
+    name = increments(spec, store)
+    if not store.slots(name):
+        return base
+    every = base.unionByName(store.read_all(name), allowMissingColumns=True)
+    return keep_one(every, [spec.key], ["_ingestion_timestamp"], last=True)
+
+
+def compact(spec: TableSpec, store: TableStore) -> str:
+    """Write the raw table as a new version, which later increments start from."""
+    return store.write(read_raw(spec, store), spec.source, INGEST_PARTITIONS)
+
+
 def ingest_table(
     spec: TableSpec,
     read: Callable[[str], DataFrame],
@@ -45,23 +66,45 @@ def ingest_table(
 ) -> tuple[int, str]:
     """Bring one table into the raw layer; returns the rows that came in and the folder written.
 
+    ``full`` replaces the table. ``incremental`` upserts what lies beyond the watermark and writes
+    the result as the new version. ``append`` only writes the increment, so its cost follows the
+    increment and not the table; readers take the latest row per key, and ``compact`` folds the
+    increments in from time to time.
+
     The source is read once: the incoming rows are written first, and counted from what was
     written (an exact number even where tasks had to run again). ``inclusive`` reads the day of
     the watermark again, since a day may still have received rows after the last run.
     """
     source = read(spec.source)
-    current = store.read(spec.source) if mode == "incremental" and store.exists(spec.source) else None
-    if current is None:
+    if mode == "full" or not store.exists(spec.source):
         path = store.write(with_audit(source, ctx), spec.source, INGEST_PARTITIONS)
         return store.read(spec.source).count(), path
     if spec.watermark:
-        mark = high_watermark(current, spec.watermark, cap=ctx.as_of)
+        mark = _watermark(spec, store, ctx)
         source = after_watermark(source, spec.watermark, mark, inclusive)
+    if mode == "append":
+        name = increments(spec, store)
+        path = store.append(with_audit(source, ctx), name, ctx.batch_id)
+        return store.spark.read.parquet(path).count(), path
+    current = read_raw(spec, store)
     incoming = materialize(with_audit(source, ctx), f"incoming-{spec.source}")
     path = store.write(upsert(current, incoming, [spec.key]), spec.source, INGEST_PARTITIONS)
     return incoming.count(), path
 
 
+def _watermark(spec: TableSpec, store: TableStore, ctx: RunContext):
+    """The watermark over version and increments; a maximum needs no latest row per key.
+
+    What this very batch appended in an earlier attempt does not count: it is about to be replaced.
+    """
+    seen = store.read(spec.source).select(spec.watermark)
+    name = increments(spec, store)
+    if store.slots(name):
+        since = store.read_all(name).where(F.col("_batch_id") != ctx.batch_id)
+        seen = seen.unionByName(since.select(spec.watermark))
+    return high_watermark(seen, spec.watermark, cap=ctx.as_of)
+
+
 def ingest_all(
     specs: Sequence[TableSpec],
     read: Callable[[str], DataFrame],
@@ -75,7 +118,7 @@ def ingest_all(
 
     The log of the run is written in any case; failures are raised after it, together.
     """
-    if mode not in ("full", "incremental"):
+    if mode not in ("full", "incremental", "append"):
         raise ValueError(f"unknown ingest mode {mode!r}")
     results = []
     for spec in specs:
@@ -98,13 +141,3 @@ def ingest_all(
     if failed:
         raise RuntimeError(f"ingest failed for: {', '.join(failed)}")
     return results
-
-
-def batch_rows(bronze: DataFrame, batch_id: str) -> DataFrame:
-    """Rows of a raw table that a batch brought in or replaced."""
-    return bronze.where(F.col("_batch_id") == batch_id)
-
-
-def current_rows(appended: DataFrame, key: str) -> DataFrame:
-    """Latest row per key of a raw table that batches were appended to."""
-    return keep_one(appended, [key], ["_ingestion_timestamp"], last=True)

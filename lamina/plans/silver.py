@@ -17,6 +17,7 @@ from lamina.operators.dedup import drop_business_copies, drop_exact
 from lamina.operators.profile import metric_rows
 from lamina.operators.validate import Rule
 from lamina.plans import tables
+from lamina.plans.bronze import read_raw
 from lamina.plans.tables import TableSpec
 from lamina.runtime import materialize
 from lamina.settings import Settings
@@ -94,7 +95,7 @@ def process(
     reject counts are all read from there, with the filter pushed to the scan. Counts come from
     written tables, so they are exact whatever had to be recomputed.
     """
-    raw = bronze.read(spec.source)
+    raw = read_raw(spec, bronze)
     staged = materialize(tagged(raw, spec, clients, ctx, settings), spec.silver)
     good = enriched(validate.valid(staged), spec, settings)
     good = good.withColumn("_silver_timestamp", F.lit(ctx.run_ts).cast("timestamp"))

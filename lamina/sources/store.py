@@ -76,8 +76,8 @@ class TableStore:
 
     # -- append-only tables ------------------------------------------------------------------
 
-    def append(self, df: DataFrame, name: str, *slot: str) -> None:
-        """Add the rows of one batch, identified by ``slot``.
+    def append(self, df: DataFrame, name: str, *slot: str) -> str:
+        """Add the rows of one batch, identified by ``slot``; returns the folder written.
 
         The same slot written again, by a batch that is run again, replaces its own rows only, so
         a repeated run adds no copies. Batches may have different columns.
@@ -85,13 +85,18 @@ class TableStore:
         folder = "-".join(slot).replace("/", "_").replace("=", "_")
         path = f"{self.root}/{name}/{_SLOT}=s-{folder}"
         df.write.format("parquet").mode("overwrite").save(path)
+        return path
+
+    def slots(self, name: str) -> list[str]:
+        """Folders of the batches whose write was committed."""
+        return sorted(p.rsplit("/", 1)[0] for p in self._glob(f"{name}/{_SLOT}=*/_SUCCESS"))
 
     def read_all(self, name: str) -> DataFrame:
-        """Every batch of an append-only table, with the union of their columns."""
-        if not self._glob(f"{name}/{_SLOT}=*/_SUCCESS"):
+        """Every committed batch of an append-only table, with the union of their columns."""
+        folders = self.slots(name)
+        if not folders:
             raise FileNotFoundError(f"no table {name!r} under {self.root}")
-        merged = self.spark.read.option("mergeSchema", "true").parquet(f"{self.root}/{name}")
-        return merged.drop(_SLOT)
+        return self.spark.read.option("mergeSchema", "true").parquet(*folders)
 
     # -- SQL ---------------------------------------------------------------------------------
 

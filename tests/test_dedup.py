@@ -1,0 +1,120 @@
+"""Deduplication, surrogate keys, watermarks and upserts."""
+
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from lamina import RunContext
+from lamina.operators.dedup import business_columns, drop_business_copies, drop_exact, keep_one
+from lamina.operators.incremental import after_watermark, high_watermark, upsert, with_audit
+from lamina.operators.keys import dense_key, hashed_key
+from tests.support import plan, rows
+
+
+def ctx(batch, day):
+    return RunContext(batch, datetime(2025, 1, day), date(2025, 1, day), "src")
+
+
+@pytest.fixture()
+def moves(spark):
+    return spark.createDataFrame(
+        [(3, 1, "a"), (1, 1, "a"), (2, 1, None), (5, 1, None), (4, 2, "a")], "id int, c int, t string"
+    )
+
+
+def test_lowest_key_of_the_copies_survives(moves):
+    loads = with_audit(moves, ctx("b1", 1)).unionByName(
+        with_audit(moves.withColumn("id", F.col("id") + 10), ctx("b2", 2)))
+    got = drop_business_copies(loads, "id")
+    assert got.columns == loads.columns
+    assert [(r["id"], r["_batch_id"]) for r in got.orderBy("id").collect()] == [
+        (1, "b1"), (2, "b1"), (4, "b1")]
+
+
+def test_business_columns_leave_audit_out(moves):
+    assert business_columns(with_audit(moves, ctx("b", 1)), "id") == ["c", "t"]
+
+
+def test_exact_copies_go_whatever_their_audit(moves):
+    loads = with_audit(moves, ctx("b1", 1)).unionByName(with_audit(moves, ctx("b2", 2)))
+    got = drop_exact(loads)
+    assert got.count() == 5 and {r["_batch_id"] for r in got.collect()} == {"b1"}
+    assert drop_exact(moves.unionByName(moves)).count() == 5
+
+
+def test_keep_one_orders_nulls_last(spark):
+    df = spark.createDataFrame(
+        [(1, None, "x"), (1, 5, "y"), (1, 7, "z"), (None, 1, "p"), (None, 2, "q")], "k int, o int, v string")
+    assert rows(keep_one(df, ["k"], ["o"])) == [(1, 5, "y"), (None, 1, "p")]
+    assert rows(keep_one(df, ["k"], ["o"], last=True)) == [(1, 7, "z"), (None, 2, "q")]
+
+
+def test_survivor_does_not_depend_on_layout(spark):
+    df = spark.range(2000).select((F.col("id") % 7).alias("k"), (F.col("id") % 3).alias("o"), "id")
+    expected = rows(keep_one(df, ["k"], ["o"]))
+    assert rows(keep_one(df.repartition(13).orderBy(F.desc("id")), ["k"], ["o"])) == expected
+
+
+def test_copies_combine_before_the_shuffle(moves):
+    text = plan(drop_business_copies(moves, "id"))
+    assert "partial_min" in text and "Window" not in text
+
+
+def test_dense_key_is_gapless_and_stable(spark):
+    places = spark.range(1000).select(F.concat(F.lit("p"), "id").alias("a"),
+                                      F.when(F.col("id") % 2 == 0, F.lit("x")).alias("b"))
+    first = dense_key(places, ["a", "b"], "n")
+    assert sorted(r["n"] for r in first.collect()) == list(range(1, 1001))
+    again = dense_key(places.repartition(17), ["a", "b"], "n")
+    assert rows(first) == rows(again)
+    assert hashed_key(places, ["a", "b"], "h").select("h").distinct().count() == 1000
+
+
+def test_digest_tells_null_from_empty(spark):
+    df = spark.createDataFrame([("", None), (None, ""), ("a", "b"), ("ab", "")], "a string, b string")
+    assert hashed_key(df, ["a", "b"], "h").select("h").distinct().count() == 4
+
+
+def test_watermark(spark):
+    df = spark.createDataFrame([(date(2025, 1, 1),), (date(2026, 6, 15),)], "d date")
+    assert high_watermark(df, "d") == date(2026, 6, 15)
+    assert high_watermark(df, "d", cap=date(2025, 3, 1)) == date(2025, 1, 1)
+    assert high_watermark(df.limit(0), "d") is None
+    assert after_watermark(df, "d", None).count() == 2
+    assert after_watermark(df, "d", date(2025, 1, 1)).count() == 1
+    assert after_watermark(df, "d", date(2025, 1, 1), inclusive=True).count() == 2
+
+
+def test_watermark_filter_reaches_the_scan(spark, folder):
+    spark.range(10).select(F.lit(date(2025, 1, 1)).alias("d"), "id").write.parquet(f"{folder}/t")
+    df = spark.read.parquet(f"{folder}/t")
+    assert "GreaterThan(d,2025-01-01)" in plan(after_watermark(df, "d", date(2025, 1, 1)))
+
+
+@pytest.fixture()
+def target(spark):
+    return spark.createDataFrame([(1, "a"), (2, "b"), (None, "n")], "k int, v string")
+
+
+def test_upsert_replaces_inserts_and_keeps(spark, target):
+    source = spark.createDataFrame([(2, "B"), (3, "C"), (3, "c"), (None, "N")], "k int, v string")
+    once = upsert(target, source, ["k"])
+    assert rows(once) == [(1, "a"), (2, "B"), (3, "c"), (None, "N")]
+    assert rows(upsert(once, source, ["k"])) == rows(once)
+
+
+def test_upsert_takes_the_last_by_order(spark):
+    source = spark.createDataFrame([(1, 2, "new"), (1, 1, "old")], "k int, o int, v string")
+    assert rows(upsert(None, source, ["k"], ["o"])) == [(1, 2, "new")]
+
+
+def test_upsert_joins_schemas_and_composite_keys(spark):
+    t = spark.createDataFrame([(1, "x", 5)], "a int, b string, old int")
+    s = spark.createDataFrame([(1, "y", 6.0)], "a int, b string, new double")
+    assert rows(upsert(t, s, ["a", "b"]).select("a", "b", "old", "new")) == [
+        (1, "x", 5, None), (1, "y", None, 6.0)]
+
+
+def test_upsert_of_a_table_onto_itself(target):
+    assert rows(upsert(target, target, ["k"])) == rows(target)
