@@ -19,6 +19,7 @@ from lamina.operators.joins import lookup_join
 from lamina.operators.keys import hashed_key
 from lamina.plans import gold, silver, tables
 from lamina.plans.tables import MOVEMENTS
+from lamina.runtime import materialize
 from lamina.settings import Settings
 
 DIM_AS_OF = date(2024, 1, 1)
@@ -155,9 +156,19 @@ def _tagged_movements(spark, folder):
     return silver.tagged(_raw_movements(spark, folder), MOVEMENTS, clients, ctx, MOVEMENT_SETTINGS)
 
 
+def staged_movements(spark, folder):
+    """Raw movements, the tagged ones and the clean ones.
+
+    The tagged rows are written once, as in a run: statistics and the rows they are joined to, and
+    the rejects, share the cleaning.
+    """
+    staged = materialize(_tagged_movements(spark, folder), "movements")
+    clean = silver.enriched(validate.valid(staged), MOVEMENTS, MOVEMENT_SETTINGS)
+    return _raw_movements(spark, folder), staged, clean
+
+
 def silver_movements(spark, folder):
-    good = validate.valid(_tagged_movements(spark, folder))
-    clean = silver.enriched(good, MOVEMENTS, MOVEMENT_SETTINGS)
+    clean = staged_movements(spark, folder)[2]
     return _doubles(clean.drop("avg_30d", "std_30d"), "vr_mov")
 
 
@@ -303,7 +314,7 @@ _MOVES_SQL = """moves AS (
            CASE WHEN hour(ts) BETWEEN 7 AND 18 THEN 'HABIL' ELSE 'NO_HABIL' END AS flag_horario
     FROM events)"""
 
-_MOVES_ONCE_SQL = _MOVES_SQL + """,
+MOVES_ONCE_SQL = _MOVES_SQL + """,
 once AS (
     SELECT * EXCLUDE (rn) FROM (
         SELECT *, row_number() OVER (PARTITION BY id_cli, cod_prod, num_cuenta, fec_mov, hra_mov, vr_mov
@@ -313,11 +324,11 @@ judged AS (
                         WHEN c_custkey IS NULL THEN 'referential_integrity_fail' END AS reason
     FROM once LEFT JOIN customer ON c_custkey = id_cli AND c_acctbal >= 0)"""
 
-_OUTLIER_SQL = """CAST(CASE WHEN stddev_samp(vr_mov) OVER w > 0
+OUTLIER_SQL = """CAST(CASE WHEN stddev_samp(vr_mov) OVER w > 0
                   AND vr_mov > avg(vr_mov) OVER w + 3 * stddev_samp(vr_mov) OVER w
                  THEN 1 ELSE 0 END AS INTEGER) AS ind_sospechoso"""
 
-_OUTLIER_WINDOW = """WINDOW w AS (PARTITION BY id_cli ORDER BY fec_mov
+OUTLIER_WINDOW = """WINDOW w AS (PARTITION BY id_cli ORDER BY fec_mov
                  RANGE BETWEEN INTERVAL 30 DAYS PRECEDING AND CURRENT ROW)"""
 
 _CUT_SQL = "(SELECT CAST(max(CAST(o_orderdate AS DATE)) - INTERVAL 12 MONTH AS DATE) FROM orders)"
@@ -408,21 +419,21 @@ ORACLE = {
                CAST(isodow(day) >= 6 AS INTEGER) AS is_weekend
         FROM d""",
     "silver_movements": f"""
-        WITH {_MOVES_ONCE_SQL}
-        SELECT * EXCLUDE (reason), {_OUTLIER_SQL} FROM judged WHERE reason IS NULL {_OUTLIER_WINDOW}""",
+        WITH {MOVES_ONCE_SQL}
+        SELECT * EXCLUDE (reason), {OUTLIER_SQL} FROM judged WHERE reason IS NULL {OUTLIER_WINDOW}""",
     "silver_rejects": f"""
-        WITH {_MOVES_ONCE_SQL}
+        WITH {MOVES_ONCE_SQL}
         SELECT reason AS _error_type, count(*) AS n,
                CAST(sum(CAST(vr_mov AS DECIMAL(18,2))) AS DOUBLE) AS amount
         FROM judged WHERE reason IS NOT NULL GROUP BY 1""",
     "fact_transactions": f"""
-        WITH {_MOVES_ONCE_SQL}
+        WITH {MOVES_ONCE_SQL}
         SELECT * EXCLUDE (id_dispositivo_hash),
                CAST(round(CAST(vr_mov AS DECIMAL(18,2)) * CAST(0.058 AS DECIMAL(9,6)), 2) AS DOUBLE)
                    AS vr_mov_usd,
-               {_OUTLIER_SQL}, CAST(year(fec_mov) AS INTEGER) AS fec_mov_year,
+               {OUTLIER_SQL}, CAST(year(fec_mov) AS INTEGER) AS fec_mov_year,
                CAST(month(fec_mov) AS INTEGER) AS fec_mov_month
-        FROM once {_OUTLIER_WINDOW}""",
+        FROM once {OUTLIER_WINDOW}""",
     "fact_portfolio": f"""
         WITH {LINES_SQL}
         SELECT l_orderkey AS id_oblig, o_custkey AS id_cli, p_brand AS cod_prod,

@@ -5,10 +5,11 @@ from datetime import date, datetime
 from pyspark.sql import functions as F
 
 from bindings.common import AS_OF, CTX, GAPS_SQL, customer_gaps, events, lineitem, orders, table
+from bindings.model import MOVES_ONCE_SQL, OUTLIER_SQL, OUTLIER_WINDOW, staged_movements
 from bindings.validation import FIRST_RULES
 from lamina import RunContext
 from lamina.operators import checks, profile, validate
-from lamina.plans import report
+from lamina.plans import report, silver
 
 
 def null_profile(spark, folder):
@@ -22,17 +23,10 @@ def table_profile(spark, folder):
 
 
 def quality_report(spark, folder):
-    """The metrics of cleaning the customers, one row per metric."""
-    raw = customer_gaps(spark, folder)
-    tagged = validate.tag(raw, FIRST_RULES)
-    n = F.count(F.lit(1))
-    row = tagged.agg(
-        n.alias("bronze_row_count"),
-        *[F.count_if(F.col("_error_type") == r).alias(f"rejected_{r}") for r in (
-            "negative_balance", "unknown_segment", "small_nation")],
-        F.count_if(F.col("_error_type").isNull()).alias("silver_row_count"),
-    )
-    return profile.metric_rows("customer", row, CTX).select("table", "metric", "value", "batch_id")
+    """The metrics of cleaning the movements, one row per metric."""
+    raw, staged, clean = staged_movements(spark, folder)
+    report = profile.metric_rows("movements", silver.metrics(raw, staged, clean), CTX)
+    return report.select("table", "metric", "value", "batch_id")
 
 
 def conformity_rate(spark, folder):
@@ -269,18 +263,18 @@ ORACLE = {
         WITH {GAPS_SQL} {_profile_sql("gaps", "customer", _CUSTOMER_COLUMNS)}
         UNION ALL {_profile_sql("orders", "orders", _ORDER_COLUMNS)}""",
     "quality_report": f"""
-        WITH {GAPS_SQL}, r AS (
-            SELECT CASE WHEN c_acctbal < 0 THEN 'negative_balance'
-                        WHEN c_acctbal IS NULL THEN 'null_c_acctbal'
-                        WHEN c_mktsegment NOT IN ('BUILDING','MACHINERY','FURNITURE') THEN 'unknown_segment'
-                        WHEN c_mktsegment IS NULL THEN 'null_c_mktsegment'
-                        WHEN c_nationkey < 5 THEN 'small_nation' ELSE 'valid' END AS reason FROM gaps)
-        SELECT 'customer' AS "table", metric, value::DOUBLE AS value, 'batch001' AS batch_id FROM (
-            SELECT 'bronze_row_count' AS metric, count(*) AS value FROM r
-            UNION ALL SELECT 'rejected_negative_balance', count(*) FILTER (reason = 'negative_balance') FROM r
-            UNION ALL SELECT 'rejected_unknown_segment', count(*) FILTER (reason = 'unknown_segment') FROM r
-            UNION ALL SELECT 'rejected_small_nation', count(*) FILTER (reason = 'small_nation') FROM r
-            UNION ALL SELECT 'silver_row_count', count(*) FILTER (reason = 'valid') FROM r)""",
+        WITH {MOVES_ONCE_SQL}, loads AS (
+            SELECT count(*) AS n, count(*) FILTER (event_type = 'purchase') AS again FROM events),
+        raw AS (SELECT n + again AS n FROM loads),
+        flagged AS (SELECT {OUTLIER_SQL} FROM judged WHERE reason IS NULL {OUTLIER_WINDOW})
+        SELECT 'movements' AS "table", metric, value::DOUBLE AS value, 'batch001' AS batch_id FROM (
+            SELECT 'bronze_row_count' AS metric, n::DOUBLE AS value FROM raw
+            UNION ALL SELECT 'null_pct_cod_ciudad', 1 FROM raw
+            UNION ALL SELECT 'duplicates_removed', n - (SELECT count(*) FROM judged) FROM raw
+            UNION ALL SELECT 'rejected_' || reason, count(*) FROM judged WHERE reason IS NOT NULL GROUP BY 1
+            UNION ALL SELECT 'silver_row_count', count(*) FROM flagged
+            UNION ALL SELECT 'ind_sospechoso_flagged', sum(ind_sospechoso) FROM flagged
+            UNION ALL SELECT 'conformity_rate', round((SELECT count(*) FROM flagged) / n, 4) FROM raw)""",
     "conformity_rate": """
         SELECT 'customer' AS table_name, count(*) AS raw_rows, count(*) FILTER (ok) AS clean_rows,
                round(count(*) FILTER (ok) / count(*), 4) AS conformity_rate

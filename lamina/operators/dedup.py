@@ -25,10 +25,10 @@ def business_columns(df: DataFrame, key: str | Sequence[str] = ()) -> list[str]:
     ]
 
 
-def _nulls_last(c: str, descending: bool) -> list[Column]:
-    # Structs compare field by field; the flag puts NULL behind every value.
-    null = F.col(c).isNull()
-    return [~null if descending else null, F.col(c)]
+def _nulls_last(cols: Sequence[str], descending: bool) -> list[Column]:
+    # Structs compare field by field; the flag in front of a value puts NULL behind every value.
+    flags = [~F.col(c).isNull() if descending else F.col(c).isNull() for c in cols]
+    return [p for c, flag in zip(cols, flags) for p in (flag.alias(f"__{c}_known"), F.col(c))]
 
 
 def keep_one(
@@ -36,7 +36,7 @@ def keep_one(
 ) -> DataFrame:
     """One whole row per key (NULLs equal): the least by ``order``, or the greatest if ``last``.
 
-    Remaining columns break ties in column order, so the survivor never depends on how the data
+    A value comes before NULL either way. Remaining columns break ties in column order, so the survivor never depends on how the data
     was laid out. An aggregate rather than a ranking window: each task first reduces its copies
     to one row per key, so a key with a third of all rows costs no more than any other.
     """
@@ -44,19 +44,15 @@ def keep_one(
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.distinct()
-    ranked = [c for c in order if c in rest] + [c for c in rest if c not in order]
+    order = [c for c in order if c in rest]
+    rest = [c for c in rest if c not in order]
     pick = F.max if last else F.min
-    if len(ranked) == 1:
-        best = df.groupBy(*keys).agg(pick(ranked[0]).alias(ranked[0]))
-        return best.select(*df.columns)
-    parts = [
-        part.alias(f"f{i}_{j}")
-        for i, c in enumerate(ranked)
-        for j, part in enumerate(_nulls_last(c, last))
-    ]
-    best = df.groupBy(*keys).agg(pick(F.struct(*parts)).alias("__best"))
-    cols = {c: F.col("__best").getField(f"f{i}_1").alias(c) for i, c in enumerate(ranked)}
-    return best.select(*[cols.get(c, F.col(c)) for c in df.columns])
+    if len(order) + len(rest) == 1:
+        [only] = [*order, *rest]
+        return df.groupBy(*keys).agg(pick(only).alias(only)).select(*df.columns)
+    whole = F.struct(*_nulls_last(order, last), *[F.col(c) for c in rest])
+    best = df.groupBy(*keys).agg(pick(whole).alias("__best"))
+    return best.select(*[F.col(c) if c in keys else F.col("__best")[c].alias(c) for c in df.columns])
 
 
 def drop_exact(df: DataFrame, ignore: Sequence[str] = AUDIT_COLUMNS) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lamina.context import RunContext
 from lamina.operators.dedup import keep_one
+from lamina.operators.joins import DEFAULT_SKEW, SkewPolicy, lookup_join
 
 
 def with_audit(df: DataFrame, ctx: RunContext) -> DataFrame:
@@ -60,18 +61,22 @@ def upsert(
     source: DataFrame,
     keys: Sequence[str],
     order: Sequence[str] = (),
+    policy: SkewPolicy = DEFAULT_SKEW,
 ) -> DataFrame:
     """The target with rows of equal key replaced by those of the source, and new rows added.
 
     Of several source rows with one key the last by ``order`` counts. NULL keys are equal. Without
-    a target the result is the deduplicated source. Only keys of the source take part in the join,
-    and columns one side lacks are NULL there.
+    a target the result is the deduplicated source. Only keys of the source take part in the join:
+    those of a small increment are broadcast, and the target is filtered without a shuffle. Columns
+    one side lacks are NULL there.
     """
     keys = list(keys)
     latest = keep_one(source, keys, order, last=True)
     if target is None:
         return latest
-    incoming = latest.select(*[F.col(k).alias(f"__{k}") for k in keys])
-    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
-    kept = target.join(incoming, same, "left_anti")
+    # As a struct a key with NULLs is a value like any other and equals its like.
+    key = F.struct(*keys).alias("__key")
+    kept = lookup_join(
+        target.select("*", key), latest.select(key), ["__key"], "left_anti", policy
+    ).drop("__key")
     return latest.unionByName(kept, allowMissingColumns=True)

@@ -87,7 +87,9 @@ def lookup_join(
     no_key = F.greatest(*[F.col(k).isNull() for k in on], F.lit(False))
     if hot is None:
         salted = left.withColumn(_SALT, F.when(no_key, spread).otherwise(F.lit(0).cast("long")))
-        lookup = right.withColumn(_SALT, F.lit(0).cast("long"))
+        # Always 0, but not a literal: the optimizer would take that out of the join keys, and
+        # rows without a key would meet in one task again.
+        lookup = right.withColumn(_SALT, F.pmod(F.xxhash64(*on), F.lit(1)))
     else:
         hot = F.broadcast(hot)
         salted = (

@@ -71,9 +71,9 @@ def conformity_gate(rates: DataFrame, minimum: float) -> DataFrame:
 
 
 def metric_rows(table: str, metrics: DataFrame, ctx: RunContext) -> DataFrame:
-    """A one-row frame of numbers as rows of the quality report."""
+    """A one-row frame of numbers as rows of the quality report; a NULL is no metric."""
     doubles = metrics.select(*[F.col(c).cast("double").alias(c) for c in metrics.columns])
-    return unpivot_row(doubles, "metric", "value").select(
+    return unpivot_row(doubles, "metric", "value").where(F.col("value").isNotNull()).select(
         F.lit(table).alias("table"),
         "metric",
         "value",

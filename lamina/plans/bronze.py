@@ -13,7 +13,7 @@ from lamina.context import RunContext
 from lamina.operators.dedup import keep_one
 from lamina.operators.incremental import after_watermark, high_watermark, upsert, with_audit
 from lamina.plans.tables import TableSpec
-from lamina.runtime import materialize
+from lamina.runtime import materialized
 from lamina.sources.store import TableStore, log_frame
 
 LOG = "bronze_ingestion_log"
@@ -87,9 +87,9 @@ def ingest_table(
         path = store.append(with_audit(source, ctx), name, ctx.batch_id)
         return store.spark.read.parquet(path).count(), path
     current = read_raw(spec, store)
-    incoming = materialize(with_audit(source, ctx), f"incoming-{spec.source}")
-    path = store.write(upsert(current, incoming, [spec.key]), spec.source, INGEST_PARTITIONS)
-    return incoming.count(), path
+    with materialized(with_audit(source, ctx), f"incoming-{spec.source}") as incoming:
+        path = store.write(upsert(current, incoming, [spec.key]), spec.source, INGEST_PARTITIONS)
+        return incoming.count(), path
 
 
 def _watermark(spec: TableSpec, store: TableStore, ctx: RunContext):

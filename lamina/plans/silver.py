@@ -19,7 +19,7 @@ from lamina.operators.validate import Rule
 from lamina.plans import tables
 from lamina.plans.bronze import read_raw
 from lamina.plans.tables import TableSpec
-from lamina.runtime import materialize
+from lamina.runtime import materialized
 from lamina.settings import Settings
 from lamina.sources.store import TableStore
 
@@ -96,38 +96,34 @@ def process(
     written tables, so they are exact whatever had to be recomputed.
     """
     raw = read_raw(spec, bronze)
-    staged = materialize(tagged(raw, spec, clients, ctx, settings), spec.silver)
-    good = enriched(validate.valid(staged), spec, settings)
-    good = good.withColumn("_silver_timestamp", F.lit(ctx.run_ts).cast("timestamp"))
-    silver.write(good, spec.silver, settings.partitions.get(spec.silver, ()))
-    written = silver.read(spec.silver)
-    bad = validate.envelope(validate.rejected(staged), ctx, spec.source)
-    errors.append(bad, REJECTS, ctx.batch_id, spec.source)
-    logs.append(
-        metric_rows(spec.source, metrics(raw, staged, written, spec), ctx),
-        REPORT, ctx.batch_id, spec.source,
-    )
+    with materialized(tagged(raw, spec, clients, ctx, settings), spec.silver) as staged:
+        good = enriched(validate.valid(staged), spec, settings)
+        good = good.withColumn("_silver_timestamp", F.lit(ctx.run_ts).cast("timestamp"))
+        silver.write(good, spec.silver, settings.partitions.get(spec.silver, ()))
+        written = silver.read(spec.silver)
+        bad = validate.envelope(validate.rejected(staged), ctx, spec.source)
+        errors.append(bad, REJECTS, ctx.batch_id, spec.source)
+        measured = metric_rows(spec.source, metrics(raw, staged, written), ctx)
+        logs.append(measured, REPORT, ctx.batch_id, spec.source)
     return written
 
 
-def metrics(raw: DataFrame, staged: DataFrame, written: DataFrame, spec: TableSpec) -> DataFrame:
+def metrics(raw: DataFrame, staged: DataFrame, written: DataFrame) -> DataFrame:
     """One row of numbers: rows in, duplicates, NULL shares, rejects per reason, rows out.
 
     One aggregation over the raw table; the others read one column or none of what was written.
     """
     n = F.count(F.lit(1))
     reasons = {r["_error_type"]: r["n"] for r in _reject_counts(staged).collect()}
-    kept = staged.agg(n).first()[0]
+    kept = staged.count()
     flags = [c for c in ("ind_sospechoso",) if c in written.columns]
     out = written.agg(n.alias("rows"), *[F.sum(c).alias(c) for c in flags]).first()
-    measured = raw.agg(
-        n.alias("bronze_row_count"),
-        *[
-            ratio(F.count_if(F.col(c).isNull()), n).alias(f"null_pct_{c}")
-            for c in raw.columns
-        ],
-    )
-    measured = measured.withColumns(
+    nulls = [
+        F.nullif(ratio(F.count_if(F.col(c).isNull()), n), F.lit(0.0)).alias(f"null_pct_{c}")
+        for c in raw.columns
+    ]
+    measured = raw.agg(n.alias("bronze_row_count"), *nulls)
+    return measured.withColumns(
         {
             "duplicates_removed": F.col("bronze_row_count") - F.lit(kept),
             **{f"rejected_{reason}": F.lit(count) for reason, count in sorted(reasons.items())},
@@ -136,7 +132,6 @@ def metrics(raw: DataFrame, staged: DataFrame, written: DataFrame, spec: TableSp
             "conformity_rate": ratio(F.lit(out["rows"]), "bronze_row_count"),
         }
     )
-    return measured
 
 
 def _reject_counts(staged: DataFrame) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,6 +19,9 @@ _WANTED = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
 }
 
+# Temporary folders of local-mode sessions, by application.
+_LOCAL_SCRATCH: dict[str, str] = {}
+
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the wanted runtime settings, leaving alone what the session was built with."""
@@ -36,11 +41,20 @@ def scratch_dir(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="lamina-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.applicationId not in _LOCAL_SCRATCH:
+        _LOCAL_SCRATCH[context.applicationId] = tempfile.mkdtemp(prefix="lamina-")
+    return _LOCAL_SCRATCH[context.applicationId]
+
+
+def _write_out(df: DataFrame, name: str) -> str:
+    spark = df.sparkSession
+    app = spark.sparkContext.applicationId
+    path = f"{scratch_dir(spark)}/{app}/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return path
 
 
 def materialize(df: DataFrame, name: str = "step") -> DataFrame:
@@ -49,8 +63,17 @@ def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     Cuts the lineage where several sinks share one plan. A parquet table instead of a checkpoint
     file keeps column pruning and filter pushdown for its readers, and survives lost executors.
     """
+    return df.sparkSession.read.schema(df.schema).parquet(_write_out(df, name))
+
+
+@contextmanager
+def materialized(df: DataFrame, name: str = "step") -> Iterator[DataFrame]:
+    """The same for a block that executes all its uses; the table is deleted behind it.
+
+    After a failure the table stays for inspection.
+    """
     spark = df.sparkSession
-    app = spark.sparkContext.applicationId
-    path = f"{scratch_dir(spark)}/{app}/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path = _write_out(df, name)
+    yield spark.read.schema(df.schema).parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lamina.context import RunContext
 from lamina.operators.incremental import upsert, with_audit
-from lamina.runtime import materialize
+from lamina.runtime import materialized
 from lamina.sources.store import TableStore
 
 
@@ -33,9 +33,9 @@ def ingest_arrivals(
     arrivals = spark.readStream.format(fmt).schema(schema).load(folder)
 
     def merge(batch: DataFrame, _: int) -> None:
-        incoming = materialize(with_audit(batch, ctx), f"arrivals-{table}")
         current = store.read(table) if store.exists(table) else None
-        store.write(upsert(current, incoming, keys, order), table)
+        with materialized(with_audit(batch, ctx), f"arrivals-{table}") as incoming:
+            store.write(upsert(current, incoming, keys, order), table)
 
     return (
         arrivals.writeStream.foreachBatch(merge)

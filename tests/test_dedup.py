@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lamina import RunContext
 from lamina.operators.dedup import business_columns, drop_business_copies, drop_exact, keep_one
 from lamina.operators.incremental import after_watermark, high_watermark, upsert, with_audit
+from lamina.operators.joins import SkewPolicy
 from lamina.operators.keys import dense_key, hashed_key
 from tests.support import plan, rows
 
@@ -116,5 +117,21 @@ def test_upsert_joins_schemas_and_composite_keys(spark):
         (1, "x", 5, None), (1, "y", None, 6.0)]
 
 
+def test_upsert_with_a_split_key(spark):
+    """A target key that repeats, NULL among them, through the shuffled and salted join."""
+    t = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(5)).when(F.col("id") % 3 == 1, F.col("id")).alias("k"), "id")
+    s = spark.createDataFrame([(5, -1), (7, -2), (None, -3)], "k bigint, id bigint")
+    split = SkewPolicy(broadcast_rows=0, rows_per_task=100)
+    expected = rows(upsert(t, s, ["k"]))
+    assert rows(upsert(t, s, ["k"], policy=split)) == expected
+    assert len(expected) == 999 + 3
+
+
+def test_small_increment_does_not_shuffle_the_target(target, spark):
+    text = plan(upsert(target, spark.createDataFrame([(2, "B")], "k int, v string"), ["k"]))
+    assert "BroadcastHashJoin LeftAnti" in text
+
+
 def test_upsert_of_a_table_onto_itself(target):
     assert rows(upsert(target, target, ["k"])) == rows(target)

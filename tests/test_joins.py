@@ -70,11 +70,15 @@ def test_no_task_holds_a_hot_key_alone(spark, skewed, lookup):
 
         plain = largest(skewed.join(lookup, ["k"], "left"))
         split = largest(lookup_join(skewed, lookup, ["k"], "left", SPLIT))
+        # Rows without a key are spread even where no key is hot.
+        keyless = skewed.where("k IS NULL")
+        spread = largest(lookup_join(keyless, lookup, ["k"], "left", SkewPolicy(broadcast_rows=0)))
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plain >= 3000
     assert split < plain / 1.5
+    assert spread < keyless.count() / 2
 
 
 def test_small_lookup_is_broadcast_and_large_one_is_not(skewed, lookup):
