@@ -25,7 +25,7 @@ class SkewPolicy:
     """
 
     broadcast_rows: int = 200_000
-    rows_per_task: int = 4_000_000
+    rows_per_task: int = 1_000_000
     max_hot_groups: int = 20_000
 
 
