@@ -32,29 +32,35 @@ class SkewPolicy:
 DEFAULT_SKEW = SkewPolicy()
 
 
-def hot_groups(df: DataFrame, keys: Sequence[str], policy: SkewPolicy = DEFAULT_SKEW) -> DataFrame | None:
+def hot_groups(
+    df: DataFrame,
+    keys: Sequence[str],
+    policy: SkewPolicy = DEFAULT_SKEW,
+    rows: str | None = None,
+) -> DataFrame | None:
     """Keys to split, with the number of salts each needs, or None when no key is that large.
 
-    One aggregation over the key columns only, combined before its shuffle. The list it brings to
-    the driver is bounded by ``max_hot_groups``.
+    One aggregation over the key columns only, combined before its shuffle; none at all where
+    ``df`` already has one row per key with its number of rows in the column ``rows``. The list
+    this brings to the driver is bounded by ``max_hot_groups``.
     """
-    counted = (
-        df.select(*keys)
-        .dropna(subset=list(keys))
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias(_SALTS))
-        .where(F.col(_SALTS) > policy.rows_per_task)
+    keyed = df.dropna(subset=list(keys))
+    if rows is None:
+        keyed = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias(_SALTS))
+    else:
+        keyed = keyed.select(*keys, F.col(rows).alias(_SALTS))
+    hot = (
+        keyed.where(F.col(_SALTS) > policy.rows_per_task)
         .orderBy(F.desc(_SALTS))
         .limit(policy.max_hot_groups)
+        .collect()
     )
-    rows = [
-        (*r[:-1], -(-r[-1] // policy.rows_per_task)) for r in (tuple(x) for x in counted.collect())
-    ]
-    if not rows:
+    if not hot:
         return None
+    salts = [(*tuple(r)[:-1], -(-r[_SALTS] // policy.rows_per_task)) for r in hot]
     fields = [f for k in keys for f in df.select(k).schema.fields]
     schema = T.StructType([*fields, T.StructField(_SALTS, T.LongType())])
-    return df.sparkSession.createDataFrame(rows, schema)
+    return df.sparkSession.createDataFrame(salts, schema)
 
 
 def lookup_join(
@@ -64,6 +70,7 @@ def lookup_join(
     how: str = "left",
     policy: SkewPolicy = DEFAULT_SKEW,
     right_is_large: bool = False,
+    counted: tuple[DataFrame, str] | None = None,
 ) -> DataFrame:
     """Join a fact side to a lookup side on equal column names.
 
@@ -71,7 +78,9 @@ def lookup_join(
     is shuffled; hot keys of ``left`` are then spread over salts and their few ``right`` rows
     repeated per salt, and rows with a NULL key, which match nothing, are spread likewise.
     ``how`` is inner, left, left_semi or left_anti; columns keep the order of ``left``.
-    ``right_is_large`` skips the count where the caller knows that ``right`` grows with the data.
+    ``right_is_large`` skips the count where the caller knows that ``right`` grows with the data;
+    ``counted`` gives a frame with one row per key of ``left`` and the name of its column of row
+    counts, where the caller has them anyway.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"a lookup join keeps the left side; {how!r} does not")
@@ -80,7 +89,7 @@ def lookup_join(
     columns = [*left.columns, *added]
     if not right_is_large and right.count() <= policy.broadcast_rows:
         return left.join(F.broadcast(right), on, how).select(*columns)
-    hot = hot_groups(left, on, policy)
+    hot = hot_groups(counted[0], on, policy, counted[1]) if counted else hot_groups(left, on, policy)
     # The salt of a row depends on its input partition alone: a recomputed task after a lost
     # executor sends its rows to the same place, and copies of one row still spread.
     spread = F.spark_partition_id().cast("long")

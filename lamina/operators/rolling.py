@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lamina.operators.joins import DEFAULT_SKEW, SkewPolicy, lookup_join
+from lamina.runtime import materialize
 
 
 @dataclass(frozen=True)
@@ -29,15 +30,17 @@ class OutlierRule:
             raise ValueError(f"unknown frame {self.frame!r}")
 
 
-_N, _REF, _S, _Q = "__n", "__ref", "__s", "__q"
+_N, _REF, _S, _Q, _ROWS = "__n", "__ref", "__s", "__q", "__rows"
 
 
 def _moments_by_day(df: DataFrame, key: str, day: str, value: str) -> DataFrame:
+    """One row per key and day, reduced in each task before the shuffle."""
     v = F.col(value).cast("double")
     return (
         df.where(F.col(key).isNotNull() & F.col(day).isNotNull())
         .groupBy(key, day)
         .agg(
+            F.count(F.lit(1)).alias(_ROWS),
             F.count(v).alias(_N),
             F.avg(v).alias("__mean"),
             (F.var_pop(v) * F.count(v)).alias("__m2"),
@@ -45,11 +48,10 @@ def _moments_by_day(df: DataFrame, key: str, day: str, value: str) -> DataFrame:
     )
 
 
-def _frames(df: DataFrame, key: str, day: str, value: str, days: int | None) -> DataFrame:
+def _frames(moments: DataFrame, key: str, day: str, days: int | None) -> DataFrame:
     """Per (key, day): count, and sums of deviations and squared deviations from a reference.
 
-    Rows are first reduced to one per key and day, in each task before the shuffle, so the
-    window sees as many rows per key as there are days, however many rows the key has. The
+    The window sees as many rows per key as there are days, however many rows the key has. The
     reference is a day's mean of the same key: deviations stay small, and constant values give
     a deviation of exactly zero.
     """
@@ -59,8 +61,7 @@ def _frames(df: DataFrame, key: str, day: str, value: str, days: int | None) ->
         frame = by_key.orderBy(F.unix_date(day)).rangeBetween(-days, 0)
     away = F.col("__mean") - F.col(_REF)
     return (
-        _moments_by_day(df, key, day, value)
-        .withColumn(_REF, F.min("__mean").over(by_key))
+        moments.withColumn(_REF, F.min("__mean").over(by_key))
         .select(
             key,
             day,
@@ -96,9 +97,15 @@ def rolling_stats(
 
     The own day belongs to the frame with all its rows. A single value has no deviation. Rows
     without a key or day have neither.
+
+    The daily moments are written to the scratch folder first: they tell which (key, day) groups
+    need splitting, and the frames are built from them without reading the rows again.
     """
-    frames = _frames(df, key, day, value, days)
-    joined = lookup_join(df, frames, [key, day], "left", policy, right_is_large=True)
+    moments = materialize(_moments_by_day(df, key, day, value), "daily-moments")
+    frames = _frames(moments, key, day, days)
+    joined = lookup_join(
+        df, frames, [key, day], "left", policy, right_is_large=True, counted=(moments, _ROWS)
+    )
     n, s, q = F.col(_N), F.col(_S), F.col(_Q)
     if exclude_current:
         own = F.col(value).cast("double") - F.col(_REF)

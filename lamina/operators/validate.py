@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from lamina.context import RunContext
 from lamina.functions.clean import CAST_ERROR
 from lamina.operators.joins import DEFAULT_SKEW, SkewPolicy, lookup_join
+from lamina.runtime import materialize
 
 ERROR = "_error_type"
 _VANISHED = "__vanished"
@@ -103,20 +104,18 @@ def foreign_key(
 def unique(cols: Sequence[str], reason: str) -> Rule:
     """No other row has the same values. Rows with a NULL among them are not compared.
 
-    Repeated keys come from an aggregate and are joined back, so a heavily repeated key is never
+    Repeated keys come from an aggregate, written out and joined back, so a heavily repeated key is never
     gathered in one task as it would be by a window over the key.
     """
     cols = list(cols)
     marker = "__repeated_" + "_".join(cols)
 
     def attach(df: DataFrame, policy: SkewPolicy) -> DataFrame:
-        repeated = (
-            df.dropna(subset=cols)
-            .groupBy(*cols)
-            .agg(F.count(F.lit(1)).alias(marker))
-            .where(F.col(marker) > 1)
+        counts = df.dropna(subset=cols).groupBy(*cols).agg(F.count(F.lit(1)).alias(marker))
+        repeated = materialize(counts.where(F.col(marker) > 1), "repeated-keys")
+        return lookup_join(
+            df, repeated, cols, "left", policy, right_is_large=True, counted=(repeated, marker)
         )
-        return lookup_join(df, repeated, cols, "left", policy, right_is_large=True)
 
     return Rule(reason, lambda: F.col(marker).isNull(), attach=attach, helpers=(marker,))
 

@@ -37,6 +37,8 @@ class IngestResult:
 
 def increments(spec: TableSpec, store: TableStore) -> str:
     """Name of the table holding what came in after the current version was written."""
+    if store.fmt == "delta":  # merges in place and has none
+        return f"{spec.source}_since"
     version = store.path(spec.source).rsplit("/", 1)[-1].replace("version=", "")
     return f"{spec.source}_since_{version}"
 
@@ -69,7 +71,7 @@ def ingest_table(
     ``full`` replaces the table. ``incremental`` upserts what lies beyond the watermark and writes
     the result as the new version. ``append`` only writes the increment, so its cost follows the
     increment and not the table; readers take the latest row per key, and ``compact`` folds the
-    increments in from time to time.
+    increments in from time to time. A Delta table merges the increment in place in both modes.
 
     The source is read once: the incoming rows are written first, and counted from what was
     written (an exact number even where tasks had to run again). ``inclusive`` reads the day of
@@ -82,10 +84,14 @@ def ingest_table(
     if spec.watermark:
         mark = _watermark(spec, store, ctx)
         source = after_watermark(source, spec.watermark, mark, inclusive)
-    if mode == "append":
+    if mode == "append" and store.fmt != "delta":
         name = increments(spec, store)
         path = store.append(with_audit(source, ctx), name, ctx.batch_id)
         return store.spark.read.parquet(path).count(), path
+    if store.fmt == "delta":
+        with materialized(with_audit(source, ctx), f"incoming-{spec.source}") as incoming:
+            store.merge(keep_one(incoming, [spec.key], last=True), spec.source, [spec.key])
+            return incoming.count(), store.path(spec.source)
     current = read_raw(spec, store)
     with materialized(with_audit(source, ctx), f"incoming-{spec.source}") as incoming:
         path = store.write(upsert(current, incoming, [spec.key]), spec.source, INGEST_PARTITIONS)

@@ -58,6 +58,18 @@ class TableStore:
         writer.save(path)
         return path
 
+    def merge(self, source: DataFrame, name: str, keys: Sequence[str]) -> None:
+        """Upsert into a table whose format merges in place, rewriting only the files it must.
+
+        ``source`` has one row per key.
+        """
+        view = f"merge_{uuid.uuid4().hex}"
+        source.createOrReplaceTempView(view)
+        try:
+            self.spark.sql(merge_statement(f"{self.fmt}.`{self.root}/{name}`", view, keys))
+        finally:
+            self.spark.catalog.dropTempView(view)
+
     def exists(self, name: str) -> bool:
         return self.path(name) is not None
 
@@ -120,6 +132,15 @@ class TableStore:
         return [str(s.getPath()) for s in found or []]
 
 
+def merge_statement(table: str, source: str, keys: Sequence[str]) -> str:
+    """MERGE that replaces matching rows, NULL keys being equal, and inserts the others."""
+    same = " AND ".join(f"t.`{k}` <=> s.`{k}`" for k in keys)
+    return (
+        f"MERGE INTO {table} t USING {source} s ON {same} "
+        "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
+    )
+
+
 def log_frame(spark: SparkSession, rows: list, schema: str) -> DataFrame:
     """Rows known on the driver (one per table, check or run) as a frame with a declared schema."""
     return spark.createDataFrame(rows, schema)

@@ -7,6 +7,7 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from lamina.operators import rolling
 from lamina.operators.joins import SkewPolicy
 from lamina.operators.rolling import OutlierRule, flag_outliers, rolling_stats, trailing_sum, trailing_sum_over
 from tests.support import plan, rows
@@ -102,9 +103,12 @@ def test_unknown_frame_is_refused():
 
 
 def test_window_runs_over_days_not_rows(frame):
-    text = plan(rolling_stats(frame, "k", "d", "v", 30))
-    # Rows are combined by key and day before the first exchange below the window.
-    assert "partial_avg" in text and "partial_count" in text
+    moments = rolling._moments_by_day(frame, "k", "d", "v")
+    keyed = frame.dropna(subset=["k", "d"])
+    assert moments.count() == keyed.select("k", "d").distinct().count() < keyed.count()
+    # Rows are combined by key and day before the exchange, and the window reads the result.
+    assert "partial_avg" in plan(moments) and "partial_count" in plan(moments)
+    assert "daily-moments" in plan(rolling_stats(frame, "k", "d", "v", 30))
 
 
 def test_trailing_sums(spark):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lamina import RunContext
 from lamina.runtime import materialize, scratch_dir, tune
 from lamina.sources import files, jdbc
-from lamina.sources.store import TableStore
+from lamina.sources.store import TableStore, merge_statement
 from lamina.streaming.increments import ingest_arrivals
 from tests.support import plan, rows
 
@@ -126,6 +126,12 @@ def test_jdbc_reads_in_ranges():
     assert jdbc.read_query(FakeReader(), "jdbc:x", "SELECT 1 AS test")["query"] == "SELECT 1 AS test"
 
 
+def test_merge_statement():
+    assert merge_statement("delta.`/x/t`", "v", ["a", "b"]) == (
+        "MERGE INTO delta.`/x/t` t USING v s ON t.`a` <=> s.`a` AND t.`b` <=> s.`b` "
+        "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *")
+
+
 def test_scratch_folder_comes_from_the_session(spark):
     assert scratch_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     df = spark.range(10).withColumn("x", F.col("id") * 2)
