@@ -10,7 +10,8 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from bindings.common import (
-    AS_OF, BUCKET_SQL, CTX, LINES_SQL, RATING_SQL, SHARE_SQL, events, lines_with_orders, orders, table,
+    AS_OF, BUCKET_SQL, CTX, LINES_SQL, RATING_SQL, SHARE_SQL, events, lineitem, lines_with_orders,
+    orders, table,
 )
 from lamina.functions import dates
 from lamina.functions.mask import Mask, mask_columns
@@ -189,7 +190,9 @@ def fact_transactions(spark, folder):
 
 def _loans(spark, folder):
     brands = table(spark, folder, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
-    lines = lookup_join(lines_with_orders(spark, folder), brands, ["l_partkey"], "left")
+    lines = lookup_join(
+        lines_with_orders(spark, folder), brands, ["l_partkey"], "left", skew_of=lineitem(spark, folder)
+    )
     amount = F.col("l_extendedprice").cast(tables.MONEY)
     return lines.select(
         F.col("l_orderkey").alias("id_oblig"),
@@ -219,7 +222,9 @@ def kpi_portfolio_daily(spark, folder):
     ).select(
         F.col("c_custkey").alias("id_cli"), F.col("c_mktsegment").alias("segmento_desc"), "ciudad_res"
     )
-    kpi = gold.portfolio_kpi(gold.fact_portfolio(_loans(spark, folder)), clients, AS_OF)
+    loans = gold.fact_portfolio(_loans(spark, folder))
+    buyers = orders(spark, folder).withColumnRenamed("o_custkey", "id_cli")
+    kpi = gold.portfolio_kpi(loans, clients, AS_OF, skew_of=buyers)
     return _doubles(
         kpi, "monto_total_cartera", "monto_en_mora", "total_provision_estimada", "tasa_mora_pct"
     )

@@ -108,21 +108,26 @@ def run_checks(
     tables: Mapping[str, Callable[[], DataFrame]],
     checks: Sequence[Check],
     policy: SkewPolicy = DEFAULT_SKEW,
+    isolate: bool = False,
 ) -> DataFrame:
     """Results of all checks, one row each.
 
     ``tables`` maps names to functions opening the table. A table that cannot be opened fails its
-    checks and keeps the message; the others still run.
+    checks and keeps the message; the others still run. ``isolate`` runs each table's aggregation
+    here, so that one that breaks while it is read does the same; otherwise the result is lazy.
     """
     frames = []
     for table in dict.fromkeys(c.table for c in checks):
         mine = [c for c in checks if c.table == table]
         try:
-            frames.append(_answers(_with_parents(tables[table](), mine, tables, policy), table, mine))
+            answers = _answers(_with_parents(tables[table](), mine, tables, policy), table, mine)
+            if isolate:  # one row per check
+                answers = spark.createDataFrame(answers.collect(), RESULT)
         except Exception as error:  # an unreadable table is a finding, not the end of the run
             text = f"error: {error}"[:500]
             rows = [(c.name, table, "FAILED", text, c.severity) for c in mine]
-            frames.append(spark.createDataFrame(rows, RESULT))
+            answers = spark.createDataFrame(rows, RESULT)
+        frames.append(answers)
     return reduce(DataFrame.unionByName, frames)
 
 

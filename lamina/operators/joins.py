@@ -71,6 +71,7 @@ def lookup_join(
     policy: SkewPolicy = DEFAULT_SKEW,
     right_is_large: bool = False,
     counted: tuple[DataFrame, str] | None = None,
+    skew_of: DataFrame | None = None,
 ) -> DataFrame:
     """Join a fact side to a lookup side on equal column names.
 
@@ -80,7 +81,9 @@ def lookup_join(
     ``how`` is inner, left, left_semi or left_anti; columns keep the order of ``left``.
     ``right_is_large`` skips the count where the caller knows that ``right`` grows with the data;
     ``counted`` gives a frame with one row per key of ``left`` and the name of its column of row
-    counts, where the caller has them anyway.
+    counts, where the caller has them anyway; ``skew_of`` gives a frame with the same key columns
+    to look for hot keys in, where ``left`` itself is expensive. Which keys are split decides how
+    the work is spread and never what the result is.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"a lookup join keeps the left side; {how!r} does not")
@@ -89,7 +92,10 @@ def lookup_join(
     columns = [*left.columns, *added]
     if not right_is_large and right.count() <= policy.broadcast_rows:
         return left.join(F.broadcast(right), on, how).select(*columns)
-    hot = hot_groups(counted[0], on, policy, counted[1]) if counted else hot_groups(left, on, policy)
+    if counted:
+        hot = hot_groups(counted[0], on, policy, counted[1])
+    else:
+        hot = hot_groups(left if skew_of is None else skew_of, on, policy)
     # The salt of a row depends on its input partition alone: a recomputed task after a lost
     # executor sends its rows to the same place, and copies of one row still spread.
     spread = F.spark_partition_id().cast("long")

@@ -150,13 +150,20 @@ def client_profitability(
 
 
 def portfolio_kpi(
-    portfolio: DataFrame, clients: DataFrame, as_of: date, policy: SkewPolicy = DEFAULT_SKEW
+    portfolio: DataFrame,
+    clients: DataFrame,
+    as_of: date,
+    policy: SkewPolicy = DEFAULT_SKEW,
+    skew_of: DataFrame | None = None,
 ) -> DataFrame:
-    """Portfolio, arrears and provisions per product, segment and city."""
+    """Portfolio, arrears and provisions per product, segment and city.
+
+    ``skew_of`` may name a cheaper frame than ``portfolio`` to look for hot clients in.
+    """
     known = clients.select("id_cli", "segmento_desc", "ciudad_res")
     late = F.col("dias_mora_act") > 0
     kpi = (
-        lookup_join(portfolio, known, ["id_cli"], "left", policy)
+        lookup_join(portfolio, known, ["id_cli"], "left", policy, skew_of=skew_of)
         .groupBy(F.lit(as_of).alias("fec_reporte"), "cod_prod", "segmento_desc", "ciudad_res")
         .agg(
             F.count("id_oblig").alias("total_obligaciones_activas"),

@@ -56,7 +56,9 @@ def run_layers(
         layers.bronze, layers.silver, layers.errors, layers.logs, ctx, settings, specs
     )
     gold.build_all(layers.silver, layers.gold, ctx, settings)
-    verdict = quality.check_gold(layers.gold, layers.logs, ctx, settings).first()
+    verdict = quality.check_gold(
+        layers.gold, layers.logs, ctx, settings, layers.silver
+    ).first()
     return _report(spark, layers, ctx, settings, verdict["outcome"])
 
 

@@ -104,3 +104,35 @@ PERSONAL = {
     "TB_CLIENTES_CORE": ("nomb_cli", "apell_cli", "num_doc"),
     "TB_MOV_FINANCIEROS": ("id_dispositivo",),
 }
+
+# Columns and types of the source tables, for exports that carry no types.
+SOURCE_SCHEMAS = {
+    "TB_CLIENTES_CORE": (
+        "id_cli int, nomb_cli string, apell_cli string, tip_doc string, num_doc string, fec_nac date, "
+        "fec_alta date, cod_segmento string, score_buro double, ciudad_res string, depto_res string, "
+        "estado_cli string, canal_adquis string"
+    ),
+    "TB_PRODUCTOS_CAT": (
+        "cod_prod string, desc_prod string, tip_prod string, tasa_ea decimal(8,4), "
+        "plazo_max_meses int, cuota_min decimal(15,2), comision_admin decimal(15,2), estado_prod string"
+    ),
+    "TB_SUCURSALES_RED": (
+        "cod_suc string, nom_suc string, tip_punto string, ciudad string, depto string, "
+        "latitud decimal(10,6), longitud decimal(10,6), activo int"
+    ),
+    "TB_MOV_FINANCIEROS": (
+        "id_mov bigint, id_cli int, cod_prod string, num_cuenta string, fec_mov date, hra_mov string, "
+        "vr_mov decimal(18,2), tip_mov string, cod_canal string, cod_ciudad string, "
+        "cod_estado_mov string, id_dispositivo string"
+    ),
+    "TB_OBLIGACIONES": (
+        "id_oblig int, id_cli int, cod_prod string, vr_aprobado decimal(18,2), "
+        "vr_desembolsado decimal(18,2), sdo_capital decimal(18,2), vr_cuota decimal(18,2), "
+        "fec_desembolso date, fec_venc date, dias_mora_act int, num_cuotas_pend double, "
+        "calif_riesgo string"
+    ),
+    "TB_COMISIONES_LOG": (
+        "id_comision int, id_cli int, cod_prod string, fec_cobro date, vr_comision decimal(15,2), "
+        "tip_comision string, estado_cobro string"
+    ),
+}

@@ -89,7 +89,10 @@ class Settings:
     null_policy: str = "reject"
     # None leaves missing values as they are; a mapping turns handling on for its columns.
     null_handling: Mapping[str, str] | None = None
-    min_conformity: float = 0.95
+    # Checked only where given.
+    min_conformity: float | None = None
+    # Columns that must not appear in clear beyond the raw layer; checked only where given.
+    sensitive: tuple[str, ...] = ()
     volume_threshold_pct: float = 30.0
     age_null_label: str | None = None
     skew: SkewPolicy = DEFAULT_SKEW
@@ -150,6 +153,10 @@ def from_mapping(raw: Mapping, base: Settings = Settings()) -> Settings:
     alerts = raw.get("orchestration", {}).get("alerts", {})
     if "volume_anomaly_threshold_pct" in alerts:
         new["volume_threshold_pct"] = float(alerts["volume_anomaly_threshold_pct"])
+    masked = {c for cols in new.get("masks", base.masks).values() for c, m in cols.items() if not m.clear_stays}
+    listed = raw.get("governance", {}).get("sensitive_columns", [])
+    # Classified columns stay readable where the masking policy keeps them (amounts, dates).
+    new["sensitive"] = tuple(sorted(masked & {c for entry in listed for c in entry["columns"]}))
     return replace(base, **new)
 
 

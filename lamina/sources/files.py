@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -27,6 +29,25 @@ def read_csv(spark: SparkSession, path: str, schema: str | T.StructType) -> Data
     )
 
 
+def reader(
+    spark: SparkSession, folder: str, fmt: str, schemas: Mapping[str, str]
+) -> Callable[[str], DataFrame]:
+    """A function that opens exported source tables by name, ``<folder>/<name>.<fmt>``.
+
+    Lines of a CSV file that do not fit come with NULLs and are judged by the rules of the table.
+    """
+    if fmt not in ("csv", "parquet"):
+        raise ValueError(f"unknown export format {fmt!r}")
+
+    def read(name: str) -> DataFrame:
+        path = f"{folder.rstrip('/')}/{name}.{fmt}"
+        if fmt == "parquet":
+            return read_parquet(spark, path)
+        return read_csv(spark, path, schemas[name]).drop(CORRUPT)
+
+    return read
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.option("header", True).option("encoding", "UTF-8").csv(path)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,6 +49,22 @@ def read_query(
     return reader.options(**dict(options or {})).load()
 
 
+def reader(
+    spark: SparkSession,
+    url: str,
+    options: Mapping[str, str] | None = None,
+    schema: str | None = None,
+    splits: Mapping[str, Split] | None = None,
+) -> Callable[[str], DataFrame]:
+    """A function that opens source tables by name, large ones in ranges."""
+
+    def read(name: str) -> DataFrame:
+        table = f"{schema}.{name}" if schema else name
+        return read_table(spark, url, table, options, (splits or {}).get(name))
+
+    return read
+
+
 def bounds(
     spark: SparkSession, url: str, table: str, column: str, options: Mapping[str, str] | None = None
 ) -> tuple:

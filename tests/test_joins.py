@@ -48,6 +48,16 @@ def test_two_column_key(skewed, lookup):
     assert rows(actual.select(*expected.columns)) == rows(expected)
 
 
+def test_hot_keys_may_come_from_elsewhere(skewed, lookup):
+    """Whatever is taken for hot, the rows are the same."""
+    expected = rows(lookup_join(skewed, lookup, ["k"], "left"))
+    other = skewed.where("k = 3 OR k IS NULL").unionByName(skewed.where("k = 3"))
+    policy = SkewPolicy(broadcast_rows=0, rows_per_task=5)
+    assert rows(lookup_join(skewed, lookup, ["k"], "left", policy, skew_of=other)) == expected
+    counts = skewed.groupBy("k").count()
+    assert rows(lookup_join(skewed, lookup, ["k"], "left", policy, counted=(counts, "count"))) == expected
+
+
 def test_hot_groups_are_few_and_sized(skewed):
     hot = hot_groups(skewed, ["k"], SPLIT)
     assert [(r["k"], r["__salts"]) for r in hot.collect()] == [(7, 7)]

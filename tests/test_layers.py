@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lamina import RunContext, Settings, from_mapping
 from lamina.plans import bronze, silver, tables
 from lamina.plans.run import Layers, run_layers
+from lamina.sources import files
 from tests.support import rows
 
 DAY = date(2025, 3, 1)
@@ -284,6 +285,7 @@ def test_settings_from_a_configuration():
             "gold": {"partition_dimensions": {"fact_cartera": ["calif_riesgo"]}},
             "quality": {"min_conformity_rate": 0.9},
         },
+        "governance": {"sensitive_columns": [{"table": "T", "columns": ["c", "amount"]}]},
         "orchestration": {"alerts": {"volume_anomaly_threshold_pct": 12}},
     }
     s = from_mapping(raw)
@@ -293,4 +295,30 @@ def test_settings_from_a_configuration():
     assert s.masks["T"]["c"].how == "hash" and s.null_handling == {"score_buro": "impute_median"}
     assert s.partitions["fact_cartera"] == ("calif_riesgo",) and "fact_transacciones" in s.partitions
     assert (s.min_conformity, s.volume_threshold_pct) == (0.9, 12.0)
+    assert s.sensitive == ("c",)
     assert from_mapping({}) == Settings()
+
+
+def test_export_files_and_declared_gates(spark, folder):
+    """A run from CSV exports, with the conformity gate and the personal-data check turned on."""
+    frames = source(spark)
+    for name, df in frames.items():
+        if name == "TB_SUCURSALES_RED":
+            df = df.withColumn("activo", F.col("activo").cast("int"))
+        files.write_csv(df, f"{folder}/in/{name}.csv")
+    layers = Layers.under(spark, f"{folder}/lake")
+    strict = Settings(min_conformity=0.83, sensitive=("num_doc", "id_dispositivo", "nomb_cli"))
+    read = files.reader(spark, f"{folder}/in", "csv", tables.SOURCE_SCHEMAS)
+    result = run_layers(spark, read, layers, CTX, strict)
+    results = layers.logs.read_all("gold_quality_checks")
+    gate = results.where("check_name = 'min_conformity_rate'")
+    assert rows(gate.select("table", "status", "details")) == [
+        ("TB_CLIENTES_CORE", "FAILED", "0.6 of 0.83"), ("TB_COMISIONES_LOG", "PASSED", "1.0 of 0.83"),
+        ("TB_MOV_FINANCIEROS", "PASSED", "0.8421 of 0.83"), ("TB_OBLIGACIONES", "FAILED", "0.4 of 0.83"),
+        ("TB_PRODUCTOS_CAT", "PASSED", "1.0 of 0.83"), ("TB_SUCURSALES_RED", "PASSED", "1.0 of 0.83")]
+    clear = results.where("check_name = 'no_clear_personal_data'")
+    assert clear.count() == 14 and clear.where("status = 'FAILED'").count() == 0
+    # The gate warns; it does not change the outcome of the run.
+    assert result.outcome == "ALL_CHECKS_PASSED"
+    with pytest.raises(ValueError):
+        files.reader(spark, folder, "xlsx", {})

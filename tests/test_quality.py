@@ -54,6 +54,20 @@ def test_each_kind_of_check(spark, tables):
     assert got[("row_count_not_zero", "broken")] == ("FAILED", "error: gone")
 
 
+def test_table_that_breaks_while_it_is_read_does_not_stop_the_others(spark, tables, folder):
+    import os
+
+    spark.range(5).write.parquet(f"{folder}/t")
+    torn = spark.read.parquet(f"{folder}/t")
+    for name in os.listdir(f"{folder}/t"):
+        if name.endswith(".parquet"):
+            os.remove(f"{folder}/t/{name}")
+    opened = {**tables, "torn": lambda: torn.where("id > 1")}
+    wanted = [checks.min_rows("torn"), checks.min_rows("facts")]
+    got = checks.run_checks(spark, opened, wanted, isolate=True)
+    assert rows(got.select("table", "status")) == [("facts", "PASSED"), ("torn", "FAILED")]
+
+
 def test_checks_of_one_table_scan_it_once(spark, folder):
     spark.range(100).write.parquet(f"{folder}/t")
     opened = {"t": lambda: spark.read.parquet(f"{folder}/t")}

@@ -123,6 +123,8 @@ def test_jdbc_reads_in_ranges():
         "format": "jdbc", "url": "jdbc:x", "dbtable": "dbo.T", "partitionColumn": "id",
         "lowerBound": "1", "upperBound": "1000", "numPartitions": "16", "user": "u",
     }
+    read = jdbc.reader(FakeReader(), "jdbc:x", schema="dbo", splits={"T": jdbc.Split("id", 1, 9, 2)})
+    assert read("T")["dbtable"] == "dbo.T" and read("T")["numPartitions"] == "2"
     assert jdbc.read_query(FakeReader(), "jdbc:x", "SELECT 1 AS test")["query"] == "SELECT 1 AS test"
 
 
