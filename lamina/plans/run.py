@@ -59,9 +59,19 @@ def run_layers(
     verdict = quality.check_gold(
         layers.gold, layers.logs, ctx, settings, layers.silver
     ).first()
+    if settings.keep_versions is not None:
+        _prune(layers, specs, settings.keep_versions)
     return _report(spark, layers, ctx, settings, verdict["outcome"])
 
 
+def _prune(layers: Layers, specs: Sequence[TableSpec], keep: int) -> None:
+    for spec in specs:
+        layers.bronze.prune(spec.source, keep)
+        layers.silver.prune(spec.silver, keep)
+    for name in gold.TABLES:
+        layers.gold.prune(name, keep)
+
+
 def _report(spark, layers: Layers, ctx: RunContext, settings: Settings, outcome: str) -> RunResult:
     ingest_log = layers.logs.read_all(bronze.LOG)
     row = report.run_report(

@@ -33,15 +33,16 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables: ``spark.checkpoint.dir`` of the session.
+    """The shared folder for intermediate tables: ``spark.checkpoint.dir`` of the session, or the
+    checkpoint folder its context was given.
 
     Only a local-mode session without that setting gets a temporary folder; on a cluster a
     missing setting is an error, since a machine-local folder is not visible to other machines.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     if context.applicationId not in _LOCAL_SCRATCH:
@@ -75,5 +76,9 @@ def materialized(df: DataFrame, name: str = "step") -> Iterator[DataFrame]:
     spark = df.sparkSession
     path = _write_out(df, name)
     yield spark.read.schema(df.schema).parquet(path)
+    delete_folder(spark, path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

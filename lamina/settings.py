@@ -95,6 +95,8 @@ class Settings:
     sensitive: tuple[str, ...] = ()
     volume_threshold_pct: float = 30.0
     age_null_label: str | None = None
+    # Former versions of each table are deleted after a run, down to this many; None keeps all.
+    keep_versions: int | None = None
     skew: SkewPolicy = DEFAULT_SKEW
 
 

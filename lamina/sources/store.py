@@ -8,6 +8,8 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lamina.runtime import delete_folder
+
 _SLOT = "_slot"
 
 
@@ -86,6 +88,23 @@ class TableStore:
             raise FileNotFoundError(f"no table {name!r} under {self.root}")
         return self.spark.read.format(self.fmt).load(path)
 
+    def prune(self, name: str, keep: int = 2) -> list[str]:
+        """Delete all but the last ``keep`` committed versions; returns the folders deleted.
+
+        Keep enough for readers that opened a former version. What failed writes left behind
+        before the oldest version kept goes too.
+        """
+        if self.fmt == "delta" or keep < 1:
+            raise ValueError("only versions of this store are pruned, and the current one stays")
+        done = sorted(p.rsplit("/", 1)[0] for p in self._glob(f"{name}/version=*/_SUCCESS"))
+        if not done:
+            return []
+        oldest = done[-keep:][0]
+        gone = [p for p in self._glob(f"{name}/version=*") if p < oldest]
+        for path in gone:
+            delete_folder(self.spark, path)
+        return gone
+
     # -- append-only tables ------------------------------------------------------------------
 
     def append(self, df: DataFrame, name: str, *slot: str) -> str:

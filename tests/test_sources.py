@@ -34,6 +34,17 @@ def test_uncommitted_version_is_not_seen(spark, folder):
     assert store.path("t") == good and store.read("t").count() == 3
 
 
+def test_former_versions_are_pruned(spark, folder):
+    store = TableStore(spark, folder)
+    for n in range(4):
+        store.write(spark.range(n), "t")
+    assert len(store.prune("t", keep=2)) == 2 and store.prune("t", keep=2) == []
+    assert store.read("t").count() == 3
+    with pytest.raises(ValueError):
+        store.prune("t", keep=0)
+    assert store.prune("absent") == []
+
+
 def test_missing_table_is_an_error(spark, folder):
     with pytest.raises(FileNotFoundError):
         TableStore(spark, folder).read("t")
@@ -143,6 +154,25 @@ def test_scratch_folder_comes_from_the_session(spark):
     assert "ReadSchema: struct<x:bigint>" in plan(kept.select("x"))
 
 
+class FakeSession:
+    """A session on a cluster that names no shared folder."""
+
+    class conf:
+        get = staticmethod(lambda key, default=None: default)
+
+    class sparkContext:
+        master = "spark://host:7077"
+        applicationId = "app"
+        getCheckpointDir = staticmethod(lambda: None)
+
+
+def test_cluster_without_a_shared_folder_is_an_error():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_dir(FakeSession)
+    FakeSession.sparkContext.getCheckpointDir = staticmethod(lambda: "hdfs:/checkpoints/")
+    assert scratch_dir(FakeSession) == "hdfs:/checkpoints"
+
+
 def test_settings_given_by_the_user_win(spark):
     tune(spark)
     assert spark.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") == "true"

@@ -9,7 +9,7 @@ from lamina import RunContext
 from lamina.functions.clean import standardize
 from lamina.operators import validate
 from lamina.operators.joins import SkewPolicy
-from tests.support import rows
+from tests.support import plan, rows
 
 CTX = RunContext("b1", datetime(2025, 1, 2, 3, 4, 5), date(2025, 1, 1))
 SPLIT = SkewPolicy(broadcast_rows=0, rows_per_task=2)
@@ -121,3 +121,12 @@ def test_custom_rule(spark):
     df = spark.createDataFrame([(1,), (2,), (None,)], "a int")
     odd = validate.satisfies("even", lambda: F.col("a") % 2 == 1, "missing")
     assert rows(validate.tag(df, [odd])) == [(1, None), (2, "even"), (None, "missing")]
+
+
+def test_both_outputs_come_from_one_scan(spark, folder):
+    spark.range(10).select("id", (F.col("id") - 3).alias("v")).write.parquet(f"{folder}/t")
+    df = spark.read.parquet(f"{folder}/t")
+    tagged = validate.tag(df, [validate.at_least("v", 0, "negative"), validate.not_null("id")])
+    counts = tagged.groupBy("_error_type").count()
+    assert plan(counts).count("Location: InMemoryFileIndex") == 1
+    assert rows(counts) == [("negative", 3), (None, 7)]
