@@ -7,7 +7,7 @@ from bindings.common import (
 )
 from lamina.operators import validate
 from lamina.operators.joins import lookup_join
-from lamina.operators.profile import reconcile
+from lamina.operators.profile import reconcile, reconcile_tagged
 from lamina.operators.validate import Rule
 
 REJECT = ["_error_type", "_source_table", "_batch_id"]
@@ -106,18 +106,27 @@ def constraint_positive(spark, folder):
     return validate.rejected(tagged).select("c_custkey", "c_acctbal", "_error_type")
 
 
-def reconcile_counts(spark, folder):
+def _placed_customers(spark, folder):
     nation = table(spark, folder, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey")
     region = table(spark, folder, "region").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
     placed = lookup_join(table(spark, folder, "customer"), nation, ["c_nationkey"], "left")
-    placed = lookup_join(placed, region, ["n_regionkey"], "left")
-    tagged = validate.tag(placed, FIRST_RULES)
-    frames = {
-        "source_rows": placed,
-        "loaded_rows": validate.valid(tagged),
-        "rejected_rows": validate.rejected(tagged),
-    }
-    return reconcile(frames, F.col("r_name"), "region", list(frames))
+    return lookup_join(placed, region, ["n_regionkey"], "left")
+
+
+def reconcile_counts(spark, folder):
+    """Regions over three separate tables: customers, suppliers and nations."""
+    nation = table(spark, folder, "nation")
+    supplier = lookup_join(
+        table(spark, folder, "supplier").withColumnRenamed("s_nationkey", "n_nationkey"),
+        nation.select("n_nationkey", "n_regionkey"), ["n_nationkey"], "left",
+    )
+    frames = {"customers": _placed_customers(spark, folder), "suppliers": supplier, "nations": nation}
+    return reconcile(frames, F.col("n_regionkey"), "region", list(frames))
+
+
+def reconcile_rejects(spark, folder):
+    tagged = validate.tag(_placed_customers(spark, folder), FIRST_RULES)
+    return reconcile_tagged(tagged, F.col("r_name"), "region")
 
 
 QUERIES = {
@@ -135,6 +144,7 @@ QUERIES = {
     "constraint_unique": constraint_unique,
     "constraint_positive": constraint_positive,
     "reconcile_counts": reconcile_counts,
+    "reconcile_rejects": reconcile_rejects,
 }
 
 _NEGATIVE_SQL = """SELECT c_custkey, c_acctbal, 'negative_balance' AS _error_type,
@@ -199,7 +209,16 @@ ORACLE = {
                CASE WHEN c_acctbal IS NULL THEN 'null_c_acctbal' ELSE 'balance_not_positive' END
                    AS _error_type
         FROM gaps WHERE c_acctbal IS NULL OR c_acctbal <= 0""",
-    "reconcile_counts": f"""
+    "reconcile_counts": """
+        WITH c AS (
+            SELECT n_regionkey AS region, 'customers' AS t FROM customer JOIN nation ON n_nationkey = c_nationkey
+            UNION ALL SELECT n_regionkey, 'suppliers' FROM supplier JOIN nation ON n_nationkey = s_nationkey
+            UNION ALL SELECT n_regionkey, 'nations' FROM nation)
+        SELECT region, count(*) FILTER (t = 'customers') AS customers,
+               count(*) FILTER (t = 'suppliers') AS suppliers, count(*) FILTER (t = 'nations') AS nations,
+               CAST(GROUPING(region) AS INTEGER) AS is_total
+        FROM c GROUP BY ROLLUP (region)""",
+    "reconcile_rejects": f"""
         WITH r AS (
             SELECT r_name AS region, {_FIRST_SQL} AS reason
             FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey

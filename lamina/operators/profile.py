@@ -100,3 +100,17 @@ def reconcile(
         for m in measures
     ]
     return every.rollup(group).agg(*pick, F.grouping(group).cast("int").alias("is_total"))
+
+
+def reconcile_tagged(tagged: DataFrame, by: Column, group: str) -> DataFrame:
+    """Rows per group that came in, were loaded and were rejected, with a grand total row.
+
+    For rows that carry their reject reason: one aggregation over one scan.
+    """
+    bad = F.col("_error_type").isNotNull()
+    return tagged.select(by.alias(group), "_error_type").rollup(group).agg(
+        F.count(F.lit(1)).alias("source_rows"),
+        F.count_if(~bad).alias("loaded_rows"),
+        F.count_if(bad).alias("rejected_rows"),
+        F.grouping(group).cast("int").alias("is_total"),
+    )

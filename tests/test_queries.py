@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from lamina.operators.joins import DEFAULT_SKEW, SkewPolicy
 from tests.conftest import SMALL
 from tests.support import by_name, plan, rows
 
@@ -35,6 +36,30 @@ def test_query_equals_sql(spark, sql, key):
     assert by_name(df.columns, df.collect()) == by_name(expected.columns, expected.fetchall())
 
 
+JOINING = [
+    "suspicious_flag", "suspicious_flag_history", "rolling_std", "reject_cross_column", "fk_orphans",
+    "fk_valid", "constraint_unique", "reconcile_counts", "upsert_by_key", "ingest_incremental",
+    "fx_convert_multi", "dim_customer", "dim_geography", "silver_movements", "silver_rejects",
+    "fact_portfolio", "kpi_portfolio_daily", "customer_profitability", "check_referential",
+]
+
+
+@pytest.mark.parametrize("key", JOINING)
+def test_result_is_the_same_when_every_join_is_large_and_split(spark, sql, key):
+    """The same queries as if nothing were small enough to broadcast and every key were hot."""
+    for name, value in {"broadcast_rows": 0, "rows_per_task": 10}.items():
+        object.__setattr__(DEFAULT_SKEW, name, value)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = entry.queries()[key](spark, SMALL)
+        expected = sql.sql(entry.oracle_sql()[key])
+        assert by_name(df.columns, df.collect()) == by_name(expected.columns, expected.fetchall())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for name, value in vars(SkewPolicy()).items():
+            object.__setattr__(DEFAULT_SKEW, name, value)
+
+
 def test_every_query_has_sql():
     assert set(entry.queries()) == set(entry.oracle_sql())
 
