@@ -25,8 +25,9 @@ def table_profile(spark, folder):
 def quality_report(spark, folder):
     """The metrics of cleaning the movements, one row per metric."""
     raw, staged, clean = staged_movements(spark, folder)
-    report = profile.metric_rows("movements", silver.metrics(raw, staged, clean), CTX)
-    return report.select("table", "metric", "value", "batch_id")
+    reasons = ("null_primary_key", "future_date", "referential_integrity_fail")
+    measured = silver.metrics(raw, staged, clean, reasons)
+    return profile.metric_rows("movements", measured, CTX).select("table", "metric", "value", "batch_id")
 
 
 def conformity_rate(spark, folder):
@@ -272,6 +273,7 @@ ORACLE = {
             UNION ALL SELECT 'null_pct_cod_ciudad', 1 FROM raw
             UNION ALL SELECT 'duplicates_removed', n - (SELECT count(*) FROM judged) FROM raw
             UNION ALL SELECT 'rejected_' || reason, count(*) FROM judged WHERE reason IS NOT NULL GROUP BY 1
+            UNION ALL SELECT 'rejected_null_primary_key', 0 FROM raw
             UNION ALL SELECT 'silver_row_count', count(*) FROM flagged
             UNION ALL SELECT 'ind_sospechoso_flagged', sum(ind_sospechoso) FROM flagged
             UNION ALL SELECT 'conformity_rate', round((SELECT count(*) FROM flagged) / n, 4) FROM raw)""",

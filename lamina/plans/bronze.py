@@ -44,13 +44,16 @@ def increments(spec: TableSpec, store: TableStore) -> str:
 
 
 def read_raw(spec: TableSpec, store: TableStore) -> DataFrame:
-    """The raw table as of now: its version, and the latest row of each key that came in since."""
+    """The raw table as of now: its version, and the latest row of each key that came in since.
+
+    Only the increments are reduced to one row per key; while their keys are few, the version
+    itself is filtered without a shuffle.
+    """
     base = store.read(spec.source)
     name = increments(spec, store)
     if not store.slots(name):
         return base
-    every = base.unionByName(store.read_all(name), allowMissingColumns=True)
-    return keep_one(every, [spec.key], ["_ingestion_timestamp"], last=True)
+    return upsert(base, store.read_all(name), [spec.key], ["_ingestion_timestamp"])
 
 
 def compact(spec: TableSpec, store: TableStore) -> str:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -59,9 +61,17 @@ def _flagged(seen: DataFrame, threshold_pct: float, least: int) -> DataFrame:
 
 
 def run_report(
-    ingest_log: DataFrame, quality_report: DataFrame, checks: DataFrame, ctx: RunContext, name: str
+    ingest_log: DataFrame,
+    quality_report: DataFrame,
+    checks: DataFrame,
+    ctx: RunContext,
+    name: str,
+    volume_anomaly: bool = False,
 ) -> DataFrame:
-    """One row with the JSON report of a batch: rows in, rows rejected, checks passed and failed."""
+    """One row with the JSON report of a batch: rows in, rows rejected, checks passed and failed.
+
+    A volume anomaly adds its alert; without one the report has no such field.
+    """
     mine = F.col("batch_id") == ctx.batch_id
     rows = ingest_log.where(mine).agg(F.coalesce(F.sum("row_count"), F.lit(0)).alias("rows"))
     rejected = quality_report.where(mine & F.col("metric").like("%rejected%")).agg(
@@ -86,6 +96,20 @@ def run_report(
                     F.col("passed").alias("gold_quality_checks_passed"),
                     F.col("failed").alias("gold_quality_checks_failed"),
                 ).alias("summary"),
+                F.lit(True if volume_anomaly else None).cast("boolean").alias("volume_anomaly_alert"),
             )
         ).alias("report_json"),
     )
+
+
+def failure_report(ctx: RunContext, name: str, error: str) -> str:
+    """The JSON report of a run that failed."""
+    return json.dumps(
+        {
+            "pipeline": name,
+            "status": "FAILED",
+            "batch_id": ctx.batch_id,
+            "timestamp": str(ctx.run_ts),
+            "error": error[:2000],
+        }
+    )

@@ -15,6 +15,7 @@ from lamina.settings import Settings
 from lamina.sources.store import TableStore, log_frame
 
 REPORTS = "daily_execution_reports"
+NAME = "layered_run"
 
 
 @dataclass(frozen=True)
@@ -49,18 +50,25 @@ def run_layers(
     mode: str = "full",
     specs: Sequence[TableSpec] = tables.ALL,
 ) -> RunResult:
-    """Ingest, clean, model, check and report. ``read`` opens a source table by name."""
+    """Ingest, clean, model, check and report. ``read`` opens a source table by name.
+
+    A failing run leaves a report too, before its error is raised.
+    """
     tune(spark)
-    bronze.ingest_all(specs, read, layers.bronze, layers.logs, ctx, mode)
-    silver.process_all(
-        layers.bronze, layers.silver, layers.errors, layers.logs, ctx, settings, specs
-    )
-    gold.build_all(layers.silver, layers.gold, ctx, settings)
-    verdict = quality.check_gold(
-        layers.gold, layers.logs, ctx, settings, layers.silver
-    ).first()
-    if settings.keep_versions is not None:
-        _prune(layers, specs, settings.keep_versions)
+    try:
+        bronze.ingest_all(specs, read, layers.bronze, layers.logs, ctx, mode)
+        silver.process_all(
+            layers.bronze, layers.silver, layers.errors, layers.logs, ctx, settings, specs
+        )
+        gold.build_all(layers.silver, layers.gold, ctx, settings)
+        verdict = quality.check_gold(
+            layers.gold, layers.logs, ctx, settings, layers.silver
+        ).first()
+        if settings.keep_versions is not None:
+            _prune(layers, specs, settings.keep_versions)
+    except Exception as error:
+        _log_report(spark, layers, ctx, report.failure_report(ctx, NAME, str(error)), "FAILED", False)
+        raise
     return _report(spark, layers, ctx, settings, verdict["outcome"])
 
 
@@ -72,21 +80,30 @@ def _prune(layers: Layers, specs: Sequence[TableSpec], keep: int) -> None:
         layers.gold.prune(name, keep)
 
 
-def _report(spark, layers: Layers, ctx: RunContext, settings: Settings, outcome: str) -> RunResult:
+def _report(
+    spark: SparkSession, layers: Layers, ctx: RunContext, settings: Settings, outcome: str
+) -> RunResult:
     ingest_log = layers.logs.read_all(bronze.LOG)
+    volume = report.volume_check(ingest_log, ctx.batch_id, settings.volume_threshold_pct).first()
+    anomaly = bool(volume and volume["is_anomaly"])
     row = report.run_report(
         ingest_log,
         layers.logs.read_all(silver.REPORT),
         layers.logs.read_all(quality.RESULTS),
         ctx,
-        "layered_run",
+        NAME,
+        anomaly,
     ).first()
-    volume = report.volume_check(ingest_log, ctx.batch_id, settings.volume_threshold_pct).first()
-    anomaly = bool(volume and volume["is_anomaly"])
-    line = [(ctx.batch_id, ctx.run_ts, row["report_json"], outcome, anomaly)]
+    _log_report(spark, layers, ctx, row["report_json"], outcome, anomaly)
+    return RunResult(outcome, row["report_json"], anomaly)
+
+
+def _log_report(
+    spark: SparkSession, layers: Layers, ctx: RunContext, text: str, outcome: str, anomaly: bool
+) -> None:
+    line = [(ctx.batch_id, ctx.run_ts, text, outcome, anomaly)]
     schema = (
         "batch_id string, run_ts timestamp, report_json string, outcome string, "
         "volume_anomaly_alert boolean"
     )
     layers.logs.append(log_frame(spark, line, schema), REPORTS, ctx.batch_id)
-    return RunResult(outcome, row["report_json"], anomaly)

@@ -103,18 +103,22 @@ def process(
         written = silver.read(spec.silver)
         bad = validate.envelope(validate.rejected(staged), ctx, spec.source)
         errors.append(bad, REJECTS, ctx.batch_id, spec.source)
-        measured = metric_rows(spec.source, metrics(raw, staged, written), ctx)
+        reasons = [rule.reason for rule in rules_for(spec, clients, ctx)]
+        measured = metric_rows(spec.source, metrics(raw, staged, written, reasons), ctx)
         logs.append(measured, REPORT, ctx.batch_id, spec.source)
     return written
 
 
-def metrics(raw: DataFrame, staged: DataFrame, written: DataFrame) -> DataFrame:
+def metrics(
+    raw: DataFrame, staged: DataFrame, written: DataFrame, reasons: Sequence[str] = ()
+) -> DataFrame:
     """One row of numbers: rows in, duplicates, NULL shares, rejects per reason, rows out.
 
-    One aggregation over the raw table; the others read one column or none of what was written.
+    Reasons that rejected nothing count 0. One aggregation over the raw table; the others read one column or none of what was written.
     """
     n = F.count(F.lit(1))
-    reasons = {r["_error_type"]: r["n"] for r in _reject_counts(staged).collect()}
+    rejects = dict.fromkeys(reasons, 0)
+    rejects |= {r["_error_type"]: r["n"] for r in _reject_counts(staged).collect()}
     kept = staged.count()
     flags = [c for c in ("ind_sospechoso",) if c in written.columns]
     out = written.agg(n.alias("rows"), *[F.sum(c).alias(c) for c in flags]).first()
@@ -126,7 +130,7 @@ def metrics(raw: DataFrame, staged: DataFrame, written: DataFrame) -> DataFrame:
     return measured.withColumns(
         {
             "duplicates_removed": F.col("bronze_row_count") - F.lit(kept),
-            **{f"rejected_{reason}": F.lit(count) for reason, count in sorted(reasons.items())},
+            **{f"rejected_{reason}": F.lit(count) for reason, count in sorted(rejects.items())},
             "silver_row_count": F.lit(out["rows"]),
             **{f"{c}_flagged": F.lit(out[c]) for c in flags},
             "conformity_rate": ratio(F.lit(out["rows"]), "bronze_row_count"),

@@ -174,6 +174,7 @@ def test_quality_metrics(done):
     mine = report.where("table = 'TB_MOV_FINANCIEROS'")
     values = {r["metric"]: r["value"] for r in mine.collect()}
     assert values["bronze_row_count"] == 19 and values["duplicates_removed"] == 1
+    assert values["rejected_null_primary_key"] == 0
     assert values["rejected_future_date"] == 1 and values["silver_row_count"] == 16
     assert values["ind_sospechoso_flagged"] == 1
     assert values["conformity_rate"] == 0.8421
@@ -217,6 +218,32 @@ def test_increments_update_and_add(spark, folder, mode):
     assert not layers.bronze.slots(bronze.increments(spec, layers.bronze))
 
 
+def test_failed_run_leaves_a_report(spark, folder):
+    layers = Layers.under(spark, folder)
+
+    def read(name):
+        raise OSError("source is down")
+
+    with pytest.raises(RuntimeError):
+        run_layers(spark, read, layers, CTX)
+    row = layers.logs.read_all("daily_execution_reports").first()
+    assert row["outcome"] == "FAILED" and json.loads(row["report_json"])["status"] == "FAILED"
+
+
+def test_unusual_volume_is_in_the_report(spark, done, folder):
+    """Two earlier runs of two rows; this one brings more."""
+    frames = source(spark)
+    layers = Layers.under(spark, folder)
+    for day in (1, 2):
+        earlier = replace(CTX, batch_id=f"early{day}", run_ts=CTX.run_ts - timedelta(days=day))
+        bronze.ingest_all([tables.PRODUCTS], frames.__getitem__, layers.bronze, layers.logs, earlier)
+    result = run_layers(spark, frames.__getitem__, layers, CTX, Settings(keep_versions=1))
+    assert result.volume_anomaly is True
+    assert json.loads(result.report_json)["volume_anomaly_alert"] is True
+    # Only the last version of each table is kept.
+    assert len(layers.bronze._glob("TB_PRODUCTOS_CAT/version=*")) == 1
+
+
 def test_one_failing_table_does_not_stop_the_others(spark, folder):
     layers = Layers.under(spark, folder)
     frames = source(spark)
