@@ -72,6 +72,7 @@ def test_hot_list_is_bounded(skewed):
 def test_no_task_holds_a_hot_key_alone(spark, skewed, lookup):
     """Rows per task after the shuffle, with adaptive merging off so that tasks stay visible."""
     spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         def largest(df):
@@ -85,6 +86,7 @@ def test_no_task_holds_a_hot_key_alone(spark, skewed, lookup):
         spread = largest(lookup_join(keyless, lookup, ["k"], "left", SkewPolicy(broadcast_rows=0)))
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plain >= 3000
     assert split < plain / 1.5

@@ -230,20 +230,6 @@ def test_failed_run_leaves_a_report(spark, folder):
     assert row["outcome"] == "FAILED" and json.loads(row["report_json"])["status"] == "FAILED"
 
 
-def test_unusual_volume_is_in_the_report(spark, done, folder):
-    """Two earlier runs of two rows; this one brings more."""
-    frames = source(spark)
-    layers = Layers.under(spark, folder)
-    for day in (1, 2):
-        earlier = replace(CTX, batch_id=f"early{day}", run_ts=CTX.run_ts - timedelta(days=day))
-        bronze.ingest_all([tables.PRODUCTS], frames.__getitem__, layers.bronze, layers.logs, earlier)
-    result = run_layers(spark, frames.__getitem__, layers, CTX, Settings(keep_versions=1))
-    assert result.volume_anomaly is True
-    assert json.loads(result.report_json)["volume_anomaly_alert"] is True
-    # Only the last version of each table is kept.
-    assert len(layers.bronze._glob("TB_PRODUCTOS_CAT/version=*")) == 1
-
-
 def test_one_failing_table_does_not_stop_the_others(spark, folder):
     layers = Layers.under(spark, folder)
     frames = source(spark)
@@ -327,14 +313,22 @@ def test_settings_from_a_configuration():
 
 
 def test_export_files_and_declared_gates(spark, folder):
-    """A run from CSV exports, with the conformity gate and the personal-data check turned on."""
+    """A run from CSV exports, with the conformity gate and the personal-data check turned on.
+
+    Two earlier runs of two rows make its volume unusual, and only the last versions are kept.
+    """
     frames = source(spark)
     for name, df in frames.items():
         if name == "TB_SUCURSALES_RED":
             df = df.withColumn("activo", F.col("activo").cast("int"))
         files.write_csv(df, f"{folder}/in/{name}.csv")
     layers = Layers.under(spark, f"{folder}/lake")
-    strict = Settings(min_conformity=0.83, sensitive=("num_doc", "id_dispositivo", "nomb_cli"))
+    strict = Settings(
+        min_conformity=0.83, sensitive=("num_doc", "id_dispositivo", "nomb_cli"), keep_versions=1
+    )
+    for day in (1, 2):
+        earlier = replace(CTX, batch_id=f"early{day}", run_ts=CTX.run_ts - timedelta(days=day))
+        bronze.ingest_all([tables.PRODUCTS], frames.__getitem__, layers.bronze, layers.logs, earlier)
     read = files.reader(spark, f"{folder}/in", "csv", tables.SOURCE_SCHEMAS)
     result = run_layers(spark, read, layers, CTX, strict)
     results = layers.logs.read_all("gold_quality_checks")
@@ -347,5 +341,8 @@ def test_export_files_and_declared_gates(spark, folder):
     assert clear.count() == 14 and clear.where("status = 'FAILED'").count() == 0
     # The gate warns; it does not change the outcome of the run.
     assert result.outcome == "ALL_CHECKS_PASSED"
+    assert result.volume_anomaly is True
+    assert json.loads(result.report_json)["volume_anomaly_alert"] is True
+    assert len(layers.bronze._glob("TB_PRODUCTOS_CAT/version=*")) == 1
     with pytest.raises(ValueError):
         files.reader(spark, folder, "xlsx", {})
