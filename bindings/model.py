@@ -61,7 +61,7 @@ def _clients(spark, folder):
             "depto_res": F.col("n_regionkey").cast("string"),
             "estado_cli": F.lit("ACTIVO"),
             "canal_adquis": F.lit(None).cast("string"),
-            "_ingestion_timestamp": F.lit(CTX.run_ts).cast("timestamp"),
+            "_ingestion_timestamp": F.lit(CTX.utc).cast("timestamp"),
         }
     )
 

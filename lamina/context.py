@@ -20,6 +20,11 @@ class RunContext:
     as_of: date
     source_system: str = "source"
 
+    @property
+    def utc(self) -> datetime:
+        """The run timestamp with its zone: one without a zone is meant in UTC, not in local time."""
+        return self.run_ts if self.run_ts.tzinfo else self.run_ts.replace(tzinfo=timezone.utc)
+
     @classmethod
     def now(cls, source_system: str = "source", as_of: date | None = None) -> RunContext:
         ts = datetime.now(timezone.utc).replace(tzinfo=None)

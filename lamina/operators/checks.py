@@ -134,7 +134,7 @@ def run_checks(
 def for_log(results: DataFrame, ctx: RunContext) -> DataFrame:
     return results.withColumns(
         {
-            "timestamp": F.lit(ctx.run_ts).cast("timestamp"),
+            "timestamp": F.lit(ctx.utc).cast("timestamp"),
             "batch_id": F.lit(ctx.batch_id),
         }
     )

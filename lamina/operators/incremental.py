@@ -15,7 +15,7 @@ from lamina.operators.joins import DEFAULT_SKEW, SkewPolicy, lookup_join
 
 def with_audit(df: DataFrame, ctx: RunContext) -> DataFrame:
     """Add when, from where and by which batch the rows came, and the ingest date parts."""
-    ts = ctx.run_ts
+    ts = ctx.utc
     return df.withColumns(
         {
             "_ingestion_timestamp": F.lit(ts).cast("timestamp"),

@@ -77,7 +77,7 @@ def metric_rows(table: str, metrics: DataFrame, ctx: RunContext) -> DataFrame:
         F.lit(table).alias("table"),
         "metric",
         "value",
-        F.lit(ctx.run_ts).cast("timestamp").alias("timestamp"),
+        F.lit(ctx.utc).cast("timestamp").alias("timestamp"),
         F.lit(ctx.batch_id).alias("batch_id"),
     )
 

@@ -163,7 +163,7 @@ def envelope(rejects: DataFrame, ctx: RunContext, source_table: str) -> DataFram
     """Rejected rows with the columns of the error table."""
     return rejects.withColumns(
         {
-            "_error_timestamp": F.lit(ctx.run_ts).cast("timestamp"),
+            "_error_timestamp": F.lit(ctx.utc).cast("timestamp"),
             "_source_table": F.lit(source_table),
             "_batch_id": F.lit(ctx.batch_id),
         }

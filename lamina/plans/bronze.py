@@ -142,7 +142,7 @@ def ingest_all(
         results.append(IngestResult(spec.source, rows, seconds, status, mode, text, path))
     rows = [
         (r.table, r.row_count, r.duration_seconds, r.status, r.mode, r.error, r.output_path,
-         ctx.batch_id, ctx.run_ts)
+         ctx.batch_id, ctx.utc)
         for r in results
     ]
     logs.append(log_frame(logs.spark, rows, LOG_SCHEMA), LOG, ctx.batch_id)

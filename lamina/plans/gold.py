@@ -207,7 +207,7 @@ def build_all(
     }
     rows = {}
     for name in TABLES:
-        df = steps[name]().withColumn("_gold_timestamp", F.lit(ctx.run_ts).cast("timestamp"))
+        df = steps[name]().withColumn("_gold_timestamp", F.lit(ctx.utc).cast("timestamp"))
         gold.write(df, name, settings.partitions.get(name, ()))
         rows[name] = gold.read(name).count()
     return rows

@@ -83,7 +83,7 @@ def run_report(
     )
     return verdicts.select(
         F.lit(ctx.batch_id).alias("batch_id"),
-        F.lit(ctx.run_ts).cast("timestamp").alias("run_ts"),
+        F.lit(ctx.utc).cast("timestamp").alias("run_ts"),
         F.to_json(
             F.struct(
                 F.lit(name).alias("pipeline"),

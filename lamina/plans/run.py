@@ -101,7 +101,7 @@ def _report(
 def _log_report(
     spark: SparkSession, layers: Layers, ctx: RunContext, text: str, outcome: str, anomaly: bool
 ) -> None:
-    line = [(ctx.batch_id, ctx.run_ts, text, outcome, anomaly)]
+    line = [(ctx.batch_id, ctx.utc, text, outcome, anomaly)]
     schema = (
         "batch_id string, run_ts timestamp, report_json string, outcome string, "
         "volume_anomaly_alert boolean"

@@ -98,7 +98,7 @@ def process(
     raw = read_raw(spec, bronze)
     with materialized(tagged(raw, spec, clients, ctx, settings), spec.silver) as staged:
         good = enriched(validate.valid(staged), spec, settings)
-        good = good.withColumn("_silver_timestamp", F.lit(ctx.run_ts).cast("timestamp"))
+        good = good.withColumn("_silver_timestamp", F.lit(ctx.utc).cast("timestamp"))
         silver.write(good, spec.silver, settings.partitions.get(spec.silver, ()))
         written = silver.read(spec.silver)
         bad = validate.envelope(validate.rejected(staged), ctx, spec.source)
