@@ -13,7 +13,7 @@ from lamina.context import RunContext
 from lamina.operators.dedup import keep_one
 from lamina.operators.incremental import after_watermark, high_watermark, upsert, with_audit
 from lamina.plans.tables import TableSpec
-from lamina.runtime import materialized
+from lamina.runtime import materialize, scratch_scope
 from lamina.sources.store import TableStore, log_frame
 
 LOG = "bronze_ingestion_log"
@@ -92,11 +92,13 @@ def ingest_table(
         path = store.append(with_audit(source, ctx), name, ctx.batch_id)
         return store.spark.read.parquet(path).count(), path
     if store.fmt == "delta":
-        with materialized(with_audit(source, ctx), f"incoming-{spec.source}") as incoming:
+        with scratch_scope(store.spark):
+            incoming = materialize(with_audit(source, ctx), f"incoming-{spec.source}")
             store.merge(keep_one(incoming, [spec.key], last=True), spec.source, [spec.key])
             return incoming.count(), store.path(spec.source)
     current = read_raw(spec, store)
-    with materialized(with_audit(source, ctx), f"incoming-{spec.source}") as incoming:
+    with scratch_scope(store.spark):
+        incoming = materialize(with_audit(source, ctx), f"incoming-{spec.source}")
         path = store.write(upsert(current, incoming, [spec.key]), spec.source, INGEST_PARTITIONS)
         return incoming.count(), path
 

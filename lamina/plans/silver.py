@@ -19,7 +19,7 @@ from lamina.operators.validate import Rule
 from lamina.plans import tables
 from lamina.plans.bronze import read_raw
 from lamina.plans.tables import TableSpec
-from lamina.runtime import materialized
+from lamina.runtime import materialize, scratch_scope
 from lamina.settings import Settings
 from lamina.sources.store import TableStore
 
@@ -96,7 +96,8 @@ def process(
     written tables, so they are exact whatever had to be recomputed.
     """
     raw = read_raw(spec, bronze)
-    with materialized(tagged(raw, spec, clients, ctx, settings), spec.silver) as staged:
+    with scratch_scope(bronze.spark):
+        staged = materialize(tagged(raw, spec, clients, ctx, settings), spec.silver)
         good = enriched(validate.valid(staged), spec, settings)
         good = good.withColumn("_silver_timestamp", F.lit(ctx.utc).cast("timestamp"))
         silver.write(good, spec.silver, settings.partitions.get(spec.silver, ()))

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +20,9 @@ _WANTED = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
 }
 
+# Scratch tables written in the current scope, None outside of any.
+_WRITTEN: ContextVar[list[str] | None] = ContextVar("written", default=None)
+
 # Temporary folders of local-mode sessions, by application.
 _LOCAL_SCRATCH: dict[str, str] = {}
 
@@ -50,33 +54,35 @@ def scratch_dir(spark: SparkSession) -> str:
     return _LOCAL_SCRATCH[context.applicationId]
 
 
-def _write_out(df: DataFrame, name: str) -> str:
-    spark = df.sparkSession
-    app = spark.sparkContext.applicationId
-    path = f"{scratch_dir(spark)}/{app}/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
-    return path
-
-
 def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     """Write ``df`` once to the scratch folder and read it back.
 
     Cuts the lineage where several sinks share one plan. A parquet table instead of a checkpoint
     file keeps column pruning and filter pushdown for its readers, and survives lost executors.
     """
-    return df.sparkSession.read.schema(df.schema).parquet(_write_out(df, name))
+    spark = df.sparkSession
+    app = spark.sparkContext.applicationId
+    path = f"{scratch_dir(spark)}/{app}/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    written = _WRITTEN.get()
+    if written is not None:
+        written.append(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
-def materialized(df: DataFrame, name: str = "step") -> Iterator[DataFrame]:
-    """The same for a block that executes all its uses; the table is deleted behind it.
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """A block that executes all it plans: what it wrote to the scratch folder is deleted behind it.
 
-    After a failure the table stays for inspection.
+    After a failure the tables stay for inspection.
     """
-    spark = df.sparkSession
-    path = _write_out(df, name)
-    yield spark.read.schema(df.schema).parquet(path)
-    delete_folder(spark, path)
+    token = _WRITTEN.set([])
+    try:
+        yield
+        for path in _WRITTEN.get():
+            delete_folder(spark, path)
+    finally:
+        _WRITTEN.reset(token)
 
 
 def delete_folder(spark: SparkSession, path: str) -> None:

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lamina.context import RunContext
 from lamina.operators.incremental import upsert, with_audit
-from lamina.runtime import materialized
+from lamina.runtime import materialize, scratch_scope
 from lamina.sources.store import TableStore
 
 
@@ -34,7 +34,8 @@ def ingest_arrivals(
 
     def merge(batch: DataFrame, _: int) -> None:
         current = store.read(table) if store.exists(table) else None
-        with materialized(with_audit(batch, ctx), f"arrivals-{table}") as incoming:
+        with scratch_scope(spark):
+            incoming = materialize(with_audit(batch, ctx), f"arrivals-{table}")
             store.write(upsert(current, incoming, keys, order), table)
 
     return (

@@ -1,6 +1,7 @@
 """All layers, from source tables with known flaws to the report."""
 
 import json
+import os
 from dataclasses import replace
 from datetime import date, datetime, timedelta
 from decimal import Decimal
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from lamina import RunContext, Settings, from_mapping
 from lamina.plans import bronze, silver, tables
 from lamina.plans.run import Layers, run_layers
+from lamina.runtime import scratch_dir
 from lamina.sources import files
 from tests.support import rows
 
@@ -330,6 +332,8 @@ def test_export_files_and_declared_gates(spark, folder):
         earlier = replace(CTX, batch_id=f"early{day}", run_ts=CTX.run_ts - timedelta(days=day))
         bronze.ingest_all([tables.PRODUCTS], frames.__getitem__, layers.bronze, layers.logs, earlier)
     read = files.reader(spark, f"{folder}/in", "csv", tables.SOURCE_SCHEMAS)
+    scratch = f"{scratch_dir(spark)}/{spark.sparkContext.applicationId}"
+    before = set(os.listdir(scratch)) if os.path.isdir(scratch) else set()
     result = run_layers(spark, read, layers, CTX, strict)
     results = layers.logs.read_all("gold_quality_checks")
     gate = results.where("check_name = 'min_conformity_rate'")
@@ -341,6 +345,8 @@ def test_export_files_and_declared_gates(spark, folder):
     assert clear.count() == 14 and clear.where("status = 'FAILED'").count() == 0
     # The gate warns; it does not change the outcome of the run.
     assert result.outcome == "ALL_CHECKS_PASSED"
+    # What the run kept in the scratch folder is gone with it.
+    assert set(os.listdir(scratch)) == before
     assert result.volume_anomaly is True
     assert json.loads(result.report_json)["volume_anomaly_alert"] is True
     assert len(layers.bronze._glob("TB_PRODUCTOS_CAT/version=*")) == 1
