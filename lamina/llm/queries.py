@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lamina import tune
-from lamina.llm import token_files
+from lamina.llm import decontaminate, sharding, token_files
 from lamina.llm.files import new_folder
 
 TOKENIZER = "word_bpe_49k.json"
@@ -28,8 +29,39 @@ def op1_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read_documents(spark, target)
 
 
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    found = decontaminate.find_items(docs, _table(spark, folder, "benchmark"), window=10)
+    listed = F.array_join(F.array_sort("items"), ",")
+    return found.select(
+        "doc_id",
+        "n_words",
+        decontaminate.hit_words().alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(listed, 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
+def op4_minimax_shards(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    docs = docs.withColumn("text_crc32", F.crc32(F.coalesce("text", F.lit(""))))
+    placed = sharding.minimax_shards(docs, n_shards=16, columns=["doc_id", "text_crc32"])
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
+    "op3_decontamination": op3_decontamination,
+    "op4_minimax_shards": op4_minimax_shards,
 }
 
 ORACLE: dict[str, str] = {}
