@@ -12,6 +12,7 @@ import json
 import os
 import re
 from collections.abc import Callable
+from functools import lru_cache
 
 import numpy as np
 
@@ -20,7 +21,7 @@ _NUMBERS = "0-9²³¹¼-¾"
 _PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\\s{_LETTERS}{_NUMBERS}]+")
 # Separators on which the two regular expression dialects do not agree, and starts of special tokens.
 _UNSURE = re.compile("[\x1c-\x1f\x85\xa0]|<\\|")
-_REMEMBERED = 1_000_000
+_REMEMBERED = 600_000
 # What the memo is good for, as the tokenizer file says it.
 _SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 
@@ -28,8 +29,8 @@ _SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 class Encoder:
     """``encode`` gives the ids of a text as little-endian unsigned 32-bit integers.
 
-    ``literal`` takes the strings of special tokens in a text as ordinary text. The memo holds at
-    most a million pieces and starts anew beyond.
+    ``literal`` takes the strings of special tokens in a text as ordinary text. The memo holds
+    about 600,000 pieces and starts anew beyond.
     """
 
     def __init__(self, path: str, literal: bool = False):
@@ -64,6 +65,12 @@ class Encoder:
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
 
+@lru_cache(maxsize=1)
+def shared_encoder(path: str, literal: bool = False) -> Encoder:
+    """The encoder of this process; the tasks that run in it one after the other share its memo."""
+    return Encoder(path, literal)
+
+
 class _Memo(dict):
     """Ids of pieces; a piece not met before is encoded."""
 

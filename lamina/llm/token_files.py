@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lamina.llm.encoder import Encoder
+from lamina.llm.encoder import shared_encoder
 from lamina.llm.files import Input, Output
 
 MAGIC = b"LFWB"
@@ -199,7 +199,7 @@ def write_token_files(
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             if batch.num_rows and writer is None:
-                encoder = Encoder(tokenizer)
+                encoder = shared_encoder(tokenizer)
                 writer = TokenWriter(folder, f"part-{part:06d}", bits, block_ids)
             for doc_id, text in zip(batch.column("doc_id"), batch.column("text")):
                 ids = encoder.encode(text.as_py()) + end
