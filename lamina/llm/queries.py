@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamina import tune
-from lamina.llm import decontaminate, sharding, token_files
+from lamina.llm import decontaminate, jaccard, sharding, token_files
 from lamina.llm.files import new_folder
 
 TOKENIZER = "word_bpe_49k.json"
@@ -29,6 +29,11 @@ def op1_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read_documents(spark, target)
 
 
+def op2_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return jaccard.jaccard_components(docs, n=3, num=90, den=100)
+
+
 def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     found = decontaminate.find_items(docs, _table(spark, folder, "benchmark"), window=10)
@@ -60,8 +65,59 @@ def op4_minimax_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
+    "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_decontamination": op3_decontamination,
     "op4_minimax_shards": op4_minimax_shards,
 }
 
-ORACLE: dict[str, str] = {}
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE: dict[str, str] = {
+    "op2_ngram_jaccard": f"""
+WITH RECURSIVE split AS (
+    SELECT doc_id, list_filter(regexp_split_to_array({_LOWERED}, '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS w
+    FROM documents),
+sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)])
+        END AS grams
+    FROM split),
+cells AS (SELECT doc_id, len(grams) AS n, unnest(grams) AS gram FROM sets),
+links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b FROM cells a JOIN cells b ON a.gram = b.gram AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+reach(a, b) AS (
+    SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+least AS (SELECT a, min(b) AS least FROM reach GROUP BY a),
+degree AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT s.doc_id, CAST(len(grams) AS BIGINT) AS n_shingles,
+       least(s.doc_id, coalesce(l.least, s.doc_id)) AS component_id, coalesce(d.n, 0) AS n_links
+FROM sets s LEFT JOIN least l ON l.a = s.doc_id LEFT JOIN degree d ON d.a = s.doc_id""",
+    "op3_decontamination": f"""
+WITH items AS (
+    SELECT item_id, list_filter(regexp_split_to_array({_LOWERED}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'),
+                                x -> x <> '') AS w FROM benchmark),
+windows AS (
+    SELECT DISTINCT item_id, least(10, len(w)) AS k,
+           unnest([array_to_string(w[i:i + least(10, len(w)) - 1], ' ')
+                   FOR i IN range(1, len(w) - least(10, len(w)) + 2)]) AS run
+    FROM items WHERE len(w) > 0),
+split AS (
+    SELECT doc_id, list_filter(regexp_split_to_array({_LOWERED}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'),
+                               x -> x <> '') AS w FROM documents),
+placed AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM split),
+runs AS (
+    SELECT doc_id, i, k, array_to_string(w[i:i + k - 1], ' ') AS run
+    FROM placed CROSS JOIN (SELECT DISTINCT k FROM windows) WHERE i + k - 1 <= len(w)),
+found AS (SELECT DISTINCT doc_id, i, r.k, item_id FROM runs r JOIN windows x ON x.k = r.k AND x.run = r.run),
+hits AS (
+    SELECT doc_id, count(DISTINCT p) AS n_hit
+    FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM found) GROUP BY doc_id),
+listed AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id)
+SELECT s.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM split s LEFT JOIN hits h ON h.doc_id = s.doc_id LEFT JOIN listed t ON t.doc_id = s.doc_id""",
+}
