@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamina import tune
-from lamina.llm import decontaminate, jaccard, sharding, token_files
+from lamina.llm import decontaminate, jaccard, onebit, sharding, token_files
 from lamina.llm.files import new_folder
 
 TOKENIZER = "word_bpe_49k.json"
@@ -63,11 +63,16 @@ def op4_minimax_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_onebit_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return onebit.nearest(_table(spark, folder, "embeddings"), k=10, every=100)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_decontamination": op3_decontamination,
     "op4_minimax_shards": op4_minimax_shards,
+    "op10_onebit_codes": op10_onebit_codes,
 }
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -75,7 +80,7 @@ _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefg
 ORACLE: dict[str, str] = {
     "op2_ngram_jaccard": f"""
 WITH RECURSIVE split AS (
-    SELECT doc_id, list_filter(regexp_split_to_array({_LOWERED}, '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS w
+    SELECT doc_id, list_filter(regexp_split_to_array({_LOWERED}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
     FROM documents),
 sets AS (
     SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
@@ -96,7 +101,7 @@ FROM sets s LEFT JOIN least l ON l.a = s.doc_id LEFT JOIN degree d ON d.a = s.do
     "op3_decontamination": f"""
 WITH items AS (
     SELECT item_id, list_filter(regexp_split_to_array({_LOWERED}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'),
-                                x -> x <> '') AS w FROM benchmark),
+                                lambda x: x <> '') AS w FROM benchmark),
 windows AS (
     SELECT DISTINCT item_id, least(10, len(w)) AS k,
            unnest([array_to_string(w[i:i + least(10, len(w)) - 1], ' ')
@@ -104,7 +109,7 @@ windows AS (
     FROM items WHERE len(w) > 0),
 split AS (
     SELECT doc_id, list_filter(regexp_split_to_array({_LOWERED}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'),
-                               x -> x <> '') AS w FROM documents),
+                               lambda x: x <> '') AS w FROM documents),
 placed AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM split),
 runs AS (
     SELECT doc_id, i, k, array_to_string(w[i:i + k - 1], ' ') AS run
