@@ -17,6 +17,7 @@ in blocks of rows that can have links at all:
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -57,14 +58,17 @@ class Bands:
         self.num, self.den = num, den
         self.first = [1]
 
-    def band(self, size: int) -> int:
+    def _reach(self, size: int) -> None:
         while self.first[-1] <= size:
             self.first.append(self.first[-1] * self.den // self.num + 1)
-        return int(np.searchsorted(self.first, size, side="right")) - 1
+
+    def band(self, size: int) -> int:
+        self._reach(size)
+        return bisect_right(self.first, size) - 1
 
     def differing(self, band: int) -> int:
         """The most elements in which two linked sets differ, the smaller one being of this band."""
-        self.band(self.first[-1])
+        self._reach(self.first[band])
         largest = self.first[band + 1] - 1
         both = largest + largest * self.den // self.num
         return both * (self.den - self.num) // (self.den + self.num)
