@@ -23,7 +23,7 @@ from lamina.runtime import materialize
 
 _CODED = "id long, vector array<double>, code binary, length double, quality double"
 _FOUND = "query_id long, vec_id long, score double"
-_QUERY_BYTES = 4 << 20  # of the queries that one pass sends to all tasks
+_QUERY_BYTES = 1 << 19  # of the queries that one pass sends to all tasks
 _ROWS = 4096
 
 
@@ -132,7 +132,7 @@ def nearest(
 
     Nearest first by Euclidean distance, ties to the smaller id. Rows that cannot take part (see
     ``coded_vectors``) are neither queries nor found; with fewer others, all are returned; an empty
-    table gives no rows. A repeated id is a row of its own, and a query does not find rows of its own id.
+    table gives no rows. A query does not find rows of its own id; queries of one id share their ``k`` rows.
 
     The queries go to all tasks in blocks of a fixed number of bytes, one pass over the codes each.
     A task keeps ``k`` rows per query; the result is the best of those.
@@ -198,7 +198,8 @@ def _rerank(
     step = 4 * k
     if len(chosen) > step:
         chosen = chosen[np.argsort(low[chosen], kind="stable")]
-    for first in range(0, len(chosen), step):
+    first = 0
+    while first < len(chosen):
         some = chosen[first : first + step]
         if first and low[some[0]] > best_score[q, -1] ** 2:
             break
@@ -206,4 +207,4 @@ def _rerank(
         found = np.concatenate((best_id[q], own[some]))
         order = np.lexsort((found, scores))[:k]
         best_score[q], best_id[q] = scores[order], found[order]
-        step *= 2
+        first, step = first + step, 2 * step
