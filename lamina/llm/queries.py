@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamina import tune
-from lamina.llm import decontaminate, jaccard, onebit, sharding, token_files
+from lamina.llm import decontaminate, jaccard, language, mixing, onebit, quality, sharding, token_files
 from lamina.llm.files import new_folder
 
 TOKENIZER = "word_bpe_49k.json"
@@ -63,6 +63,42 @@ def op4_minimax_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+DOMAIN_WEIGHTS = {"clean": 0.97, "toxic": 0.01, "junk": 0.02}
+
+
+def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    labels = _table(spark, folder, "labels").withColumn("domain", mixing.domain_of_labels())
+    docs = _table(spark, folder, "documents")
+    return mixing.mix(docs, labels, DOMAIN_WEIGHTS, anchor="clean", columns=["doc_id"])
+
+
+def _remainder(of: int) -> F.Column:
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(of))
+
+
+def quality_model(docs: DataFrame, labels: DataFrame) -> quality.AttentionModel:
+    """Learned from labelled rows outside the held-out fifth."""
+    return quality.fit_quality(docs, labels.where(_remainder(5) != 0), sample=3000)
+
+
+def op8_quality_attention(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    model = quality_model(docs, _table(spark, folder, "labels"))
+    return quality.score_quality(docs, model).select(
+        "doc_id",
+        (_remainder(5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
+def op9_language_backoff(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    model = language.fit_language(docs.where(_remainder(4) != 2), sample_per_language=600)
+    found = language.predict_language(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", (_remainder(4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 def op10_onebit_codes(spark: SparkSession, folder: str) -> DataFrame:
     return onebit.nearest(_table(spark, folder, "embeddings"), k=10, every=100)
 
@@ -72,6 +108,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_decontamination": op3_decontamination,
     "op4_minimax_shards": op4_minimax_shards,
+    "op7_mixing": op7_mixing,
+    "op8_quality_attention": op8_quality_attention,
+    "op9_language_backoff": op9_language_backoff,
     "op10_onebit_codes": op10_onebit_codes,
 }
 
