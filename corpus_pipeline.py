@@ -1,16 +1,88 @@
-"""The corpus pipeline: stages over ``documents``, each written and read again by the next."""
+"""The corpus pipeline: stages over ``documents``, each written and read again by the next.
+
+Every stage takes what its predecessor kept and returns the columns of ``documents``; the last one adds
+the size, shard and slot of every row. An empty table passes through all of them.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lamina import tune
+from lamina.llm import decontaminate, jaccard, mixing, quality, sharding
+from lamina.llm.queries import DOMAIN_WEIGHTS, quality_model
+from lamina.runtime import materialize
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier does not reject (a score of 0.3 or more).
+
+    Null and empty texts are judged like any text without words.
+    """
+    model = quality_model(docs, _table(spark, sf_dir, "labels"))
+    # The score must not replace a column of the documents that is called like it.
+    named = docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("row"), F.col("text"))
+    scored = quality.score_quality(named, model).where("score >= 0.3")
+    return scored.select("row.*")
+
+
+def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by n-gram similarity, directly or over others, the one of the smallest id.
+
+    Rows that share the id of a kept document are told apart by nothing, so one of equal rows with
+    that id stays; rows without an id stay where no linked document has one.
+    """
+    found = jaccard.jaccard_components(docs)
+    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept"))
+    kept = materialize(kept, "kept-documents")
+    ids = kept.distinct()
+    chosen = docs.join(ids, docs["doc_id"].eqNullSafe(ids["__kept"]), "left_semi")
+    if kept.count() > ids.count():
+        # Repeated rows are copies of each other; other rows of one id are different documents.
+        chosen = chosen.dropDuplicates(["doc_id", "text"])
+    return chosen
+
+
+def remove_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages of ten words or more that they share with benchmark items."""
+    items = _table(spark, sf_dir, "benchmark")
+    length = "n_chars" if "n_chars" in docs.columns else None
+    return decontaminate.remove_items(docs, items, window=10, max_coverage=0.5, length_column=length)
+
+
+def reach_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in the numbers that bring the domains to their target shares of the tokens."""
+    labels = _table(spark, sf_dir, "labels").withColumn("domain", mixing.domain_of_labels())
+    # What mixing adds must not replace a column of the documents that is called like it.
+    named = docs.select("doc_id", "text", F.struct(*[f"`{c}`" for c in docs.columns]).alias("row"))
+    mixed = mixing.mix(named, labels, DOMAIN_WEIGHTS, anchor="clean", columns=["row"])
+    return mixing.taken(mixed, ["row.*"])
+
+
+def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document with its size, its shard of sixteen and its slot there."""
+    return sharding.minimax_shards(docs, n_shards=16)
+
 
-STAGES: list = []
+STAGES = [
+    ("quality", keep_good),
+    ("near duplicates", keep_one_of_each_group),
+    ("decontamination", remove_benchmarks),
+    ("mixing", reach_targets),
+    ("sharding", shard),
+]
 
+# A trained classifier, and rates found by iteration, are beyond SQL; the tests use brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    docs = _table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
     return docs

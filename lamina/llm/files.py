@@ -36,7 +36,8 @@ class Output:
         store.create_dir(path, recursive=True)
         self.name = f"{prefix}-{uuid.uuid4().hex}{suffix}"
         self.size = 0
-        self._stream = store.open_output_stream(f"{path}/{self.name}")
+        # The bytes as they are, whatever the suffix says.
+        self._stream = store.open_output_stream(f"{path}/{self.name}", compression=None)
 
     def write(self, data: bytes) -> None:
         self._stream.write(data)

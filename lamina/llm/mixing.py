@@ -18,10 +18,12 @@ from pyspark.sql import functions as F
 
 from lamina.runtime import materialize
 
-_BUCKETS = 1 << 14  # of word hashes
-_SURE = 4.0  # standard deviations by which a bucket's count must differ to be evidence
-_PRIOR = 20.0  # occurrences that pull a bucket towards its overall frequency
-_STRENGTH = 4.0  # largest weight of one word, as a logarithm of odds
+_BUCKETS = 1 << 14  # of the table of telling words
+_TELLING = 50_000  # words that the model may hold, the surest first
+_SURE = 4.0  # standard deviations by which a word's count must differ to be evidence
+_PRIOR = 2.0  # occurrences that pull a word towards its overall frequency
+_STRENGTH = 6.0  # largest weight of one word, as a logarithm of odds
+_BINS = 12  # of the logarithm of odds, on either side of 0
 
 
 def domain_of_labels(quality: str = "quality", toxic: str = "toxic") -> Column:
@@ -37,8 +39,8 @@ def _words(text: str) -> Column:
     return F.filter(raw, lambda w: w != "")
 
 
-def _with_buckets(docs: DataFrame, text: str) -> DataFrame:
-    """Adds ``__words`` (their number) and ``__buckets``: of the different words, and of two traits.
+def _with_words(docs: DataFrame, text: str) -> DataFrame:
+    """Adds ``__words`` (their number) and ``__hashes``: of the different words, and of two traits.
 
     The traits are how often words repeat and how many words hold other characters than letters,
     in eighths; as words of their own they let the classifier see what single words do not show.
@@ -48,54 +50,104 @@ def _with_buckets(docs: DataFrame, text: str) -> DataFrame:
     marked = F.size(F.filter("__d", lambda w: w.rlike("[^\\p{L}.,]")))
     eighths = [F.floor(8 * different / F.greatest(n, F.lit(1))), F.floor(8 * marked / F.greatest(different, F.lit(1)))]
     traits = [F.concat(F.lit(f"\n{i} "), part.cast("string")) for i, part in enumerate(eighths)]
-    named = F.concat("__d", F.array(*traits))
-    buckets = F.transform(named, lambda w: F.pmod(F.xxhash64(w), F.lit(_BUCKETS)).cast("int"))
-    return found.select(*docs.columns, n.cast("long").alias("__words"), buckets.alias("__buckets"))
+    hashes = F.transform(F.concat("__d", F.array(*traits)), lambda w: F.xxhash64(w))
+    return found.select(*docs.columns, n.cast("long").alias("__words"), hashes.alias("__hashes"))
 
 
 def fit_domains(
     docs: DataFrame, labelled: DataFrame, domains: list[str], id_column: str = "doc_id",
     text_column: str = "text", domain_column: str = "domain",
 ) -> DataFrame:
-    """One row: the log prior of each domain, and the log weights of buckets of words, by domain.
+    """One row: ``__prior``, ``__weights`` and ``__chances``, learned from all labelled documents.
 
-    All labelled documents count. A bucket weighs only where the documents of some domain hold it far
-    more or less often than documents at large, so that chance does not add up over long texts.
+    A word weighs only where the documents of some domain hold it far more or less often than
+    documents at large, so that chance does not add up over long texts; at most 50,000 words do, by
+    how far their counts are off. ``__weights`` is a table of them by hash, ``__prior`` the log
+    frequency of each domain, and ``__chances`` the share of labelled documents that are of a domain,
+    by the logarithm of odds that the words alone give it.
     """
     known = labelled.where(F.col(domain_column).isin(domains)).select(
         F.col(id_column).alias("__id"), F.col(domain_column).alias("__domain")
     )
     held = docs.select(F.col(id_column).alias("__id"), F.col(text_column).alias("__text"))
-    held = _with_buckets(held.join(known, "__id").select("__domain", "__text"), "__text")
-    held = held.select("__domain", F.explode(F.array_distinct("__buckets")).alias("bucket"))
-    # At most one row per domain and bucket.
-    counts = materialize(
-        held.groupBy("__domain", "bucket").agg(F.count(F.lit(1)).cast("double").alias("n")), "domain-counts"
+    held = materialize(
+        _with_words(held.join(known, "__id").select("__domain", "__text"), "__text"), "domain-documents"
     )
-    sums = known.groupBy("__domain").agg(F.count(F.lit(1)).cast("double").alias("docs"))
-    per_domain = [F.coalesce(F.sum(F.when(F.col("__domain") == d, F.col("docs"))), F.lit(0.0)) for d in domains]
-    totals = sums.agg(F.array(*per_domain).alias("docs"))
-    by_domain = [F.coalesce(F.sum(F.when(F.col("__domain") == d, F.col("n"))), F.lit(0.0)) for d in domains]
-    buckets = counts.groupBy("bucket").agg(F.array(*by_domain).alias("n"), F.sum("n").alias("all"))
-    buckets = buckets.crossJoin(F.broadcast(totals))
-    all_docs = F.aggregate("docs", F.lit(0.0), lambda a, x: a + x)
-    share = F.col("all") / F.greatest(all_docs, F.lit(1.0))
+    of_domain = [F.col("__domain") == d for d in domains]
+    zero = F.lit(0.0)
+    # One row.
+    totals = held.agg(F.array(*[F.coalesce(F.sum(c.cast("double")), zero) for c in of_domain]).alias("docs"))
+    totals = materialize(totals, "domain-totals")
+    all_docs = F.aggregate("docs", zero, lambda a, x: a + x)
+
+    cells = held.select("__domain", F.explode("__hashes").alias("hash"))
+    counts = cells.groupBy("hash").agg(
+        F.array(*[F.sum(c.cast("double")) for c in of_domain]).alias("n"), F.count(F.lit(1)).alias("all")
+    )
+    counts = counts.crossJoin(F.broadcast(totals))
+    share = F.col("all") / all_docs
+
+    def surprise(n: Column, of: Column) -> Column:
+        return F.abs(n - of * share) / F.sqrt(of * share + 1)
 
     def weight(n: Column, of: Column) -> Column:
-        expected = of * share
-        far = F.abs(n - expected) > _SURE * F.sqrt(expected + 1)
         ratio = F.log((n + _PRIOR * share) / (of + _PRIOR) / share)
-        return F.when(far, F.greatest(F.least(ratio, F.lit(_STRENGTH)), F.lit(-_STRENGTH))).otherwise(0.0)
-
-    buckets = buckets.select("bucket", F.zip_with("n", "docs", weight).alias("w"))
-    # One array of all buckets: a bounded number of weights, looked up by place.
-    every = counts.sparkSession.range(_BUCKETS).select(F.col("id").cast("int").alias("bucket"))
-    placed = every.join(buckets, "bucket", "left").select(
-        "bucket", F.coalesce("w", F.array(*[F.lit(0.0)] * len(domains))).alias("w")
+        weak = surprise(n, of) <= _SURE
+        return F.when(weak, zero).otherwise(F.greatest(F.least(ratio, F.lit(_STRENGTH)), F.lit(-_STRENGTH)))
+
+    told = counts.withColumn("sure", F.array_max(F.zip_with("n", "docs", surprise)))
+    told = told.where(F.col("sure") > _SURE).orderBy(F.desc("sure"), "hash").limit(_TELLING)
+    told = told.select("hash", F.zip_with("n", "docs", weight).alias("w"))
+    told = told.groupBy(F.pmod("hash", F.lit(_BUCKETS)).alias("bucket")).agg(
+        F.sort_array(F.collect_list(F.struct("hash", "w"))).alias("words")
     )
-    model = placed.agg(F.transform(F.array_sort(F.collect_list(F.struct("bucket", "w"))), lambda x: x["w"]).alias("__weights"))
+    # A table of a bounded number of words, looked up by bucket.
+    empty = F.array().cast("array<struct<hash:bigint,w:array<double>>>")
+    every = docs.sparkSession.range(_BUCKETS).select(F.col("id").alias("bucket"))
+    placed = every.join(told, "bucket", "left").select("bucket", F.coalesce("words", empty).alias("words"))
+    table = F.transform(F.array_sort(F.collect_list(F.struct("bucket", "words"))), lambda x: x["words"])
     prior = F.transform("docs", lambda x: F.log((x + 1) / (all_docs + len(domains)))).alias("__prior")
-    return materialize(model.crossJoin(F.broadcast(totals.select(prior))), "domain-model")
+    weights = placed.agg(table.alias("__weights")).crossJoin(F.broadcast(totals.select("docs", prior)))
+    weights = materialize(weights, "domain-weights")
+
+    # How often the odds are right, by their size.
+    bins = _odds(held.crossJoin(F.broadcast(weights.select("__weights", "__prior"))), len(domains))
+    measured = bins.select("__domain", *[F.col("__odds")[i].alias(f"b{i}") for i in range(len(domains))])
+    columns = []
+    for i, domain in enumerate(domains):
+        base = F.exp(F.col("__prior")[i])
+        for at in range(2 * _BINS + 1):
+            here = F.col(f"b{i}") == at
+            right = F.coalesce(F.sum((here & (F.col("__domain") == domain)).cast("double")), zero)
+            columns.append((F.struct(right.alias("right"), F.coalesce(F.sum(here.cast("double")), zero).alias("all")), base))
+    counted = measured.agg(F.array(*[c for c, _ in columns]).alias("cells"))
+    rated = counted.crossJoin(F.broadcast(weights.select("__prior")))
+    chances = [
+        (F.col("cells")[j]["right"] + base) / (F.col("cells")[j]["all"] + 1) for j, (_, base) in enumerate(columns)
+    ]
+    rated = rated.select(F.array(*chances).alias("__chances"))
+    return materialize(weights.drop("docs").crossJoin(F.broadcast(rated)), "domain-model")
+
+
+def _odds(docs: DataFrame, n_domains: int) -> DataFrame:
+    """Adds ``__odds``: for each domain the bin of the logarithm of its odds, from the telling words."""
+    told = F.flatten(
+        F.transform(
+            "__hashes",
+            lambda h: F.filter(F.col("__weights")[F.pmod(h, F.lit(_BUCKETS)).cast("int")], lambda x: x["hash"] == h),
+        )
+    )
+    docs = docs.withColumn("__told", told)
+    docs = docs.withColumn(
+        "__logs",
+        F.aggregate("__told", F.col("__prior"), lambda total, x: F.zip_with(total, x["w"], lambda p, q: p + q)),
+    )
+    bins = []
+    for i in range(n_domains):
+        others = F.array(*[F.col("__logs")[j] for j in range(n_domains) if j != i] or [F.col("__prior")[0] - 50])
+        odds = F.col("__logs")[i] - F.array_max(others)
+        bins.append(F.round(F.greatest(F.least(odds, F.lit(float(_BINS))), F.lit(-float(_BINS)))).cast("int") + _BINS)
+    return docs.withColumn("__odds", F.array(*bins)).drop("__told", "__logs")
 
 
 def domain_posteriors(docs: DataFrame, model: DataFrame, domains: list[str], text_column: str = "text") -> DataFrame:
@@ -103,24 +155,18 @@ def domain_posteriors(docs: DataFrame, model: DataFrame, domains: list[str], tex
 
     A text without words, or null, has no tokens and the frequencies of the labels.
     """
-    scored = _with_buckets(docs, text_column).crossJoin(F.broadcast(model))
-    telling = F.filter(F.col("__buckets"), lambda b: F.exists(F.col("__weights")[b], lambda x: x != 0))
-    scored = scored.withColumn("__telling", telling)
-    logs = F.aggregate(
-        "__telling", F.col("__prior"),
-        lambda total, b: F.zip_with(total, F.col("__weights")[b], lambda x, y: x + y),
-    )
-    logs = F.when(F.col("__words") == 0, F.col("__prior")).otherwise(logs)
-    scored = scored.withColumn("__logs", logs)
-    raised = F.transform("__logs", lambda x: F.exp(x - F.array_max("__logs")))
-    scored = scored.withColumn("__raised", raised)
-    total = F.aggregate("__raised", F.lit(0.0), lambda a, x: a + x)
-    chances = [(F.col("__raised")[i] / total).alias(f"p_{d}") for i, d in enumerate(domains)]
+    scored = _odds(_with_words(docs, text_column).crossJoin(F.broadcast(model)), len(domains))
+    width = 2 * _BINS + 1
+    raw = [F.col("__chances")[i * width + F.col("__odds")[i]] for i in range(len(domains))]
+    raw = [F.when(F.col("__words") == 0, F.exp(F.col("__prior")[i])).otherwise(x) for i, x in enumerate(raw)]
+    scored = scored.withColumn("__raw", F.array(*raw))
+    total = F.aggregate("__raw", F.lit(0.0), lambda a, x: a + x)
+    chances = [(F.col("__raw")[i] / total).alias(f"p_{d}") for i, d in enumerate(domains)]
     return scored.select(*docs.columns, F.col("__words").alias("n_tokens"), *chances)
 
 
 def fit_rates(
-    docs: DataFrame, weights: Mapping[str, float], anchor: str, steps: int = 60, tolerance: float = 1e-6
+    docs: DataFrame, weights: Mapping[str, float], anchor: str, steps: int = 60, tolerance: float = 1e-4
 ) -> Column:
     """The rate of a row as an expression of its ``p_<domain>`` columns.
 
@@ -129,7 +175,8 @@ def fit_rates(
     domains by their chances, which is the gradient measured per token, and cuts it at 0. The
     matrix of these steps is stochastic, so that a step of length 1 never overshoots.
     The ``anchor`` domain keeps the tokens it has, and the others get theirs by ``weights`` in
-    proportion, though no more than they have.
+    proportion, though no more than they have. The steps end when the root of the weighted mean
+    square of the relative surpluses is below ``tolerance`` or stops falling.
     """
     domains = list(weights)
     chances = [F.col(f"p_{d}") for d in domains]

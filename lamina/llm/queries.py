@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamina import tune
-from lamina.llm import decontaminate, jaccard, language, mixing, onebit, quality, sharding, token_files
+from lamina.llm import decontaminate, fixity, jaccard, language, mixing, onebit, quality, separators, sharding, token_files
 from lamina.llm.files import new_folder
 
 TOKENIZER = "word_bpe_49k.json"
@@ -63,6 +63,26 @@ def op4_minimax_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+END_OF_TEXT = 49_407  # of the tokenizer file; its string in a text is encoded as ordinary text
+
+
+def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    target = new_folder(spark, "flat-tokens")
+    path = public_tokenizers.path(TOKENIZER)
+    return separators.count_document_tokens(spark, docs, target, path, END_OF_TEXT).select("doc_id", "n_tokens")
+
+
+def op6_warc_fixity(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages as WARC files, a replica in which about one record in 500 was damaged, and its audit."""
+    ours, theirs = new_folder(spark, "warc"), new_folder(spark, "warc-replica")
+    records = fixity.write_warc(_table(spark, folder, "pages"), ours)
+    damaged = F.pmod(F.crc32(F.col("page_id").cast("string")), F.lit(500)) == 3
+    replica = fixity.copy_replica(records, ours, theirs, damaged)
+    audited = fixity.audit(records, ours, replica, theirs)
+    return audited.select("page_id", "length", "sha256", "replica_sha256", "intact")
+
+
 DOMAIN_WEIGHTS = {"clean": 0.97, "toxic": 0.01, "junk": 0.02}
 
 
@@ -108,6 +128,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_decontamination": op3_decontamination,
     "op4_minimax_shards": op4_minimax_shards,
+    "op5_token_counts": op5_token_counts,
+    "op6_warc_fixity": op6_warc_fixity,
     "op7_mixing": op7_mixing,
     "op8_quality_attention": op8_quality_attention,
     "op9_language_backoff": op9_language_backoff,
