@@ -74,10 +74,10 @@ def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_warc_fixity(spark: SparkSession, folder: str) -> DataFrame:
-    """Pages as WARC files, a replica in which about one record in 500 was damaged, and its audit."""
+    """Pages as WARC files, a replica in which about one record in 100 was damaged, and its audit."""
     ours, theirs = new_folder(spark, "warc"), new_folder(spark, "warc-replica")
     records = fixity.write_warc(_table(spark, folder, "pages"), ours)
-    damaged = F.pmod(F.crc32(F.col("page_id").cast("string")), F.lit(500)) == 3
+    damaged = F.pmod(F.crc32(F.col("page_id").cast("string")), F.lit(100)) == 3
     replica = fixity.copy_replica(records, ours, theirs, damaged)
     audited = fixity.audit(records, ours, replica, theirs)
     return audited.select("page_id", "length", "sha256", "replica_sha256", "intact")
