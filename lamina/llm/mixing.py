@@ -3,7 +3,7 @@
 The domain of a document is known only for a labelled table; for all others a classifier learned from
 it gives the chance of each domain, and a document counts for every domain by that chance. The rates
 are those nonnegative numbers for which the expected tokens of every domain are closest to the targets,
-found by projected gradient steps of which each is one aggregation over the documents.
+found by projected gradient steps of which each is one aggregation over the documents' chances.
 
 Everything here is DataFrame operations; the driver sees a handful of sums per step.
 """
@@ -11,7 +11,7 @@ Everything here is DataFrame operations; the driver sees a handful of sums per s
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,13 +45,25 @@ def _with_words(docs: DataFrame, text: str) -> DataFrame:
     The traits are how often words repeat and how many words hold other characters than letters,
     in eighths; as words of their own they let the classifier see what single words do not show.
     """
-    found = docs.withColumn("__w", _words(text)).withColumn("__d", F.array_distinct("__w"))
-    n, different = F.size("__w"), F.size("__d")
-    marked = F.size(F.filter("__d", lambda w: w.rlike("[^\\p{L}.,]")))
-    eighths = [F.floor(8 * different / F.greatest(n, F.lit(1))), F.floor(8 * marked / F.greatest(different, F.lit(1)))]
-    traits = [F.concat(F.lit(f"\n{i} "), part.cast("string")) for i, part in enumerate(eighths)]
-    hashes = F.transform(F.concat("__d", F.array(*traits)), lambda w: F.xxhash64(w))
-    return found.select(*docs.columns, n.cast("long").alias("__words"), hashes.alias("__hashes"))
+    def named(words: Column, different: Column) -> Column:
+        marked = F.size(F.filter(different, lambda w: w.rlike("[^\\p{L}.,]")))
+        eighths = [
+            F.floor(8 * F.size(different) / F.greatest(F.size(words), F.lit(1))),
+            F.floor(8 * marked / F.greatest(F.size(different), F.lit(1))),
+        ]
+        traits = [F.concat(F.lit(f"\n{i} "), part.cast("string")) for i, part in enumerate(eighths)]
+        hashes = F.transform(F.concat(different, F.array(*traits)), lambda w: F.xxhash64(w))
+        return F.struct(F.size(words).cast("long").alias("n"), hashes.alias("hashes"))
+
+    held = _once(_words(text), lambda words: _once(F.array_distinct(words), lambda d: named(words, d)))
+    # One generated row per row, so that the words are not split again for each of the two fields.
+    found = docs.select(*docs.columns, F.explode(F.array(held)).alias("__held"))
+    return found.select(*docs.columns, F.col("__held.n").alias("__words"), F.col("__held.hashes").alias("__hashes"))
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
 
 
 def fit_domains(
@@ -112,14 +124,20 @@ def fit_domains(
 
     # How often the odds are right, by their size.
     bins = _odds(held.crossJoin(F.broadcast(weights.select("__weights", "__prior"))), len(domains))
-    measured = bins.select("__domain", *[F.col("__odds")[i].alias(f"b{i}") for i in range(len(domains))])
+    bins = bins.select("__domain", F.posexplode("__odds").alias("i", "at"))
+    # At most one row per domain and bin.
+    measured = bins.groupBy("i", "at").agg(
+        F.array(*[F.sum((F.col("__domain") == d).cast("double")) for d in domains]).alias("right"),
+        F.count(F.lit(1)).cast("double").alias("all"),
+    )
+    measured = materialize(measured, "domain-bins")
     columns = []
-    for i, domain in enumerate(domains):
-        base = F.exp(F.col("__prior")[i])
+    for i in range(len(domains)):
         for at in range(2 * _BINS + 1):
-            here = F.col(f"b{i}") == at
-            right = F.coalesce(F.sum((here & (F.col("__domain") == domain)).cast("double")), zero)
-            columns.append((F.struct(right.alias("right"), F.coalesce(F.sum(here.cast("double")), zero).alias("all")), base))
+            here = (F.col("i") == i) & (F.col("at") == at)
+            right = F.coalesce(F.max(F.when(here, F.col("right")[i])), zero)
+            every = F.coalesce(F.max(F.when(here, F.col("all"))), zero)
+            columns.append((F.struct(right.alias("right"), every.alias("all")), F.exp(F.col("__prior")[i])))
     counted = measured.agg(F.array(*[c for c, _ in columns]).alias("cells"))
     rated = counted.crossJoin(F.broadcast(weights.select("__prior")))
     chances = [
@@ -137,17 +155,18 @@ def _odds(docs: DataFrame, n_domains: int) -> DataFrame:
             lambda h: F.filter(F.col("__weights")[F.pmod(h, F.lit(_BUCKETS)).cast("int")], lambda x: x["hash"] == h),
         )
     )
-    docs = docs.withColumn("__told", told)
-    docs = docs.withColumn(
-        "__logs",
-        F.aggregate("__told", F.col("__prior"), lambda total, x: F.zip_with(total, x["w"], lambda p, q: p + q)),
-    )
-    bins = []
-    for i in range(n_domains):
-        others = F.array(*[F.col("__logs")[j] for j in range(n_domains) if j != i] or [F.col("__prior")[0] - 50])
-        odds = F.col("__logs")[i] - F.array_max(others)
-        bins.append(F.round(F.greatest(F.least(odds, F.lit(float(_BINS))), F.lit(-float(_BINS)))).cast("int") + _BINS)
-    return docs.withColumn("__odds", F.array(*bins)).drop("__told", "__logs")
+    logs = F.aggregate(told, F.col("__prior"), lambda total, x: F.zip_with(total, x["w"], lambda p, q: p + q))
+
+    def bins(of: Column) -> Column:
+        out = []
+        for i in range(n_domains):
+            others = F.array(*[of[j] for j in range(n_domains) if j != i] or [of[0] - 50])
+            odds = F.greatest(F.least(of[i] - F.array_max(others), F.lit(float(_BINS))), F.lit(-float(_BINS)))
+            out.append(F.round(odds).cast("int") + _BINS)
+        return F.array(*out)
+
+    # Generated for the same reason as the words.
+    return docs.select(*docs.columns, F.explode(F.array(_once(logs, bins))).alias("__odds"))
 
 
 def domain_posteriors(docs: DataFrame, model: DataFrame, domains: list[str], text_column: str = "text") -> DataFrame:
@@ -182,8 +201,13 @@ def fit_rates(
     chances = [F.col(f"p_{d}") for d in domains]
     tokens = F.col("n_tokens")
 
+    # Rows of equal chances have equal rates. There are only as many different ones as bins of the
+    # odds combine to, whatever the number of documents, so the steps go over those.
+    cells = docs.groupBy(*[f"p_{d}" for d in domains]).agg(F.sum("n_tokens").alias("n_tokens"))
+    cells = materialize(cells.coalesce(1), "mixing-cells")
+
     def totals(rate: Column) -> list[float]:
-        rated = docs.select(*[f"p_{d}" for d in domains], "n_tokens", rate.alias("rate"))
+        rated = cells.select(*[f"p_{d}" for d in domains], "n_tokens", rate.alias("rate"))
         sums = [F.sum(F.col("rate") * tokens * p) for p in chances]
         return [x or 0.0 for x in rated.agg(*sums).first()]
 
