@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from lamina.runtime import materialize
 
-_BUCKETS = 1 << 14  # of the table of telling words
 _TELLING = 50_000  # words that the model may hold, the surest first
 _SURE = 4.0  # standard deviations by which a word's count must differ to be evidence
 _PRIOR = 2.0  # occurrences that pull a word towards its overall frequency
@@ -69,12 +68,12 @@ def _once(value: Column, use: Callable[[Column], Column]) -> Column:
 def fit_domains(
     docs: DataFrame, labelled: DataFrame, domains: list[str], id_column: str = "doc_id",
     text_column: str = "text", domain_column: str = "domain",
-) -> DataFrame:
-    """One row: ``__prior``, ``__weights`` and ``__chances``, learned from all labelled documents.
+) -> tuple[DataFrame, DataFrame]:
+    """Telling words, and one row of ``__prior`` and ``__chances``, learned from all labelled documents.
 
     A word weighs only where the documents of some domain hold it far more or less often than
     documents at large, so that chance does not add up over long texts; at most 50,000 words do, by
-    how far their counts are off. ``__weights`` is a table of them by hash, ``__prior`` the log
+    how far their counts are off. They have a row each; ``__prior`` is the log
     frequency of each domain, and ``__chances`` the share of labelled documents that are of a domain,
     by the logarithm of odds that the words alone give it.
     """
@@ -83,7 +82,9 @@ def fit_domains(
     )
     held = docs.select(F.col(id_column).alias("__id"), F.col(text_column).alias("__text"))
     held = materialize(
-        _with_words(held.join(known, "__id").select("__domain", "__text"), "__text"), "domain-documents"
+        _with_words(held.join(known, "__id").select("__domain", "__text"), "__text").select(
+            "__domain", "__hashes", F.monotonically_increasing_id().alias("__row")
+        ), "domain-documents"
     )
     of_domain = [F.col("__domain") == d for d in domains]
     zero = F.lit(0.0)
@@ -110,20 +111,14 @@ def fit_domains(
     told = counts.withColumn("sure", F.array_max(F.zip_with("n", "docs", surprise)))
     told = told.where(F.col("sure") > _SURE).orderBy(F.desc("sure"), "hash").limit(_TELLING)
     told = told.select("hash", F.zip_with("n", "docs", weight).alias("w"))
-    told = told.groupBy(F.pmod("hash", F.lit(_BUCKETS)).alias("bucket")).agg(
-        F.sort_array(F.collect_list(F.struct("hash", "w"))).alias("words")
-    )
-    # A table of a bounded number of words, looked up by bucket.
-    empty = F.array().cast("array<struct<hash:bigint,w:array<double>>>")
-    every = docs.sparkSession.range(_BUCKETS).select(F.col("id").alias("bucket"))
-    placed = every.join(told, "bucket", "left").select("bucket", F.coalesce("words", empty).alias("words"))
-    table = F.transform(F.array_sort(F.collect_list(F.struct("bucket", "words"))), lambda x: x["words"])
-    prior = F.transform("docs", lambda x: F.log((x + 1) / (all_docs + len(domains)))).alias("__prior")
-    weights = placed.agg(table.alias("__weights")).crossJoin(F.broadcast(totals.select("docs", prior)))
-    weights = materialize(weights, "domain-weights")
+    # A bounded number of rows.
+    weights = told.select("hash", *[F.col("w")[i].alias(f"w{i}") for i in range(len(domains))])
+    weights = materialize(weights, "domain-words")
+    prior = totals.select(F.transform("docs", lambda x: F.log((x + 1) / (all_docs + len(domains)))).alias("__prior"))
+    prior = materialize(prior, "domain-prior")
 
     # How often the odds are right, by their size.
-    bins = _odds(held.crossJoin(F.broadcast(weights.select("__weights", "__prior"))), len(domains))
+    bins = _odds(held, weights, prior, len(domains))
     bins = bins.select("__domain", F.posexplode("__odds").alias("i", "at"))
     # At most one row per domain and bin.
     measured = bins.groupBy("i", "at").agg(
@@ -139,49 +134,55 @@ def fit_domains(
             every = F.coalesce(F.max(F.when(here, F.col("all"))), zero)
             columns.append((F.struct(right.alias("right"), every.alias("all")), F.exp(F.col("__prior")[i])))
     counted = measured.agg(F.array(*[c for c, _ in columns]).alias("cells"))
-    rated = counted.crossJoin(F.broadcast(weights.select("__prior")))
+    rated = counted.crossJoin(F.broadcast(prior))
     chances = [
         (F.col("cells")[j]["right"] + base) / (F.col("cells")[j]["all"] + 1) for j, (_, base) in enumerate(columns)
     ]
-    rated = rated.select(F.array(*chances).alias("__chances"))
-    return materialize(weights.drop("docs").crossJoin(F.broadcast(rated)), "domain-model")
-
-
-def _odds(docs: DataFrame, n_domains: int) -> DataFrame:
-    """Adds ``__odds``: for each domain the bin of the logarithm of its odds, from the telling words."""
-    told = F.flatten(
-        F.transform(
-            "__hashes",
-            lambda h: F.filter(F.col("__weights")[F.pmod(h, F.lit(_BUCKETS)).cast("int")], lambda x: x["hash"] == h),
-        )
-    )
-    logs = F.aggregate(told, F.col("__prior"), lambda total, x: F.zip_with(total, x["w"], lambda p, q: p + q))
+    rated = rated.select("__prior", F.array(*chances).alias("__chances"))
+    return weights, materialize(rated, "domain-chances")
 
-    def bins(of: Column) -> Column:
-        out = []
-        for i in range(n_domains):
-            others = F.array(*[of[j] for j in range(n_domains) if j != i] or [of[0] - 50])
-            odds = F.greatest(F.least(of[i] - F.array_max(others), F.lit(float(_BINS))), F.lit(-float(_BINS)))
-            out.append(F.round(odds).cast("int") + _BINS)
-        return F.array(*out)
 
-    # Generated for the same reason as the words.
-    return docs.select(*docs.columns, F.explode(F.array(_once(logs, bins))).alias("__odds"))
+def _odds(docs: DataFrame, weights: DataFrame, prior: DataFrame, n_domains: int) -> DataFrame:
+    """Adds ``__odds``: for each domain the bin of the logarithm of its odds, from the telling words.
 
-
-def domain_posteriors(docs: DataFrame, model: DataFrame, domains: list[str], text_column: str = "text") -> DataFrame:
+    ``docs`` is a written table with ``__row`` and ``__hashes``. Words of a row are in one task, so
+    their weights are added up before the sums of rows, and only those, are shuffled.
+    """
+    names = [f"w{i}" for i in range(n_domains)]
+    words = docs.select("__row", F.explode("__hashes").alias("hash"))
+    found = words.join(F.broadcast(weights), "hash").groupBy("__row").agg(*[F.sum(w).alias(w) for w in names])
+    joined = docs.drop("__hashes").join(found, "__row", "left").crossJoin(F.broadcast(prior))
+    logs = [F.coalesce(F.col(w), F.lit(0.0)) + F.col("__prior")[i] for i, w in enumerate(names)]
+    bins = []
+    for i, own in enumerate(logs):
+        others = [x for j, x in enumerate(logs) if j != i] or [own - 50]
+        best = F.greatest(*others) if len(others) > 1 else others[0]
+        odds = F.greatest(F.least(own - best, F.lit(float(_BINS))), F.lit(-float(_BINS)))
+        bins.append(F.round(odds).cast("int") + _BINS)
+    return joined.withColumn("__odds", F.array(*bins)).drop(*names, *prior.columns)
+
+
+def domain_posteriors(
+    docs: DataFrame, model: tuple[DataFrame, DataFrame], domains: list[str], text_column: str = "text"
+) -> DataFrame:
     """Every row with ``n_tokens`` (words of the text) and ``p_<domain>``, which add up to 1.
 
-    A text without words, or null, has no tokens and the frequencies of the labels.
+    A text without words, or null, has no tokens and the frequencies of the labels. The table is
+    written once, so that the numbers of its rows stay what they are.
     """
-    scored = _odds(_with_words(docs, text_column).crossJoin(F.broadcast(model)), len(domains))
+    weights, chances = model
+    kept = [c for c in docs.columns if c != text_column]
+    numbered = _with_words(docs, text_column).select(
+        *kept, "__words", "__hashes", F.monotonically_increasing_id().alias("__row")
+    )
+    numbered = materialize(numbered, "domain-words-of-documents")
+    scored = _odds(numbered, weights, chances.select("__prior"), len(domains)).crossJoin(F.broadcast(chances))
     width = 2 * _BINS + 1
     raw = [F.col("__chances")[i * width + F.col("__odds")[i]] for i in range(len(domains))]
     raw = [F.when(F.col("__words") == 0, F.exp(F.col("__prior")[i])).otherwise(x) for i, x in enumerate(raw)]
-    scored = scored.withColumn("__raw", F.array(*raw))
-    total = F.aggregate("__raw", F.lit(0.0), lambda a, x: a + x)
-    chances = [(F.col("__raw")[i] / total).alias(f"p_{d}") for i, d in enumerate(domains)]
-    return scored.select(*docs.columns, F.col("__words").alias("n_tokens"), *chances)
+    total = sum(raw[1:], raw[0])
+    shares = [(x / total).alias(f"p_{d}") for x, d in zip(raw, domains)]
+    return scored.select(*kept, F.col("__words").alias("n_tokens"), *shares)
 
 
 def fit_rates(
@@ -250,7 +251,7 @@ def mix(
     draw = F.pmod(F.xxhash64(F.lit("copies"), id_column, text_column), F.lit(1 << 30)) / float(1 << 30)
     model = fit_domains(docs, labelled, domains, id_column, text_column, domain_column)
     plain = docs.select(*kept, F.col(text_column).alias("__in_text"), draw.alias("__draw"))
-    found = domain_posteriors(plain, model, domains, "__in_text").drop("__in_text")
+    found = domain_posteriors(plain, model, domains, "__in_text")
     found = materialize(found, "mixing-posteriors")
     rated = found.withColumn("rate", fit_rates(found, weights, anchor))
     more = (F.col("__draw") < F.col("rate") - F.floor("rate")).cast("long")
