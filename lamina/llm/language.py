@@ -45,7 +45,8 @@ class LanguageModel:
 
 
 def _grams(padded: str, n: int) -> list[str]:
-    return [padded[i : i + n] for i in range(len(padded) - n + 1)]
+    # The edge of a word alone says nothing of its language.
+    return [g for i in range(len(padded) - n + 1) if (g := padded[i : i + n]) != " "]
 
 
 def _log_rows(counts: list[Counter], least: int) -> dict[str, np.ndarray]:
