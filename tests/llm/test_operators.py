@@ -120,10 +120,6 @@ def brute_components(rows, n=3, num=90, den=100):
         w = lowered(text, rb"[^\x20\x09-\x0D]+")
         sets.append({tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if len(w) >= n else {tuple(w)} if w else set())
     linked = [
-        [j for j in range(len(rows)) if j != i and a and b_ and den * len(a & b_) >= num * len(a | b_)]
-        for i, a in enumerate(sets) for b_ in [None] if a or True
-        for _ in [0]
-    ] if False else [
         [j for j, b in enumerate(sets) if j != i and a and b and den * len(a & b) >= num * len(a | b)]
         for i, a in enumerate(sets)
     ]
