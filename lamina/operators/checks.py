@@ -124,7 +124,7 @@ def run_checks(
             if isolate:  # one row per check
                 answers = spark.createDataFrame(answers.collect(), RESULT)
         except Exception as error:  # an unreadable table is a finding, not the end of the run
-            text = f"error: {error}"[:500]
+            text = f"error: {error}"
             rows = [(c.name, table, "FAILED", text, c.severity) for c in mine]
             answers = spark.createDataFrame(rows, RESULT)
         frames.append(answers)

@@ -138,7 +138,7 @@ def ingest_all(
             rows, path = ingest_table(spec, read, store, ctx, mode, inclusive)
             outcome = (rows, "SUCCESS", None, path)
         except Exception as error:  # kept in the log, raised below with the others
-            outcome = (0, "FAILED", str(error)[:2000], None)
+            outcome = (0, "FAILED", str(error), None)
         rows, status, text, path = outcome
         seconds = round(time.monotonic() - start, 2)
         results.append(IngestResult(spec.source, rows, seconds, status, mode, text, path))

@@ -110,6 +110,6 @@ def failure_report(ctx: RunContext, name: str, error: str) -> str:
             "status": "FAILED",
             "batch_id": ctx.batch_id,
             "timestamp": str(ctx.run_ts),
-            "error": error[:2000],
+            "error": error,
         }
     )
