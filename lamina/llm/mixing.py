@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from lamina.runtime import materialize
 
+_LABELLED = 50_000  # labels that the model is learned from, about
 _TELLING = 50_000  # words that the model may hold, the surest first
 _SURE = 4.0  # standard deviations by which a word's count must differ to be evidence
 _PRIOR = 2.0  # occurrences that pull a word towards its overall frequency
@@ -67,9 +68,12 @@ def _once(value: Column, use: Callable[[Column], Column]) -> Column:
 
 def fit_domains(
     docs: DataFrame, labelled: DataFrame, domains: list[str], id_column: str = "doc_id",
-    text_column: str = "text", domain_column: str = "domain",
+    text_column: str = "text", domain_column: str = "domain", sample: int = _LABELLED,
 ) -> tuple[DataFrame, DataFrame]:
-    """Telling words, and one row of ``__prior`` and ``__chances``, learned from all labelled documents.
+    """Telling words, and one row of ``__prior`` and ``__chances``, learned from labelled documents.
+
+    Of more than ``sample`` labels, about that many are taken by a hash of their ids: a bounded number,
+    so that they are broadcast and the documents are not shuffled. An equal label given again counts once.
 
     A word weighs only where the documents of some domain hold it far more or less often than
     documents at large, so that chance does not add up over long texts; at most 50,000 words do, by
@@ -79,10 +83,13 @@ def fit_domains(
     """
     known = labelled.where(F.col(domain_column).isin(domains)).select(
         F.col(id_column).alias("__id"), F.col(domain_column).alias("__domain")
-    )
+    ).distinct()
+    known = materialize(known, "domain-labels")
+    share = min(1.0, sample / max(known.count(), 1))
+    known = known.where(F.pmod(F.xxhash64(F.lit("labels"), "__id"), F.lit(1 << 30)) < share * (1 << 30))
     held = docs.select(F.col(id_column).alias("__id"), F.col(text_column).alias("__text"))
     held = materialize(
-        _with_words(held.join(known, "__id").select("__domain", "__text"), "__text").select(
+        _with_words(held.join(F.broadcast(known), "__id").select("__domain", "__text"), "__text").select(
             "__domain", "__hashes", F.monotonically_increasing_id().alias("__row")
         ), "domain-documents"
     )
