@@ -448,14 +448,14 @@ def test_mixing_reaches_targets_by_brute_force(spark, docs, empty):
 
 
 def test_mixing_model_of_some_labels(spark):
-    labels, corpus = (spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet") for name in ("labels", "documents"))
+    corpus, labels = labelled_corpus(spark)
     labels = labels.withColumn("domain", mixing.domain_of_labels())
     domains = ["clean", "toxic", "junk"]
-    model = mixing.fit_domains(corpus, labels.unionByName(labels), domains, sample=60)
+    model = mixing.fit_domains(corpus, labels.unionByName(labels), domains, sample=150)
     found = mixing.domain_posteriors(corpus, model, domains).join(labels, "doc_id").where("domain IS NOT NULL")
     rows = found.collect()
     right = [r[f"p_{r.domain}"] == max(r[f"p_{d}"] for d in domains) for r in rows]
-    assert sum(right) >= 0.8 * len(right)
+    assert sum(right) >= 0.95 * len(right)
 
 
 def test_mixing_plan_has_no_python(spark):
