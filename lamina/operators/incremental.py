@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +15,9 @@ from lamina.operators.dedup import keep_one
 from lamina.operators.joins import DEFAULT_SKEW, SkewPolicy, lookup_join
 
 
+_BATCH = "_batch_id"
+
+
 def with_audit(df: DataFrame, ctx: RunContext) -> DataFrame:
     """Add when, from where and by which batch the rows came, and the ingest date parts."""
     ts = ctx.utc
@@ -65,18 +70,22 @@ def upsert(
 ) -> DataFrame:
     """The target with rows of equal key replaced by those of the source, and new rows added.
 
-    Of several source rows with one key the last by ``order`` counts. NULL keys are equal. Without
-    a target the result is the deduplicated source. Only keys of the source take part in the join:
-    those of a small increment are broadcast, and the target is filtered without a shuffle. Columns
-    one side lacks are NULL there.
+    Of several source rows with one key the last by ``order`` counts. Rows with a NULL in their key
+    equal no other row: all of them stay, on both sides, for a later rule to reject; only those that a
+    batch of the source brought before (by ``_batch_id``, where both sides have it) are replaced.
+    Without a target the result is the source with one row per key. Only keys of the source take part
+    in the join: those of a small increment are broadcast, and the target is filtered without a
+    shuffle. Columns one side lacks are NULL there.
     """
     keys = list(keys)
-    latest = keep_one(source, keys, order, last=True)
+    no_key = reduce(operator.or_, [F.col(k).isNull() for k in keys])
+    latest = keep_one(source.where(~no_key), keys, order, last=True)
+    arrived = latest.unionByName(source.where(no_key))
     if target is None:
-        return latest
-    # As a struct a key with NULLs is a value like any other and equals its like.
-    key = F.struct(*keys).alias("__key")
-    kept = lookup_join(
-        target.select("*", key), latest.select(key), ["__key"], "left_anti", policy
-    ).drop("__key")
-    return latest.unionByName(kept, allowMissingColumns=True)
+        return arrived
+    kept = lookup_join(target.where(~no_key), latest.select(*keys), keys, "left_anti", policy)
+    loose = target.where(no_key)
+    if _BATCH in target.columns and _BATCH in source.columns:
+        again = source.where(no_key).select(_BATCH).distinct()
+        loose = lookup_join(loose, again, [_BATCH], "left_anti", policy)
+    return arrived.unionByName(kept.unionByName(loose), allowMissingColumns=True)

@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lamina.runtime import materialize
+
 _SALT = "__salt"
 _SALTS = "__salts"
 
@@ -17,21 +19,36 @@ _SALTS = "__salts"
 class SkewPolicy:
     """When a lookup is broadcast, and when a group of rows is split over several tasks.
 
-    ``broadcast_rows`` bounds what is broadcast: the lookup side is counted first. Beyond it the
-    join shuffles, and every key with more than ``rows_per_task`` rows is split. At most
-    ``max_hot_groups`` keys are split, the largest first; at most that many keys can each hold
-    more than ``1/max_hot_groups`` of the rows, so nothing left unsplit is large, and adaptive
-    execution still splits what remains uneven.
+    A lookup side is broadcast up to ``broadcast_rows`` rows and ``broadcast_bytes`` bytes, both
+    measured. Beyond, the join shuffles, and every key with more than ``rows_per_task`` rows is split.
     """
 
     broadcast_rows: int = 200_000
     rows_per_task: int = 1_000_000
-    max_hot_groups: int = 20_000
+    broadcast_bytes: int = 64 << 20
 
 
 DEFAULT_SKEW = SkewPolicy()
 
 
+def _bytes(df: DataFrame) -> Column:
+    """Bytes of a row, those of its texts and nested values measured."""
+    total = F.lit(8 * len(df.columns)).cast("long")
+    for field in df.schema.fields:
+        col = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            total = total + F.coalesce(F.octet_length(col), F.lit(0))
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            total = total + F.coalesce(F.octet_length(F.to_json(F.struct(col))), F.lit(0))
+    return total
+
+
+def is_small(df: DataFrame, policy: SkewPolicy = DEFAULT_SKEW) -> bool:
+    """Whether ``df`` may be broadcast, by its measured rows and bytes (one aggregation)."""
+    size = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(_bytes(df)).alias("bytes")).first()
+    return size["rows"] <= policy.broadcast_rows and (size["bytes"] or 0) <= policy.broadcast_bytes
+
+
 def hot_groups(
     df: DataFrame,
     keys: Sequence[str],
@@ -41,26 +58,17 @@ def hot_groups(
     """Keys to split, with the number of salts each needs, or None when no key is that large.
 
     One aggregation over the key columns only, combined before its shuffle; none at all where
-    ``df`` already has one row per key with its number of rows in the column ``rows``. The list
-    this brings to the driver is bounded by ``max_hot_groups``.
+    ``df`` already has one row per key with its number of rows in the column ``rows``. The keys are
+    written to the scratch folder, all of them, and never pass through the driver.
     """
     keyed = df.dropna(subset=list(keys))
     if rows is None:
         keyed = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias(_SALTS))
     else:
         keyed = keyed.select(*keys, F.col(rows).alias(_SALTS))
-    hot = (
-        keyed.where(F.col(_SALTS) > policy.rows_per_task)
-        .orderBy(F.desc(_SALTS))
-        .limit(policy.max_hot_groups)
-        .collect()
-    )
-    if not hot:
-        return None
-    salts = [(*tuple(r)[:-1], -(-r[_SALTS] // policy.rows_per_task)) for r in hot]
-    fields = [f for k in keys for f in df.select(k).schema.fields]
-    schema = T.StructType([*fields, T.StructField(_SALTS, T.LongType())])
-    return df.sparkSession.createDataFrame(salts, schema)
+    salts = F.ceil(F.col(_SALTS) / policy.rows_per_task).cast("long")
+    hot = materialize(keyed.where(F.col(_SALTS) > policy.rows_per_task).withColumn(_SALTS, salts), "hot-keys")
+    return None if hot.isEmpty() else hot
 
 
 def lookup_join(
@@ -75,7 +83,7 @@ def lookup_join(
 ) -> DataFrame:
     """Join a fact side to a lookup side on equal column names.
 
-    A counted small ``right`` is broadcast, so the fact side is not shuffled at all. A larger one
+    A ``right`` of small measured size is broadcast, so the fact side is not shuffled at all. A larger one
     is shuffled; hot keys of ``left`` are then spread over salts and their few ``right`` rows
     repeated per salt, and rows with a NULL key, which match nothing, are spread likewise.
     ``how`` is inner, left, left_semi or left_anti; columns keep the order of ``left``.
@@ -90,15 +98,17 @@ def lookup_join(
     on = list(on)
     added = [c for c in right.columns if c not in on] if how in ("inner", "left") else []
     columns = [*left.columns, *added]
-    if not right_is_large and right.count() <= policy.broadcast_rows:
+    if not right_is_large and is_small(right, policy):
         return left.join(F.broadcast(right), on, how).select(*columns)
     if counted:
         hot = hot_groups(counted[0], on, policy, counted[1])
     else:
         hot = hot_groups(left if skew_of is None else skew_of, on, policy)
-    # The salt of a row depends on its input partition alone: a recomputed task after a lost
-    # executor sends its rows to the same place, and copies of one row still spread.
-    spread = F.spark_partition_id().cast("long")
+    # The salt of a row depends on the row and its input partition alone: a recomputed task after a
+    # lost executor sends its rows to the same place. Rows of one partition spread by their content,
+    # and copies of one row by their partitions.
+    hashed = [F.col(f"`{f.name}`") for f in left.schema.fields if not isinstance(f.dataType, T.MapType)]
+    spread = F.pmod(F.xxhash64(*hashed, F.spark_partition_id()), F.lit(1 << 20))
     no_key = F.greatest(*[F.col(k).isNull() for k in on], F.lit(False))
     if hot is None:
         salted = left.withColumn(_SALT, F.when(no_key, spread).otherwise(F.lit(0).cast("long")))
@@ -106,7 +116,8 @@ def lookup_join(
         # rows without a key would meet in one task again.
         lookup = right.withColumn(_SALT, F.pmod(F.xxhash64(*on), F.lit(1)))
     else:
-        hot = F.broadcast(hot)
+        # Few keys are that large; should they be many, the join with them shuffles like any other.
+        hot = F.broadcast(hot) if is_small(hot, SkewPolicy()) else hot
         salted = (
             left.join(hot, on, "left")
             .withColumn(

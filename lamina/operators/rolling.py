@@ -30,56 +30,74 @@ class OutlierRule:
             raise ValueError(f"unknown frame {self.frame!r}")
 
 
-_N, _REF, _S, _Q, _ROWS = "__n", "__ref", "__s", "__q", "__rows"
+_ROWS, _OWN, _OTHERS = "__rows", "__own", "__others"
 
 
 def _moments_by_day(df: DataFrame, key: str, day: str, value: str) -> DataFrame:
-    """One row per key and day, reduced in each task before the shuffle."""
+    """One row per key and day, reduced in each task before the shuffle.
+
+    Values that are all the same have exactly their value as mean and no spread.
+    """
     v = F.col(value).cast("double")
+    constant = F.min(v) == F.max(v)
+    moments = F.struct(
+        F.count(v).cast("double").alias("n"),
+        F.coalesce(F.when(constant, F.min(v)).otherwise(F.avg(v)), F.lit(0.0)).alias("mean"),
+        F.coalesce(F.when(constant, 0.0).otherwise(F.var_pop(v) * F.count(v)), F.lit(0.0)).alias("m2"),
+    )
     return (
         df.where(F.col(key).isNotNull() & F.col(day).isNotNull())
         .groupBy(key, day)
-        .agg(
-            F.count(F.lit(1)).alias(_ROWS),
-            F.count(v).alias(_N),
-            F.avg(v).alias("__mean"),
-            (F.var_pop(v) * F.count(v)).alias("__m2"),
-        )
+        .agg(F.count(F.lit(1)).alias(_ROWS), moments.alias(_OWN))
     )
 
 
-def _frames(moments: DataFrame, key: str, day: str, days: int | None) -> DataFrame:
-    """Per (key, day): count, and sums of deviations and squared deviations from a reference.
+def _moments(n: Column, mean: Column, m2: Column) -> Column:
+    return F.struct(n.alias("n"), mean.alias("mean"), m2.alias("m2"))
 
-    The window sees as many rows per key as there are days, however many rows the key has. The
-    reference is a day's mean of the same key: deviations stay small, and constant values give
-    a deviation of exactly zero.
+
+def _merged(a: Column, b: Column) -> Column:
+    """Moments of two sets of values together, from the distance of their means.
+
+    No large sums are subtracted from each other, so a key whose level has moved loses no digits.
     """
-    by_key = Window.partitionBy(key)
-    frame = by_key
-    if days is not None:
-        frame = by_key.orderBy(F.unix_date(day)).rangeBetween(-days, 0)
-    away = F.col("__mean") - F.col(_REF)
-    return (
-        moments.withColumn(_REF, F.min("__mean").over(by_key))
-        .select(
-            key,
-            day,
-            _REF,
-            F.sum(_N).over(frame).alias(_N),
-            F.sum(F.col(_N) * away).over(frame).alias(_S),
-            F.sum(F.col("__m2") + F.col(_N) * away * away).over(frame).alias(_Q),
-        )
-    )
+    n = a["n"] + b["n"]
+    away = b["mean"] - a["mean"]
+    both = _moments(n, a["mean"] + away * (b["n"] / n), a["m2"] + b["m2"] + away * away * (a["n"] * b["n"] / n))
+    return F.when(b["n"] == 0, a).when(a["n"] == 0, b).otherwise(both)
+
+
+def _all_merged(days: Column) -> Column:
+    none = _moments(F.lit(0.0), F.lit(0.0), F.lit(0.0))
+    return F.aggregate(days, none, _merged)
+
 
+def _without(a: Column, v: Column) -> Column:
+    """Moments without one value of the set; nothing is left of a set of one."""
+    n = a["n"] - 1
+    mean = a["mean"] - (v - a["mean"]) / n
+    m2 = F.greatest(a["m2"] - (v - a["mean"]) * (v - mean), F.lit(0.0))
+    # A set without spread has none after it either, and keeps its mean exactly.
+    rest = F.when(a["m2"] == 0, _moments(n, a["mean"], F.lit(0.0))).otherwise(_moments(n, mean, m2))
+    return F.when(v.isNull(), a).when(n < 1, _moments(F.lit(0.0), F.lit(0.0), F.lit(0.0))).otherwise(rest)
 
-def _mean(n: Column, s: Column) -> Column:
-    return F.when(n > 0, F.col(_REF) + s / n)
 
+def _frames(moments: DataFrame, key: str, day: str, days: int | None) -> DataFrame:
+    """Per (key, day): moments of the own day, and of the other days of its frame.
 
-def _deviation(n: Column, s: Column, q: Column) -> Column:
-    spread = F.greatest(q - s * s / n, F.lit(0.0))
-    return F.when(n > 1, F.sqrt(spread / (n - 1)))
+    For a frame of days the window holds at most that many, however many rows the key has. For the
+    whole history the moments of all days of a key are merged once and joined back to its days; they
+    are then those of the own day too, and there are no others.
+    """
+    if days is not None:
+        frame = Window.partitionBy(key).orderBy(F.unix_date(day)).rangeBetween(-days, -1)
+        return moments.select(key, day, _OWN, _all_merged(F.collect_list(_OWN).over(frame)).alias(_OTHERS))
+    # One entry per day, in the order of the days, so that every run adds up alike.
+    dated = F.sort_array(F.collect_list(F.struct(F.col(day).alias("day"), F.col(_OWN).alias("own"))))
+    whole = moments.groupBy(key).agg(dated.alias("__days"))
+    whole = whole.select(key, _all_merged(F.transform("__days", lambda d: d["own"])).alias(_OWN))
+    nothing = _moments(F.lit(0.0), F.lit(0.0), F.lit(0.0))
+    return moments.select(key, day).join(whole, key).select(key, day, _OWN, nothing.alias(_OTHERS))
 
 
 def rolling_stats(
@@ -98,6 +116,9 @@ def rolling_stats(
     The own day belongs to the frame with all its rows. A single value has no deviation. Rows
     without a key or day have neither.
 
+    With ``exclude_current`` the row is taken out of its own day (for the whole history, out of the
+    whole) by subtraction, which loses digits only where that one value makes nearly all the spread.
+
     The daily moments are written to the scratch folder first: they tell which (key, day) groups
     need splitting, and the frames are built from them without reading the rows again.
     """
@@ -106,17 +127,18 @@ def rolling_stats(
     joined = lookup_join(
         df, frames, [key, day], "left", policy, right_is_large=True, counted=(moments, _ROWS)
     )
-    n, s, q = F.col(_N), F.col(_S), F.col(_Q)
+    own = F.col(_OWN)
     if exclude_current:
-        own = F.col(value).cast("double") - F.col(_REF)
-        counted = own.isNotNull()
-        n = n - counted.cast("long")
-        s = s - F.coalesce(own, F.lit(0.0))
-        q = q - F.coalesce(own * own, F.lit(0.0))
-    # A zero count must not reach a division under ANSI arithmetic.
-    safe_n = F.nullif(n, F.lit(0))
-    joined = joined.withColumns({mean: _mean(safe_n, s), deviation: _deviation(safe_n, s, q)})
-    return joined.drop(_N, _REF, _S, _Q)
+        own = _without(own, F.col(value).cast("double"))
+    # Rows without a key or day found no frame: their moments are NULL.
+    joined = joined.withColumn("__frame", _merged(F.col(_OTHERS), own)).drop(_OWN, _OTHERS)
+    n, m2 = F.col("__frame.n"), F.col("__frame.m2")
+    return joined.withColumns(
+        {
+            mean: F.when(n > 0, F.col("__frame.mean")),
+            deviation: F.when(n > 1, F.sqrt(m2 / (n - 1))),
+        }
+    ).drop("__frame")
 
 
 def flag_outliers(

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lamina.context import RunContext
-from lamina.operators.dedup import keep_one
 from lamina.operators.incremental import after_watermark, high_watermark, upsert, with_audit
 from lamina.plans.tables import TableSpec
 from lamina.runtime import materialize, scratch_scope
@@ -53,7 +52,8 @@ def read_raw(spec: TableSpec, store: TableStore) -> DataFrame:
     name = increments(spec, store)
     if not store.slots(name):
         return base
-    return upsert(base, store.read_all(name), [spec.key], ["_ingestion_timestamp"])
+    order = ["_ingestion_timestamp", *([spec.watermark] if spec.watermark else [])]
+    return upsert(base, store.read_all(name), [spec.key], order)
 
 
 def compact(spec: TableSpec, store: TableStore) -> str:
@@ -81,8 +81,10 @@ def ingest_table(
     the watermark again, since a day may still have received rows after the last run.
     """
     source = read(spec.source)
+    order = [spec.watermark] if spec.watermark else []
     if mode == "full" or not store.exists(spec.source):
-        path = store.write(with_audit(source, ctx), spec.source, INGEST_PARTITIONS)
+        # All rows have the ingest date of this run: nothing to bring together.
+        path = store.write(with_audit(source, ctx), spec.source, INGEST_PARTITIONS, gather=False)
         return store.read(spec.source).count(), path
     if spec.watermark:
         mark = _watermark(spec, store, ctx)
@@ -94,12 +96,12 @@ def ingest_table(
     if store.fmt == "delta":
         with scratch_scope(store.spark):
             incoming = materialize(with_audit(source, ctx), f"incoming-{spec.source}")
-            store.merge(keep_one(incoming, [spec.key], last=True), spec.source, [spec.key])
+            store.merge(upsert(None, incoming, [spec.key], order), spec.source, [spec.key])
             return incoming.count(), store.path(spec.source)
     current = read_raw(spec, store)
     with scratch_scope(store.spark):
         incoming = materialize(with_audit(source, ctx), f"incoming-{spec.source}")
-        path = store.write(upsert(current, incoming, [spec.key]), spec.source, INGEST_PARTITIONS)
+        path = store.write(upsert(current, incoming, [spec.key], order), spec.source, INGEST_PARTITIONS)
         return incoming.count(), path
 
 

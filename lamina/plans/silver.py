@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lamina.context import RunContext
-from lamina.functions.clean import normalize_text, standardize
+from lamina.functions.clean import CAST_ERROR, normalize_text, standardize
 from lamina.functions.dates import hour_of, hours_flag
 from lamina.functions.mask import mask_columns
 from lamina.functions.money import ratio
@@ -21,6 +21,7 @@ from lamina.plans.bronze import read_raw
 from lamina.plans.tables import TableSpec
 from lamina.runtime import materialize, scratch_scope
 from lamina.settings import Settings
+from lamina.sources.files import CORRUPT
 from lamina.sources.store import TableStore
 
 REJECTS = "silver_rejected"
@@ -37,6 +38,10 @@ def cleaned(raw: DataFrame, spec: TableSpec, settings: Settings) -> DataFrame:
     else:
         df = drop_exact(raw)
     df = standardize(df, spec.types, flag=True)
+    if CORRUPT in df.columns:
+        # The line holds unmasked values: only that it did not fit is kept.
+        lost = F.when(F.col(CORRUPT).isNotNull(), F.lit(CORRUPT))
+        df = df.withColumn(CAST_ERROR, F.coalesce(CAST_ERROR, lost)).drop(CORRUPT)
     df = normalize_text(df, spec.upper, spec.trim)
     return mask_columns(df, settings.masks.get(spec.source, {}))
 
@@ -126,6 +131,7 @@ def metrics(
     nulls = [
         F.nullif(ratio(F.count_if(F.col(c).isNull()), n), F.lit(0.0)).alias(f"null_pct_{c}")
         for c in raw.columns
+        if c != CORRUPT
     ]
     measured = raw.agg(n.alias("bronze_row_count"), *nulls)
     return measured.withColumns(
@@ -152,12 +158,18 @@ def process_all(
     settings: Settings = Settings(),
     specs: Sequence[TableSpec] = tables.ALL,
 ) -> dict[str, DataFrame]:
-    """Every clean table; those that refer to clients are checked against the written clients."""
+    """Every clean table; those that refer to clients are checked against the written clients.
+
+    Clients come first wherever ``specs`` lists them. Where it leaves them out, those of an earlier
+    run count, and without any the run fails rather than skip the check.
+    """
     out = {}
-    clients = None
-    for spec in specs:
+    clients = silver.read(tables.CLIENTS.silver) if silver.exists(tables.CLIENTS.silver) else None
+    for spec in sorted(specs, key=lambda s: s.key != "id_cli"):
         refers = "id_cli" in spec.types and spec.key != "id_cli"
-        parent = clients.select("id_cli") if refers and clients is not None else None
+        if refers and clients is None:
+            raise ValueError(f"{spec.source} refers to clients, and there are none to check against")
+        parent = clients.select("id_cli") if refers else None
         out[spec.source] = process(spec, bronze, silver, errors, logs, ctx, settings, parent)
         if spec.key == "id_cli":
             clients = out[spec.source]

@@ -34,7 +34,8 @@ def reader(
 ) -> Callable[[str], DataFrame]:
     """A function that opens exported source tables by name, ``<folder>/<name>.<fmt>``.
 
-    Lines of a CSV file that do not fit come with NULLs and are judged by the rules of the table.
+    Lines of a CSV file that do not fit keep their text in ``_corrupt_record``; the clean layer
+    rejects them and drops the text.
     """
     if fmt not in ("csv", "parquet"):
         raise ValueError(f"unknown export format {fmt!r}")
@@ -43,7 +44,7 @@ def reader(
         path = f"{folder.rstrip('/')}/{name}.{fmt}"
         if fmt == "parquet":
             return read_parquet(spark, path)
-        return read_csv(spark, path, schemas[name]).drop(CORRUPT)
+        return read_csv(spark, path, schemas[name])
 
     return read
 

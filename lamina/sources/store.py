@@ -5,8 +5,11 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 from datetime import datetime, timezone
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lamina.runtime import delete_folder
 
@@ -36,25 +39,29 @@ class TableStore:
         name: str,
         partition_by: Sequence[str] = (),
         cluster_by: Sequence[str] = (),
+        gather: bool = True,
     ) -> str:
         """Replace a table; its schema may change. Returns the folder written.
 
         Rows are brought together by partition value first, so that each partition gets a few
         large files and not one per task; the rebalance splits a partition value that holds too
-        much. ``cluster_by`` sorts the files by range for readers that filter on those columns.
+        much. ``gather=False`` leaves the rows where they are, for partition columns that have one value
+        in all rows. ``cluster_by`` sorts the files by range for readers that filter on those columns;
+        a hash of the row breaks ties, so that rows of one value fill several files.
         """
         if cluster_by:
-            df = df.repartitionByRange(*partition_by, *cluster_by)
+            hashed = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+            ties = F.xxhash64(*[F.col(f"`{c}`") for c in hashed])
+            df = df.repartitionByRange(*partition_by, *cluster_by, ties)
             df = df.sortWithinPartitions(*partition_by, *cluster_by)
-        elif partition_by:
+        elif partition_by and gather:
             df = df.hint("rebalance", *partition_by)
         path = f"{self.root}/{name}"
         writer = df.write.format(self.fmt)
         if self.fmt == "delta":
             writer = writer.mode("overwrite").option("overwriteSchema", "true")
         else:
-            stamp = datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S%f")
-            path = f"{path}/version={stamp}-{uuid.uuid4().hex[:8]}"
+            path = f"{path}/{_version()}"
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.save(path)
@@ -111,16 +118,21 @@ class TableStore:
         """Add the rows of one batch, identified by ``slot``; returns the folder written.
 
         The same slot written again, by a batch that is run again, replaces its own rows only, so
-        a repeated run adds no copies. Batches may have different columns.
+        a repeated run adds no copies; its former rows stay in force until the new ones are committed.
+        Batches may have different columns. The parts of a slot are escaped, so that different slots
+        never share a folder.
         """
-        folder = "-".join(slot).replace("/", "_").replace("=", "_")
-        path = f"{self.root}/{name}/{_SLOT}=s-{folder}"
-        df.write.format("parquet").mode("overwrite").save(path)
+        folder = f"{self.root}/{name}/{_SLOT}=s-{'+'.join(quote(part, safe='') for part in slot)}"
+        path = f"{folder}/{_version()}"
+        df.write.format("parquet").save(path)
         return path
 
     def slots(self, name: str) -> list[str]:
         """Folders of the batches whose write was committed."""
-        return sorted(p.rsplit("/", 1)[0] for p in self._glob(f"{name}/{_SLOT}=*/_SUCCESS"))
+        latest: dict[str, str] = {}
+        for path in sorted(p.rsplit("/", 1)[0] for p in self._glob(f"{name}/{_SLOT}=*/version=*/_SUCCESS")):
+            latest[path.rsplit("/", 1)[0]] = path
+        return sorted(latest.values())
 
     def read_all(self, name: str) -> DataFrame:
         """Every committed batch of an append-only table, with the union of their columns."""
@@ -138,10 +150,17 @@ class TableStore:
         return {name: self.path(name) for name in names}
 
     def create_table(self, name: str, table: str | None = None) -> None:
-        """Register the current version as an external catalog table, if it is not there yet."""
-        self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {table or name} USING {self.fmt} LOCATION '{self.path(name)}'"
-        )
+        """Point an external catalog table to the current version; call it after every write.
+
+        A table that the catalog manages itself is not replaced, since its rows would be lost.
+        """
+        table = table or name
+        catalog = self.spark.catalog
+        if catalog.tableExists(table):
+            if catalog.getTable(table).tableType != "EXTERNAL":
+                raise ValueError(f"{table} exists and is not an external table")
+            self.spark.sql(f"DROP TABLE {table}")
+        self.spark.sql(f"CREATE TABLE {table} USING {self.fmt} LOCATION '{self.path(name)}'")
 
     def _glob(self, pattern: str) -> list[str]:
         jvm = self.spark._jvm
@@ -151,9 +170,14 @@ class TableStore:
         return [str(s.getPath()) for s in found or []]
 
 
+def _version() -> str:
+    stamp = datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S%f")
+    return f"version={stamp}-{uuid.uuid4().hex[:8]}"
+
+
 def merge_statement(table: str, source: str, keys: Sequence[str]) -> str:
-    """MERGE that replaces matching rows, NULL keys being equal, and inserts the others."""
-    same = " AND ".join(f"t.`{k}` <=> s.`{k}`" for k in keys)
+    """MERGE that replaces matching rows and inserts the others; a NULL key matches nothing."""
+    same = " AND ".join(f"t.`{k}` = s.`{k}`" for k in keys)
     return (
         f"MERGE INTO {table} t USING {source} s ON {same} "
         "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"

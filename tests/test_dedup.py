@@ -101,8 +101,18 @@ def target(spark):
 def test_upsert_replaces_inserts_and_keeps(spark, target):
     source = spark.createDataFrame([(2, "B"), (3, "C"), (3, "c"), (None, "N")], "k int, v string")
     once = upsert(target, source, ["k"])
-    assert rows(once) == [(1, "a"), (2, "B"), (3, "c"), (None, "N")]
-    assert rows(upsert(once, source, ["k"])) == rows(once)
+    assert rows(once) == [(1, "a"), (2, "B"), (3, "c"), (None, "N"), (None, "n")]
+    keyed = source.where("k IS NOT NULL")
+    assert rows(upsert(once, keyed, ["k"])) == rows(once)
+
+
+def test_upsert_keeps_every_row_without_a_key(spark):
+    schema = "k int, v string, _batch_id string"
+    t = spark.createDataFrame([(None, "x", "b1"), (None, "y", "b1"), (1, "a", "b1")], schema)
+    s = spark.createDataFrame([(None, "p", "b2"), (None, "q", "b2"), (2, "b", "b2")], schema)
+    once = upsert(t, s, ["k"])
+    assert [r[1] for r in rows(once.orderBy("v"))] == [r[1] for r in rows(upsert(once, s, ["k"]))]
+    assert sorted(r.v for r in once.collect()) == ["a", "b", "p", "q", "x", "y"]
 
 
 def test_upsert_takes_the_last_by_order(spark):
@@ -125,7 +135,7 @@ def test_upsert_with_a_split_key(spark):
     split = SkewPolicy(broadcast_rows=0, rows_per_task=100)
     expected = rows(upsert(t, s, ["k"]))
     assert rows(upsert(t, s, ["k"], policy=split)) == expected
-    assert len(expected) == 999 + 3
+    assert len(expected) == 999 + 1000 + 3
 
 
 def test_small_increment_does_not_shuffle_the_target(target, spark):
@@ -134,4 +144,5 @@ def test_small_increment_does_not_shuffle_the_target(target, spark):
 
 
 def test_upsert_of_a_table_onto_itself(target):
-    assert rows(upsert(target, target, ["k"])) == rows(target)
+    keyed = target.where("k IS NOT NULL")
+    assert rows(upsert(keyed, keyed, ["k"])) == rows(keyed)

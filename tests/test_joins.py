@@ -7,7 +7,7 @@ from lamina.operators.joins import SkewPolicy, hot_groups, lookup_join
 from tests.support import plan, rows
 
 # Nothing is broadcast, and a key with more than 500 rows is split.
-SPLIT = SkewPolicy(broadcast_rows=0, rows_per_task=500, max_hot_groups=10)
+SPLIT = SkewPolicy(broadcast_rows=0, rows_per_task=500)
 
 
 @pytest.fixture()
@@ -64,9 +64,31 @@ def test_hot_groups_are_few_and_sized(skewed):
     assert hot_groups(skewed, ["k"], SkewPolicy()) is None
 
 
-def test_hot_list_is_bounded(skewed):
-    tight = SkewPolicy(broadcast_rows=0, rows_per_task=10, max_hot_groups=3)
-    assert hot_groups(skewed, ["k"], tight).count() == 3
+def test_every_hot_key_is_listed(skewed):
+    tight = SkewPolicy(broadcast_rows=0, rows_per_task=10)
+    expected = skewed.dropna(subset=["k"]).groupBy("k").count().where("count > 10").count()
+    assert hot_groups(skewed, ["k"], tight).count() == expected > 3
+
+
+def test_wide_lookups_are_not_broadcast(skewed, lookup):
+    wide = lookup.withColumn("text", F.repeat(F.lit("x"), 1000))
+    assert "__salt" in plan(lookup_join(skewed, wide, ["k"], "left", SkewPolicy(broadcast_bytes=10_000)))
+
+
+def test_salts_spread_a_key_that_is_already_in_one_partition(spark):
+    left = spark.range(6000).select(F.lit(7).alias("k"), "id").repartition(4, "k")
+    right = spark.createDataFrame([(7, "x")], "k int, name string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = lookup_join(left, right, ["k"], "left", SPLIT)
+        largest = out.groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count")).first()[0]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert largest < 3000
 
 
 def test_no_task_holds_a_hot_key_alone(spark, skewed, lookup):

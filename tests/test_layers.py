@@ -352,3 +352,26 @@ def test_export_files_and_declared_gates(spark, folder):
     assert len(layers.bronze._glob("TB_PRODUCTOS_CAT/version=*")) == 1
     with pytest.raises(ValueError):
         files.reader(spark, folder, "xlsx", {})
+
+
+def test_foreign_keys_are_never_skipped(spark, folder):
+    layers = Layers.under(spark, folder)
+    ctx = RunContext.now(source_system="t")
+    with pytest.raises(ValueError, match="clients"):
+        silver.process_all(layers.bronze, layers.silver, layers.bronze, layers.bronze, ctx, specs=[tables.FEES])
+
+
+def test_lines_that_do_not_fit_are_rejected(spark, folder):
+    spec = tables.FEES
+    types = dict.fromkeys([*spec.upper, *spec.trim], "string") | dict(spec.types)
+    schema = ", ".join(f"{c} {t}" for c, t in types.items())
+    values = {c: {"date": "2024-01-02", "string": "x"}.get(str(t), "1") for c, t in types.items()}
+    amount = next(c for c, t in types.items() if str(t).startswith("decimal"))
+    os.makedirs(f"{folder}/in")
+    with open(f"{folder}/in/{spec.source}.csv", "w") as out:
+        out.write(",".join(values) + "\n" + ",".join(values.values()) + "\n")
+        out.write(",".join((values | {amount: "abc", spec.key: "2"}).values()) + "\n")
+    read = files.reader(spark, f"{folder}/in", "csv", {spec.source: schema})
+    cleaned = silver.cleaned(read(spec.source).cache(), spec, Settings())
+    assert files.CORRUPT not in cleaned.columns
+    assert sorted(str(r["_cast_error"]) for r in cleaned.collect()) == ["None", files.CORRUPT]

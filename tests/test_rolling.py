@@ -97,6 +97,20 @@ def test_low_values_are_not_outliers(spark):
     assert flags(spark, [1000] * 20 + [1]) == [0] * 21
 
 
+@pytest.mark.parametrize("days,exclude", [(30, False), (30, True), (None, False), (500, True)])
+def test_a_moved_level_loses_no_digits(spark, days, exclude):
+    shifts = [0.0, 0.1, 0.2, 0.3, 5.0]
+    data = [(0, "a", START, 1.0)]
+    data += [(i + 1, "a", START + timedelta(days=400 + i), 1e9 + x) for i, x in enumerate(shifts)]
+    df = spark.createDataFrame(data, "id int, k string, d date, v double")
+    out = rolling_stats(df, "k", "d", "v", days, exclude_current=exclude)
+    got = {r.id: r.rolling_std for r in out.collect()}
+    for i, (_, expected) in brute(data, days, exclude).items():
+        assert (got[i] is None) == (expected is None)
+        if expected is not None:
+            assert got[i] == pytest.approx(expected, rel=1e-5)
+
+
 def test_unknown_frame_is_refused():
     with pytest.raises(ValueError):
         OutlierRule(frame="week")

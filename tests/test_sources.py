@@ -78,6 +78,38 @@ def test_appended_slot_is_replaced_when_it_is_written_again(spark, folder):
     assert rows(store.read_all("log")) == [(0, "m"), (0, None), (1, "m"), (1, None), (2, "m")]
 
 
+def test_slots_never_share_a_folder(spark, folder):
+    store = TableStore(spark, folder)
+    parts = [("b-x", "y"), ("b", "x-y"), ("b/x", "y"), ("b_x", "y"), ("b=x", "y"), ("b", "x", "y"), ("b+x", "y"), ("b%2Bx", "y")]
+    for i, slot in enumerate(parts):
+        store.append(spark.range(i, i + 1), "log", *slot)
+    assert len(store.slots("log")) == len(parts)
+    assert rows(store.read_all("log")) == [(i,) for i in range(len(parts))]
+
+
+def test_rows_of_one_cluster_value_fill_several_tasks(spark, folder):
+    store = TableStore(spark, folder)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = spark.range(10_000).select(F.lit(1).alias("c"), "id")
+        store.write(df, "hot", cluster_by=["c"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    files = store.read("hot").groupBy(F.input_file_name()).count()
+    assert files.agg(F.max("count")).first()[0] < 5000
+
+
+def test_catalog_table_follows_the_version(spark, folder):
+    store = TableStore(spark, folder)
+    try:
+        for n in (5, 7):
+            store.write(spark.range(n), "followed")
+            store.create_table("followed", "followed_table")
+            assert spark.table("followed_table").count() == n
+    finally:
+        spark.sql("DROP TABLE IF EXISTS followed_table")
+
+
 def test_sql_surface(spark, folder):
     store = TableStore(spark, folder)
     store.write(spark.range(5), "numbers_view")
@@ -141,7 +173,7 @@ def test_jdbc_reads_in_ranges():
 
 def test_merge_statement():
     assert merge_statement("delta.`/x/t`", "v", ["a", "b"]) == (
-        "MERGE INTO delta.`/x/t` t USING v s ON t.`a` <=> s.`a` AND t.`b` <=> s.`b` "
+        "MERGE INTO delta.`/x/t` t USING v s ON t.`a` = s.`a` AND t.`b` = s.`b` "
         "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *")
 
 
