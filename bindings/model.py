@@ -223,8 +223,7 @@ def kpi_portfolio_daily(spark, folder):
         F.col("c_custkey").alias("id_cli"), F.col("c_mktsegment").alias("segmento_desc"), "ciudad_res"
     )
     loans = gold.fact_portfolio(_loans(spark, folder))
-    buyers = orders(spark, folder).withColumnRenamed("o_custkey", "id_cli")
-    kpi = gold.portfolio_kpi(loans, clients, AS_OF, skew_of=buyers)
+    kpi = gold.portfolio_kpi(loans, clients, AS_OF, skew_of=_loans(spark, folder).select("id_cli"))
     return _doubles(
         kpi, "monto_total_cartera", "monto_en_mora", "total_provision_estimada", "tasa_mora_pct"
     )

@@ -110,22 +110,27 @@ def process(
         bad = validate.envelope(validate.rejected(staged), ctx, spec.source)
         errors.append(bad, REJECTS, ctx.batch_id, spec.source)
         reasons = [rule.reason for rule in rules_for(spec, clients, ctx)]
-        measured = metric_rows(spec.source, metrics(raw, staged, written, reasons), ctx)
+        # Rows that "drop" leaves out are no duplicates: count before the rules, which costs the
+        # deduplication once more under that policy alone.
+        counted = cleaned(raw, spec, settings) if settings.null_policy == "drop" else staged
+        measured = metric_rows(spec.source, metrics(raw, staged, written, reasons, counted.count()), ctx)
         logs.append(measured, REPORT, ctx.batch_id, spec.source)
     return written
 
 
 def metrics(
-    raw: DataFrame, staged: DataFrame, written: DataFrame, reasons: Sequence[str] = ()
+    raw: DataFrame, staged: DataFrame, written: DataFrame, reasons: Sequence[str] = (),
+    kept: int | None = None,
 ) -> DataFrame:
     """One row of numbers: rows in, duplicates, NULL shares, rejects per reason, rows out.
 
+    ``kept`` is the number of rows behind the deduplication, that of ``staged`` if not given.
     Reasons that rejected nothing count 0. One aggregation over the raw table; the others read one column or none of what was written.
     """
     n = F.count(F.lit(1))
     rejects = dict.fromkeys(reasons, 0)
     rejects |= {r["_error_type"]: r["n"] for r in _reject_counts(staged).collect()}
-    kept = staged.count()
+    kept = staged.count() if kept is None else kept
     flags = [c for c in ("ind_sospechoso",) if c in written.columns]
     out = written.agg(n.alias("rows"), *[F.sum(c).alias(c) for c in flags]).first()
     nulls = [

@@ -140,7 +140,10 @@ def from_mapping(raw: Mapping, base: Settings = Settings()) -> Settings:
     layers = raw.get("pipeline", {})
     silver = layers.get("silver", {})
     if "pii_columns" in silver:
-        how = {"sha256_hash": "hash"}.get(silver.get("masking_strategy"), "hash")
+        strategy = silver.get("masking_strategy", "sha256_hash")
+        if strategy != "sha256_hash":
+            raise ValueError(f"unknown masking strategy {strategy!r}")
+        how = "hash"
         new["masks"] = {
             table: {c: base.masks.get(table, {}).get(c, Mask(how)) for c in cols}
             for table, cols in silver["pii_columns"].items()
