@@ -55,6 +55,15 @@ def upsert_by_key(spark, folder):
     return upsert(target, source, ["o_orderkey"], ["o_orderdate"])
 
 
+def upsert_null_keys(spark, folder):
+    """Low-priority orders have no key: all of them stay, from both sides."""
+    key = F.when(~F.col("o_orderpriority").startswith("5"), F.col("o_orderkey"))
+    every = orders(spark, folder).withColumn("o_orderkey", key)
+    target = every.where(F.col("o_orderstatus") != "F")
+    source = every.where(F.col("o_orderstatus") != "O").withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    return upsert(target, source, ["o_orderkey"], ["o_orderdate"])
+
+
 def upsert_initial(spark, folder):
     return upsert(None, orders(spark, folder), ["o_custkey"], ["o_orderdate"])
 
@@ -140,6 +149,7 @@ QUERIES = {
     "incremental_filter": incremental_filter,
     "incremental_filter_inclusive": incremental_filter_inclusive,
     "upsert_by_key": upsert_by_key,
+    "upsert_null_keys": upsert_null_keys,
     "upsert_initial": upsert_initial,
     "run_log": run_log,
     "ingest_incremental": ingest_incremental,
@@ -165,6 +175,14 @@ ORACLE = {
         WITH {_ORDERS_SQL}
         SELECT * REPLACE (CASE WHEN o_orderstatus <> 'O' THEN o_totalprice + 1 ELSE o_totalprice END
                           AS o_totalprice) FROM o""",
+    "upsert_null_keys": f"""
+        WITH {_ORDERS_SQL},
+        k AS (SELECT * REPLACE (CASE WHEN o_orderpriority NOT LIKE '5%' THEN o_orderkey END AS o_orderkey) FROM o)
+        SELECT * REPLACE (CASE WHEN o_orderstatus <> 'O' THEN o_totalprice + 1 ELSE o_totalprice END
+                          AS o_totalprice) FROM k WHERE o_orderkey IS NOT NULL
+        UNION ALL SELECT * FROM k WHERE o_orderkey IS NULL AND o_orderstatus <> 'F'
+        UNION ALL SELECT * REPLACE (o_totalprice + 1 AS o_totalprice) FROM k
+        WHERE o_orderkey IS NULL AND o_orderstatus <> 'O'""",
     "upsert_initial": f"""
         WITH {_ORDERS_SQL}
         SELECT * EXCLUDE (rn) FROM (
