@@ -12,6 +12,9 @@ from lamina.functions.mask import Mask, exposure, mask_columns
 from lamina.operators import impute
 from lamina.operators.dedup import drop_exact, keep_one
 from lamina.operators.incremental import with_audit
+from lamina.plans import silver
+from lamina.plans.tables import TableSpec
+from lamina.settings import from_mapping
 
 
 def standardize_types(spark, folder):
@@ -49,6 +52,31 @@ def mask_scaled(spark, folder):
     return masked.withColumn("o_totalprice_masked", F.col("o_totalprice_masked").cast("double"))
 
 
+CONFIG = {
+    "pipeline": {
+        "silver": {
+            "pii_columns": {"TB_OBLIGACIONES": ["sdo_capital"]},
+            "masking_strategy": "sha256_hash",
+            "null_handling": {"default": "flag", "overrides": {"c_acctbal": "impute_median"}},
+        }
+    }
+}
+
+
+def mask_amount_hash(spark, folder):
+    """An amount masked by the strategy of the configuration; it stays readable for the rules."""
+    amounts = orders(spark, folder).select("o_orderkey", F.col("o_totalprice").cast("decimal(18,2)").alias("sdo_capital"))
+    masked = mask_columns(amounts, from_mapping(CONFIG).masks["TB_OBLIGACIONES"])
+    return masked.withColumn("sdo_capital", F.col("sdo_capital").cast("double"))
+
+
+def null_policy_default(spark, folder):
+    """Missing values by the configuration: one column filled, all others flagged."""
+    gaps = customer_gaps(spark, folder).select("c_custkey", "c_acctbal", "c_mktsegment")
+    filled = silver.enriched(gaps, TableSpec("customer", "customer", "c_custkey"), from_mapping(CONFIG))
+    return filled.withColumn("c_acctbal", F.round("c_acctbal", 4))
+
+
 def pii_schema_check(spark, folder):
     policy = {"c_name": Mask(), "c_mktsegment": Mask(), "c_acctbal": Mask("scale", keep_clear=False)}
     raw = table(spark, folder, "customer")
@@ -116,6 +144,8 @@ QUERIES = {
     "normalize_text": normalize_text_query,
     "mask_sha256": mask_sha256,
     "mask_scaled": mask_scaled,
+    "mask_amount_hash": mask_amount_hash,
+    "null_policy_default": null_policy_default,
     "pii_schema_check": pii_schema_check,
     "dedup_exact": dedup_exact,
     "dedup_business_key": dedup_business_key,
@@ -147,6 +177,14 @@ ORACLE = {
                CAST(round(CAST(o_totalprice AS DECIMAL(18,2)) * 0.000001, 2) AS DOUBLE)
                    AS o_totalprice_masked
         FROM orders""",
+    "mask_amount_hash": """
+        SELECT o_orderkey, o_totalprice AS sdo_capital,
+               sha256(CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR)) AS sdo_capital_hash FROM orders""",
+    "null_policy_default": f"""
+        WITH {GAPS_SQL}
+        SELECT c_custkey, round(coalesce(c_acctbal, (SELECT median(c_acctbal) FROM gaps)), 4) AS c_acctbal,
+               c_mktsegment, CAST(c_acctbal IS NULL AS INTEGER) AS is_null_c_acctbal,
+               CAST(c_mktsegment IS NULL AS INTEGER) AS is_null_c_mktsegment FROM gaps""",
     "pii_schema_check": """
         WITH n AS (SELECT count(*) AS checked_rows, count(c_name) AS names,
                           count(c_acctbal) AS balances FROM customer)

@@ -45,6 +45,28 @@ def rolling_std(spark, folder):
     )
 
 
+def _drifted(rows, key, day, value):
+    """Whole numbers, a thousand million higher on all days of a key but its first."""
+    first = rows.groupBy(key).agg(F.min(day).alias("first_day"))
+    moved = lookup_join(rows, first, [key], "left")
+    later = F.when(F.col(day) > F.col("first_day"), 1_000_000_000).otherwise(0)
+    return moved.withColumn(value, F.floor(value) + later).drop("first_day")
+
+
+def rolling_std_drift(spark, folder):
+    """Deviations of values whose level has moved far beyond them."""
+    rows = orders(spark, folder).select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    rows = _drifted(rows, "o_custkey", "o_orderdate", "o_totalprice")
+    found = rolling_stats(rows, "o_custkey", "o_orderdate", "o_totalprice", 90)
+    return found.select("o_orderkey", "o_custkey", "o_orderdate", F.round("rolling_std", 1).alias("std_90d"))
+
+
+def suspicious_flag_drift(spark, folder):
+    rows = events(spark, folder).select("event_id", "user_id", "event_day", (F.col("value") * 100).alias("value"))
+    rows = _drifted(rows, "user_id", "event_day", "value")
+    return flag_outliers(rows, "user_id", "event_day", "value", OutlierRule()).drop("rolling_avg", "rolling_std")
+
+
 def business_hours(spark, folder):
     clock = events(spark, folder).select("event_id", F.date_format("ts", "HH:mm:ss").alias("clock"))
     return clock.withColumn("hours", dates.hours_flag(dates.hour_of("clock"), 7, 18))
@@ -134,6 +156,8 @@ QUERIES = {
     "suspicious_flag_excluding": suspicious_flag_excluding,
     "rolling_avg": rolling_avg,
     "rolling_std": rolling_std,
+    "rolling_std_drift": rolling_std_drift,
+    "suspicious_flag_drift": suspicious_flag_drift,
     "business_hours": business_hours,
     "delinquency_bucket": delinquency_bucket,
     "regulatory_rating": regulatory_rating,
@@ -161,6 +185,11 @@ def _flag_sql(frame: str) -> str:
 _30D = "PARTITION BY user_id ORDER BY event_day RANGE BETWEEN INTERVAL 30 DAYS PRECEDING AND CURRENT ROW"
 
 
+def _drift_sql(value: str, key: str, day: str) -> str:
+    later = f"CASE WHEN {day} > min({day}) OVER (PARTITION BY {key}) THEN 1000000000 ELSE 0 END"
+    return f"CAST(floor({value}) AS HUGEINT) + {later}"
+
+
 def _rolling_sql(aggregate: str, alias: str) -> str:
     return f"""
         WITH o AS (SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS o_orderdate,
@@ -188,6 +217,27 @@ ORACLE = {
         FROM d""",
     "rolling_avg": _rolling_sql("avg", "avg_90d"),
     "rolling_std": _rolling_sql("stddev_samp", "std_90d"),
+    # Sums of whole numbers are exact, whatever their level.
+    "rolling_std_drift": f"""
+        WITH o AS (SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS o_orderdate, o_totalprice FROM orders),
+        d AS (SELECT *, {_drift_sql("o_totalprice", "o_custkey", "o_orderdate")} AS x FROM o),
+        s AS (SELECT *, count(*) OVER w AS n, sum(x) OVER w AS sx, sum(x * x) OVER w AS sxx FROM d
+              WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate
+                           RANGE BETWEEN INTERVAL 90 DAYS PRECEDING AND CURRENT ROW))
+        SELECT o_orderkey, o_custkey, o_orderdate,
+               CASE WHEN n > 1 THEN round(sqrt(CAST(n * sxx - sx * sx AS DOUBLE) / (n * (n - 1))), 1) END AS std_90d
+        FROM s""",
+    "suspicious_flag_drift": f"""
+        WITH {_EVENTS_SQL},
+        d AS (SELECT * REPLACE ({_drift_sql("value * 100", "user_id", "event_day")} AS value) FROM e),
+        s AS (SELECT *, count(*) OVER w AS n, sum(value) OVER w AS sx, sum(value * value) OVER w AS sxx FROM d
+              WINDOW w AS (PARTITION BY user_id ORDER BY event_day
+                           RANGE BETWEEN INTERVAL 30 DAYS PRECEDING AND CURRENT ROW))
+        SELECT event_id, user_id, event_day, CAST(value AS BIGINT) AS value,
+               CAST(CASE WHEN n > 1 AND n * sxx > sx * sx AND n * value > sx
+                          AND (n * value - sx) * (n * value - sx) * (n - 1) > 9 * n * (n * sxx - sx * sx)
+                         THEN 1 ELSE 0 END AS INTEGER) AS is_outlier
+        FROM s""",
     "business_hours": """
         SELECT event_id, strftime(ts, '%H:%M:%S') AS clock,
                CASE WHEN hour(ts) BETWEEN 7 AND 18 THEN 'HABIL' ELSE 'NO_HABIL' END AS hours

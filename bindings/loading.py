@@ -9,9 +9,10 @@ from bindings.common import AS_OF, CTX, orders, table
 from lamina.operators.incremental import (
     after_watermark, high_watermark, upsert, watermark_frame, with_audit,
 )
-from lamina.plans import bronze
+from lamina.plans import bronze, silver
 from lamina.plans.tables import TableSpec
 from lamina.runtime import scratch_dir
+from lamina.settings import Settings
 from lamina.sources.files import CORRUPT, read_csv, write_csv
 from lamina.sources.store import TableStore
 
@@ -83,8 +84,7 @@ def run_log(spark, folder):
     return logs.read_all(bronze.LOG).select("table", "row_count", "status", "mode", "batch_id")
 
 
-def ingest_incremental(spark, folder):
-    """An upsert run on top of a first load: the raw orders afterwards, with the batch of each row."""
+def _two_loads(spark, folder, mode):
     root = _scratch(spark, "ingest")
     store, logs = TableStore(spark, f"{root}/bronze"), TableStore(spark, f"{root}/logs")
     spec = TableSpec("orders", "orders", "o_orderkey", watermark="o_orderdate")
@@ -93,10 +93,43 @@ def ingest_incremental(spark, folder):
     bronze.ingest_all([spec], lambda name: first, store, logs, CTX)
     changed = every.withColumn("o_totalprice", F.col("o_totalprice") + 1)
     later = type(CTX)("batch002", datetime(2024, 2, 2, 6, 30), AS_OF, CTX.source_system)
-    bronze.ingest_all([spec], lambda name: changed, store, logs, later, mode="incremental")
+    bronze.ingest_all([spec], lambda name: changed, store, logs, later, mode=mode)
+    return store, spec
+
+
+def ingest_incremental(spark, folder):
+    """An upsert run on top of a first load: the raw orders afterwards, with the batch of each row."""
+    store, _ = _two_loads(spark, folder, "incremental")
     return store.read("orders").select("o_orderkey", "o_orderdate", "o_totalprice", "_batch_id")
 
 
+def ingest_append_compact(spark, folder):
+    """The same with the increment appended, and folded in by a later compaction."""
+    store, spec = _two_loads(spark, folder, "append")
+    bronze.compact(spec, store)
+    return store.read("orders").select("o_orderkey", "o_orderdate", "o_totalprice", "_batch_id")
+
+
+def log_slots(spark, folder):
+    """Batches of two-part names that differ only in where the parts end, and those of the first name."""
+    store = TableStore(spark, _scratch(spark, "slots"))
+    every = orders(spark, folder).select("o_orderkey", "o_orderstatus")
+    store.append(every.where("o_orderstatus = 'F'"), "log", "b-x", "y")
+    store.append(every.where("o_orderstatus <> 'F'"), "log", "b", "x-y")
+    both = store.read_all("log").withColumn("of", F.lit("all"))
+    return both.unionByName(store.read_all("log", "b").withColumn("of", F.lit("b")))
+
+
+def csv_reject_bad_values(spark, folder):
+    """Lines of a CSV export whose amount is no number are rejects, not rows without an amount."""
+    path = _scratch(spark, "csv")
+    amount = F.when(F.col("o_orderstatus") == "P", "n/a").otherwise(F.col("o_totalprice").cast("string"))
+    write_csv(orders(spark, folder).select("o_orderkey", "o_orderstatus", amount.alias("o_totalprice")), path)
+    raw = read_csv(spark, path, "o_orderkey bigint, o_orderstatus string, o_totalprice double")
+    found = silver.tagged(raw, TableSpec("orders", "orders", "o_orderkey"), None, CTX, Settings())
+    return found.select("o_orderkey", "o_orderstatus", "o_totalprice", "_error_type")
+
+
 def sink_partitioned(spark, folder):
     """Orders written by year and month and read back: rows and totals of each partition."""
     store = TableStore(spark, _scratch(spark, "sink"))
@@ -153,6 +186,9 @@ QUERIES = {
     "upsert_initial": upsert_initial,
     "run_log": run_log,
     "ingest_incremental": ingest_incremental,
+    "ingest_append_compact": ingest_append_compact,
+    "log_slots": log_slots,
+    "csv_reject_bad_values": csv_reject_bad_values,
     "sink_partitioned": sink_partitioned,
     "sink_clustered": sink_clustered,
     "source_csv_roundtrip": source_csv_roundtrip,
@@ -162,6 +198,14 @@ QUERIES = {
 _ORDERS_SQL = "o AS (SELECT * REPLACE (CAST(o_orderdate AS DATE) AS o_orderdate) FROM orders)"
 _MARK_SQL = "(SELECT max(o_orderdate) FROM o WHERE o_orderstatus = 'F' AND o_orderdate <= DATE '2001-01-01')"
 
+_TWO_LOADS_SQL = f"""
+        WITH {_ORDERS_SQL}, m AS (
+            SELECT max(o_orderdate) AS mark FROM o WHERE o_orderdate <= DATE '2001-01-01')
+        SELECT o_orderkey, o_orderdate,
+               CASE WHEN o_orderdate >= mark THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+               CASE WHEN o_orderdate >= mark THEN 'batch002' ELSE 'batch001' END AS _batch_id
+        FROM o, m"""
+
 ORACLE = {
     "ingest_audit": f"""
         WITH {_ORDERS_SQL}
@@ -194,13 +238,14 @@ ORACLE = {
                'batch001' AS batch_id FROM customer
         UNION ALL SELECT 'orders', count(*), 'SUCCESS', 'full', 'batch001' FROM orders
         UNION ALL SELECT 'events', count(*), 'SUCCESS', 'full', 'batch001' FROM events""",
-    "ingest_incremental": f"""
-        WITH {_ORDERS_SQL}, m AS (
-            SELECT max(o_orderdate) AS mark FROM o WHERE o_orderdate <= DATE '2001-01-01')
-        SELECT o_orderkey, o_orderdate,
-               CASE WHEN o_orderdate >= mark THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
-               CASE WHEN o_orderdate >= mark THEN 'batch002' ELSE 'batch001' END AS _batch_id
-        FROM o, m""",
+    "ingest_incremental": _TWO_LOADS_SQL,
+    "ingest_append_compact": _TWO_LOADS_SQL,
+    "log_slots": """
+        SELECT o_orderkey, o_orderstatus, 'all' AS "of" FROM orders
+        UNION ALL SELECT o_orderkey, o_orderstatus, 'b' FROM orders WHERE o_orderstatus <> 'F'""",
+    "csv_reject_bad_values": """
+        SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS o_totalprice,
+               CASE WHEN o_orderstatus = 'P' THEN 'invalid_type' END AS _error_type FROM orders""",
     "sink_partitioned": """
         SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month,
                count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total

@@ -182,7 +182,7 @@ def silver_rejects(spark, folder):
 
 def fact_transactions(spark, folder):
     """The transaction fact over all events: one row each, straight from the clean layer."""
-    cleaned = silver.cleaned(_first_load(spark, folder), MOVEMENTS, MOVEMENT_SETTINGS)
+    cleaned = materialize(silver.cleaned(_first_load(spark, folder), MOVEMENTS, MOVEMENT_SETTINGS), "movements")
     clean = silver.enriched(cleaned.drop("_cast_error"), MOVEMENTS, MOVEMENT_SETTINGS)
     fact = gold.fact_transactions(clean, MOVEMENT_SETTINGS).drop("avg_30d", "std_30d")
     return _doubles(fact, "vr_mov", "vr_mov_usd")

@@ -6,6 +6,9 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from lamina.runtime import materialize
 
 # Values a single exact percentile may hold at once; longer ranges are narrowed first.
 _EXACT_VALUES = 1_000_000
@@ -16,43 +19,50 @@ def flag_nulls(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     return df.withColumns({f"is_null_{c}": F.col(c).isNull().cast("int") for c in cols})
 
 
-def _nth(df: DataFrame, v: str, rank: int, n: int, held: int):
-    """The value of 1-based ``rank`` among the ``n`` values of ``df``."""
+def _neighbours(df: DataFrame, v: str, low: int, high: int, n: int, held: int):
+    """The values of the 1-based ranks ``low`` and ``high`` among the ``n`` values of ``df``.
+
+    ``high`` is ``low`` or the rank behind it.
+    """
     inside, c = df, F.col(v)
     while n > held:
-        # Two estimated values enclose the rank; exact counts then tell which part holds it.
-        near = [max(0.0, (rank - 1) / n - 0.001), min(1.0, rank / n + 0.001)]
+        # Two estimated values enclose the ranks; exact counts then tell which part holds them.
+        near = [max(0.0, (low - 1) / n - 0.001), min(1.0, high / n + 0.001)]
         a, b = inside.agg(F.percentile_approx(v, near, F.lit(10_000))).first()[0]
-        below, at_a, within = inside.agg(
-            F.count_if(c < a), F.count_if(c == a), F.count_if(c.between(a, b))
+        below, at_a, within, before, behind, beyond = inside.agg(
+            F.count_if(c < a), F.count_if(c == a), F.count_if(c.between(a, b)),
+            F.max(F.when(c < a, c)), F.min(F.when(c > a, c)), F.min(F.when(c > b, c)),
         ).first()
-        if rank <= below:
+        if high <= below:
             inside, n = inside.where(c < a), below
-        elif rank <= below + at_a:
-            return a
-        elif rank <= below + within:
-            inside, rank, n = inside.where((c > a) & (c <= b)), rank - below - at_a, within - at_a
+        elif low <= below + at_a:
+            return before if low <= below else a, a if high <= below + at_a else behind
+        elif high <= below + within:
+            inside, n, skipped = inside.where((c > a) & (c <= b)), within - at_a, below + at_a
+            low, high = low - skipped, high - skipped
+        elif low <= below + within:
+            return b, beyond
         else:
-            inside, rank, n = inside.where(c > b), rank - below - within, n - below - within
-    share = (rank - 0.5) / n
-    return inside.agg(F.expr(f"percentile_disc({share}D) WITHIN GROUP (ORDER BY {v})")).first()[0]
+            inside, n, skipped = inside.where(c > b), n - below - within, below + within
+            low, high = low - skipped, high - skipped
+    ranks = [f"percentile_disc({(r - 0.5) / n}D) WITHIN GROUP (ORDER BY {v})" for r in (low, high)]
+    return tuple(inside.agg(*[F.expr(r).alias(f"r{i}") for i, r in enumerate(ranks)]).first())
 
 
 def median(df: DataFrame, col: str, held: int = _EXACT_VALUES):
     """Exact median of a numeric column; the mean of the two middle values for an even count.
 
-    Up to ``held`` values one exact aggregate answers. Beyond, the range around the middle is
-    narrowed by estimated percentiles with exact counts, one aggregate a step, until it is short.
+    The column alone is written to the scratch folder. There the range around the middle is narrowed
+    by estimated percentiles with exact counts, two aggregates a step, until it holds at most ``held``
+    values, of which one exact aggregate picks both.
     """
     values = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
+    values = materialize(values, "median")
     n = values.count()
     if n == 0:
         return None
-    if n <= held:
-        return values.agg(F.median("v")).first()[0]
-    a = _nth(values, "v", (n + 1) // 2, n, held)
-    b = a if n % 2 else _nth(values, "v", n // 2 + 1, n, held)
-    return (a + b) / 2
+    a, b = _neighbours(values, "v", (n + 1) // 2, n // 2 + 1, n, held)
+    return a + (b - a) / 2
 
 
 def mode(df: DataFrame, col: str):
@@ -83,12 +93,14 @@ def fill(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
 def handle_nulls(
     df: DataFrame, default: str, overrides: Mapping[str, str], cols: Iterable[str]
 ) -> DataFrame:
-    """Apply a policy per column: ``flag``, ``impute_median``, ``impute_mode`` or ``exclude``.
+    """Apply a policy per column: ``flag``, ``impute_median``, ``impute_mode``, ``impute`` or ``exclude``.
 
-    Imputed columns are flagged too, so that a filled value stays recognisable.
+    ``impute`` fills numbers with the median and everything else with the mode. Imputed columns are flagged too, so that a filled value stays recognisable.
     """
     cols = list(cols)
+    numbers = {f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)}
     how = {c: overrides.get(c, default) for c in cols}
+    how = {c: ("impute_median" if c in numbers else "impute_mode") if h == "impute" else h for c, h in how.items()}
     unknown = set(how.values()) - {"flag", "impute_median", "impute_mode", "exclude"}
     if unknown:
         raise ValueError(f"unknown null handling {sorted(unknown)}")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from lamina.context import RunContext
 from lamina.operators.dedup import keep_one
 from lamina.operators.joins import DEFAULT_SKEW, SkewPolicy, lookup_join
-
+from lamina.runtime import materialize
 
 _BATCH = "_batch_id"
 
@@ -80,9 +80,11 @@ def upsert(
     keys = list(keys)
     no_key = reduce(operator.or_, [F.col(k).isNull() for k in keys])
     latest = keep_one(source.where(~no_key), keys, order, last=True)
-    arrived = latest.unionByName(source.where(no_key))
     if target is None:
-        return arrived
+        return latest.unionByName(source.where(no_key))
+    # Measured, joined and added to the result: written once instead of reduced three times.
+    latest = materialize(latest, "latest-rows")
+    arrived = latest.unionByName(source.where(no_key))
     kept = lookup_join(target.where(~no_key), latest.select(*keys), keys, "left_anti", policy)
     loose = target.where(no_key)
     if _BATCH in target.columns and _BATCH in source.columns:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -19,13 +20,15 @@ def hashed_key(df: DataFrame, cols: Sequence[str], alias: str) -> DataFrame:
     return df.withColumn(alias, natural_digest(cols))
 
 
-def dense_key(df: DataFrame, cols: Sequence[str], alias: str, digits: int = 2) -> DataFrame:
+def dense_key(df: DataFrame, cols: Sequence[str], alias: str, digits: int | None = None) -> DataFrame:
     """Numbers 1..n without gaps for a frame with one row per natural key.
 
     Rows are numbered by digest. The first ``digits`` hex digits cut them into even buckets, each
     numbered on its own behind the total of the buckets before it, so no task sorts everything.
-    Raise ``digits`` with the size of the dimension: there are ``16**digits`` buckets.
+    There are ``16**digits`` buckets, by default as many digits as leave about 100,000 rows to each.
     """
+    if digits is None:
+        digits = max(1, math.ceil(math.log(max(df.count(), 1) / 100_000, 16)))
     keyed = df.withColumn("__digest", natural_digest(cols))
     keyed = keyed.withColumn("__bucket", F.substring("__digest", 1, digits))
     sizes = keyed.groupBy("__bucket").agg(F.count(F.lit(1)).alias("__n"))

@@ -38,8 +38,12 @@ def increments(spec: TableSpec, store: TableStore) -> str:
     """Name of the table holding what came in after the current version was written."""
     if store.fmt == "delta":  # merges in place and has none
         return f"{spec.source}_since"
-    version = store.path(spec.source).rsplit("/", 1)[-1].replace("version=", "")
-    return f"{spec.source}_since_{version}"
+    return increments_of(spec, store.path(spec.source))
+
+
+def increments_of(spec: TableSpec, path: str) -> str:
+    """Name of the table holding what came in after the version in ``path`` was written."""
+    return f"{spec.source}_since_{path.rsplit('/', 1)[-1].replace('version=', '')}"
 
 
 def read_raw(spec: TableSpec, store: TableStore) -> DataFrame:
@@ -57,8 +61,17 @@ def read_raw(spec: TableSpec, store: TableStore) -> DataFrame:
 
 
 def compact(spec: TableSpec, store: TableStore) -> str:
-    """Write the raw table as a new version, which later increments start from."""
-    return store.write(read_raw(spec, store), spec.source, INGEST_PARTITIONS)
+    """Write the raw table as a new version, which later increments start from.
+
+    The increments it holds now are deleted behind it. Readers that opened the table before must have
+    finished, as with ``prune``.
+    """
+    folded = increments(spec, store)
+    with scratch_scope(store.spark):
+        path = store.write(read_raw(spec, store), spec.source, INGEST_PARTITIONS)
+    if store.fmt != "delta":
+        store.delete_appended(folded)
+    return path
 
 
 def ingest_table(
@@ -98,8 +111,8 @@ def ingest_table(
             incoming = materialize(with_audit(source, ctx), f"incoming-{spec.source}")
             store.merge(upsert(None, incoming, [spec.key], order), spec.source, [spec.key])
             return incoming.count(), store.path(spec.source)
-    current = read_raw(spec, store)
     with scratch_scope(store.spark):
+        current = read_raw(spec, store)
         incoming = materialize(with_audit(source, ctx), f"incoming-{spec.source}")
         path = store.write(upsert(current, incoming, [spec.key], order), spec.source, INGEST_PARTITIONS)
         return incoming.count(), path

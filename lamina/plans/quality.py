@@ -47,8 +47,7 @@ def gold_checks(as_of: date) -> list[Check]:
 
 def conformity_results(logs: TableStore, ctx: RunContext, minimum: float) -> DataFrame:
     """A result per clean table whose conformity rate this batch reported."""
-    mine = (F.col("batch_id") == ctx.batch_id) & (F.col("metric") == "conformity_rate")
-    rates = logs.read_all(silver.REPORT).where(mine)
+    rates = logs.read_all(silver.REPORT, ctx.batch_id).where(F.col("metric") == "conformity_rate")
     passed = F.col("value") >= F.lit(minimum)
     return rates.select(
         F.lit("min_conformity_rate").alias("check_name"),
@@ -94,5 +93,4 @@ def check_gold(
         names = [*NOT_EMPTY, *[t.silver for t in ALL]]
         results = results.unionByName(exposure_results(stores, names, set(settings.sensitive)))
     logs.append(checks.for_log(results, ctx), RESULTS, ctx.batch_id)
-    mine = logs.read_all(RESULTS)
-    return checks.summary(mine.where(mine["batch_id"] == ctx.batch_id))
+    return checks.summary(logs.read_all(RESULTS, ctx.batch_id))

@@ -49,10 +49,12 @@ def run_layers(
     settings: Settings = Settings(),
     mode: str = "full",
     specs: Sequence[TableSpec] = tables.ALL,
+    database: str | None = None,
 ) -> RunResult:
     """Ingest, clean, model, check and report. ``read`` opens a source table by name.
 
-    A failing run leaves a report too, before its error is raised.
+    With a ``database``, its external tables of the dimensional layer are pointed to what the run
+    wrote. A failing run leaves a report too, before its error is raised.
     """
     tune(spark)
     try:
@@ -64,6 +66,9 @@ def run_layers(
         verdict = quality.check_gold(
             layers.gold, layers.logs, ctx, settings, layers.silver
         ).first()
+        if database is not None:
+            for name in gold.TABLES:
+                layers.gold.create_table(name, f"{database}.{name}")
         if settings.keep_versions is not None:
             _prune(layers, specs, settings.keep_versions)
     except Exception as error:
@@ -74,7 +79,9 @@ def run_layers(
 
 def _prune(layers: Layers, specs: Sequence[TableSpec], keep: int) -> None:
     for spec in specs:
-        layers.bronze.prune(spec.source, keep)
+        for path in layers.bronze.prune(spec.source, keep):
+            # What was appended to a version that is gone.
+            layers.bronze.delete_appended(bronze.increments_of(spec, path))
         layers.silver.prune(spec.silver, keep)
     for name in gold.TABLES:
         layers.gold.prune(name, keep)
@@ -88,8 +95,8 @@ def _report(
     anomaly = bool(volume and volume["is_anomaly"])
     row = report.run_report(
         ingest_log,
-        layers.logs.read_all(silver.REPORT),
-        layers.logs.read_all(quality.RESULTS),
+        layers.logs.read_all(silver.REPORT, ctx.batch_id),
+        layers.logs.read_all(quality.RESULTS, ctx.batch_id),
         ctx,
         NAME,
         anomaly,

@@ -13,7 +13,7 @@ from lamina.functions.dates import hour_of, hours_flag
 from lamina.functions.mask import mask_columns
 from lamina.functions.money import ratio
 from lamina.operators import impute, rolling, validate
-from lamina.operators.dedup import drop_business_copies, drop_exact
+from lamina.operators.dedup import business_columns, drop_business_copies, drop_exact
 from lamina.operators.profile import metric_rows
 from lamina.operators.validate import Rule
 from lamina.plans import tables
@@ -71,6 +71,7 @@ def tagged(
 
 def enriched(df: DataFrame, spec: TableSpec, settings: Settings) -> DataFrame:
     """Derived columns of valid rows."""
+    given = business_columns(df, spec.key)
     if spec.source == tables.MOVEMENTS.source:
         start, end = settings.hours
         df = df.withColumn("flag_horario", hours_flag(hour_of("hra_mov"), start, end))
@@ -78,9 +79,10 @@ def enriched(df: DataFrame, spec: TableSpec, settings: Settings) -> DataFrame:
             df, "id_cli", "fec_mov", "vr_mov", settings.outlier,
             "avg_30d", "std_30d", "ind_sospechoso", settings.skew,
         )
-    wanted = [c for c in settings.null_handling or {} if c in df.columns]
+    named = settings.null_handling or {}
+    wanted = [c for c in given if c in named or settings.null_default]
     if wanted:
-        df = impute.handle_nulls(df, "flag", settings.null_handling, wanted)
+        df = impute.handle_nulls(df, settings.null_default or "flag", named, wanted)
     return df
 
 
@@ -100,8 +102,8 @@ def process(
     reject counts are all read from there, with the filter pushed to the scan. Counts come from
     written tables, so they are exact whatever had to be recomputed.
     """
-    raw = read_raw(spec, bronze)
     with scratch_scope(bronze.spark):
+        raw = read_raw(spec, bronze)
         staged = materialize(tagged(raw, spec, clients, ctx, settings), spec.silver)
         good = enriched(validate.valid(staged), spec, settings)
         good = good.withColumn("_silver_timestamp", F.lit(ctx.utc).cast("timestamp"))

@@ -89,6 +89,8 @@ class Settings:
     null_policy: str = "reject"
     # None leaves missing values as they are; a mapping turns handling on for its columns.
     null_handling: Mapping[str, str] | None = None
+    # How the other columns of a table are handled; None leaves those as they are.
+    null_default: str | None = None
     # Checked only where given.
     min_conformity: float | None = None
     # Columns that must not appear in clear beyond the raw layer; checked only where given.
@@ -143,13 +145,15 @@ def from_mapping(raw: Mapping, base: Settings = Settings()) -> Settings:
         strategy = silver.get("masking_strategy", "sha256_hash")
         if strategy != "sha256_hash":
             raise ValueError(f"unknown masking strategy {strategy!r}")
-        how = "hash"
+        # Amounts that the rules and facts compute with stay readable beside their digest.
+        clear = {(t, c) for t, masks in base.masks.items() for c, m in masks.items() if m.clear_stays}
         new["masks"] = {
-            table: {c: base.masks.get(table, {}).get(c, Mask(how)) for c in cols}
+            table: {c: Mask("hash", keep_clear=(table, c) in clear) for c in cols}
             for table, cols in silver["pii_columns"].items()
         }
     if "null_handling" in silver:
         new["null_handling"] = dict(silver["null_handling"].get("overrides", {}))
+        new["null_default"] = silver["null_handling"].get("default")
     partitions = layers.get("gold", {}).get("partition_dimensions", {})
     if partitions:
         new["partitions"] = {**base.partitions, **{t: tuple(c) for t, c in partitions.items()}}

@@ -61,7 +61,7 @@ class TableStore:
         if self.fmt == "delta":
             writer = writer.mode("overwrite").option("overwriteSchema", "true")
         else:
-            path = f"{path}/{_version()}"
+            path = f"{path}/{_version(self.path(name))}"
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.save(path)
@@ -122,8 +122,9 @@ class TableStore:
         Batches may have different columns. The parts of a slot are escaped, so that different slots
         never share a folder.
         """
-        folder = f"{self.root}/{name}/{_SLOT}=s-{'+'.join(quote(part, safe='') for part in slot)}"
-        path = f"{folder}/{_version()}"
+        folder = f"{self.root}/{name}/{_folder_of(slot)}"
+        before = {p.rsplit("/", 1)[0]: p for p in self.slots(name)}
+        path = f"{folder}/{_version(before.get(folder))}"
         df.write.format("parquet").save(path)
         return path
 
@@ -134,13 +135,24 @@ class TableStore:
             latest[path.rsplit("/", 1)[0]] = path
         return sorted(latest.values())
 
-    def read_all(self, name: str) -> DataFrame:
-        """Every committed batch of an append-only table, with the union of their columns."""
+    def read_all(self, name: str, *slot: str) -> DataFrame:
+        """Every committed batch of an append-only table, with the union of their columns.
+
+        With the first parts of a ``slot``, only the batches whose slots begin with them are opened.
+        """
         folders = self.slots(name)
+        if slot:
+            wanted = _folder_of(slot)
+            named = {f: f.rsplit("/", 2)[1] for f in folders}
+            folders = [f for f in folders if named[f] == wanted or named[f].startswith(f"{wanted}+")]
         if not folders:
             raise FileNotFoundError(f"no table {name!r} under {self.root}")
         return self.spark.read.option("mergeSchema", "true").parquet(*folders)
 
+    def delete_appended(self, name: str) -> None:
+        """Delete an append-only table with all of its batches."""
+        delete_folder(self.spark, f"{self.root}/{name}")
+
     # -- SQL ---------------------------------------------------------------------------------
 
     def register(self, *names: str) -> dict[str, str]:
@@ -170,8 +182,15 @@ class TableStore:
         return [str(s.getPath()) for s in found or []]
 
 
-def _version() -> str:
-    stamp = datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S%f")
+def _folder_of(slot: Sequence[str]) -> str:
+    return f"{_SLOT}=s-{'+'.join(quote(part, safe='') for part in slot)}"
+
+
+def _version(before: str | None = None) -> str:
+    """Name of a version behind ``before``, even where the clock that named that one was ahead."""
+    stamp = int(datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S%f"))
+    if before:
+        stamp = max(stamp, int(before.rsplit("version=", 1)[1].split("-")[0]) + 1)
     return f"version={stamp}-{uuid.uuid4().hex[:8]}"
 
 
