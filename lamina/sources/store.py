@@ -122,9 +122,9 @@ class TableStore:
         Batches may have different columns. The parts of a slot are escaped, so that different slots
         never share a folder.
         """
-        folder = f"{self.root}/{name}/{_folder_of(slot)}"
-        before = {p.rsplit("/", 1)[0]: p for p in self.slots(name)}
-        path = f"{folder}/{_version(before.get(folder))}"
+        folder = _folder_of(slot)
+        before = {p.rsplit("/", 2)[1]: p for p in self.slots(name)}
+        path = f"{self.root}/{name}/{folder}/{_version(before.get(folder))}"
         df.write.format("parquet").save(path)
         return path
 

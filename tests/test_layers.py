@@ -215,7 +215,10 @@ def test_increments_update_and_add(spark, folder, mode):
         assert got == [(1, 100.0, "run1"), (100, 90001.0, "run2"), (104, 1001.0, "run2"), (105, 1000.0, "run2")]
     assert (result.status, result.row_count) == ("SUCCESS", 6)
     before = rows(raw)
+    folded = bronze.increments(spec, layers.bronze)
+    assert bool(layers.bronze.slots(folded)) == (mode == "append")
     bronze.compact(spec, layers.bronze)
+    assert not layers.bronze.slots(folded)
     assert rows(bronze.read_raw(spec, layers.bronze).select(*raw.columns)) == before
     assert not layers.bronze.slots(bronze.increments(spec, layers.bronze))
 
@@ -307,7 +310,13 @@ def test_settings_from_a_configuration():
     assert s.fx_to_usd == {"COP": 0.5} and s.segments == {"01": "Uno"}
     assert (s.outlier.threshold, s.outlier.days, s.hours, s.lookback_months) == (2.0, 7, (8, 17), 6)
     assert s.buckets[0].value == "ok" and s.ratings[0].value == "Z" and s.provisions[0].value == 0.2
-    assert s.masks["T"]["c"].how == "hash" and s.null_handling == {"score_buro": "impute_median"}
+    assert s.masks["T"]["c"].how == "hash" and not s.masks["T"]["c"].clear_stays
+    assert s.null_handling == {"score_buro": "impute_median"} and s.null_default == "flag"
+    amounts = from_mapping({"pipeline": {"silver": {"pii_columns": {"TB_OBLIGACIONES": ["sdo_capital"]}}}})
+    mask = amounts.masks["TB_OBLIGACIONES"]["sdo_capital"]
+    assert mask.how == "hash" and mask.clear_stays
+    with pytest.raises(ValueError):
+        from_mapping({"pipeline": {"silver": {"pii_columns": {}, "masking_strategy": "rot13"}}})
     assert s.partitions["fact_cartera"] == ("calif_riesgo",) and "fact_transacciones" in s.partitions
     assert (s.min_conformity, s.volume_threshold_pct) == (0.9, 12.0)
     assert s.sensitive == ("c",)

@@ -229,3 +229,24 @@ def test_streaming_ingest_upserts_arrivals(spark, folder):
     arrive([(2, 3, "B"), (3, 1, "c")], "second")
     assert run() == [(1, 1, "a"), (2, 3, "B"), (3, 1, "c")]
     assert run() == [(1, 1, "a"), (2, 3, "B"), (3, 1, "c")]
+
+
+def test_versions_follow_the_last_one_whatever_the_clock_says(spark, folder):
+    store = TableStore(spark, folder)
+    spark.range(1).write.parquet(f"{folder}/t/version=29990101000000000000-aaaaaaaa")
+    store.write(spark.range(2), "t")
+    assert store.read("t").count() == 2
+    spark.range(1).write.parquet(f"{folder}/log/_slot=s-a/version=29990101000000000000-aaaaaaaa")
+    store.append(spark.range(3), "log", "a")
+    assert store.read_all("log").count() == 3
+
+
+def test_batches_are_read_by_the_first_parts_of_their_slots(spark, folder):
+    store = TableStore(spark, folder)
+    for n, slot in enumerate([("a", "x"), ("a", "y"), ("a+x",), ("ab",)], 1):
+        store.append(spark.range(n), "log", *slot)
+    assert store.read_all("log", "a").count() == 3
+    assert store.read_all("log", "a", "y").count() == 2
+    assert store.read_all("log").count() == 10
+    with pytest.raises(FileNotFoundError):
+        store.read_all("log", "b")
