@@ -34,10 +34,11 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by n-gram similarity, directly or over others, the one of the smallest id.
 
+    Two documents link when their sets of runs of five words have a Jaccard similarity of 0.8 or more.
     Rows that share the id of a kept document are told apart by nothing, so one of equal rows with
     that id stays; rows without an id stay where no linked document has one.
     """
-    found = jaccard.jaccard_components(docs)
+    found = jaccard.jaccard_components(docs, n=5, num=80, den=100)
     kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept"))
     kept = materialize(kept, "kept-documents")
     ids = kept.distinct()

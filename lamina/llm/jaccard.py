@@ -8,6 +8,10 @@ in blocks of rows that can have links at all:
    ``b`` being their sizes. Cutting the hash space into ``m > k`` segments leaves at least ``m - k`` of
    them equal in both sets. Rows that share no segment of a band of sizes are never compared, and
    the rows that do, directly or over others, are gathered by connected components.
+   Below a similarity of 0.87 segments would be too short to say anything. There a set of ``a`` elements
+   names the first ``a - ceil(t a) + 1`` of them in an order common to all sets; the first element that two
+   linked sets share is among those of both. The order of hashes leaves out most sets, and of the
+   others the order by rarity leaves out all elements that no second set has.
 3. A gathered group is cut into blocks by size band and hash, and pairs of blocks whose sizes allow a
    link are multiplied, panel by panel of n-grams. Pairs whose overlap so far plus what is left
    cannot reach the bound of their sizes are discarded, and a product stops when none is alive.
@@ -38,6 +42,8 @@ _PANEL = 4096  # n-grams multiplied at once
 _TOGETHER = 512  # rows of small groups that one call multiplies, group by group
 _WEAK = 3  # segments of fewer elements say little
 _BROADCAST_BYTES = 32 << 20
+_SEGMENTS_FROM = 87  # per cent of similarity from which segments hold about six elements or more
+_CELLS = 1 << 18  # elements of sets in one batch, about
 
 
 def shingles(words: np.ndarray, n: int) -> np.ndarray:
@@ -107,6 +113,15 @@ def signatures(hashes: np.ndarray, bands: Bands) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
+def by_prefix(bands: Bands) -> bool:
+    return 100 * bands.num < _SEGMENTS_FROM * bands.den
+
+
+def prefix_length(size: int, bands: Bands) -> int:
+    """Of how many first elements, in any one order, two linked sets share one."""
+    return size - -(-bands.num * size // bands.den) + 1
+
+
 def jaccard_components(
     docs: DataFrame,
     n: int = 3,
@@ -138,6 +153,8 @@ def jaccard_components(
         classes.select("row"), "row", "left_semi"
     )
     cells = signed.select("node", F.explode("signatures").alias("segment"))
+    if by_prefix(bands):
+        cells = _rarest(texts, signed, cells, n, bands)
     shared = cells.groupBy("segment").agg(F.min("node").alias("least"), F.max("node").alias("most"))
     shared = shared.where("least != most").select("segment", "least")
     stars = cells.join(shared, "segment").where("node != least").select("node", "least").distinct()
@@ -186,7 +203,8 @@ def _signer(n: int, num: int, den: int):
                     hashes = shingles(texts.words(i), n)
                     sizes.append(len(hashes))
                     nodes.append(_node(hashes) if len(hashes) else None)
-                    signed.append(signatures(hashes, bands) if len(hashes) else hashes)
+                    first = hashes[: prefix_length(len(hashes), bands)] if by_prefix(bands) else None
+                    signed.append(hashes if not len(hashes) else signatures(hashes, bands) if first is None else first)
                 ends = np.concatenate(([0], np.cumsum([len(s) for s in signed]))).astype(np.int32)
                 flat = np.concatenate(signed).view(np.int64) if signed else np.zeros(0, np.int64)
                 yield pa.RecordBatch.from_pydict(
@@ -203,6 +221,59 @@ def _signer(n: int, num: int, den: int):
     return sign
 
 
+def _sets(texts: DataFrame, members: DataFrame, n: int) -> DataFrame:
+    """``node`` and ``grams`` of the rows that have the ids of ``members``, read from their texts again."""
+    wanted = members.select("doc_id").distinct()
+    if members.count() * 16 <= _BROADCAST_BYTES:
+        wanted = F.broadcast(wanted)
+    found = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["doc_id"]), "left_semi")
+    sets = found.mapInArrow(_set_maker(n), "node long, grams binary")
+    # Copies have the same set; one of each class in a task goes on.
+    return sets.groupBy("node").agg(F.first("grams").alias("grams"))
+
+
+def _rarest(texts: DataFrame, signed: DataFrame, cells: DataFrame, n: int, bands: Bands) -> DataFrame:
+    """``node`` and ``segment``: the first elements of the sets that may have links, the rarest first.
+
+    ``cells`` are the first elements by hash. A set of which no other has one of these has no links.
+    Elements that one set alone has come first and are not returned, as they meet nothing.
+    """
+    met = cells.groupBy("segment").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("segment")
+    nodes = cells.join(met, "segment", "left_semi").select("node").distinct()
+    chosen = materialize(signed.select("node", "doc_id").join(nodes, "node", "left_semi"), "jaccard-candidates")
+    sets = _sets(texts, chosen, n).join(chosen.select("node"), "node", "left_semi")
+    sets = materialize(sets, "jaccard-candidate-sets")
+    elements = sets.mapInArrow(_elements, "node long, segment long")
+    counts = elements.groupBy("segment").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # At most the elements of one set are collected.
+    common = elements.join(counts, "segment").groupBy("node").agg(
+        F.collect_list(F.struct("n", "segment")).alias("common")
+    )
+    size = (F.octet_length("grams") / 8).cast("long")
+    common = common.join(sets.select("node", size.alias("size")), "node")
+    least = F.expr(f"(size * {bands.num} + {bands.den - 1}) div {bands.den}")
+    # The elements of this set alone are size - size(common); what is left of the first size - least + 1 is common.
+    rest = F.greatest(F.size("common") - least + 1, F.lit(0)).cast("int")
+    first = common.select("node", F.slice(F.array_sort("common"), F.lit(1), rest).alias("first"))
+    return materialize(first.select("node", F.explode("first.segment").alias("segment")), "jaccard-rarest")
+
+
+def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each element of a set."""
+    for batch in batches:
+        nodes, held, size = [], [], 0
+        for node, grams in zip(batch.column("node").to_pylist(), batch.column("grams")):
+            grams = np.frombuffer(grams.as_buffer(), np.int64)
+            nodes.append(np.full(len(grams), node, np.int64))
+            held.append(grams)
+            size += len(grams)
+            if size >= _CELLS:
+                yield pa.RecordBatch.from_arrays([np.concatenate(nodes), np.concatenate(held)], names=["node", "segment"])
+                nodes, held, size = [], [], 0
+        if size:
+            yield pa.RecordBatch.from_arrays([np.concatenate(nodes), np.concatenate(held)], names=["node", "segment"])
+
+
 def _products(
     texts: DataFrame, rows: DataFrame, classes: DataFrame, groups: DataFrame, n: int, bands: Bands
 ) -> DataFrame:
@@ -260,13 +331,7 @@ def _products(
     work = small.unionByName(large)
 
     # The sets again, from the texts of these rows only.
-    wanted = members.select("doc_id").distinct()
-    if members.count() * 16 <= _BROADCAST_BYTES:
-        wanted = F.broadcast(wanted)
-    found = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["doc_id"]), "left_semi")
-    sets = found.mapInArrow(_set_maker(n), "node long, grams binary")
-    # Copies have the same set; one of each class in a task goes on.
-    sets = sets.groupBy("node").agg(F.first("grams").alias("grams"))
+    sets = _sets(texts, members, n)
     work = work.join(sets, "node").select("bin", "root", "node", "copies", "side", "crossed", "grams")
     return materialize(work.groupBy("bin").applyInArrow(_multiplier(num, den), _LINKED), "jaccard-links")
 

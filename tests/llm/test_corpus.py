@@ -59,3 +59,13 @@ def test_pipeline_stages(spark, folder):
     for _, stage in corpus_pipeline.STAGES:
         nothing = stage(spark, nothing, SMALL)
     assert nothing.count() == 0
+
+
+def test_pipeline_drops_looser_copies(spark):
+    words = [f"w{i}" for i in range(200)]
+    edited = [f"v{i}" if i % 50 == 25 else w for i, w in enumerate(words)]
+    other = [f"v{i}" if i % 20 == 10 else w for i, w in enumerate(words)]  # about 0.6
+    texts = [words, words + [f"a{i}" for i in range(30)], words[:170], edited, other]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    kept = corpus_pipeline.keep_one_of_each_group(spark, docs, SMALL)
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 4]

@@ -167,6 +167,50 @@ def test_jaccard_loses_no_link(spark, docs, empty):
     assert jaccard.jaccard_components(empty).count() == 0
 
 
+def loose_copies(n, seed):
+    """Copies of similarities about 0.75 to 0.95, all with one common line, and texts of little but that line."""
+    draw = random.Random(seed)
+    line = [f"l{i}" for i in range(12)]
+    rows = []
+    for group in range(n):
+        words = [f"w{group}x{i}" for i in range(draw.choice([4, 5, 7, 20, 60, 200, 700]))]
+        for _ in range(draw.randint(1, 5)):
+            rows.append((len(rows), " ".join(line + words if group % 3 else words)))
+            kind = draw.randrange(4)
+            if kind == 0:
+                words = words + [f"a{draw.random()}" for _ in range(int(len(words) * draw.uniform(0.05, 0.25)))]
+            elif kind == 1:
+                words = words[: max(1, int(len(words) * draw.uniform(0.8, 0.95)))]
+            else:
+                words = list(words)
+                for _ in range(int(len(words) * draw.uniform(0.0, 0.025))):
+                    words[draw.randrange(len(words))] = f"v{draw.random()}"
+    return rows + [(len(rows) + i, " ".join(line + [f"t{i // 2}", f"u{i}"][: i % 3])) for i in range(30)]
+
+
+@pytest.mark.parametrize("bound", [80, 85])
+def test_jaccard_loses_no_link_at_looser_bounds(spark, docs, empty, bound):
+    rows = loose_copies(60, bound)
+    expected = brute_components(rows, 5, bound)
+    assert sum(n * (x[3] > 0) for x, n in expected.items()) > 40
+    found = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 5, bound)
+    assert collections.Counter(map(tuple, found.collect())) == expected
+    found = jaccard.jaccard_components(docs, 5, bound)
+    assert collections.Counter(map(tuple, found.collect())) == brute_components(texts(), 5, bound)
+    assert jaccard.jaccard_components(empty, 5, bound).count() == 0
+
+
+def test_a_common_line_makes_no_candidates_at_looser_bounds(spark, monkeypatch):
+    line = " ".join(f"l{i}" for i in range(30))
+    rows = [(i, line + " " + " ".join(f"w{i}x{j}" for j in range(150))) for i in range(40)]
+    rows += [(50, rows[7][1] + " " + " ".join(f"y{j}" for j in range(25)))]
+    kept, rarest = [], jaccard._rarest
+    monkeypatch.setattr(jaccard, "_rarest", lambda *a: kept.append(rarest(*a)) or kept[-1])
+    found = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80)
+    assert sorted(r.doc_id for r in found.collect() if r.n_links) == [7, 50]
+    assert kept[0].select("node").distinct().count() == 2
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(100, 160)] + [(7, 7), (3, 9), (9, 3), (None, 5)]
     found = components.connected_components(spark.createDataFrame(chain, "a long, b long"))
