@@ -2,7 +2,8 @@
 
 The domain of a document is known only for a labelled table; for all others a classifier learned from
 it gives the chance of each domain, and a document counts for every domain by that chance. The rates
-are those nonnegative numbers for which the expected tokens of every domain are closest to the targets,
+are those nonnegative numbers, above 1 where a domain is scarce, for which the expected tokens of every
+domain are closest to the targets,
 found by projected gradient steps of which each is one aggregation over the documents' chances.
 
 Everything here is DataFrame operations; the driver sees a handful of sums per step.
@@ -11,7 +12,9 @@ Everything here is DataFrame operations; the driver sees a handful of sums per s
 from __future__ import annotations
 
 import math
+import warnings
 from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -192,27 +195,52 @@ def domain_posteriors(
     return scored.select(*kept, F.col("__words").alias("n_tokens"), *shares)
 
 
+@dataclass(frozen=True)
+class Fit:
+    """The rate of a row as an expression of its ``p_<domain>`` columns, and how far it gets.
+
+    ``wanted`` and ``reached`` are the tokens of each domain, ``present`` those before.
+    """
+
+    rate: Column
+    present: dict[str, float]
+    wanted: dict[str, float]
+    reached: dict[str, float]
+
+    def shares(self) -> dict[str, tuple[float, float]]:
+        """The wanted and the reached share of each domain of all tokens."""
+        wanted, reached = sum(self.wanted.values()) or 1.0, sum(self.reached.values()) or 1.0
+        return {d: (self.wanted[d] / wanted, self.reached[d] / reached) for d in self.wanted}
+
+    def short(self, tolerance: float = 0.01) -> dict[str, tuple[float, float]]:
+        """The shares of the domains whose tokens are off their target by more than ``tolerance`` of it."""
+        off = [d for d, t in self.wanted.items() if abs(self.reached[d] - t) > tolerance * t]
+        return {d: s for d, s in self.shares().items() if d in off}
+
+
 def fit_rates(
     docs: DataFrame, weights: Mapping[str, float], anchor: str, steps: int = 60, tolerance: float = 1e-4
-) -> Column:
-    """The rate of a row as an expression of its ``p_<domain>`` columns.
+) -> Fit:
+    """Rates for the targets of ``weights``, and the tokens that they reach.
 
     With ``s`` the present tokens of a domain and ``T`` its target, the rates minimise the sum of
     ``(expected - T)^2 / s``. A step takes from each rate the mean of the relative surpluses of its
     domains by their chances, which is the gradient measured per token, and cuts it at 0. The
     matrix of these steps is stochastic, so that a step of length 1 never overshoots.
-    The ``anchor`` domain keeps the tokens it has, and the others get theirs by ``weights`` in
-    proportion, though no more than they have. The steps end when the root of the weighted mean
-    square of the relative surpluses is below ``tolerance`` or stops falling.
+    The ``anchor`` domain is to keep the tokens it has, and the others get theirs by ``weights`` in
+    proportion, with rates above 1 where they have fewer. The steps end when the root of the weighted
+    mean square of the relative surpluses is below ``tolerance``, when it hardly falls any more, or after
+    ``steps``; targets that are not reached then (of a domain without tokens, or one that the classifier
+    hardly tells from others) are in ``Fit.short``.
     """
     domains = list(weights)
-    chances = [F.col(f"p_{d}") for d in domains]
     tokens = F.col("n_tokens")
 
     # Rows of equal chances have equal rates. There are only as many different ones as bins of the
     # odds combine to, whatever the number of documents, so the steps go over those.
     cells = docs.groupBy(*[f"p_{d}" for d in domains]).agg(F.sum("n_tokens").alias("n_tokens"))
     cells = materialize(cells.coalesce(1), "mixing-cells")
+    chances = [F.col(f"p_{d}") for d in domains]
 
     def totals(rate: Column) -> list[float]:
         rated = cells.select(*[f"p_{d}" for d in domains], "n_tokens", rate.alias("rate"))
@@ -221,18 +249,18 @@ def fit_rates(
 
     present = totals(F.lit(1.0))
     budget = present[domains.index(anchor)] / weights[anchor]
-    targets = [min(weights[d] * budget, s) for d, s in zip(domains, present)]
+    targets = [weights[d] * budget for d in domains]
     rate, before, reached = F.lit(1.0), math.inf, present
     for _ in range(steps):
         surplus = [(x - t) / s if s > 0 else 0.0 for x, t, s in zip(reached, targets, present)]
         loss = sum(e * e * s for e, s in zip(surplus, present)) / max(sum(present), 1.0)
-        if loss < tolerance**2 or before - loss <= tolerance**2:
+        if loss < tolerance**2 or before - loss <= 1e-4 * loss:
             break
         before = loss
         slope = sum((p * F.lit(e) for p, e in zip(chances, surplus)), F.lit(0.0))
         rate = F.greatest(rate - slope, F.lit(0.0))
         reached = totals(rate)
-    return rate
+    return Fit(rate, *(dict(zip(domains, x)) for x in (present, targets, reached)))
 
 
 def mix(
@@ -250,7 +278,8 @@ def mix(
     ``copies`` is the rate rounded down or up by a hash of the row's id and text, so that its mean is the
     rate and every run agrees. ``columns`` are the input columns to keep, all by default; those
     called like an added one are replaced. Without labels every domain is as likely as the others; an
-    empty table gives no rows; repeated rows get the same rate each.
+    empty table gives no rows; repeated rows get the same rate each. Where the tokens of a domain end more
+    than a hundredth off their target, a warning names its wanted and reached share; ``shares`` has those of all.
     """
     domains = list(weights)
     added = {"n_tokens", "rate", "copies", *(f"p_{d}" for d in domains)}
@@ -260,11 +289,36 @@ def mix(
     plain = docs.select(*kept, F.col(text_column).alias("__in_text"), draw.alias("__draw"))
     found = domain_posteriors(plain, model, domains, "__in_text")
     found = materialize(found, "mixing-posteriors")
-    rated = found.withColumn("rate", fit_rates(found, weights, anchor))
+    fit = fit_rates(found, weights, anchor)
+    if fit.short():
+        named = ", ".join(f"{d} {t:.4f} wanted, {x:.4f} reached" for d, (t, x) in fit.short().items())
+        warnings.warn(f"mixing ends short of its targets; shares of the tokens: {named}", stacklevel=2)
+    rated = found.withColumn("rate", fit.rate)
     more = (F.col("__draw") < F.col("rate") - F.floor("rate")).cast("long")
     return rated.withColumn("copies", F.floor("rate").cast("long") + more).drop("__draw")
 
 
+def shares(mixed: DataFrame, weights: Mapping[str, float]) -> DataFrame:
+    """One row per domain: ``domain``, and its shares of the tokens ``wanted``, ``reached`` by the rates and
+    ``dealt`` by the copies, each null where there are no tokens at all.
+    """
+    total = sum(weights.values())
+
+    def share(by: str, d: str) -> Column:
+        tokens = F.col("n_tokens") * F.col(by)
+        every = F.sum(tokens)
+        return F.when(every > 0, F.sum(tokens * F.col(f"p_{d}")) / every)
+
+    rows = [
+        F.struct(
+            F.lit(d).alias("domain"), F.lit(w / total).alias("wanted"),
+            share("rate", d).alias("reached"), share("copies", d).alias("dealt"),
+        )
+        for d, w in weights.items()
+    ]
+    return mixed.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
+
+
 def taken(mixed: DataFrame, columns: list[str]) -> DataFrame:
     """The rows in the numbers their ``copies`` say."""
     whole = mixed.where("copies > 0")

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import warnings
 import zlib
 
 import numpy as np
@@ -491,6 +492,32 @@ def test_mixing_reaches_targets_by_brute_force(spark, docs, empty):
     assert mixing.mix(empty, labels, weights, "clean").count() == 0
 
 
+def test_mixing_brings_scarce_domains_up(spark):
+    corpus, labels = labelled_corpus(spark)
+    # 76 % clean, and 12 % each of the others.
+    less = "doc_id % 4 IN (0, 3) OR doc_id < 76"
+    labels = labels.withColumn("domain", mixing.domain_of_labels())
+    weights = {"clean": 0.5, "toxic": 0.25, "junk": 0.25}
+    with warnings.catch_warnings():
+        warnings.simplefilter("error", UserWarning)
+        mixed = mixing.mix(corpus.where(less), labels, weights, "clean")
+    found = {r.domain: r for r in mixing.shares(mixed, weights).collect()}
+    assert set(found) == set(weights)
+    for d, w in weights.items():
+        assert found[d].wanted == w and abs(found[d].reached - w) < 0.01 and abs(found[d].dealt - w) < 0.05
+    assert mixed.where("rate > 1.5").count() > 0
+
+
+def test_mixing_says_which_targets_it_misses(spark):
+    corpus, labels = labelled_corpus(spark)
+    labels = labels.withColumn("domain", mixing.domain_of_labels()).where("domain = 'clean'")
+    weights = {"clean": 0.5, "toxic": 0.25, "junk": 0.25}
+    with pytest.warns(UserWarning, match="toxic 0.2500 wanted"):
+        mixed = mixing.mix(corpus.where("doc_id % 4 = 0"), labels, weights, "clean")
+    found = {r.domain: r for r in mixing.shares(mixed, weights).collect()}
+    assert found["toxic"].reached < 0.2 and found["toxic"].wanted == 0.25
+
+
 def test_mixing_model_of_some_labels(spark):
     corpus, labels = labelled_corpus(spark)
     labels = labels.withColumn("domain", mixing.domain_of_labels())
