@@ -80,7 +80,8 @@ class Bands:
         return both * (self.den - self.num) // (self.den + self.num)
 
     def linked(self, a: np.ndarray, b: np.ndarray, overlap: np.ndarray) -> np.ndarray:
-        return (self.den + self.num) * overlap >= self.num * (a + b)
+        # Counts come as float32; their products with the bound are exact as integers only.
+        return (self.den + self.num) * overlap.astype(np.int64) >= self.num * (a + b)
 
 
 @lru_cache(maxsize=4096)

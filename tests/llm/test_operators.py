@@ -168,6 +168,13 @@ def test_jaccard_loses_no_link(spark, docs, empty):
     assert jaccard.jaccard_components(empty).count() == 0
 
 
+def test_linked_is_exact_for_long_texts():
+    bands, step = jaccard.Bands(90, 100), np.arange(1, 20_000, 7)
+    for a, b, overlap in ((19 * step, 19 * step, 18 * step), (100 * step, 90 * step, 90 * step)):
+        assert bands.linked(a, b, overlap.astype(np.float32)).all()
+        assert not bands.linked(a, b, (overlap - 1).astype(np.float32)).any()
+
+
 def loose_copies(n, seed):
     """Copies of similarities about 0.75 to 0.95, all with one common line, and texts of little but that line."""
     draw = random.Random(seed)
