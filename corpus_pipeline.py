@@ -35,18 +35,17 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """Of documents linked by n-gram similarity, directly or over others, the one of the smallest id.
 
     Two documents link when their sets of runs of five words have a Jaccard similarity of 0.8 or more.
-    Rows that share the id of a kept document are told apart by nothing, so one of equal rows with
-    that id stays; rows without an id stay where no linked document has one.
+    Rows are told apart by a number of their own, whatever their ids: one row of each group stays, and every
+    row that is linked with none. A null id is the smallest only where there is no other.
     """
-    found = jaccard.jaccard_components(docs, n=5, num=80, den=100)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept"))
-    kept = materialize(kept, "kept-documents")
-    ids = kept.distinct()
-    chosen = docs.join(ids, docs["doc_id"].eqNullSafe(ids["__kept"]), "left_semi")
-    if kept.count() > ids.count():
-        # Repeated rows are copies of each other; other rows of one id are different documents.
-        chosen = chosen.dropDuplicates(["doc_id", "text"])
-    return chosen
+    numbered = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered-documents")
+    found = jaccard.jaccard_components(numbered, n=5, num=80, den=100, id_column="__row")
+    grouped = found.where("n_links > 0").select(F.col("doc_id").alias("__row"), F.col("component_id").alias("__group"))
+    ids = numbered.select("__row", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row").alias("__id"))
+    grouped = materialize(grouped.join(ids, "__row"), "grouped-documents")
+    first = grouped.groupBy("__group").agg(F.min("__id")["__row"].alias("__first"))
+    others = grouped.join(first, "__group").where("__row != __first").select("__row")
+    return numbered.join(others, "__row", "left_anti").select(*[f"`{c}`" for c in docs.columns])
 
 
 def remove_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

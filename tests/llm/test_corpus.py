@@ -1,5 +1,6 @@
 """The registered corpus queries on the driver's tables, and the pipeline by its stages."""
 
+import collections
 import glob
 import os
 import zlib
@@ -69,3 +70,14 @@ def test_pipeline_drops_looser_copies(spark):
     docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
     kept = corpus_pipeline.keep_one_of_each_group(spark, docs, SMALL)
     assert sorted(r.doc_id for r in kept.collect()) == [0, 4]
+
+
+def test_pipeline_keeps_one_row_of_each_group(spark):
+    words = [f"w{i}" for i in range(100)]
+    same, near, other = " ".join(words), " ".join(words + ["a", "b"]), " ".join(f"o{i}" for i in range(50))
+    rows = [(3, same), (5, near), (5, other), (None, near), (8, ""), (8, ""), (None, None), (None, None), (4, same)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.keep_one_of_each_group(spark, docs, SMALL)
+    expected = [(3, same), (5, other), (8, ""), (8, ""), (None, None), (None, None)]
+    assert kept.columns == docs.columns
+    assert collections.Counter(map(tuple, kept.collect())) == collections.Counter(expected)
