@@ -165,7 +165,8 @@ def fit_quality(
 ) -> AttentionModel:
     """Learn from at most ``sample`` labelled rows, of the smallest hashes of their ids; whole texts.
 
-    Labels that are null or have no document do not count; a document labelled twice counts twice.
+    Labels that are null or have no document do not count; a document labelled twice counts twice. Of
+    several documents with one id the text of the smallest hash counts for each of its labels.
     With one kind of label only there is nothing to learn, and the model gives the share of label 1
     (0.5 without any label).
     """
@@ -173,9 +174,12 @@ def fit_quality(
     chosen = known.orderBy(F.xxhash64(id_column), label_column).limit(sample).select(
         F.col(id_column).alias("__id"), F.col(label_column).cast("double").alias("__label")
     )
-    joined = docs.select(F.col(id_column).alias("__id"), F.col(text_column).alias("text")).join(
-        F.broadcast(chosen), "__id"
-    )
+    # One row per sampled id, combined in each task before it is shuffled; then each of its labels.
+    plain = docs.select(F.col(id_column).alias("__id"), F.col(text_column).alias("text"))
+    ids = chosen.select("__id").distinct()
+    plain = plain.join(F.broadcast(ids), "__id")
+    one = plain.groupBy("__id").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+    joined = one.join(F.broadcast(chosen), "__id")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -187,7 +191,8 @@ def fit_quality(
                 )
 
     # Numbers of at most ``sample`` documents come to the driver, in an order that does not depend on tasks.
-    rows = joined.mapInArrow(encode, "id long, label double, bag binary").toArrow().sort_by("id").to_pydict()
+    rows = joined.mapInArrow(encode, "id long, label double, bag binary").toArrow()
+    rows = rows.sort_by([("id", "ascending"), ("label", "ascending")]).to_pydict()
     target = np.array(rows["label"], float)
     if not len(target) or target.min() == target.max():
         constant = float(target[0]) if len(target) else 0.5

@@ -398,6 +398,18 @@ def test_quality_on_held_out_documents(spark, docs, empty):
     assert {r.score for r in quality.score_quality(corpus, only).collect()} == {1.0}
 
 
+def test_quality_takes_one_row_of_a_repeated_id(spark, monkeypatch):
+    corpus, labels = labelled_corpus(spark)
+    hot = spark.range(500).select(F.lit(1).cast("long").alias("doc_id"), F.concat(F.lit("hot "), "id").alias("text"))
+    many = corpus.select("doc_id", "text").unionByName(hot)
+    bags, train = [], quality.train
+    monkeypatch.setattr(quality, "train", lambda x, ends, y: bags.append(len(y)) or train(x, ends, y))
+    again = quality.fit_quality(many, labels.unionByName(labels.where("doc_id = 1")))
+    assert bags == [241]
+    other = quality.fit_quality(many.repartition(7), labels.unionByName(labels.where("doc_id = 1")))
+    assert all((again.weights[k] == other.weights[k]).all() for k in again.weights)
+
+
 def test_attention_gradients():
     draw = np.random.default_rng(1)
     x, ends, labels = draw.standard_normal((9, 4)), np.array([0, 2, 3, 9]), np.array([1.0, 0.0, 1.0])
