@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from lamina.runtime import materialize
 
 _LABELLED = 50_000  # labels that the model is learned from, about
-_TELLING = 50_000  # words that the model may hold, the surest first
+_BROADCAST_WORDS = 200_000  # telling words up to which they are broadcast
 _SURE = 4.0  # standard deviations by which a word's count must differ to be evidence
 _PRIOR = 2.0  # occurrences that pull a word towards its overall frequency
 _STRENGTH = 6.0  # largest weight of one word, as a logarithm of odds
@@ -72,6 +72,7 @@ def _once(value: Column, use: Callable[[Column], Column]) -> Column:
 def fit_domains(
     docs: DataFrame, labelled: DataFrame, domains: list[str], id_column: str = "doc_id",
     text_column: str = "text", domain_column: str = "domain", sample: int = _LABELLED,
+    broadcast_words: int = _BROADCAST_WORDS,
 ) -> tuple[DataFrame, DataFrame]:
     """Telling words, and one row of ``__prior`` and ``__chances``, learned from labelled documents.
 
@@ -79,8 +80,8 @@ def fit_domains(
     so that they are broadcast and the documents are not shuffled. An equal label given again counts once.
 
     A word weighs only where the documents of some domain hold it far more or less often than
-    documents at large, so that chance does not add up over long texts; at most 50,000 words do, by
-    how far their counts are off. They have a row each; ``__prior`` is the log
+    documents at large, so that chance does not add up over long texts. All words that do have a row
+    each; up to ``broadcast_words`` of them are broadcast, more are joined by a shuffle. ``__prior`` is the log
     frequency of each domain, and ``__chances`` the share of labelled documents that are of a domain,
     by the logarithm of odds that the words alone give it.
     """
@@ -119,16 +120,14 @@ def fit_domains(
         return F.when(weak, zero).otherwise(F.greatest(F.least(ratio, F.lit(_STRENGTH)), F.lit(-_STRENGTH)))
 
     told = counts.withColumn("sure", F.array_max(F.zip_with("n", "docs", surprise)))
-    told = told.where(F.col("sure") > _SURE).orderBy(F.desc("sure"), "hash").limit(_TELLING)
-    told = told.select("hash", F.zip_with("n", "docs", weight).alias("w"))
-    # A bounded number of rows.
+    told = told.where(F.col("sure") > _SURE).select("hash", F.zip_with("n", "docs", weight).alias("w"))
     weights = told.select("hash", *[F.col("w")[i].alias(f"w{i}") for i in range(len(domains))])
     weights = materialize(weights, "domain-words")
     prior = totals.select(F.transform("docs", lambda x: F.log((x + 1) / (all_docs + len(domains)))).alias("__prior"))
     prior = materialize(prior, "domain-prior")
 
     # How often the odds are right, by their size.
-    bins = _odds(held, weights, prior, len(domains))
+    bins = _odds(held, weights, prior, len(domains), broadcast_words)
     bins = bins.select("__domain", F.posexplode("__odds").alias("i", "at"))
     # At most one row per domain and bin.
     measured = bins.groupBy("i", "at").agg(
@@ -152,15 +151,20 @@ def fit_domains(
     return weights, materialize(rated, "domain-chances")
 
 
-def _odds(docs: DataFrame, weights: DataFrame, prior: DataFrame, n_domains: int) -> DataFrame:
+def _odds(
+    docs: DataFrame, weights: DataFrame, prior: DataFrame, n_domains: int, broadcast_words: int = _BROADCAST_WORDS
+) -> DataFrame:
     """Adds ``__odds``: for each domain the bin of the logarithm of its odds, from the telling words.
 
     ``docs`` is a written table with ``__row`` and ``__hashes``. Words of a row are in one task, so
-    their weights are added up before the sums of rows, and only those, are shuffled.
+    their weights are added up before the sums of rows, and only those, are shuffled, unless there are
+    more telling words than may be broadcast. ``weights`` is a written table.
     """
     names = [f"w{i}" for i in range(n_domains)]
     words = docs.select("__row", F.explode("__hashes").alias("hash"))
-    found = words.join(F.broadcast(weights), "hash").groupBy("__row").agg(*[F.sum(w).alias(w) for w in names])
+    if weights.count() <= broadcast_words:
+        weights = F.broadcast(weights)
+    found = words.join(weights, "hash").groupBy("__row").agg(*[F.sum(w).alias(w) for w in names])
     joined = docs.drop("__hashes").join(found, "__row", "left").crossJoin(F.broadcast(prior))
     logs = [F.coalesce(F.col(w), F.lit(0.0)) + F.col("__prior")[i] for i, w in enumerate(names)]
     bins = []
@@ -173,7 +177,8 @@ def _odds(docs: DataFrame, weights: DataFrame, prior: DataFrame, n_domains: int)
 
 
 def domain_posteriors(
-    docs: DataFrame, model: tuple[DataFrame, DataFrame], domains: list[str], text_column: str = "text"
+    docs: DataFrame, model: tuple[DataFrame, DataFrame], domains: list[str], text_column: str = "text",
+    broadcast_words: int = _BROADCAST_WORDS,
 ) -> DataFrame:
     """Every row with ``n_tokens`` (words of the text) and ``p_<domain>``, which add up to 1.
 
@@ -186,7 +191,8 @@ def domain_posteriors(
         *kept, "__words", "__hashes", F.monotonically_increasing_id().alias("__row")
     )
     numbered = materialize(numbered, "domain-words-of-documents")
-    scored = _odds(numbered, weights, chances.select("__prior"), len(domains)).crossJoin(F.broadcast(chances))
+    scored = _odds(numbered, weights, chances.select("__prior"), len(domains), broadcast_words)
+    scored = scored.crossJoin(F.broadcast(chances))
     width = 2 * _BINS + 1
     raw = [F.col("__chances")[i * width + F.col("__odds")[i]] for i in range(len(domains))]
     raw = [F.when(F.col("__words") == 0, F.exp(F.col("__prior")[i])).otherwise(x) for i, x in enumerate(raw)]
@@ -272,22 +278,25 @@ def mix(
     text_column: str = "text",
     domain_column: str = "domain",
     columns: list[str] | None = None,
+    sample: int = _LABELLED,
+    broadcast_words: int = _BROADCAST_WORDS,
 ) -> DataFrame:
     """Every row with ``n_tokens``, ``p_<domain>``, ``rate`` and ``copies``.
 
     ``copies`` is the rate rounded down or up by a hash of the row's id and text, so that its mean is the
     rate and every run agrees. ``columns`` are the input columns to keep, all by default; those
     called like an added one are replaced. Without labels every domain is as likely as the others; an
-    empty table gives no rows; repeated rows get the same rate each. Where the tokens of a domain end more
+    empty table gives no rows; repeated rows get the same rate each. The classifier learns from about
+    ``sample`` labels; up to ``broadcast_words`` words that it goes by are broadcast. Where the tokens of a domain end more
     than a hundredth off their target, a warning names its wanted and reached share; ``shares`` has those of all.
     """
     domains = list(weights)
     added = {"n_tokens", "rate", "copies", *(f"p_{d}" for d in domains)}
     kept = [c for c in (columns or docs.columns) if c.lower() not in added]
     draw = F.pmod(F.xxhash64(F.lit("copies"), id_column, text_column), F.lit(1 << 30)) / float(1 << 30)
-    model = fit_domains(docs, labelled, domains, id_column, text_column, domain_column)
+    model = fit_domains(docs, labelled, domains, id_column, text_column, domain_column, sample, broadcast_words)
     plain = docs.select(*kept, F.col(text_column).alias("__in_text"), draw.alias("__draw"))
-    found = domain_posteriors(plain, model, domains, "__in_text")
+    found = domain_posteriors(plain, model, domains, "__in_text", broadcast_words)
     found = materialize(found, "mixing-posteriors")
     fit = fit_rates(found, weights, anchor)
     if fit.short():

@@ -548,6 +548,25 @@ def test_mixing_model_of_some_labels(spark):
     assert sum(right) >= 0.95 * len(right)
 
 
+def test_mixing_keeps_all_telling_words(spark):
+    rows = [(i, " ".join(f"k{i % 2}x{j}" for j in range(26_000))) for i in range(80)]
+    corpus = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    labels = spark.createDataFrame([(i, "ab"[i % 2]) for i in range(80)], "doc_id long, domain string")
+    words, _ = mixing.fit_domains(corpus, labels, ["a", "b"])
+    assert words.count() >= 52_000
+
+
+def test_mixing_is_the_same_without_broadcast(spark):
+    corpus, labels = labelled_corpus(spark)
+    labels = labels.withColumn("domain", mixing.domain_of_labels())
+    weights = {"clean": 0.9, "toxic": 0.05, "junk": 0.05}
+    got = [
+        {r.doc_id: (round(r.rate, 6), r.copies) for r in mixing.mix(corpus, labels, weights, "clean", broadcast_words=n).collect()}
+        for n in (0, 200_000)
+    ]
+    assert got[0] == got[1]
+
+
 def test_mixing_plan_has_no_python(spark):
     corpus, labels = labelled_corpus(spark)
     labels = labels.withColumn("domain", mixing.domain_of_labels())
