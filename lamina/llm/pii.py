@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lamina.llm.tables import TEXT, others, with_text
 from lamina.llm.words import slices
 from lamina.runtime import materialize
 
@@ -172,9 +173,8 @@ def _form(span: str) -> tuple[int, str] | None:
     if not 4 <= len(digits) <= 19:
         return None
     pattern = re.sub(r"[0-9]+", "d", span)
-    if re.fullmatch(r"d( ?[\[(]?\.[\])]? ?)d(\1d){2}", pattern):
-        parts = _number_parts(span)
-        return (IP, pattern) if all(int(p) <= 255 for p in parts) else None
+    if re.fullmatch(r"d( ?[\[(]?\.[\])]? ?)d(\1d){2}", pattern) and all(int(p) <= 255 for p in _number_parts(span)):
+        return IP, pattern
     if len(digits) >= 13 and re.fullmatch(r"d([ ./-]?d)*", pattern):
         return CARD, "".join(sorted(set(pattern) - {"d"}))
     if 7 <= len(digits) <= 15 and re.fullmatch(r"[+(]*d[ ().d/-]*d|d", pattern):
@@ -197,13 +197,13 @@ def _features(text: str, first: int, last: int, kind: int, pattern: str) -> list
     digits = _number(span)
     if kind == EMAIL:
         last_label = re.split(r"[^A-Za-z]+", span)[-1]
-        out.append(f"{name} top {min(len(last_label), 8)}")
+        out.append(f"{name} top {pattern if 2 <= len(last_label) <= 4 else 'long'}")
     elif kind == CARD:
         out += [f"{name} luhn {luhn(digits)}", f"{name} digits {len(digits)}"]
     elif kind == PHONE:
         groups = _number_parts(span)
         out += [f"{name} digits {len(digits)}", f"{name} groups {','.join(str(len(g)) for g in groups[-3:])}"]
-        out.append(f"{name} single {len(groups) == 1}")
+        out += [f"{name} parts {min(len(groups), 6)}", f"{name} least {min(map(len, groups))}"]
         year = len(groups) > 1 and len(groups[0]) == 4 and groups[0][:2] in ("19", "20")
         out.append(f"{name} year {year}")
     return out
@@ -286,11 +286,14 @@ def _other_forms(kind: int, span: str) -> list[tuple[str, bool]]:
     """Other forms a span may be written in, and things that look like it; whether each is personal data."""
     if kind == EMAIL:
         local, _, domain = span.partition("@")
-        spelled = domain.replace(".", " dot ")
+        labels = domain.split(".")
+        spelled = " dot ".join(labels)
+        sentence = " dot ".join([*labels[2:], "there"])  # words, and no top-level domain at the end
         bracketed = domain.replace(".", " (dot) ")
         return [
             (f"{local} (at) {domain}", True), (f"{local} [at] {bracketed.replace('(', '[').replace(')', ']')}", True),
             (f"{local} at {spelled}", True), (f"{local}(at){bracketed}", True), (f"{local} @ {domain}", True),
+            (f"{local} at {labels[0]} dot {sentence}", False), (f"{local} (at) {labels[0]}", False),
         ]
     parts = _number_parts(span)
     digits = "".join(parts)
@@ -307,7 +310,7 @@ def _other_forms(kind: int, span: str) -> list[tuple[str, bool]]:
     date = f"20{digits[-2:]}-0{int(digits[-3]) % 9 + 1}-1{digits[-1]} 1{digits[-4]}"
     return [
         (f"({local[0]}) {'-'.join(local[1:])}", True), ("-".join(local), True), (".".join(local), True),
-        (digits, False), (date, False), (digits[-7:], False),
+        (digits, False), (date, False), (digits[-7:], False), (" ".join(digits), False),
     ]
 
 
@@ -447,23 +450,21 @@ def find_personal_data(docs: DataFrame, field: SpanField, text_column: str = "te
     columns stay as they are; those that are called like an added one, in any case of letters, are replaced.
     """
     added = T._parse_datatype_string(_ADDED)
-    names = {c.lower() for c in added.names}
-    kept = [c for c in docs.columns if c.lower() not in names]
+    kept = others(docs, added.names)
     schema = T.StructType([docs.schema[c] for c in kept] + added.fields)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "__text"):
+            for part in slices(batch, TEXT):
                 base, spans = [], []
-                for text in part.column("__text").to_pylist():
+                for text in part.column(TEXT).to_pylist():
                     rules = base_spans(text) if text else []
                     base.append(rules)
                     spans.append(sorted(rules + field.find(text, rules)) if text else [])
                 columns = [part.column(i) for i in range(len(kept))] + [_listed(base), _listed(spans)]
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    texts = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text_column}`").alias("__text"))
-    return texts.mapInArrow(find, schema)
+    return with_text(docs, kept, text_column).mapInArrow(find, schema)
 
 
 def _listed(spans: list[list[Span]]) -> pa.Array:

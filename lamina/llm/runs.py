@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lamina.llm.tables import TEXT, others, with_text
 from lamina.llm.words import mix, slices
 
 _WINDOW = 6  # words that a run of twelve words or more has twice, one period apart
@@ -326,21 +327,19 @@ def find_runs(docs: DataFrame, least: int = 12, text_column: str = "text") -> Da
     if least < 2 * _WINDOW:
         raise ValueError(f"runs have {2 * _WINDOW} words at least, not {least}")
     added = T._parse_datatype_string(_ADDED)
-    names = {c.lower() for c in added.names}
-    kept = [c for c in docs.columns if c.lower() not in names]
-    text = F.col(f"`{text_column}`").alias("__text")
+    kept = others(docs, added.names)
     schema = T.StructType([docs.schema[c] for c in kept] + added.fields)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = _Ids()
         for batch in batches:
-            for part in slices(batch, "__text"):
+            for part in slices(batch, TEXT):
                 if len(memo) > _REMEMBERED:
                     memo.clear()
-                columns = [part.column(i) for i in range(len(kept))] + _found(part.column("__text"), memo, least)
+                columns = [part.column(i) for i in range(len(kept))] + _found(part.column(TEXT), memo, least)
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return docs.select(*[F.col(f"`{c}`") for c in kept], text).mapInArrow(find, schema)
+    return with_text(docs, kept, text_column).mapInArrow(find, schema)
 
 
 def _found(column: pa.Array, memo: _Ids, least: int) -> list[pa.Array]:
