@@ -15,6 +15,7 @@ from lamina.runtime import scratch_dir
 from lamina.settings import Settings
 from lamina.sources.files import CORRUPT, read_csv, write_csv
 from lamina.sources.store import TableStore
+from lamina.streaming.increments import ingest_arrivals
 
 
 def _scratch(spark, name):
@@ -99,8 +100,8 @@ def _two_loads(spark, folder, mode):
 
 def ingest_incremental(spark, folder):
     """An upsert run on top of a first load: the raw orders afterwards, with the batch of each row."""
-    store, _ = _two_loads(spark, folder, "incremental")
-    return store.read("orders").select("o_orderkey", "o_orderdate", "o_totalprice", "_batch_id")
+    store, spec = _two_loads(spark, folder, "incremental")
+    return bronze.read_raw(spec, store).select("o_orderkey", "o_orderdate", "o_totalprice", "_batch_id")
 
 
 def ingest_append_compact(spark, folder):
@@ -110,6 +111,32 @@ def ingest_append_compact(spark, folder):
     return store.read("orders").select("o_orderkey", "o_orderdate", "o_totalprice", "_batch_id")
 
 
+def stream_null_keys(spark, folder):
+    """Orders that arrive in two files: those with a key replace each other, those without one all stay."""
+    root = _scratch(spark, "stream")
+    store = TableStore(spark, f"{root}/raw")
+    spec = TableSpec("orders", "orders", "o_orderkey", watermark="o_orderdate")
+    every = orders(spark, folder)
+    key = F.when(~F.col("o_orderpriority").startswith("5"), F.col("o_orderkey"))
+    every = every.withColumn("o_orderkey", key)
+    second = every.where("o_orderstatus <> 'O'").withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    for name, arriving in (("first", every.where("o_orderstatus <> 'F'")), ("second", second)):
+        arriving.write.parquet(f"{root}/in/{name}")
+        ingest_arrivals(
+            spark, f"{root}/in/*", every.schema, store, spec, CTX, f"{root}/progress", fold=False
+        ).awaitTermination()
+    return bronze.read_raw(spec, store).select(*every.columns)
+
+
+def watermark_state(spark, folder):
+    """The watermark of two loads from their notes, before and after a note is lost and the increment folded."""
+    store, spec = _two_loads(spark, folder, "append")
+    found = [bronze.known_watermark(spec, store, CTX)]
+    bronze.compact(spec, store)
+    found.append(bronze.known_watermark(spec, store, CTX))
+    return spark.createDataFrame([(i, mark) for i, mark in enumerate(found)], "step int, watermark date")
+
+
 def log_slots(spark, folder):
     """Batches of two-part names that differ only in where the parts end, and those of the first name."""
     store = TableStore(spark, _scratch(spark, "slots"))
@@ -187,6 +214,8 @@ QUERIES = {
     "run_log": run_log,
     "ingest_incremental": ingest_incremental,
     "ingest_append_compact": ingest_append_compact,
+    "stream_null_keys": stream_null_keys,
+    "watermark_state": watermark_state,
     "log_slots": log_slots,
     "csv_reject_bad_values": csv_reject_bad_values,
     "sink_partitioned": sink_partitioned,
@@ -227,6 +256,17 @@ ORACLE = {
         UNION ALL SELECT * FROM k WHERE o_orderkey IS NULL AND o_orderstatus <> 'F'
         UNION ALL SELECT * REPLACE (o_totalprice + 1 AS o_totalprice) FROM k
         WHERE o_orderkey IS NULL AND o_orderstatus <> 'O'""",
+    "stream_null_keys": f"""
+        WITH {_ORDERS_SQL},
+        k AS (SELECT * REPLACE (CASE WHEN o_orderpriority NOT LIKE '5%' THEN o_orderkey END AS o_orderkey) FROM o)
+        SELECT * REPLACE (CASE WHEN o_orderstatus <> 'O' THEN o_totalprice + 1 ELSE o_totalprice END
+                          AS o_totalprice) FROM k WHERE o_orderkey IS NOT NULL
+        UNION ALL SELECT * FROM k WHERE o_orderkey IS NULL AND o_orderstatus <> 'F'
+        UNION ALL SELECT * REPLACE (o_totalprice + 1 AS o_totalprice) FROM k
+        WHERE o_orderkey IS NULL AND o_orderstatus <> 'O'""",
+    "watermark_state": f"""
+        WITH {_ORDERS_SQL}, m AS (SELECT max(o_orderdate) AS watermark FROM o WHERE o_orderdate <= DATE '2001-01-01')
+        SELECT CAST(0 AS INTEGER) AS step, watermark FROM m UNION ALL SELECT 1, watermark FROM m""",
     "upsert_initial": f"""
         WITH {_ORDERS_SQL}
         SELECT * EXCLUDE (rn) FROM (

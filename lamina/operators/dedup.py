@@ -1,12 +1,15 @@
-"""Deterministic deduplication through aggregates, which combine copies before the shuffle."""
+"""Deterministic deduplication in two phases: digests of the keys first, whole rows only where a digest repeats."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lamina.operators.joins import DEFAULT_SKEW, SkewPolicy, lookup_join
+from lamina.runtime import is_plain_scan, materialize
+
 AUDIT_COLUMNS = (
     "_ingestion_timestamp",
     "_source_system",
@@ -25,41 +28,83 @@ def business_columns(df: DataFrame, key: str | Sequence[str] = ()) -> list[str]:
     ]
 
 
-def _nulls_last(cols: Sequence[str], descending: bool) -> list[Column]:
-    # Structs compare field by field; the flag in front of a value puts NULL behind every value.
-    flags = [~F.col(c).isNull() if descending else F.col(c).isNull() for c in cols]
-    return [p for c, flag in zip(cols, flags) for p in (flag.alias(f"__{c}_known"), F.col(c))]
+def _order(order: Sequence[str], rest: Sequence[str], last: bool) -> list[Column]:
+    """The least row by ``order`` with NULL behind every value, then by the other columns; or the greatest row."""
+    cols = [F.col(f"`{c}`") for c in (*order, *rest)]
+    if last:
+        return [c.desc_nulls_last() for c in cols]
+    return [c.asc_nulls_last() if i < len(order) else c.asc_nulls_first() for i, c in enumerate(cols)]
+
+
+def first_row(df: DataFrame, keys: Sequence[str], order: Sequence[str] = (), last: bool = False) -> DataFrame:
+    """``keep_one`` in one phase, for frames most of whose keys repeat.
+
+    Each task first keeps one row per key, so a key with a third of all rows sends one row per task.
+    """
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    within = Window.partitionBy(*[f"`{c}`" for c in keys]).orderBy(*_order(order, rest, last))
+    return df.withColumn("__rank", F.row_number().over(within)).where("__rank = 1").drop("__rank")
+
+
+def _digests(keys: Sequence[str]) -> list[Column]:
+    """128 bits over the values of the keys and which of them are NULL."""
+    cols = [F.col(f"`{k}`") for k in keys]
+    nulls = F.concat(*[c.isNull().cast("int").cast("string") for c in cols])
+    return [F.xxhash64(*cols, nulls).alias("__d1"), F.xxhash64(F.lit(1), nulls, *cols).alias("__d2")]
+
+
+def repeated_digests(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``__d1``, ``__d2`` and the rows ``__n`` of the keys with more than one row, written to the scratch folder.
+
+    16 bytes a row and a count are combined in each task and shuffled, whatever the keys are.
+    """
+    counts = df.select(*_digests(keys)).groupBy("__d1", "__d2").agg(F.count(F.lit(1)).alias("__n"))
+    return materialize(counts.where(F.col("__n") > 1), "repeated-digests")
 
 
 def keep_one(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str] = (), last: bool = False
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str] = (),
+    last: bool = False,
+    policy: SkewPolicy = DEFAULT_SKEW,
 ) -> DataFrame:
     """One whole row per key (NULLs equal): the least by ``order``, or the greatest if ``last``.
 
     A value comes before NULL either way. Remaining columns break ties in column order, so the survivor never depends on how the data
-    was laid out. An aggregate rather than a ranking window: each task first reduces its copies
-    to one row per key, so a key with a third of all rows costs no more than any other.
+    was laid out. Two phases: digests of the keys are counted, and rows whose digest is the only one pass as they
+    are, without a shuffle while the repeated digests are few. Only the others are compared by the keys themselves, so that two
+    keys of one digest both stay. A frame that is more than a scan is written to the scratch folder first, as it is
+    read more than once.
     """
     keys = list(keys)
-    rest = [c for c in df.columns if c not in keys]
-    if not rest:
-        return df.distinct()
-    order = [c for c in order if c in rest]
-    rest = [c for c in rest if c not in order]
-    pick = F.max if last else F.min
-    if len(order) + len(rest) == 1:
-        [only] = [*order, *rest]
-        return df.groupBy(*keys).agg(pick(only).alias(only)).select(*df.columns)
-    whole = F.struct(*_nulls_last(order, last), *[F.col(c) for c in rest])
-    best = df.groupBy(*keys).agg(pick(whole).alias("__best"))
-    return best.select(*[F.col(c) if c in keys else F.col("__best")[c].alias(c) for c in df.columns])
+    order = [c for c in order if c in df.columns and c not in keys]
+    df = df if is_plain_scan(df) else materialize(df, "rows-to-compare")
+    repeated = repeated_digests(df, keys)
+    n = repeated.count()
+    if n == 0:
+        return df
+    on = ["__d1", "__d2"]
+    marked = df.withColumns(dict(zip(on, _digests(keys))))
+    if n <= policy.broadcast_rows:
+        few = F.broadcast(repeated.select(*on))
+        single, several = (marked.join(few, on, how) for how in ("left_anti", "left_semi"))
+    else:
+        single, several = (
+            lookup_join(marked, repeated.select(*on), on, how, policy, right_is_large=True, counted=(repeated, "__n"))
+            for how in ("left_anti", "left_semi")
+        )
+    several = several.drop(*on)
+    if set(keys) == set(df.columns):
+        kept = several.distinct()
+    else:
+        kept = first_row(several, keys, order, last)
+    return single.drop(*on).unionByName(kept)
 
 
 def drop_exact(df: DataFrame, ignore: Sequence[str] = AUDIT_COLUMNS) -> DataFrame:
     """Drop rows that agree on every column but the ignored ones, keeping the earliest audit."""
     ignored = [c for c in df.columns if c in ignore]
-    if not ignored:
-        return df.distinct()
     return keep_one(df, [c for c in df.columns if c not in ignored], ignored)
 
 

@@ -9,10 +9,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lamina.runtime import materialize
+from lamina.runtime import is_plain_scan, materialize
 
 _SALT = "__salt"
 _SALTS = "__salts"
+_DIGEST = "__digest"
+_SKETCHES = 64  # into which the sketches of all tasks are merged first
 
 
 @dataclass(frozen=True)
@@ -49,6 +51,30 @@ def is_small(df: DataFrame, policy: SkewPolicy = DEFAULT_SKEW) -> bool:
     return size["rows"] <= policy.broadcast_rows and (size["bytes"] or 0) <= policy.broadcast_bytes
 
 
+def frequent_values(df: DataFrame, col: str, tracked: int = 8192) -> DataFrame:
+    """One row per value that may be frequent: ``value``, and bounds ``at_least`` and ``at_most`` of its rows.
+
+    Each task counts in a sketch of at most ``tracked`` values, and sketches are merged in two steps, so that neither
+    a task nor a shuffle holds more than some sketches, however many different values there are. Every value
+    with more than ``7 / tracked`` of the rows is among them, and at most ``tracked`` in all.
+    """
+    sketch, part = F.col("__sketch"), F.pmod(F.spark_partition_id(), F.lit(_SKETCHES))
+    grouped = df.groupBy(part.alias("__part")).agg(
+        F.call_function("approx_top_k_accumulate", F.col(col), F.lit(tracked)).alias("__sketch"),
+        F.count(F.lit(1)).alias("__n"),
+    )
+    # One group rather than none: tasks without rows then have no sketch to merge.
+    whole = grouped.groupBy(F.lit("all")).agg(
+        F.call_function("approx_top_k_combine", sketch, F.lit(tracked)).alias("__sketch"), F.sum("__n").alias("__n")
+    )
+    found = F.explode(F.call_function("approx_top_k_estimate", sketch, F.lit(tracked)))
+    return whole.select(found.alias("f"), "__n").select(
+        F.col("f.item").alias("value"),
+        F.col("f.count").alias("at_least"),
+        (F.col("f.count") + F.ceil(F.lit(7) * F.col("__n") / F.lit(tracked))).alias("at_most"),
+    )
+
+
 def hot_groups(
     df: DataFrame,
     keys: Sequence[str],
@@ -57,13 +83,22 @@ def hot_groups(
 ) -> DataFrame | None:
     """Keys to split, with the number of salts each needs, or None when no key is that large.
 
-    One aggregation over the key columns only, combined before its shuffle; none at all where
-    ``df`` already has one row per key with its number of rows in the column ``rows``. The keys are
-    written to the scratch folder, all of them, and never pass through the driver.
+    A sketch of frequent digests names the candidates in one pass over the key columns; a second pass counts the rows
+    of these exactly. No shuffle grows with the number of different keys. Neither pass where ``df`` already has one row
+    per key with its number of rows in the column ``rows``. A key is hot with more rows than
+    ``policy.rows_per_task``, and than about a thousandth of all rows in tables so large that this is more. The keys
+    are written to the scratch folder, all of them, and never pass through the driver.
     """
     keyed = df.dropna(subset=list(keys))
     if rows is None:
-        keyed = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias(_SALTS))
+        keyed = keyed.select(*keys, F.xxhash64(*keys).alias(_DIGEST))
+        candidates = frequent_values(keyed, _DIGEST).where(F.col("at_most") > policy.rows_per_task)
+        candidates = materialize(candidates, "frequent-keys")
+        if candidates.isEmpty():
+            return None
+        # At most the values that a sketch tracks.
+        named = F.broadcast(candidates.select(F.col("value").alias(_DIGEST)))
+        keyed = keyed.join(named, _DIGEST, "left_semi").groupBy(*keys).agg(F.count(F.lit(1)).alias(_SALTS))
     else:
         keyed = keyed.select(*keys, F.col(rows).alias(_SALTS))
     salts = F.ceil(F.col(_SALTS) / policy.rows_per_task).cast("long")
@@ -98,6 +133,9 @@ def lookup_join(
     on = list(on)
     added = [c for c in right.columns if c not in on] if how in ("inner", "left") else []
     columns = [*left.columns, *added]
+    if not right_is_large and not is_plain_scan(right):
+        # Measured and joined: computed once.
+        right = materialize(right, "lookup")
     if not right_is_large and is_small(right, policy):
         return left.join(F.broadcast(right), on, how).select(*columns)
     if counted:

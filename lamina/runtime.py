@@ -70,6 +70,23 @@ def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+# Operators that a frame read more than once should not repeat.
+_DEAR = (
+    "Join", "Aggregate", "Window", "Sort", "Generate", "Repartition", "RebalancePartitions", "MapIn", "FlatMap", "Distinct",
+    "Expand", "GlobalLimit", "LocalLimit", "Sample", "Offset", "Intersect", "Except",
+)
+
+
+def is_plain_scan(df: DataFrame) -> bool:
+    """Whether ``df`` is read, filtered and computed row by row only.
+
+    Reading it again then costs one more scan and gives the same rows.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan()
+    names = {line.lstrip(" :+-").split(" ")[0] for line in plan.toString().split("\n")}
+    return plan.deterministic() and not any(name.startswith(_DEAR) for name in names)
+
+
 @contextmanager
 def scratch_scope(spark: SparkSession) -> Iterator[None]:
     """A block that executes all it plans: what it wrote to the scratch folder is deleted behind it.
@@ -85,6 +102,39 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
         _WRITTEN.reset(token)
 
 
+def _file(spark: SparkSession, path: str):
+    """A path and its file system, whatever store it is in."""
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return file, file.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    folder, store = _file(spark, path)
+    store.delete(folder, True)
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    folder, store = _file(spark, path)
+    return store.getContentSummary(folder).getLength()
+
+
+def write_note(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file written from the driver, replacing an earlier one."""
+    file, store = _file(spark, path)
+    out = store.create(file, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_note(spark: SparkSession, path: str) -> str | None:
+    """The text of such a file, None if there is none."""
+    file, store = _file(spark, path)
+    if not store.exists(file):
+        return None
+    into = store.open(file)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(into, "UTF-8")
+    finally:
+        into.close()

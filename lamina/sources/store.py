@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
 from datetime import datetime, timezone
@@ -11,9 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lamina.runtime import delete_folder
+from lamina.runtime import delete_folder, folder_bytes, read_note, write_note
 
 _SLOT = "_slot"
+_SCHEMA = "schema"
 
 
 class TableStore:
@@ -65,6 +67,8 @@ class TableStore:
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.save(path)
+        if self.fmt != "delta":
+            self.set_note(path, _SCHEMA, df.schema.json())
         return path
 
     def merge(self, source: DataFrame, name: str, keys: Sequence[str]) -> None:
@@ -93,7 +97,14 @@ class TableStore:
         path = self.path(name)
         if path is None:
             raise FileNotFoundError(f"no table {name!r} under {self.root}")
-        return self.spark.read.format(self.fmt).load(path)
+        return self.open(path)
+
+    def open(self, path: str) -> DataFrame:
+        """What was written to a folder, by the schema noted there: nothing is read to find it, and a partitioned
+        table without rows, which has no files, is a table without rows."""
+        reader = self.spark.read.format(self.fmt)
+        noted = self.note(path, _SCHEMA) if self.fmt != "delta" else None
+        return (reader if noted is None else reader.schema(T.StructType.fromJson(json.loads(noted)))).load(path)
 
     def prune(self, name: str, keep: int = 2) -> list[str]:
         """Delete all but the last ``keep`` committed versions; returns the folders deleted.
@@ -126,6 +137,7 @@ class TableStore:
         before = {p.rsplit("/", 2)[1]: p for p in self.slots(name)}
         path = f"{self.root}/{name}/{folder}/{_version(before.get(folder))}"
         df.write.format("parquet").save(path)
+        self.set_note(path, _SCHEMA, df.schema.json())
         return path
 
     def slots(self, name: str) -> list[str]:
@@ -153,6 +165,22 @@ class TableStore:
         """Delete an append-only table with all of its batches."""
         delete_folder(self.spark, f"{self.root}/{name}")
 
+    def slot_folder(self, name: str, *slot: str) -> str | None:
+        """Folder of one batch, None where it was never committed."""
+        return next((f for f in self.slots(name) if f.rsplit("/", 2)[1] == _folder_of(slot)), None)
+
+    # -- notes beside what was written --------------------------------------------------------
+
+    def note(self, path: str, key: str) -> str | None:
+        """What was noted on a committed folder; readers of the table do not see it."""
+        return read_note(self.spark, f"{path}/_{key}.json")
+
+    def set_note(self, path: str, key: str, text: str) -> None:
+        write_note(self.spark, f"{path}/_{key}.json", text)
+
+    def bytes_of(self, path: str) -> int:
+        return folder_bytes(self.spark, path)
+
     # -- SQL ---------------------------------------------------------------------------------
 
     def register(self, *names: str) -> dict[str, str]:

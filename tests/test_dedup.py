@@ -6,10 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from lamina import RunContext
+from lamina.operators import dedup
 from lamina.operators.dedup import business_columns, drop_business_copies, drop_exact, keep_one
 from lamina.operators.incremental import after_watermark, high_watermark, upsert, with_audit
 from lamina.operators.joins import SkewPolicy
 from lamina.operators.keys import dense_key, hashed_key
+from lamina.runtime import is_plain_scan
 from tests.support import plan, rows
 
 
@@ -58,8 +60,41 @@ def test_survivor_does_not_depend_on_layout(spark):
 
 
 def test_copies_combine_before_the_shuffle(moves):
+    """Rows of an only digest are not shuffled; of the others each task keeps one row per key before the shuffle."""
     text = plan(drop_business_copies(moves, "id"))
-    assert "partial_min" in text and "Window" not in text
+    assert "SortAggregate" not in text and "BroadcastHashJoin LeftAnti" in text
+    assert text.index("WindowGroupLimit") < text.index("Exchange hashpartitioning") if "Exchange hashpartitioning" in text else True
+    assert text.count("WindowGroupLimit") >= 2
+
+
+def test_two_keys_of_one_digest_both_stay(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "a", 5), (2, "a", 4), (1, "a", 3), (None, "b", 1), (3, None, 1), (4, "z", 0)], "k int, t string, v int")
+    expected = rows(df.groupBy("k", "t").agg(F.min("v").alias("v")))
+    assert rows(keep_one(df, ["k", "t"])) == expected
+    monkeypatch.setattr(dedup, "_digests", lambda keys: [F.length(F.coalesce("t", F.lit(""))).alias("__d1"), F.lit(0).alias("__d2")])
+    assert rows(keep_one(df, ["k", "t"])) == expected
+    assert rows(drop_exact(df.unionByName(df))) == rows(df)
+
+
+def test_digests_tell_which_value_is_null(spark):
+    df = spark.createDataFrame([(None, "a"), ("a", None), ("a", "a"), (None, None)], "x string, y string")
+    assert df.select(*dedup._digests(["x", "y"])).distinct().count() == 4
+    assert dedup.repeated_digests(df, ["x", "y"]).isEmpty()
+
+
+@pytest.mark.parametrize("limit", [0, 200_000])
+def test_a_third_of_all_rows_on_one_key(spark, limit):
+    df = spark.range(0, 9000, 1, 6).selectExpr("IF(id % 3 = 0, -1, id) AS k", "9000 - id AS v", "CAST(id AS string) AS t")
+    kept = keep_one(df, ["k"], ["v"], policy=SkewPolicy(broadcast_rows=limit, rows_per_task=100))
+    assert kept.count() == 6001 and rows(kept.where("k = -1")) == [(-1, 3, "8997")]
+
+
+def test_unstable_frames_are_written_before_they_are_read_again(spark):
+    assert is_plain_scan(spark.range(5).selectExpr("id * 2 AS x").where("x > 2"))
+    for df in (spark.range(5).orderBy("id"), spark.range(5).selectExpr("rand() AS x"), spark.range(5).limit(2), spark.range(5).distinct()):
+        assert not is_plain_scan(df)
+    df = spark.range(1000).selectExpr("CAST(rand() * 10 AS INT) AS k", "id")
+    assert keep_one(df, ["k"]).count() == 10
 
 
 def test_dense_key_is_gapless_and_stable(spark):
@@ -111,7 +146,9 @@ def test_upsert_keeps_every_row_without_a_key(spark):
     t = spark.createDataFrame([(None, "x", "b1"), (None, "y", "b1"), (1, "a", "b1")], schema)
     s = spark.createDataFrame([(None, "p", "b2"), (None, "q", "b2"), (2, "b", "b2")], schema)
     once = upsert(t, s, ["k"])
-    assert [r[1] for r in rows(once.orderBy("v"))] == [r[1] for r in rows(upsert(once, s, ["k"]))]
+    assert [r[1] for r in rows(once.orderBy("v"))] == [r[1] for r in rows(upsert(once, s, ["k"], replaces=["b2"]))]
+    # A batch that is not said to come again keeps all its rows.
+    assert upsert(once, s, ["k"]).count() == 8
     assert sorted(r.v for r in once.collect()) == ["a", "b", "p", "q", "x", "y"]
 
 

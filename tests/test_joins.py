@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from lamina.operators.joins import SkewPolicy, hot_groups, lookup_join
+from lamina.operators.joins import SkewPolicy, frequent_values, hot_groups, lookup_join
 from tests.support import plan, rows
 
 # Nothing is broadcast, and a key with more than 500 rows is split.
@@ -124,3 +124,28 @@ def test_small_lookup_is_broadcast_and_large_one_is_not(skewed, lookup):
 def test_right_joins_are_refused(skewed, lookup):
     with pytest.raises(ValueError):
         lookup_join(skewed, lookup, ["k"], "full_outer")
+
+
+def test_frequent_values_are_found_by_bounded_sketches(spark):
+    df = spark.range(0, 40_000, 1, 8).selectExpr("CASE WHEN id % 3 = 0 THEN -1 WHEN id % 50 = 1 THEN -2 ELSE id END AS k")
+    exact = {r.k: r["count"] for r in df.groupBy("k").count().collect()}
+    found = frequent_values(df, "k", tracked=512)
+    bounds = {r.value: (r.at_least, r.at_most) for r in found.collect()}
+    assert len(bounds) <= 512
+    assert all(a <= exact[k] <= b for k, (a, b) in bounds.items())
+    assert {k for k, n in exact.items() if n > 7 * 40_000 / 512} <= set(bounds)
+
+
+def test_no_shuffle_follows_the_keys(spark):
+    """What is sent to find hot keys is the same for a thousand times as many keys."""
+    sent = []
+    for keys in (50, 50_000):
+        df = spark.range(0, 100_000, 1, 4).selectExpr(f"id % {keys} AS k")
+        found = frequent_values(df, "k", tracked=64)
+        text = plan(found)
+        assert "approx_top_k" in text and "hashpartitioning(k" not in text
+        sent.append(text.count("Exchange"))
+    assert sent[0] == sent[1]
+    df = spark.range(0, 100_000, 1, 4).selectExpr("IF(id % 2 = 0, -1, id) AS k")
+    assert rows(hot_groups(df, ["k"], SkewPolicy(rows_per_task=40_000))) == [(-1, 2)]
+    assert hot_groups(df, ["k"], SkewPolicy(rows_per_task=60_000)) is None

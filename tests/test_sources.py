@@ -1,11 +1,16 @@
 """Stores, files, JDBC options and the streaming ingest."""
 
-from datetime import date, datetime
+import os
+from dataclasses import replace
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from lamina import RunContext
+from lamina.operators import incremental
+from lamina.plans import bronze
+from lamina.plans.tables import TableSpec
 from lamina.runtime import materialize, scratch_dir, tune
 from lamina.sources import files, jdbc
 from lamina.sources.store import TableStore, merge_statement
@@ -211,24 +216,129 @@ def test_settings_given_by_the_user_win(spark):
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
 
 
-def test_streaming_ingest_upserts_arrivals(spark, folder):
-    store = TableStore(spark, f"{folder}/raw")
-    schema = "k int, o int, v string"
+SPEC = TableSpec("t", "t", "k")
 
-    def arrive(rows_, name):
-        spark.createDataFrame(rows_, schema).coalesce(1).write.parquet(f"{folder}/in/{name}")
 
-    def run():
-        ingest_arrivals(
-            spark, f"{folder}/in/*", schema, store, "t", ["k"], ["o"], CTX, f"{folder}/progress"
-        ).awaitTermination()
-        return rows(store.read("t").select("k", "o", "v"))
+def arrive(spark, folder, rows_, name, schema="k int, o int, v string"):
+    spark.createDataFrame(rows_, schema).coalesce(1).write.parquet(f"{folder}/in/{name}")
 
-    arrive([(1, 1, "a"), (2, 1, "b"), (2, 2, "bb")], "first")
-    assert run() == [(1, 1, "a"), (2, 2, "bb")]
-    arrive([(2, 3, "B"), (3, 1, "c")], "second")
-    assert run() == [(1, 1, "a"), (2, 3, "B"), (3, 1, "c")]
-    assert run() == [(1, 1, "a"), (2, 3, "B"), (3, 1, "c")]
+
+def stream(spark, folder, store, ctx=CTX, **more):
+    schema = "k int, o int, v string"
+    ingest_arrivals(spark, f"{folder}/in/*", schema, store, SPEC, ctx, f"{folder}/progress", **more).awaitTermination()
+    return rows(bronze.read_raw(SPEC, store).select("k", "o", "v"))
+
+
+@pytest.mark.parametrize("fold", [False, True])
+def test_streaming_ingest_upserts_arrivals(spark, folder, fold):
+    store = TableStore(spark, f"{folder}/raw")
+    arrive(spark, folder, [(1, 1, "a"), (2, 2, "bb"), (None, 0, "n")], "first")
+    assert stream(spark, folder, store, fold=fold) == [(1, 1, "a"), (2, 2, "bb"), (None, 0, "n")]
+    arrive(spark, folder, [(2, 1, "B"), (3, 1, "c"), (None, 0, "n")], "second")
+    # Of one key the row of the later epoch counts, whatever its content; rows without a key all stay.
+    expected = [(1, 1, "a"), (2, 1, "B"), (3, 1, "c"), (None, 0, "n"), (None, 0, "n")]
+    assert stream(spark, folder, store, fold=fold) == expected
+    assert stream(spark, folder, store, fold=fold) == expected
+    bronze.compact(SPEC, store)
+    assert rows(store.read("t").select("k", "o", "v")) == expected
+
+
+def test_epochs_are_increments_and_the_version_stays(spark, folder):
+    store = TableStore(spark, f"{folder}/raw")
+    store.write(bronze.with_audit(spark.createDataFrame([(1, 0, "old"), (None, 9, "base")], "k int, o int, v string"), CTX), "t")
+    version = store.path("t")
+    for n in range(3):
+        arrive(spark, folder, [(n, n, "x"), (None, n, "y")], f"part{n}")
+        stream(spark, folder, store, fold=False)
+    assert store.path("t") == version and len(store.slots(bronze.increments(SPEC, store))) == 3
+    # A full load and increments may share a batch id: nothing of the load without a key is replaced.
+    expected = [(0, 0, "x"), (1, 1, "x"), (2, 2, "x"), (None, 0, "y"), (None, 1, "y"), (None, 2, "y"), (None, 9, "base")]
+    assert rows(bronze.read_raw(SPEC, store).select("k", "o", "v")) == expected
+
+
+@pytest.mark.parametrize("folded", [False, True])
+def test_a_repeated_epoch_replaces_its_own_rows(spark, folder, folded):
+    """An epoch whose rows were written but not committed by the stream comes once more, in a later run."""
+    store = TableStore(spark, f"{folder}/raw")
+    arrive(spark, folder, [(1, 1, "a"), (None, 1, "n")], "first")
+    stream(spark, folder, store, fold=False)
+    arrive(spark, folder, [(1, 2, "b"), (None, 2, "m")], "second")
+    expected = stream(spark, folder, store, fold=False)
+    if folded:
+        bronze.compact(SPEC, store)
+    os.remove(f"{folder}/progress/commits/1")
+    os.path.exists(f"{folder}/progress/commits/.1.crc") and os.remove(f"{folder}/progress/commits/.1.crc")
+    later = replace(CTX, batch_id="later", run_ts=CTX.run_ts + timedelta(days=1))
+    assert stream(spark, folder, store, later, fold=False) == expected == [(1, 2, "b"), (None, 1, "n"), (None, 2, "m")]
+    if folded:
+        assert len(store.slots(bronze.increments(SPEC, store))) == 1
+
+
+def test_watermark_is_kept_with_each_batch(spark, folder):
+    store = TableStore(spark, folder)
+    spec = TableSpec("t", "t", "k", watermark="day")
+    frame = lambda *days: spark.createDataFrame([(i, d) for i, d in enumerate(days)], "k int, day date")
+    at = lambda batch, day: replace(CTX, batch_id=batch, as_of=day, run_ts=datetime(2025, 3, day.day))
+    first, second = at("b1", date(2025, 3, 10)), at("b2", date(2025, 3, 12))
+    # The 11th and the 14th are in the future of the first run.
+    bronze.ingest_table(spec, lambda _: frame(date(2025, 3, 9), date(2025, 3, 11), date(2025, 3, 14)), store, first)
+    mark = lambda ctx: bronze.known_watermark(spec, store, ctx)
+    assert mark(first) == date(2025, 3, 9) and mark(second) == date(2025, 3, 11) and mark(at("b", date(2025, 3, 20))) == date(2025, 3, 14)
+    assert mark(at("b0", date(2025, 3, 8))) is None
+    assert mark(first) == date(2025, 3, 9)
+    for _ in range(2):  # what this batch brought before does not count
+        assert mark(second) == date(2025, 3, 11)
+        rows_, _path = bronze.ingest_table(spec, lambda _: frame(date(2025, 3, 12), None, date(2025, 3, 10)), store, second, "append")
+        assert rows_ == 1
+    third = at("b3", date(2025, 3, 13))
+    assert mark(third) == date(2025, 3, 12)
+    # Lost notes are made again, from the footers.
+    for folder_ in (store.path("t"), *store.slots(bronze.increments(spec, store))):
+        os.remove(f"{folder_}/_watermark_day.json".removeprefix("file:"))
+    assert mark(third) == date(2025, 3, 12)
+    bronze.compact(spec, store)
+    assert mark(third) == date(2025, 3, 12)
+    store.write(frame().withColumn("x", F.lit(1)), "e")
+    assert bronze.known_watermark(TableSpec("e", "e", "k", watermark="day"), store, third) is None
+
+
+def test_watermark_reads_no_rows_of_the_table(spark, folder, monkeypatch):
+    store = TableStore(spark, folder)
+    spec = TableSpec("t", "t", "k", watermark="day")
+    base = spark.range(1000).selectExpr("id AS k", "date_add(DATE '2025-01-01', CAST(id % 50 AS INT)) AS day")
+    bronze.ingest_table(spec, lambda _: base, store, replace(CTX, as_of=date(2025, 3, 1)))
+    text = plan(incremental.footer_maximum(store.read("t"), store.path("t"), "day"))
+    assert "PushedAggregation: [MAX(day)]" in text
+    read = []
+    monkeypatch.setattr(incremental, "high_watermark", lambda *a, **b: read.append(a))
+    monkeypatch.setattr(bronze, "high_watermark", lambda *a, **b: read.append(a))
+    assert bronze.known_watermark(spec, store, replace(CTX, as_of=date(2025, 3, 1))) == date(2025, 2, 19)
+    assert not read
+
+
+def test_increments_are_folded_when_they_are_due(spark, folder):
+    store = TableStore(spark, folder)
+    spec = TableSpec("t", "t", "k")
+    base = spark.range(200_000).selectExpr("id AS k", "uuid() AS v")
+    bronze.ingest_table(spec, lambda _: base, store, CTX)
+    version = store.path("t")
+    for n in range(3):
+        ctx = replace(CTX, batch_id=f"b{n}")
+        bronze.ingest_table(spec, lambda _, n=n: spark.range(n, n + 2).selectExpr("id AS k", "'new' AS v"), store, ctx, "incremental")
+    assert store.path("t") == version and len(store.slots(bronze.increments(spec, store))) == 3
+    assert not bronze.compact_if_due(spec, store) and bronze.compact_if_due(spec, store, batches=3)
+    assert store.path("t") != version and not store.slots(bronze.increments(spec, store))
+    assert store.read("t").where("v = 'new'").count() == 4 and store.read("t").count() == 200_000
+
+
+def test_partitioned_table_without_rows(spark, folder):
+    store = TableStore(spark, folder)
+    nothing = spark.createDataFrame([], "y int, v string, m int")
+    store.write(nothing, "t", ["y", "m"])
+    assert store.read("t").count() == 0 and set(store.read("t").columns) == {"y", "v", "m"}
+    store.write(spark.createDataFrame([(2024, "a", 5)], nothing.schema), "t", ["y", "m"])
+    assert rows(store.read("t").select("y", "m", "v")) == [(2024, 5, "a")]
+    assert store.read("t").schema["y"].dataType.typeName() == "integer"
 
 
 def test_versions_follow_the_last_one_whatever_the_clock_says(spark, folder):
