@@ -1,9 +1,10 @@
-"""Token ids of whole texts by a tokenizer file, remembering pieces it has encoded before.
+"""Token ids of whole texts by a tokenizer file, remembering words and pieces it has encoded before.
 
 The tokenizer encodes pieces of a text one by one where that provably gives the ids of the whole:
 the file must split texts into letter runs, single digits and runs of other characters after lower
-casing. For texts of Latin-1 characters these pieces are found here and each different one is given
-to the tokenizer once; every other text is encoded as a whole.
+casing, none of which holds white space, and mark the ends of pieces. For texts of Latin-1 characters words and their
+pieces are found here and each different piece is given to the tokenizer once, those that a batch of texts
+has new together; every other text is encoded as a whole.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections.abc import Callable
+from collections.abc import Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -19,9 +20,12 @@ import numpy as np
 _LETTERS = "a-zªµºß-öø-ÿ"
 _NUMBERS = "0-9²³¹¼-¾"
 _PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\\s{_LETTERS}{_NUMBERS}]+")
-# Separators on which the two regular expression dialects do not agree, and starts of special tokens.
-_UNSURE = re.compile("[\x1c-\x1f\x85\xa0]|<\\|")
-_REMEMBERED = 600_000
+# Separators on which the two regular expression dialects do not agree, and the start of special tokens.
+_UNSURE = b"\x1c\x1d\x1e\x1f\x85\xa0"
+_SPECIAL = "<|"
+_REMEMBERED = 800_000
+_LONGEST = 64  # characters of a word or piece that is remembered
+_TOGETHER = 2000  # pieces encoded as one text
 # What the memo is good for, as the tokenizer file says it.
 _SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 
@@ -30,7 +34,7 @@ class Encoder:
     """``encode`` gives the ids of a text as little-endian unsigned 32-bit integers.
 
     ``literal`` takes the strings of special tokens in a text as ordinary text. The memo holds
-    about 600,000 pieces and starts anew beyond.
+    about 800,000 words and as many pieces; beyond, those go that have not been met for half as many new ones.
     """
 
     def __init__(self, path: str, literal: bool = False):
@@ -44,40 +48,90 @@ class Encoder:
         steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
         splits = [s["pattern"].get("Regex") for s in steps if s["type"] == "Split"]
         names = [s["type"] for s in (spec.get("normalizer") or {}).get("normalizers", [])]
-        self._by_piece = splits == [_SPLIT] and names == ["NFC", "Replace", "Lowercase"]
-        self._memo = _Memo(self._whole)
+        suffix = spec["model"].get("end_of_word_suffix")
+        self._by_piece = splits == [_SPLIT] and names == ["NFC", "Replace", "Lowercase"] and bool(suffix)
+        if self._by_piece:
+            vocabulary = spec["model"]["vocab"]
+            self._last = np.zeros(max(vocabulary.values()) + 1, bool)
+            self._last[[number for token, number in vocabulary.items() if token.endswith(suffix)]] = True
+        self._words, self._pieces = _Memo(), _Memo()
 
     def encode(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if not self._by_piece or _UNSURE.search(text):
-            return self._whole([text])[0]
-        try:
-            text.encode("latin-1")
-        except UnicodeEncodeError:
-            return self._whole([text])[0]
-        if len(self._memo) > _REMEMBERED:
-            self._memo.clear()
-        return b"".join(map(self._memo.__getitem__, _PIECE.findall(text.lower())))
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: Sequence[str | None]) -> list[bytes]:
+        """Ids of several texts; null and empty ones have none."""
+        out, whole, parted = [b""] * len(texts), [], []
+        for i, text in enumerate(texts):
+            if text:
+                (parted if self._by_piece and _sure(text) else whole).append(i)
+        words = [texts[i].lower().split() for i in parted]
+        long = self._learn(words)
+        for i, own in zip(parted, words):
+            out[i] = b"".join(map(self._words.held.__getitem__, own))
+        self._words.forget(long)
+        for i, ids in zip(whole, self._whole([texts[i] for i in whole])):
+            out[i] = ids
+        return out
+
+    def _learn(self, words: list[list[str]]) -> list[str]:
+        """Have all these words in the memo; returns those too long to stay there."""
+        fresh = self._words.missing(set().union(*words))
+        pieces = list(map(_PIECE.findall, fresh))
+        new = self._pieces.missing(set().union(*pieces))
+        for first in range(0, len(new), _TOGETHER):
+            some = new[first : first + _TOGETHER]
+            self._pieces.held.update(zip(some, self._joined(some)))
+        known = self._pieces.held
+        self._words.held.update((w, b"".join([known[p] for p in own])) for w, own in zip(fresh, pieces))
+        self._pieces.forget([p for p in new if len(p) > _LONGEST])
+        return [w for w in fresh if len(w) > _LONGEST]
+
+    def _joined(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces, encoded as one text and parted at the ends of words."""
+        [ids] = self._whole([" ".join(pieces)])
+        ends = np.flatnonzero(self._last[np.frombuffer(ids, "<u4")]) + 1
+        if len(ends) != len(pieces):  # a piece whose end no token tells
+            return self._whole(pieces)
+        ends = (4 * ends).tolist()
+        return [ids[a:b] for a, b in zip([0, *ends], ends)]
 
     def _whole(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) if texts else []
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
 
-@lru_cache(maxsize=1)
-def shared_encoder(path: str, literal: bool = False) -> Encoder:
-    """The encoder of this process; the tasks that run in it one after the other share its memo."""
-    return Encoder(path, literal)
+def _sure(text: str) -> bool:
+    """Whether the pieces of a text are found here as the tokenizer finds them."""
+    try:
+        raw = text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return len(raw.translate(None, _UNSURE)) == len(raw) and _SPECIAL not in text
+
+
+class _Memo:
+    """What was met last, in two generations: the older one goes when the newer one is full."""
 
+    def __init__(self):
+        self.held: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
 
-class _Memo(dict):
-    """Ids of pieces; a piece not met before is encoded."""
+    def missing(self, wanted: set[str]) -> list[str]:
+        """Which of the wanted are in neither generation; those of the older one move to the newer."""
+        if len(self.held) > _REMEMBERED // 2:
+            self._older, self.held = self.held, {}
+        fresh = wanted.difference(self.held)
+        again = fresh.intersection(self._older)
+        self.held.update((w, self._older[w]) for w in again)
+        return list(fresh.difference(again))
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]]):
-        super().__init__()
-        self._encode = encode
+    def forget(self, names: list[str]) -> None:
+        for name in names:
+            del self.held[name]
 
-    def __missing__(self, piece: str) -> bytes:
-        ids = self[piece] = self._encode([piece])[0]
-        return ids
+
+@lru_cache(maxsize=1)
+def shared_encoder(path: str, literal: bool = False) -> Encoder:
+    """The encoder of this process; the tasks that run in it one after the other share its memo."""
+    return Encoder(path, literal)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from lamina.llm.encoder import shared_encoder
 from lamina.llm.files import Input, Output
+from lamina.llm.words import slices
 from lamina.runtime import materialize
 
 _WRITTEN = "file string, part int, ordinal long, doc_id long"
@@ -44,11 +45,12 @@ def write_flat(
                 continue
             if out is None:
                 encoder, out = shared_encoder(tokenizer, literal=True), Output(folder, f"part-{part:06d}", ".ids")
-            for text in batch.column("text"):
-                ids = np.frombuffer(encoder.encode(text.as_py()), "<u4")
-                if len(ids) and int(ids.max()) >> (8 * width):
-                    raise ValueError(f"an id does not fit into {width} bytes")
-                out.write(ids.astype(f"<u{width}").tobytes() + end)
+            for part_of in slices(batch, "text"):
+                for raw in encoder.encode_all(part_of.column("text").to_pylist()):
+                    ids = np.frombuffer(raw, "<u4")
+                    if len(ids) and int(ids.max()) >> (8 * width):
+                        raise ValueError(f"an id does not fit into {width} bytes")
+                    out.write(ids.astype(f"<u{width}").tobytes() + end)
             n = batch.num_rows
             yield pa.RecordBatch.from_pydict(
                 {

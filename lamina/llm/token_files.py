@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from lamina.llm.encoder import shared_encoder
 from lamina.llm.files import Input, Output
+from lamina.llm.words import slices
 
 MAGIC = b"LFWB"
 _HEADER = struct.Struct("<4sII")
@@ -201,9 +202,10 @@ def write_token_files(
             if batch.num_rows and writer is None:
                 encoder = shared_encoder(tokenizer)
                 writer = TokenWriter(folder, f"part-{part:06d}", bits, block_ids)
-            for doc_id, text in zip(batch.column("doc_id"), batch.column("text")):
-                ids = encoder.encode(text.as_py()) + end
-                writer.add(doc_id.as_py(), np.frombuffer(ids, "<u4"))
+            for part_of in slices(batch, "text"):
+                encoded = encoder.encode_all(part_of.column("text").to_pylist())
+                for doc_id, ids in zip(part_of.column("doc_id").to_pylist(), encoded):
+                    writer.add(doc_id, np.frombuffer(ids + end, "<u4"))
         if writer is not None:
             writer.close()
             yield pa.RecordBatch.from_pydict(
