@@ -9,9 +9,9 @@ in blocks of rows that can have links at all:
    them equal in both sets. Rows that share no segment of a band of sizes are never compared, and
    the rows that do, directly or over others, are gathered by connected components.
    Below a similarity of 0.87 segments would be too short to say anything. There a set of ``a`` elements
-   names the first ``a - ceil(t a) + 1`` of them in an order common to all sets; the first element that two
-   linked sets share is among those of both. The order of hashes leaves out most sets, and of the
-   others the order by rarity leaves out all elements that no second set has.
+   names the first ``a - ceil(t a) + l`` of them in an order common to all sets; the first ``l`` elements that two
+   linked sets share are among those of both. The order of hashes with ``l = a / 16`` leaves out the sets that
+   share a passage only, and of the others the order by rarity leaves out all elements that no second set has.
 3. A gathered group is cut into blocks by size band and hash, and pairs of blocks whose sizes allow a
    link are multiplied, panel by panel of n-grams. Pairs whose overlap so far plus what is left
    cannot reach the bound of their sizes are discarded, and a product stops when none is alive.
@@ -43,6 +43,7 @@ _TOGETHER = 512  # rows of small groups that one call multiplies, group by group
 _WEAK = 3  # segments of fewer elements say little
 _BROADCAST_BYTES = 32 << 20
 _SEGMENTS_FROM = 87  # per cent of similarity from which segments hold about six elements or more
+_MET = 16  # a set must share one in so many of its elements among the first of them
 _CELLS = 1 << 18  # elements of sets in one batch, about
 
 
@@ -119,8 +120,14 @@ def by_prefix(bands: Bands) -> bool:
 
 
 def prefix_length(size: int, bands: Bands) -> int:
-    """Of how many first elements, in any one order, two linked sets share one."""
-    return size - -(-bands.num * size // bands.den) + 1
+    """Of how many first elements, in any one order, two linked sets share ``met_at_least`` of both their sizes."""
+    return size - -(-bands.num * size // bands.den) + max(1, size // _MET)
+
+
+def met_at_least(size: str, bands: Bands) -> F.Column:
+    """How many of its first elements a set of some size shares with a linked one, which may be smaller."""
+    smallest = F.expr(f"({size} * {bands.num} + {bands.den - 1}) div {bands.den}")
+    return F.greatest(F.lit(1), F.floor(smallest / _MET)).cast("long")
 
 
 def jaccard_components(
@@ -236,12 +243,14 @@ def _sets(texts: DataFrame, members: DataFrame, n: int) -> DataFrame:
 def _rarest(texts: DataFrame, signed: DataFrame, cells: DataFrame, n: int, bands: Bands) -> DataFrame:
     """``node`` and ``segment``: the first elements of the sets that may have links, the rarest first.
 
-    ``cells`` are the first elements by hash. A set of which no other has one of these has no links.
+    ``cells`` are the first elements by hash. A set that shares too few of these with others has no links.
     Elements that one set alone has come first and are not returned, as they meet nothing.
     """
     met = cells.groupBy("segment").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("segment")
-    nodes = cells.join(met, "segment", "left_semi").select("node").distinct()
-    chosen = materialize(signed.select("node", "doc_id").join(nodes, "node", "left_semi"), "jaccard-candidates")
+    nodes = cells.join(met, "segment", "left_semi").groupBy("node").agg(F.count(F.lit(1)).alias("n_met"))
+    chosen = signed.select("node", "doc_id", "n_shingles").join(nodes, "node")
+    chosen = chosen.where(F.col("n_met") >= met_at_least("n_shingles", bands)).select("node", "doc_id")
+    chosen = materialize(chosen, "jaccard-candidates")
     sets = _sets(texts, chosen, n).join(chosen.select("node"), "node", "left_semi")
     sets = materialize(sets, "jaccard-candidate-sets")
     elements = sets.mapInArrow(_elements, "node long, segment long")
@@ -253,7 +262,8 @@ def _rarest(texts: DataFrame, signed: DataFrame, cells: DataFrame, n: int, bands
     size = (F.octet_length("grams") / 8).cast("long")
     common = common.join(sets.select("node", size.alias("size")), "node")
     least = F.expr(f"(size * {bands.num} + {bands.den - 1}) div {bands.den}")
-    # The elements of this set alone are size - size(common); what is left of the first size - least + 1 is common.
+    # By rarity one shared element will do: the first size - least + 1. The elements of this set alone are
+    # size - size(common); what is left of those first ones is common.
     rest = F.greatest(F.size("common") - least + 1, F.lit(0)).cast("int")
     first = common.select("node", F.slice(F.array_sort("common"), F.lit(1), rest).alias("first"))
     return materialize(first.select("node", F.explode("first.segment").alias("segment")), "jaccard-rarest")

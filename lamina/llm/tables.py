@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lamina.runtime import is_plain_scan, materialize
+
 TEXT = "__text"
 
 
@@ -21,3 +24,24 @@ def with_text(docs: DataFrame, kept: list[str], text_column: str) -> DataFrame:
     return docs.select(
         *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)], F.col(f"`{text_column}`").alias(TEXT)
     )
+
+
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with a number of its own for every row, the same however often ``docs`` is read.
+
+    A Parquet table as it is read has such numbers: that of the file and the row's place in it. Other frames are written
+    to the scratch folder with numbers.
+    """
+    try:
+        # A frame that is not a table has no such columns.
+        placed = docs.withColumns({"__file": F.col("_metadata.file_path"), "__at": F.col("_metadata.row_index")})
+        files = placed.select("__file").distinct() if is_plain_scan(docs) else None
+    except AnalysisException:
+        files = None
+    if files is None:
+        return materialize(docs.withColumn(name, F.monotonically_increasing_id()), "numbered-rows")
+    # One row per file.
+    order = Window.orderBy("__file")
+    files = materialize(files.withColumn("__number", F.row_number().over(order).cast("long")), "numbered-files")
+    number = F.shiftleft("__number", 40).bitwiseOR(F.col("__at"))
+    return placed.join(F.broadcast(files), "__file").withColumn(name, number).drop("__file", "__at", "__number")
