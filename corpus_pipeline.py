@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from lamina import tune
 from lamina.llm import decontaminate, jaccard, mixing, quality, sharding
 from lamina.llm.queries import DOMAIN_WEIGHTS, quality_model
-from lamina.runtime import materialize
+from lamina.llm.tables import numbered
+from lamina.runtime import materialize, scratch_scope
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,14 +39,26 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     Rows are told apart by a number of their own, whatever their ids: one row of each group stays, and every
     row that is linked with none. A null id is the smallest only where there is no other.
     """
-    numbered = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered-documents")
-    found = jaccard.jaccard_components(numbered, n=5, num=80, den=100, id_column="__row")
-    grouped = found.where("n_links > 0").select(F.col("doc_id").alias("__row"), F.col("component_id").alias("__group"))
-    ids = numbered.select("__row", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row").alias("__id"))
-    grouped = materialize(grouped.join(ids, "__row"), "grouped-documents")
-    first = grouped.groupBy("__group").agg(F.min("__id")["__row"].alias("__first"))
-    others = grouped.join(first, "__group").where("__row != __first").select("__row")
-    return numbered.join(others, "__row", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    rows = numbered(docs, "__row")
+    with scratch_scope(spark):
+        found = jaccard.jaccard_components(rows, n=5, num=80, den=100, id_column="__row")
+        grouped = found.where("n_links > 0").select(F.col("doc_id").alias("__row"), F.col("component_id").alias("__group"))
+        grouped = materialize(grouped, "grouped-documents")
+        order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row").alias("__id")
+        members = beside(rows.select("__row", order), grouped, "__row", "inner")
+        members = materialize(members.select("__row", "__group", "__id"), "grouped-rows")
+        first = members.groupBy("__group").agg(F.min("__id")["__row"].alias("__first"))
+        others = members.join(first, "__group").where("__row != __first").select("__row")
+        others = materialize(others, "linked-copies", lasting=True)
+    return beside(rows, others, "__row", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+
+
+_BROADCAST_ROWS = 2_000_000  # numbers of rows, 16 bytes each
+
+
+def beside(rows: DataFrame, chosen: DataFrame, on: str, how: str) -> DataFrame:
+    """``rows`` joined to a written table of row numbers, which is broadcast up to a number of rows."""
+    return rows.join(F.broadcast(chosen) if chosen.count() <= _BROADCAST_ROWS else chosen, on, how)
 
 
 def remove_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -54,18 +54,19 @@ def scratch_dir(spark: SparkSession) -> str:
     return _LOCAL_SCRATCH[context.applicationId]
 
 
-def materialize(df: DataFrame, name: str = "step") -> DataFrame:
+def materialize(df: DataFrame, name: str = "step", lasting: bool = False) -> DataFrame:
     """Write ``df`` once to the scratch folder and read it back.
 
     Cuts the lineage where several sinks share one plan. A parquet table instead of a checkpoint
     file keeps column pruning and filter pushdown for its readers, and survives lost executors.
+    A ``lasting`` table outlives the scratch scope it is written in.
     """
     spark = df.sparkSession
     app = spark.sparkContext.applicationId
     path = f"{scratch_dir(spark)}/{app}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
     written = _WRITTEN.get()
-    if written is not None:
+    if written is not None and not lasting:
         written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
