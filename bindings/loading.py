@@ -1,11 +1,13 @@
 """Audited ingest, watermarks, upserts, sources and sinks."""
 
 import uuid
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
-from bindings.common import AS_OF, CTX, orders, table
+from bindings.common import AS_OF, CTX, lineitem, orders, table
+from lamina.functions import dates
+from lamina.operators import sketches
 from lamina.operators.incremental import (
     after_watermark, high_watermark, upsert, watermark_frame, with_audit,
 )
@@ -14,6 +16,7 @@ from lamina.plans.tables import TableSpec
 from lamina.runtime import scratch_dir
 from lamina.settings import Settings
 from lamina.sources.files import CORRUPT, read_csv, write_csv
+from lamina.sources.pruning import where_days
 from lamina.sources.store import TableStore
 from lamina.streaming.increments import ingest_arrivals
 
@@ -177,6 +180,47 @@ def sink_clustered(spark, folder):
     return store.read("orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
 
 
+def sink_zordered(spark, folder):
+    """Order lines clustered by part and day together, and read back by a range of either."""
+    store = TableStore(spark, _scratch(spark, "sink"))
+    store.write(lineitem(spark, folder), "lines", cluster_by=["l_partkey", "l_shipdate"], along_curve=True)
+    lines = store.read("lines")
+    by_part = lines.where("l_partkey BETWEEN 20 AND 60").withColumn("by", F.lit("part"))
+    by_day = where_days(lines, "l_shipdate", date(1996, 3, 1), date(1996, 4, 30)).withColumn("by", F.lit("day"))
+    return by_part.unionByName(by_day).groupBy("by", "l_returnflag").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double").alias("quantity")
+    )
+
+
+def days_by_partition(spark, folder):
+    """Orders stored by year and month of their day, filtered by the day alone."""
+    store = TableStore(spark, _scratch(spark, "sink"))
+    day = "o_orderdate"
+    dated = orders(spark, folder).withColumns({f"{day}_year": F.year(day), f"{day}_month": F.month(day)})
+    store.write(dated, "orders", [f"{day}_year", f"{day}_month"])
+    found = where_days(store.read("orders"), day, date(1996, 11, 30), date(1997, 2, 1))
+    recent = dates.since_cutoff(store.read("orders"), day, dates.trailing_cutoff(store.read("orders"), day, 3))
+    return found.select("o_orderkey", day, F.lit("days").alias("by")).unionByName(
+        recent.select("o_orderkey", day, F.lit("recent").alias("by"))
+    )
+
+
+def distinct_sketch(spark, folder):
+    """Customers per order status and year from daily sketches stored month by month, beside the exact numbers."""
+    store = TableStore(spark, _scratch(spark, "sketches"))
+    every = orders(spark, folder)
+    daily = sketches.distinct_sketches(every, ["o_orderstatus", "o_orderdate"], "o_custkey")
+    for half in (0, 1):
+        store.append(daily.where((F.quarter("o_orderdate") > 2).cast("int") == half), "daily", f"half{half}")
+    year = F.year("o_orderdate").alias("year")
+    stored = store.read_all("daily").withColumn("year", year)
+    found = sketches.merged(stored, ["o_orderstatus", "year"]).withColumn("estimated", sketches.estimate())
+    exact = every.groupBy("o_orderstatus", year).agg(F.count_distinct("o_custkey").alias("customers"))
+    return exact.join(found, ["o_orderstatus", "year"], "left").select(
+        "o_orderstatus", "year", "customers", sketches.within(F.col("estimated"), F.col("customers")).alias("within_bound")
+    )
+
+
 def source_csv_roundtrip(spark, folder):
     path = _scratch(spark, "csv")
     write_csv(orders(spark, folder), path)
@@ -220,6 +264,9 @@ QUERIES = {
     "csv_reject_bad_values": csv_reject_bad_values,
     "sink_partitioned": sink_partitioned,
     "sink_clustered": sink_clustered,
+    "sink_zordered": sink_zordered,
+    "days_by_partition": days_by_partition,
+    "distinct_sketch": distinct_sketch,
     "source_csv_roundtrip": source_csv_roundtrip,
     "sql_surface": sql_surface,
 }
@@ -291,6 +338,24 @@ ORACLE = {
                count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
         FROM orders GROUP BY 1, 2""",
     "sink_clustered": "SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1",
+    "sink_zordered": """
+        SELECT 'part' AS "by", l_returnflag, count(*) AS n,
+               CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS quantity
+        FROM lineitem WHERE l_partkey BETWEEN 20 AND 60 GROUP BY l_returnflag
+        UNION ALL SELECT 'day', l_returnflag, count(*), CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE)
+        FROM lineitem WHERE CAST(l_shipdate AS DATE) BETWEEN DATE '1996-03-01' AND DATE '1996-04-30'
+        GROUP BY l_returnflag""",
+    "days_by_partition": f"""
+        WITH {_ORDERS_SQL}
+        SELECT o_orderkey, o_orderdate, 'days' AS "by" FROM o
+        WHERE o_orderdate BETWEEN DATE '1996-11-30' AND DATE '1997-02-01'
+        UNION ALL SELECT o_orderkey, o_orderdate, 'recent' FROM o
+        WHERE o_orderdate >= (SELECT max(o_orderdate) - INTERVAL 3 MONTH FROM o)""",
+    "distinct_sketch": f"""
+        WITH {_ORDERS_SQL}
+        SELECT o_orderstatus, CAST(year(o_orderdate) AS INTEGER) AS year, count(DISTINCT o_custkey) AS customers,
+               true AS within_bound
+        FROM o GROUP BY o_orderstatus, year(o_orderdate)""",
     "source_csv_roundtrip": f"WITH {_ORDERS_SQL} SELECT * FROM o",
     "sql_surface": SURFACE_SQL.format(orders="orders", customer="customer"),
 }

@@ -44,8 +44,16 @@ def trailing_cutoff(df: DataFrame, day: str, months: int) -> DataFrame:
 
 
 def since_cutoff(df: DataFrame, day: str, cutoff: DataFrame) -> DataFrame:
-    """Rows on or after a one-row cutoff, compared through a scalar subquery inside the plan."""
-    return df.where(F.col(day) >= cutoff.scalar())
+    """Rows on or after a one-row cutoff, compared through a scalar subquery inside the plan.
+
+    A table with year and month of the day (``<day>_year``, ``<day>_month``) is filtered by these too.
+    """
+    since = cutoff.scalar()
+    df = df.where(F.col(day) >= since)
+    year, month = f"{day}_year", f"{day}_month"
+    if year in df.columns and month in df.columns:
+        df = df.where(month_index(year, month) >= month_index(F.year(since), F.month(since)))
+    return df
 
 
 def calendar(bounds: DataFrame) -> DataFrame:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,63 +20,129 @@ def flag_nulls(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     return df.withColumns({f"is_null_{c}": F.col(c).isNull().cast("int") for c in cols})
 
 
-def _neighbours(df: DataFrame, v: str, low: int, high: int, n: int, held: int):
-    """The values of the 1-based ranks ``low`` and ``high`` among the ``n`` values of ``df``.
+@dataclass
+class _Search:
+    """The values of the ranks ``low`` and ``high`` (1-based, ``high`` is ``low`` or behind it) of one column.
 
-    ``high`` is ``low`` or the rank behind it.
+    They are among its ``n`` values in the range that ``inside`` tells; ``found`` are they once known.
     """
-    inside, c = df, F.col(v)
-    while n > held:
-        # Two estimated values enclose the ranks; exact counts then tell which part holds them.
-        near = [max(0.0, (low - 1) / n - 0.001), min(1.0, high / n + 0.001)]
-        a, b = inside.agg(F.percentile_approx(v, near, F.lit(10_000))).first()[0]
-        below, at_a, within, before, behind, beyond = inside.agg(
-            F.count_if(c < a), F.count_if(c == a), F.count_if(c.between(a, b)),
-            F.max(F.when(c < a, c)), F.min(F.when(c > a, c)), F.min(F.when(c > b, c)),
-        ).first()
-        if high <= below:
-            inside, n = inside.where(c < a), below
-        elif low <= below + at_a:
-            return before if low <= below else a, a if high <= below + at_a else behind
-        elif high <= below + within:
-            inside, n, skipped = inside.where((c > a) & (c <= b)), within - at_a, below + at_a
-            low, high = low - skipped, high - skipped
-        elif low <= below + within:
-            return b, beyond
+
+    col: str
+    low: int
+    high: int
+    n: int
+    inside: Column
+    found: tuple[float, float] | None = None
+
+    @property
+    def value(self) -> Column:
+        """The column's values in the range, NULL outside, which aggregates leave out."""
+        return F.when(self.inside, F.col(self.col))
+
+    def near(self) -> Column:
+        """Two estimated values that enclose the ranks."""
+        ranks = [max(0.0, (self.low - 1) / self.n - 0.001), min(1.0, self.high / self.n + 0.001)]
+        return F.percentile_approx(self.value, ranks, F.lit(10_000))
+
+    def counts(self, a: float, b: float) -> Column:
+        """Exact numbers of values below, at and between the two, and their neighbours."""
+        c = self.value
+        return F.struct(
+            F.count_if(c < a).alias("below"), F.count_if(c == a).alias("at_a"), F.count_if(c.between(a, b)).alias("within"),
+            F.max(F.when(c < a, c)).alias("before"), F.min(F.when(c > a, c)).alias("behind"), F.min(F.when(c > b, c)).alias("beyond"),
+        )
+
+    def narrow(self, a: float, b: float, told: Row) -> None:
+        """Go on in the part that the counts say the ranks are in."""
+        c, below, at_a, within = F.col(self.col), told["below"], told["at_a"], told["within"]
+        if self.high <= below:
+            self.inside, self.n = self.inside & (c < a), below
+            return
+        if self.low <= below + at_a:
+            self.found = (told["before"] if self.low <= below else a, a if self.high <= below + at_a else told["behind"])
+            return
+        if self.low <= below + within < self.high:
+            self.found = (b, told["beyond"])
+            return
+        if self.high <= below + within:
+            self.inside, self.n, skipped = self.inside & (c > a) & (c <= b), within - at_a, below + at_a
         else:
-            inside, n, skipped = inside.where(c > b), n - below - within, below + within
-            low, high = low - skipped, high - skipped
-    ranks = [f"percentile_disc({(r - 0.5) / n}D) WITHIN GROUP (ORDER BY {v})" for r in (low, high)]
-    return tuple(inside.agg(*[F.expr(r).alias(f"r{i}") for i, r in enumerate(ranks)]).first())
+            self.inside, self.n, skipped = self.inside & (c > b), self.n - below - within, below + within
+        self.low, self.high = self.low - skipped, self.high - skipped
 
 
-def median(df: DataFrame, col: str, held: int = _EXACT_VALUES):
-    """Exact median of a numeric column; the mean of the two middle values for an even count.
+def medians(df: DataFrame, cols: Sequence[str], held: int = _EXACT_VALUES) -> dict[str, float | None]:
+    """Exact medians of numeric columns, each the mean of the two middle values for an even count; None without values.
 
-    The column alone is written to the scratch folder. There the range around the middle is narrowed
-    by estimated percentiles with exact counts, two aggregates a step, until it holds at most ``held``
-    values, of which one exact aggregate picks both.
+    The columns are written to the scratch folder and searched together. The range around each middle is narrowed
+    by estimated percentiles with exact counts, two aggregates a step for all columns, until every range holds at most
+    ``held`` values, of which one exact aggregate picks all. The number of jobs follows the steps of the
+    column that needs most and not the number of columns.
+    """
+    if not cols:
+        return {}
+    names = {c: f"v{i}" for i, c in enumerate(cols)}
+    values = materialize(df.select(*[F.col(f"`{c}`").cast("double").alias(v) for c, v in names.items()]), "medians")
+    counts = values.agg(*[F.count(v).alias(v) for v in names.values()]).first()
+    searches = [
+        _Search(v, (counts[v] + 1) // 2, counts[v] // 2 + 1, counts[v], F.col(v).isNotNull())
+        for v in names.values() if counts[v]
+    ]
+    while wide := [s for s in searches if s.found is None and s.n > held]:
+        near = values.agg(*[s.near().alias(s.col) for s in wide]).first()
+        told = values.agg(*[s.counts(*near[s.col]).alias(s.col) for s in wide]).first()
+        for s in wide:
+            s.narrow(*near[s.col], told[s.col])
+    if narrow := [s for s in searches if s.found is None]:
+        held_values = values.select(*[s.value.alias(s.col) for s in narrow])
+        picked = held_values.agg(*[rank for s in narrow for rank in _ranks(s)]).first()
+        for s in narrow:
+            s.found = picked[f"{s.col}_low"], picked[f"{s.col}_high"]
+    middle = {s.col: s.found[0] + (s.found[1] - s.found[0]) / 2 for s in searches}
+    return {c: middle.get(v) for c, v in names.items()}
+
+
+def _ranks(s: _Search) -> list[Column]:
+    """The values of both ranks, exactly."""
+    return [
+        F.expr(f"percentile_disc({(rank - 0.5) / s.n}D) WITHIN GROUP (ORDER BY {s.col})").alias(f"{s.col}_{name}")
+        for name, rank in (("low", s.low), ("high", s.high))
+    ]
+
+
+def median(df: DataFrame, col: str, held: int = _EXACT_VALUES) -> float | None:
+    """The exact median of one numeric column (``medians``)."""
+    return medians(df, [col], held)[col]
+
+
+def modes(df: DataFrame, cols: Sequence[str]) -> dict[str, object]:
+    """Most frequent value of each column, the smallest of equally frequent ones; NULL is not a value.
+
+    One pass and one shuffle for all columns: every value is counted beside the number of its column, combined in
+    each task, and the best of each column is kept.
     """
-    values = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
-    values = materialize(values, "median")
-    n = values.count()
-    if n == 0:
-        return None
-    a, b = _neighbours(values, "v", (n + 1) // 2, n // 2 + 1, n, held)
-    return a + (b - a) / 2
+    if not cols:
+        return {}
+    fields = [f"v{i}" for i in range(len(cols))]
+    types = [df.schema[c].dataType for c in cols]
+    # A row for each column, with its value in a field of its own type and all other fields NULL.
+    each = F.array(*[
+        F.struct(F.lit(i).alias("of"), *[
+            (F.col(f"`{c}`") if j == i else F.lit(None).cast(types[j])).alias(fields[j]) for j in range(len(cols))
+        ]) for i, c in enumerate(cols)
+    ])
+    told = df.select(F.explode(each).alias("x")).select("x.*")
+    known = F.coalesce(*[F.when(F.col(f).isNotNull(), F.lit(True)) for f in fields], F.lit(False))
+    counts = told.where(known).groupBy("of", *fields).agg(F.count(F.lit(1)).alias("n"))
+    # Within a column all other fields are NULL, so that the order is that of the counts and then of its values.
+    best = counts.groupBy("of").agg(F.min(F.struct((-F.col("n")).alias("n"), *fields)).alias("best")).collect()
+    found = {row["of"]: row["best"][fields[row["of"]]] for row in best}
+    return {c: found.get(i) for i, c in enumerate(cols)}
 
 
 def mode(df: DataFrame, col: str):
-    """Most frequent value, the smallest of equally frequent ones; NULL is not a value."""
-    top = (
-        df.where(F.col(col).isNotNull())
-        .groupBy(col)
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .orderBy(F.desc("__n"), F.asc(col))
-        .select(col)
-        .first()
-    )
-    return top[0] if top else None
+    """The mode of one column (``modes``)."""
+    return modes(df, [col])[col]
 
 
 def fill(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
@@ -105,8 +172,8 @@ def handle_nulls(
     if unknown:
         raise ValueError(f"unknown null handling {sorted(unknown)}")
     out = flag_nulls(df, [c for c in cols if how[c] != "exclude"])
-    values = {c: median(df, c) for c in cols if how[c] == "impute_median"}
-    values |= {c: mode(df, c) for c in cols if how[c] == "impute_mode"}
+    values = medians(df, [c for c in cols if how[c] == "impute_median"])
+    values |= modes(df, [c for c in cols if how[c] == "impute_mode"])
     excluded = [c for c in cols if how[c] == "exclude"]
     out = fill(out, values)
     return out.dropna(subset=excluded) if excluded else out

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lamina.context import RunContext
 from lamina.functions import classify, dates, money
+from lamina.operators import sketches
 from lamina.operators.dedup import keep_one
 from lamina.operators.joins import DEFAULT_SKEW, SkewPolicy, lookup_join
 from lamina.operators.keys import dense_key
@@ -176,6 +178,22 @@ def portfolio_kpi(
     return kpi.withColumn("tasa_mora_pct", money.percent("monto_en_mora", "monto_total_cartera"))
 
 
+def late_client_sketches(portfolio: DataFrame, as_of: date, lg: int = 12) -> DataFrame:
+    """Sketches of the clients in arrears, per product, of one day; to be appended to those of other days."""
+    late = portfolio.where(F.col("dias_mora_act") > 0)
+    found = sketches.distinct_sketches(late, ["cod_prod"], "id_cli", lg)
+    return found.select(F.lit(as_of).alias("fec_reporte"), "cod_prod", sketches.SKETCH)
+
+
+def late_clients_over(daily: DataFrame, first: date, last: date, by: Sequence[str] = ("cod_prod",)) -> DataFrame:
+    """Clients that were in arrears on any of several days, about as many as ``sketches.error_bound`` says.
+
+    From the stored sketches alone: the portfolios of those days are not read again.
+    """
+    days = daily.where(F.col("fec_reporte").between(F.lit(first), F.lit(last)))
+    return sketches.merged(days, by).select(*by, sketches.estimate().alias("clientes_con_mora_aprox"))
+
+
 TABLES = (
     "dim_clientes", "dim_productos", "dim_geografia", "dim_canal", "dim_fecha",
     "fact_transacciones", "fact_cartera", "fact_rentabilidad_cliente", "kpi_cartera_diaria",

@@ -12,10 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lamina.operators.curve import curve
 from lamina.runtime import delete_folder, folder_bytes, read_note, write_note
 
 _SLOT = "_slot"
 _SCHEMA = "schema"
+_PLACE = "__place"
 
 
 class TableStore:
@@ -42,6 +44,7 @@ class TableStore:
         partition_by: Sequence[str] = (),
         cluster_by: Sequence[str] = (),
         gather: bool = True,
+        along_curve: bool = False,
     ) -> str:
         """Replace a table; its schema may change. Returns the folder written.
 
@@ -49,13 +52,19 @@ class TableStore:
         large files and not one per task; the rebalance splits a partition value that holds too
         much. ``gather=False`` leaves the rows where they are, for partition columns that have one value
         in all rows. ``cluster_by`` sorts the files by range for readers that filter on those columns;
-        a hash of the row breaks ties, so that rows of one value fill several files.
+        a hash of the row breaks ties, so that rows of one value fill several files. The first column is served best;
+        ``along_curve`` orders by the ranks of all of them together instead, so that a filter on any one skips most row
+        groups.
         """
+        columns = df.columns
         if cluster_by:
             hashed = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
             ties = F.xxhash64(*[F.col(f"`{c}`") for c in hashed])
-            df = df.repartitionByRange(*partition_by, *cluster_by, ties)
-            df = df.sortWithinPartitions(*partition_by, *cluster_by)
+            if along_curve:
+                df = df.withColumn(_PLACE, curve(df, cluster_by))
+            order = [_PLACE] if along_curve else cluster_by
+            df = df.repartitionByRange(*partition_by, *order, ties)
+            df = df.sortWithinPartitions(*partition_by, *order).select(*[F.col(f"`{c}`") for c in columns])
         elif partition_by and gather:
             df = df.hint("rebalance", *partition_by)
         path = f"{self.root}/{name}"

@@ -4,6 +4,7 @@ import random
 import statistics
 
 import pytest
+from pyspark.sql import functions as F
 
 from lamina.operators import impute
 from tests.support import rows
@@ -55,3 +56,33 @@ def test_policies(spark):
 def test_fill_skips_columns_without_a_value(spark):
     df = spark.createDataFrame([(None, None)], "a int, b string")
     assert rows(impute.fill(df, {"a": None, "b": "x"})) == [(None, "x")]
+
+
+def test_all_columns_are_searched_together(spark):
+    """Medians and modes of many columns are those of each alone, and take as many jobs as one."""
+    draw = random.Random(5)
+    shapes = [values + [None] * 40 for values in SHAPES.values()]
+    longest = max(map(len, shapes))
+    table = [[s[i] if i < len(s) else None for s in shapes] for i in range(longest)]
+    draw.shuffle(table)
+    names = [f"c {i}" for i in range(len(shapes))]
+    df = spark.createDataFrame(table, ", ".join(f"`{n}` double" for n in names)).withColumn("none", F.lit(None).cast("int"))
+    told = impute.medians(df, [*names, "none"], 300)
+    assert told.pop("none") is None
+    assert list(told.values()) == [pytest.approx(statistics.median([v for v in s if v is not None]), rel=1e-12) for s in shapes]
+    mixed = df.select(F.col("`c 5`").cast("int").alias("i"), F.col("`c 5`").cast("string").alias("s"), F.col("`c 7`").alias("f"), "none")
+    few = [v for v in SHAPES["few values"]]
+    top = min(set(few), key=lambda v: (-few.count(v), v))
+    assert impute.modes(mixed, ["i", "s", "f", "none"]) == {"i": int(top), "s": str(top), "f": 3.25, "none": None}
+    assert impute.medians(df, []) == {} and impute.modes(df, []) == {}
+
+    def jobs(name, work):
+        spark.sparkContext.setJobGroup(name, name)
+        work()
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+
+    same = df.select(*[F.col("`c 6`").alias(f"v{i}") for i in range(6)])
+    for held, find in ((50, lambda c: impute.medians(same, c, 50)), (0, lambda c: impute.modes(same, c))):
+        one = jobs(f"one{held}", lambda: find(["v0"]))
+        assert 0 < jobs(f"six{held}", lambda: find([f"v{i}" for i in range(6)])) <= one + 1
