@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lamina.llm.tables import others, with_text
 from lamina.llm.words import ALNUM, Texts, slices
 
 _MAP_BITS = 20
@@ -207,11 +208,14 @@ def find_items(
     benchmark; a single item is never parted.
     """
     schema = T._parse_datatype_string(_FOUND)
-    kept = [c for c in docs.columns if c not in schema.names]
-    found = docs.select(
-        *kept, F.lit(None).cast("long").alias("n_words"),
-        F.array().cast(schema["spans"].dataType).alias("spans"),
-        F.array().cast(schema["items"].dataType).alias("items"),
+    kept = others(docs, schema.names)
+    rows, text = with_text(docs, kept, text_column)
+    found = rows.withColumns(
+        {
+            "n_words": F.lit(None).cast("long"),
+            "spans": F.array().cast(schema["spans"].dataType),
+            "items": F.array().cast(schema["items"].dataType),
+        }
     )
     texts = items.select(F.col(item_id).cast("string").alias("name"), F.col(item_text).alias("body"))
     texts = texts.where("body is not null")
@@ -219,8 +223,9 @@ def find_items(
     n_groups = max(1, -(-total // group_bytes))
     for group in range(n_groups):
         own = texts.where(F.pmod(F.xxhash64("name", "body"), F.lit(n_groups)) == group).collect()
-        found = _pass(found, [r.name for r in own], [r.body for r in own], window, text_column)
-    return found
+        found = _pass(found, [r.name for r in own], [r.body for r in own], window, text)
+    names = [F.col(f"c{i}").alias(c) for i, c in enumerate(kept)]
+    return found.select(*names, *schema.names)
 
 
 def _pass(
@@ -284,21 +289,22 @@ def remove_items(
     was cut.
     """
     added = T._parse_datatype_string(_FOUND).names
-    prefix = "__in_"  # input columns may be called like the added ones
-    renamed = docs.select(*[F.col(f"`{c}`").alias(prefix + c) for c in docs.columns])
-    found = find_items(renamed, items, window, prefix + text_column, item_id, item_text)
+    # Columns by number: input columns may be called like the added ones, or have dots in their names.
+    text = f"c{docs.columns.index(text_column)}"
+    renamed = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)])
+    found = find_items(renamed, items, window, text, item_id, item_text)
     found = found.where(hit_words() <= F.lit(max_coverage) * F.col("n_words"))
     schema = T.StructType([*renamed.schema.fields])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, prefix + text_column):
-                yield _cut(part, prefix + text_column, added)
+            for part in slices(batch, text):
+                yield _cut(part, text, added)
 
     clean = found.mapInArrow(cut, schema)
-    columns = {c: F.col(f"`{prefix}{c}`") for c in docs.columns}
+    columns = {c: F.col(f"c{i}") for i, c in enumerate(docs.columns)}
     if length_column is not None:
-        length = F.length(prefix + text_column).cast(docs.schema[length_column].dataType)
+        length = F.length(text).cast(docs.schema[length_column].dataType)
         columns[length_column] = F.coalesce(length, columns[length_column])
     return clean.select(*[column.alias(name) for name, column in columns.items()])
 

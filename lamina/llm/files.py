@@ -60,3 +60,10 @@ class Input:
 
     def close(self) -> None:
         self._file.close()
+
+
+def opened_if_there(folder: str, name: str) -> Input | None:
+    try:
+        return Input(folder, name)
+    except FileNotFoundError:
+        return None

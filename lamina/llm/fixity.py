@@ -1,8 +1,10 @@
 """WARC files of pages, and a fixity audit that compares replicas by Merkle trees.
 
-Every record is hashed; sixteen neighbours by file and offset are hashed into a node of the level above,
+The records of a file cut it into ordered ranges of offsets: each from the end of the record before to its own end, the
+last to the end of the file, so that no byte of a file is outside of them. Every range is hashed with its offset and
+length in it into a leaf; sixteen neighbours by file and offset are hashed into a node of the level above,
 and so on to one root. Replicas with equal roots are equal. Otherwise only the children of nodes that
-differ are compared, level by level, down to the records that are corrupt.
+differ are compared, level by level, down to the ranges that are corrupt.
 """
 
 from __future__ import annotations
@@ -14,14 +16,17 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lamina.llm.files import Input, Output
+from lamina.llm.files import Input, Output, opened_if_there
 from lamina.runtime import materialize
 
 _BITS = 4  # sixteen children to a node
 _RECORD = "page_id long, file string, part int, ordinal long, offset long, length long"
+_LEAF = "part int, idx long, hash string, sha256 string"
+_MISSING = "missing"
+_CHUNK = 1 << 22  # bytes of a range in memory
 _DATE = "2024-01-01T00:00:00Z"
 
 
@@ -79,8 +84,17 @@ def write_warc(
 
 
 def _by_file(records: DataFrame) -> DataFrame:
-    """The places of the records, in order of file and offset, spread by ranges of both."""
-    places = records.select("part", "ordinal", "file", "offset", "length")
+    """The places of the records and where their ranges begin, in order of file and offset, spread by ranges of both.
+
+    ``last`` marks the last record of a file. A window holds the numbers of one file's records.
+    """
+    within = Window.partitionBy("part", "file").orderBy("ordinal")
+    places = records.select("part", "ordinal", "file", "offset", "length").withColumns(
+        {
+            "since": F.coalesce(F.lag(F.col("offset") + F.col("length")).over(within), F.lit(0)),
+            "last": F.lead("ordinal").over(within).isNull(),
+        }
+    )
     return places.repartitionByRange("part", "ordinal").sortWithinPartitions("part", "ordinal")
 
 
@@ -95,7 +109,7 @@ def copy_replica(records: DataFrame, source: str, target: str, damaged: Column |
     def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name = reader = out = None
         for batch in batches:
-            names = []
+            names, offsets = [], []
             for row in batch.to_pylist():
                 if row["file"] != name:
                     if out is not None:
@@ -106,10 +120,12 @@ def copy_replica(records: DataFrame, source: str, target: str, damaged: Column |
                 data = reader.read(row["offset"], row["length"])
                 if row["damaged"]:
                     data = data[:-1] + bytes([data[-1] ^ 1])
+                offsets.append(out.size)
                 out.write(data)
                 names.append(out.name)
             columns = {c: batch.column(c) for c in batch.schema.names if c != "damaged"}
             columns["file"] = pa.array(names, pa.string())
+            columns["offset"] = pa.array(offsets, pa.int64())
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
         if out is not None:
             reader.close()
@@ -118,11 +134,29 @@ def copy_replica(records: DataFrame, source: str, target: str, damaged: Column |
     return materialize(files.mapInArrow(copy, records.schema), "warc-replica")
 
 
+def _range(file: Input | None, row: dict) -> tuple[str, str | None]:
+    """The hash of a record's range, and of the record itself; of what is not there, none."""
+    if file is None:
+        return _MISSING, None
+    since, end = min(row["since"], row["offset"]), row["offset"] + row["length"]
+    stop = max(end, file.size) if row["last"] else end
+    # Offsets within the range, so that records behind one that is missing are not taken for damaged.
+    whole = hashlib.sha256(f"{row['offset'] - since} {row['length']} {stop - since}\n".encode())
+    inside = hashlib.sha256()
+    for at in range(since, stop, _CHUNK):
+        data = file.read(at, min(_CHUNK, stop - at))
+        whole.update(data)
+        inside.update(data[max(0, row["offset"] - at) : max(0, end - at)])
+    # A file that ends inside of the record has only part of it.
+    return whole.hexdigest(), inside.hexdigest() if end <= file.size else None
+
+
 def merkle_levels(records: DataFrame, folder: str) -> list[DataFrame]:
-    """The nodes of every level, leaves first: part, idx, hash. Bytes that are missing hash as none.
+    """The nodes of every level, leaves first: part, idx, hash; leaves have ``sha256`` of the record too.
 
-    Within a file sixteen neighbours make a node; when every file is one node, sixteen neighbouring
-    files do, up to one root. No rows, no levels.
+    A leaf hashes where its record lies in its range and the bytes there, those between records among them; the range of a file's last
+    record goes to the end of the file. A file that is missing has leaves of one hash of its own. Within a file sixteen neighbours make a node; when every file is
+    one node, sixteen neighbouring files do, up to one root. No rows, no levels.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,15 +167,20 @@ def merkle_levels(records: DataFrame, folder: str) -> list[DataFrame]:
                 if row["file"] != name:
                     if file is not None:
                         file.close()
-                    name, file = row["file"], Input(folder, row["file"])
-                hashes.append(hashlib.sha256(file.read(row["offset"], row["length"])).hexdigest())
+                    name, file = row["file"], opened_if_there(folder, row["file"])
+                hashes.append(_range(file, row))
             yield pa.RecordBatch.from_pydict(
-                {"part": batch.column("part"), "idx": batch.column("ordinal"), "hash": pa.array(hashes, pa.string())}
+                {
+                    "part": batch.column("part"),
+                    "idx": batch.column("ordinal"),
+                    "hash": pa.array([h for h, _ in hashes], pa.string()),
+                    "sha256": pa.array([h for _, h in hashes], pa.string()),
+                }
             )
         if file is not None:
             file.close()
 
-    leaves = materialize(_by_file(records).mapInArrow(read, "part int, idx long, hash string"), "merkle-leaves")
+    leaves = materialize(_by_file(records).mapInArrow(read, _LEAF), "merkle-leaves")
     most = leaves.agg(F.max("idx"), F.max("part")).first()
     if most[0] is None:
         return []
@@ -188,32 +227,50 @@ def differing_leaves(ours: list[DataFrame], theirs: list[DataFrame], within: int
 
 
 def audit(records: DataFrame, folder: str, replica: DataFrame, replica_folder: str) -> DataFrame:
-    """Every record of the first archive with ``sha256``, its replica's ``replica_sha256`` and ``intact``.
+    """Every record of either archive with ``sha256``, its replica's ``replica_sha256``, ``intact`` and ``damage``.
 
-    Both trees are built from the bytes that the folders hold now. An archive of another number of records
-    has missing leaves, which are not intact. Without records there are no rows.
+    Both trees are built from the bytes that the folders hold now. ``damage`` is null for an intact record, else
+    ``record`` where its bytes differ, ``around`` where these are the same but not what stands before it or, for the last
+    one of a file, behind it, or its offset, ``missing`` where the replica does not have it, its file or all of it, and
+    ``extra`` for a record that only the replica has, which has no ``sha256``. A folder without a file that
+    its records name has missing records. Without records in either there are no rows.
     """
     spark = records.sparkSession
     ours, theirs = merkle_levels(records, folder), merkle_levels(replica, replica_folder)
-    schema = "part int, ordinal long, theirs string, damaged boolean"
     wrong = None
     if ours and len(ours) == len(theirs):
         wrong = differing_leaves(ours, theirs, records.agg(F.max("ordinal")).first()[0])
-    elif ours:  # trees of other shapes: compare the leaves
-        a, b = ours[0].withColumnRenamed("hash", "ours"), (theirs or [ours[0].limit(0)])[0].withColumnRenamed("hash", "theirs")
-        wrong = a.join(b, ["part", "idx"], "full_outer").where(~F.col("ours").eqNullSafe(F.col("theirs")))
+    elif ours or theirs:  # trees of other shapes: compare the leaves
+        nothing = (ours or theirs)[0].limit(0)
+        a, b = (levels[0] if levels else nothing for levels in (ours, theirs))
+        both = a.select("part", "idx", F.col("hash").alias("ours")).join(
+            b.select("part", "idx", F.col("hash").alias("theirs")), ["part", "idx"], "full_outer"
+        )
+        wrong = both.where(~F.col("ours").eqNullSafe(F.col("theirs")))
+    empty = spark.createDataFrame([], _LEAF)
+    at = ["part", "ordinal"]
+    mine = (ours[0] if ours else empty).select("part", F.col("idx").alias("ordinal"), "sha256")
+    other = (theirs[0] if theirs else empty).select("part", F.col("idx").alias("ordinal"), F.col("sha256").alias("there"))
+    placed = records.join(mine, at)
     if wrong is None:
-        found = spark.createDataFrame([], schema)
-    else:
-        found = wrong.select("part", F.col("idx").alias("ordinal"), "theirs", F.lit(True).alias("damaged"))
-    if not ours:
-        return records.select(
-            *records.columns, F.lit(None).cast("string").alias("sha256"),
-            F.lit(None).cast("string").alias("replica_sha256"), F.lit(True).alias("intact"),
-        ).limit(0)
-    leaves = ours[0].select("part", F.col("idx").alias("ordinal"), F.col("hash").alias("sha256"))
-    return records.join(leaves, ["part", "ordinal"]).join(found, ["part", "ordinal"], "left").select(
-        *records.columns, "sha256",
-        F.when(F.col("damaged"), F.col("theirs")).otherwise(F.col("sha256")).alias("replica_sha256"),
-        (~F.coalesce("damaged", F.lit(False))).alias("intact"),
+        return placed.select(
+            *records.columns, "sha256", F.col("sha256").alias("replica_sha256"), F.lit(True).alias("intact"),
+            F.lit(None).cast("string").alias("damage"),
+        )
+    found = wrong.select("part", F.col("idx").alias("ordinal"), "ours", "theirs").join(other, at, "left")
+    found = found.withColumn("damaged", F.lit(True))
+    marked = placed.join(found, at, "left")
+    damage = (
+        F.when(F.col("damaged").isNull(), None)
+        .when(F.col("theirs").isNull() | F.col("there").isNull(), "missing")
+        .when(F.col("there") != F.col("sha256"), "record").otherwise("around")
+    )
+    held = marked.select(
+        *records.columns, "sha256", F.when(F.col("damaged"), F.col("there")).otherwise(F.col("sha256")).alias("replica_sha256"),
+        F.col("damaged").isNull().alias("intact"), damage.alias("damage"),
+    )
+    extra = replica.join(found.where("ours IS NULL"), at).select(
+        *replica.columns, F.lit(None).cast("string").alias("sha256"), F.col("there").alias("replica_sha256"),
+        F.lit(False).alias("intact"), F.lit("extra").alias("damage"),
     )
+    return held.unionByName(extra)

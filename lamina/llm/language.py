@@ -11,16 +11,20 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-_WORD = re.compile(r"[^\W\d_]+")
+from lamina.llm.tables import others, with_text
+
+_WORD = re.compile(r"[^\W\d_]+")  # letters, and numerals that are no digits; what has no letter is left out
 _ADDED = "lang_pred string, score double"
 _KNOWN = 2  # occurrences in the sample that make a word known
-_REMEMBERED = 100_000
+_REMEMBERED = 400_000
 UNDETERMINED = "und"
 
 
@@ -40,7 +44,7 @@ class LanguageModel:
         for longest, grams in zip(range(len(self.grams), 0, -1), self.grams):
             found = [grams[g] for g in _grams(padded, longest) if g in grams]
             if found:
-                return np.mean(found, axis=0)
+                return reduce(np.add, found) / np.float32(len(found))
         return None
 
 
@@ -69,32 +73,41 @@ def fit_language(
 ) -> LanguageModel | None:
     """Learn from at most ``sample_per_language`` labelled rows of each language, whole texts.
 
-    The sample is the rows of the smallest hashes of id and text, so it is the same in every run.
-    Rows with a null language or text do not take part; without any row there is no model (None).
-    The labels may be noisy: a text of several languages counts for the one it is labelled with.
+    The sample is the different rows of the smallest hashes of id and text, so it is the same in every run; a row
+    counts once, however often it is there. Rows with a null language or text do not take part; without any row there is no
+    model (None). The labels may be noisy: a text of several languages counts for the one it is labelled with.
+    More than ``max_languages`` languages raise an error, as the model has a number per language for each word.
+
+    The table is read twice, whatever the number of languages; words are counted by the tasks that hold the texts of
+    the sample, and the driver gets the counts of different words only.
     """
     labelled = docs.select(
         F.col(lang_column).alias("lang"), F.col(text_column).alias("text"),
         F.xxhash64(F.lit("language"), id_column, text_column).alias("draw"),
     ).where("lang is not null and text is not null")
-    counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(max_languages + 1).collect()
+    counts = labelled.groupBy("lang").agg(F.approx_count_distinct("draw", 0.02).alias("n"))
+    counts = counts.limit(max_languages + 1).collect()
     if len(counts) > max_languages:
         raise ValueError(f"more than {max_languages} languages")
-    # Rows are thinned by hash to about twice the sample before the smallest hashes are sorted out.
+    # Rows are thinned by hash to about twice the sample of different rows before the smallest hashes are sorted out.
     share = F.lit(1.0)
     for row in counts:
-        share = F.when(F.col("lang") == row.lang, F.lit(min(1.0, 2 * sample_per_language / row.n))).otherwise(share)
+        share = F.when(F.col("lang") == row.lang, F.lit(min(1.0, 2 * sample_per_language / max(row.n, 1)))).otherwise(share)
     thinned = labelled.where(F.pmod(F.col("draw"), F.lit(1 << 20)) < share * F.lit(1 << 20))
-    words: dict[str, Counter] = {}
+    # Copies combine in each task; then about twice the sample of each language is ordered.
+    order = Window.partitionBy("lang").orderBy("draw", "text")
+    own = thinned.groupBy("lang", "draw", "text").agg(F.count(F.lit(1)).alias("copies"))
+    own = own.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= sample_per_language)
+    counted = own.select("lang", "text").mapInArrow(_count_words, "lang string, word string, n long")
+    counted = counted.groupBy("lang", "word").agg(F.sum("n").alias("n")).collect()
+    words: dict[str, Counter] = {row.lang: Counter() for row in counts}
+    for row in sorted(counted):
+        words[row.lang][row.word] = row.n
     grams: dict[str, list[Counter]] = {}
-    for row in sorted(counts):
-        own = thinned.where(F.col("lang") == row.lang).orderBy("draw").limit(sample_per_language)
-        known = words.setdefault(row.lang, Counter())
-        for text in own.select("text").toLocalIterator():
-            known.update(_WORD.findall(text.text.lower()))
-        grams[row.lang] = [Counter() for _ in range(longest)]
+    for lang, known in words.items():
+        grams[lang] = [Counter() for _ in range(longest)]
         for word, n in known.items():
-            for counter, length in zip(grams[row.lang], range(longest, 0, -1)):
+            for counter, length in zip(grams[lang], range(longest, 0, -1)):
                 for gram in _grams(f" {word} ", length):
                     counter[gram] += n
     if not words:
@@ -108,6 +121,26 @@ def fit_language(
     )
 
 
+def _words(text: str) -> list[str]:
+    """The words of a text in lower case."""
+    words = _WORD.findall(text.lower())
+    # Numerals such as a raised two are no letters; only what is not ASCII can hold them.
+    return words if text.isascii() else [w for w in words if w.isalpha() or any(map(str.isalpha, w))]
+
+
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How often each language has each word, for the rows of a task."""
+    counts: dict[str, Counter] = {}
+    for batch in batches:
+        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
+            counts.setdefault(lang, Counter()).update(_words(text))
+    for lang, own in counts.items():
+        yield pa.RecordBatch.from_pydict(
+            {"lang": pa.array([lang] * len(own), pa.string()), "word": pa.array(own.keys(), pa.string()),
+             "n": pa.array(own.values(), pa.int64())}
+        )
+
+
 def predict_language(docs: DataFrame, model: LanguageModel | None, text_column: str = "text") -> DataFrame:
     """Every row with ``lang_pred`` and ``score``, the probability of that language.
 
@@ -116,21 +149,21 @@ def predict_language(docs: DataFrame, model: LanguageModel | None, text_column:
     first language in ascending order. Input columns called like the added ones are replaced; rows
     keep their number.
     """
-    kept = [c for c in docs.columns if c.lower() not in ("lang_pred", "score")]
-    plain = docs.select(*kept)
+    added = T._parse_datatype_string(_ADDED)
+    kept = others(docs, added.names)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample
-    schema = plain.withColumns({"lang_pred": F.lit("").cast("string"), "score": F.lit(0.0)}).schema
-
+    schema = T.StructType([docs.schema[c] for c in kept] + added.fields)
+    texts, name = with_text(docs, kept, text_column)
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
         for batch in batches:
-            found = [scorer.predict(text.as_py()) for text in batch.column(text_column)]
-            columns = [batch.column(name) for name in kept]
+            found = [scorer.predict(text.as_py()) for text in batch.column(name)]
+            columns = [batch.column(i) for i in range(len(kept))]
             columns.append(pa.array([lang for lang, _ in found], pa.string()))
             columns.append(pa.array([score for _, score in found], pa.float64()))
-            yield pa.RecordBatch.from_arrays(columns, names=[*kept, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return plain.mapInArrow(predict, schema)
+    return texts.mapInArrow(predict, schema)
 
 
 class Scorer:
@@ -155,13 +188,15 @@ class Scorer:
         return row
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        words = _WORD.findall(text.lower()) if text else []
+        words = _words(text) if text else []
         if not words or self._model is None:
             return UNDETERMINED, 0.0
         if not self._rows or len(self._rows) > _REMEMBERED:
             self._restart()
         rows = self._rows
-        at = [rows[w] if w in rows else self._row(w) for w in words]
+        at = list(map(rows.get, words))
+        if None in at:
+            at = [self._row(w) if k is None and w not in rows else rows[w] for w, k in zip(words, at)]
         total = self._table[at].sum(axis=0, dtype=np.float64)
         best = int(np.argmax(total))
         return self._model.languages[best], float(1 / np.exp(total - total[best]).sum())

@@ -60,8 +60,9 @@ def _with_words(docs: DataFrame, text: str) -> DataFrame:
 
     held = _once(_words(text), lambda words: _once(F.array_distinct(words), lambda d: named(words, d)))
     # One generated row per row, so that the words are not split again for each of the two fields.
-    found = docs.select(*docs.columns, F.explode(F.array(held)).alias("__held"))
-    return found.select(*docs.columns, F.col("__held.n").alias("__words"), F.col("__held.hashes").alias("__hashes"))
+    plain = [F.col(f"`{c}`") for c in docs.columns]
+    found = docs.select(*plain, F.explode(F.array(held)).alias("__held"))
+    return found.select(*plain, F.col("__held.n").alias("__words"), F.col("__held.hashes").alias("__hashes"))
 
 
 def _once(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -121,7 +122,7 @@ def fit_domains(
 
     told = counts.withColumn("sure", F.array_max(F.zip_with("n", "docs", surprise)))
     told = told.where(F.col("sure") > _SURE).select("hash", F.zip_with("n", "docs", weight).alias("w"))
-    weights = told.select("hash", *[F.col("w")[i].alias(f"w{i}") for i in range(len(domains))])
+    weights = told.select("hash", *[F.col("w")[i].alias(f"__w{i}") for i in range(len(domains))])
     weights = materialize(weights, "domain-words")
     prior = totals.select(F.transform("docs", lambda x: F.log((x + 1) / (all_docs + len(domains)))).alias("__prior"))
     prior = materialize(prior, "domain-prior")
@@ -160,7 +161,7 @@ def _odds(
     their weights are added up before the sums of rows, and only those, are shuffled, unless there are
     more telling words than may be broadcast. ``weights`` is a written table.
     """
-    names = [f"w{i}" for i in range(n_domains)]
+    names = [f"__w{i}" for i in range(n_domains)]
     words = docs.select("__row", F.explode("__hashes").alias("hash"))
     if weights.count() <= broadcast_words:
         weights = F.broadcast(weights)
@@ -186,7 +187,7 @@ def domain_posteriors(
     written once, so that the numbers of its rows stay what they are.
     """
     weights, chances = model
-    kept = [c for c in docs.columns if c != text_column]
+    kept = [f"`{c}`" for c in docs.columns if c != text_column]
     numbered = _with_words(docs, text_column).select(
         *kept, "__words", "__hashes", F.monotonically_increasing_id().alias("__row")
     )
@@ -295,7 +296,7 @@ def mix(
     kept = [c for c in (columns or docs.columns) if c.lower() not in added]
     draw = F.pmod(F.xxhash64(F.lit("copies"), id_column, text_column), F.lit(1 << 30)) / float(1 << 30)
     model = fit_domains(docs, labelled, domains, id_column, text_column, domain_column, sample, broadcast_words)
-    plain = docs.select(*kept, F.col(text_column).alias("__in_text"), draw.alias("__draw"))
+    plain = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(text_column).alias("__in_text"), draw.alias("__draw"))
     found = domain_posteriors(plain, model, domains, "__in_text", broadcast_words)
     found = materialize(found, "mixing-posteriors")
     fit = fit_rates(found, weights, anchor)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lamina.llm.tables import TEXT, others, with_text
+from lamina.llm.tables import others, with_text
 from lamina.llm.words import slices
 from lamina.runtime import materialize
 
@@ -452,19 +452,19 @@ def find_personal_data(docs: DataFrame, field: SpanField, text_column: str = "te
     added = T._parse_datatype_string(_ADDED)
     kept = others(docs, added.names)
     schema = T.StructType([docs.schema[c] for c in kept] + added.fields)
-
+    texts, name = with_text(docs, kept, text_column)
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, TEXT):
+            for part in slices(batch, name):
                 base, spans = [], []
-                for text in part.column(TEXT).to_pylist():
+                for text in part.column(name).to_pylist():
                     rules = base_spans(text) if text else []
                     base.append(rules)
                     spans.append(sorted(rules + field.find(text, rules)) if text else [])
                 columns = [part.column(i) for i in range(len(kept))] + [_listed(base), _listed(spans)]
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return with_text(docs, kept, text_column).mapInArrow(find, schema)
+    return texts.mapInArrow(find, schema)
 
 
 def _listed(spans: list[list[Span]]) -> pa.Array:

@@ -14,7 +14,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from lamina.llm.tables import others, with_text
 from lamina.llm.words import SPACED, Texts, slices
 
 PASSAGE = 64  # words
@@ -165,15 +167,16 @@ def fit_quality(
 ) -> AttentionModel:
     """Learn from at most ``sample`` labelled rows, of the smallest hashes of their ids; whole texts.
 
-    Labels that are null or have no document do not count; a document labelled twice counts twice. Of
+    Labels that are null or have no document do not count; an equal label given again counts once, however often, and
+    a document of two different labels counts for both. Of
     several documents with one id the text of the smallest hash counts for each of its labels.
     With one kind of label only there is nothing to learn, and the model gives the share of label 1
     (0.5 without any label).
     """
-    known = labels.where(F.col(label_column).isNotNull() & F.col(id_column).isNotNull())
-    chosen = known.orderBy(F.xxhash64(id_column), label_column).limit(sample).select(
+    known = labels.where(F.col(label_column).isNotNull() & F.col(id_column).isNotNull()).select(
         F.col(id_column).alias("__id"), F.col(label_column).cast("double").alias("__label")
     )
+    chosen = known.distinct().orderBy(F.xxhash64("__id"), "__label").limit(sample)
     # One row per sampled id, combined in each task before it is shuffled; then each of its labels.
     plain = docs.select(F.col(id_column).alias("__id"), F.col(text_column).alias("text"))
     ids = chosen.select("__id").distinct()
@@ -208,14 +211,15 @@ def score_quality(docs: DataFrame, model: AttentionModel, text_column: str = "te
     Null and empty texts are one passage without words and get the score of such. An input column
     called ``score`` is replaced; rows keep their number.
     """
-    kept = [c for c in docs.columns if c.lower() != "score"]
-    plain = docs.select(*kept)
+    kept = others(docs, ["score"])
+    schema = T.StructType([*[docs.schema[c] for c in kept], T.StructField("score", T.DoubleType())])
 
+    texts, name = with_text(docs, kept, text_column)
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, text_column):
-                scores = model.score(*passage_features(Texts(part.column(text_column), SPACED)))
-                columns = [part.column(name) for name in kept]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(scores, pa.float64())], names=[*kept, "score"])
+            for part in slices(batch, name):
+                scores = model.score(*passage_features(Texts(part.column(name), SPACED)))
+                columns = [part.column(i) for i in range(len(kept))]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(scores, pa.float64())], names=schema.names)
 
-    return plain.mapInArrow(score, plain.withColumn("score", F.lit(0.0)).schema)
+    return texts.mapInArrow(score, schema)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lamina.llm.tables import TEXT, others, with_text
+from lamina.llm.tables import others, with_text
 from lamina.llm.words import mix, slices
 
 _WINDOW = 6  # words that a run of twelve words or more has twice, one period apart
@@ -329,17 +329,17 @@ def find_runs(docs: DataFrame, least: int = 12, text_column: str = "text") -> Da
     added = T._parse_datatype_string(_ADDED)
     kept = others(docs, added.names)
     schema = T.StructType([docs.schema[c] for c in kept] + added.fields)
-
+    texts, name = with_text(docs, kept, text_column)
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = _Ids()
         for batch in batches:
-            for part in slices(batch, TEXT):
+            for part in slices(batch, name):
                 if len(memo) > _REMEMBERED:
                     memo.clear()
-                columns = [part.column(i) for i in range(len(kept))] + _found(part.column(TEXT), memo, least)
+                columns = [part.column(i) for i in range(len(kept))] + _found(part.column(name), memo, least)
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return with_text(docs, kept, text_column).mapInArrow(find, schema)
+    return texts.mapInArrow(find, schema)
 
 
 def _found(column: pa.Array, memo: _Ids, least: int) -> list[pa.Array]:

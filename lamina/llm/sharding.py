@@ -38,7 +38,8 @@ def minimax_shards(
     gives an empty result, and repeated rows keep a slot each. ``columns`` are the input columns to
     keep, all by default; those called size, shard or slot are replaced.
     """
-    kept = [c for c in (columns or docs.columns) if c.lower() not in ("size", "shard", "slot")]
+    names = [c for c in (columns or docs.columns) if c.lower() not in ("size", "shard", "slot")]
+    kept = [f"`{c}`" for c in names]
     size = F.coalesce(F.octet_length(text_column), F.lit(0)).cast("long") + 1
     rows = docs.withColumns({_KEY: F.coalesce(F.md5(text_column), F.lit("")), _SIZE: size})
     groups = materialize(rows.groupBy(_KEY).agg(F.sum(_SIZE).alias(_SIZE)), "shard-groups")
@@ -46,7 +47,7 @@ def minimax_shards(
 
     # Ranges of digest and id: a text with very many copies is spread over several tasks.
     order = [F.col(_KEY), F.col(id_column).asc_nulls_first()]
-    light = rows.select(*kept, *({id_column} - set(kept)), _KEY, _SIZE)
+    light = rows.select(*kept, *({id_column} - set(names)), _KEY, _SIZE)
     ranked = light.repartitionByRange(*order).sortWithinPartitions(*order)
     place = F.monotonically_increasing_id()
     ranked = ranked.select(

@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 
 from lamina.runtime import is_plain_scan, materialize
 
-TEXT = "__text"
-
 
 def others(docs: DataFrame, added: Iterable[str]) -> list[str]:
     """Columns that are not called like an added one, in any case of letters."""
@@ -19,11 +17,15 @@ def others(docs: DataFrame, added: Iterable[str]) -> list[str]:
     return [c for c in docs.columns if c.lower() not in names]
 
 
-def with_text(docs: DataFrame, kept: list[str], text_column: str) -> DataFrame:
-    """The columns ``kept``, named by their numbers since names with dots do not pass ``mapInArrow``, and the text."""
-    return docs.select(
-        *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)], F.col(f"`{text_column}`").alias(TEXT)
-    )
+def with_text(docs: DataFrame, kept: list[str], text_column: str) -> tuple[DataFrame, str]:
+    """The columns ``kept``, named by their numbers since names with dots do not pass ``mapInArrow``, and the text.
+
+    Returns the name of the text's column too: one of those kept, if it is among them.
+    """
+    columns = {f"c{i}": F.col(f"`{c}`") for i, c in enumerate(kept)}
+    name = f"c{kept.index(text_column)}" if text_column in kept else "__text"
+    columns[name] = F.col(f"`{text_column}`")
+    return docs.select(*[column.alias(c) for c, column in columns.items()]), name
 
 
 def numbered(docs: DataFrame, name: str) -> DataFrame:

@@ -94,7 +94,7 @@ class Texts:
         return self.starts[a:b] - self.first_byte[i], self.ends[a:b] - self.first_byte[i]
 
 
-def slices(batch: pa.RecordBatch, text: str, limit: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, text: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows with about ``limit`` bytes of text, one row at least."""
     if batch.num_rows == 0:
         return
