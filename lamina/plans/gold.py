@@ -194,6 +194,7 @@ def late_clients_over(daily: DataFrame, first: date, last: date, by: Sequence[st
     return sketches.merged(days, by).select(*by, sketches.estimate().alias("clientes_con_mora_aprox"))
 
 
+LATE_CLIENTS = "kpi_clientes_mora_sketches"
 TABLES = (
     "dim_clientes", "dim_productos", "dim_geografia", "dim_canal", "dim_fecha",
     "fact_transacciones", "fact_cartera", "fact_rentabilidad_cliente", "kpi_cartera_diaria",
@@ -205,7 +206,7 @@ def build_all(
 ) -> dict[str, int]:
     """Write every gold table; returns rows per table.
 
-    Indicators read the written facts and dimensions instead of planning them a second time.
+    With ``daily_sketches`` the day's sketches of clients in arrears are added to those of other days. Indicators read the written facts and dimensions instead of planning them a second time.
     """
     clients, products = silver.read("silver_clientes"), silver.read("silver_productos")
     branches, movements = silver.read("silver_sucursales"), silver.read("silver_movimientos")
@@ -226,6 +227,10 @@ def build_all(
     rows = {}
     for name in TABLES:
         df = steps[name]().withColumn("_gold_timestamp", F.lit(ctx.utc).cast("timestamp"))
-        gold.write(df, name, settings.partitions.get(name, ()))
+        curves = settings.curves.get(name, ())
+        gold.write(df, name, settings.partitions.get(name, ()), curves, along_curve=bool(curves))
         rows[name] = gold.read(name).count()
+    if settings.daily_sketches:
+        daily = late_client_sketches(gold.read("fact_cartera"), ctx.as_of)
+        gold.append(daily, LATE_CLIENTS, ctx.as_of.isoformat())
     return rows

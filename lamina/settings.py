@@ -86,6 +86,10 @@ class Settings:
     calendar_lookback: bool = False
     masks: Mapping[str, Mapping[str, Mask]] = field(default_factory=lambda: dict(MASKS))
     partitions: Mapping[str, tuple[str, ...]] = field(default_factory=lambda: dict(PARTITIONS))
+    # Tables clustered along a curve by several columns, for readers that filter on any one of them.
+    curves: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
+    # Keep daily sketches of the clients in arrears, for distinct numbers over several days.
+    daily_sketches: bool = False
     null_policy: str = "reject"
     # None leaves missing values as they are; a mapping turns handling on for its columns.
     null_handling: Mapping[str, str] | None = None
@@ -157,6 +161,9 @@ def from_mapping(raw: Mapping, base: Settings = Settings()) -> Settings:
     partitions = layers.get("gold", {}).get("partition_dimensions", {})
     if partitions:
         new["partitions"] = {**base.partitions, **{t: tuple(c) for t, c in partitions.items()}}
+    curves = layers.get("gold", {}).get("zorder_columns", {})
+    if curves:
+        new["curves"] = {**base.curves, **{t: tuple(c) for t, c in curves.items()}}
     if "min_conformity_rate" in layers.get("quality", {}):
         new["min_conformity"] = layers["quality"]["min_conformity_rate"]
     alerts = raw.get("orchestration", {}).get("alerts", {})

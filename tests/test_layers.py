@@ -254,6 +254,26 @@ def test_one_failing_table_does_not_stop_the_others(spark, folder):
         bronze.ingest_all([], read, layers.bronze, layers.logs, CTX, mode="sometimes")
 
 
+def test_curves_and_daily_sketches_are_settings(spark, done, folder):
+    layers, _, _ = done
+    into = TableStore(spark, folder)
+    settings = Settings(
+        curves={"fact_transacciones": ("id_cli", "fec_mov"), "fact_cartera": ("id_cli", "dias_mora_act")}, daily_sketches=True)
+    for day in (CTX.as_of, CTX.as_of + timedelta(days=1), CTX.as_of):  # a day that runs again replaces its sketches
+        gold.build_all(layers.silver, into, replace(CTX, as_of=day), settings)
+    for name in ("fact_transacciones", "fact_cartera"):
+        drop = "_gold_timestamp"
+        assert rows(into.read(name).drop(drop).select(sorted(set(into.read(name).columns) - {drop}))) == rows(
+            layers.gold.read(name).select(sorted(set(into.read(name).columns) - {drop})))
+    stored = into.read_all(gold.LATE_CLIENTS)
+    assert stored.select("fec_reporte").distinct().count() == 2
+    late = gold.late_clients_over(stored, CTX.as_of, CTX.as_of + timedelta(days=1))
+    exact = into.read("fact_cartera").where("dias_mora_act > 0").groupBy("cod_prod").agg(F.count_distinct("id_cli"))
+    assert rows(late) == rows(exact)
+    assert from_mapping({"pipeline": {"gold": {"zorder_columns": {"fact_cartera": ["id_cli", "cod_prod"]}}}}).curves == {
+        "fact_cartera": ("id_cli", "cod_prod")}
+
+
 def test_poisoned_gold_is_reported(spark, done, folder):
     from lamina.plans import quality
 
