@@ -15,6 +15,7 @@ from lamina.operators.dedup import keep_one
 from lamina.operators.joins import DEFAULT_SKEW, SkewPolicy, lookup_join
 from lamina.operators.keys import dense_key
 from lamina.operators.rolling import trailing_sum, trailing_sum_over
+from lamina.runtime import scratch_scope
 from lamina.settings import AGE_EDGES, AGE_LABELS, CHANNEL_TYPES, PRODUCT_FAMILIES, Settings
 from lamina.sources.store import TableStore
 
@@ -226,9 +227,10 @@ def build_all(
     }
     rows = {}
     for name in TABLES:
-        df = steps[name]().withColumn("_gold_timestamp", F.lit(ctx.utc).cast("timestamp"))
         curves = settings.curves.get(name, ())
-        gold.write(df, name, settings.partitions.get(name, ()), curves, along_curve=bool(curves))
+        with scratch_scope(gold.spark):
+            df = steps[name]().withColumn("_gold_timestamp", F.lit(ctx.utc).cast("timestamp"))
+            gold.write(df, name, settings.partitions.get(name, ()), curves, along_curve=bool(curves))
         rows[name] = gold.read(name).count()
     if settings.daily_sketches:
         daily = late_client_sketches(gold.read("fact_cartera"), ctx.as_of)

@@ -13,6 +13,7 @@ from lamina.operators import checks
 from lamina.operators.checks import Check
 from lamina.plans import silver
 from lamina.plans.tables import ALL
+from lamina.runtime import scratch_scope
 from lamina.settings import Settings
 from lamina.sources.store import TableStore
 
@@ -83,14 +84,15 @@ def check_gold(
     sensitive columns, so are the schemas of the clean and the dimensional layer.
     """
     tables = {name: (lambda name=name: gold.read(name)) for name in NOT_EMPTY}
-    results = checks.run_checks(
-        gold.spark, tables, gold_checks(ctx.as_of), settings.skew, isolate=True
-    )
-    if settings.min_conformity is not None:
-        results = results.unionByName(conformity_results(logs, ctx, settings.min_conformity))
-    if settings.sensitive:
-        stores = [gold] if clean is None else [gold, clean]
-        names = [*NOT_EMPTY, *[t.silver for t in ALL]]
-        results = results.unionByName(exposure_results(stores, names, set(settings.sensitive)))
-    logs.append(checks.for_log(results, ctx), RESULTS, ctx.batch_id)
+    with scratch_scope(gold.spark):
+        results = checks.run_checks(
+            gold.spark, tables, gold_checks(ctx.as_of), settings.skew, isolate=True
+        )
+        if settings.min_conformity is not None:
+            results = results.unionByName(conformity_results(logs, ctx, settings.min_conformity))
+        if settings.sensitive:
+            stores = [gold] if clean is None else [gold, clean]
+            names = [*NOT_EMPTY, *[t.silver for t in ALL]]
+            results = results.unionByName(exposure_results(stores, names, set(settings.sensitive)))
+        logs.append(checks.for_log(results, ctx), RESULTS, ctx.batch_id)
     return checks.summary(logs.read_all(RESULTS, ctx.batch_id))

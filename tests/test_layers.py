@@ -10,10 +10,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from lamina import RunContext, Settings, from_mapping
-from lamina.plans import bronze, silver, tables
+from lamina.plans import bronze, gold, silver, tables
 from lamina.plans.run import Layers, run_layers
 from lamina.runtime import scratch_dir
 from lamina.sources import files
+from lamina.sources.store import TableStore
 from tests.support import rows
 
 DAY = date(2025, 3, 1)
