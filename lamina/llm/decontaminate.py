@@ -8,7 +8,7 @@ skipped with numpy before, by the pairs of neighbouring words that the items hav
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -207,9 +207,19 @@ def find_items(
     pass through one automaton after the other without a shuffle, so memory does not grow with the
     benchmark; a single item is never parted.
     """
-    schema = T._parse_datatype_string(_FOUND)
-    kept = others(docs, schema.names)
+    added = T._parse_datatype_string(_FOUND).names
+    kept = others(docs, added)
     rows, text = with_text(docs, kept, text_column)
+    found = _searched(rows, items, window, text, item_id, item_text, group_bytes)
+    return found.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(kept)], *added)
+
+
+def _searched(
+    rows: DataFrame, items: DataFrame, window: int, text: str, item_id: str, item_text: str, group_bytes: int,
+    finish: Callable[[pa.RecordBatch], pa.RecordBatch] | None = None,
+) -> DataFrame:
+    """Rows with what all groups of items find in them; ``finish`` gives the rows their last form, without what was added."""
+    schema = T._parse_datatype_string(_FOUND)
     found = rows.withColumns(
         {
             "n_words": F.lit(None).cast("long"),
@@ -223,13 +233,15 @@ def find_items(
     n_groups = max(1, -(-total // group_bytes))
     for group in range(n_groups):
         own = texts.where(F.pmod(F.xxhash64("name", "body"), F.lit(n_groups)) == group).collect()
-        found = _pass(found, [r.name for r in own], [r.body for r in own], window, text)
-    names = [F.col(f"c{i}").alias(c) for i, c in enumerate(kept)]
-    return found.select(*names, *schema.names)
+        names, bodies, last = [r.name for r in own], [r.body for r in own], group == n_groups - 1
+        out = rows.schema if last and finish is not None else found.schema
+        found = _pass(found, out, names, bodies, window, text, finish if last else None)
+    return found
 
 
 def _pass(
-    docs: DataFrame, names: list[str | None], bodies: list[str], window: int, text_column: str
+    docs: DataFrame, out: T.StructType, names: list[str | None], bodies: list[str], window: int, text_column: str,
+    finish: Callable[[pa.RecordBatch], pa.RecordBatch] | None,
 ) -> DataFrame:
     """Add what one group of items finds to the spans and items of the groups before it."""
 
@@ -237,9 +249,10 @@ def _pass(
         matcher = _matcher(names, bodies, window)
         for batch in batches:
             for part in slices(batch, text_column):
-                yield _matched(part, matcher, text_column)
+                found = _matched(part, matcher, text_column)
+                yield found if finish is None else finish(found)
 
-    return docs.mapInArrow(match, docs.schema)
+    return docs.mapInArrow(match, out)
 
 
 def _matched(batch: pa.RecordBatch, matcher: Matcher, text_column: str) -> pa.RecordBatch:
@@ -280,6 +293,7 @@ def remove_items(
     length_column: str | None = None,
     item_id: str = "item_id",
     item_text: str = "text",
+    group_bytes: int = 2 << 20,
 ) -> DataFrame:
     """Documents without the passages they share with benchmark items; columns stay the same.
 
@@ -288,20 +302,12 @@ def remove_items(
     null and empty texts among them. ``length_column`` is set anew to the characters of a text that
     was cut.
     """
-    added = T._parse_datatype_string(_FOUND).names
     # Columns by number: input columns may be called like the added ones, or have dots in their names.
     text = f"c{docs.columns.index(text_column)}"
     renamed = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)])
-    found = find_items(renamed, items, window, text, item_id, item_text)
-    found = found.where(hit_words() <= F.lit(max_coverage) * F.col("n_words"))
-    schema = T.StructType([*renamed.schema.fields])
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, text):
-                yield _cut(part, text, added)
-
-    clean = found.mapInArrow(cut, schema)
+    clean = _searched(
+        renamed, items, window, text, item_id, item_text, group_bytes, lambda batch: _cut(batch, text, max_coverage)
+    )
     columns = {c: F.col(f"c{i}") for i, c in enumerate(docs.columns)}
     if length_column is not None:
         length = F.length(text).cast(docs.schema[length_column].dataType)
@@ -309,10 +315,15 @@ def remove_items(
     return clean.select(*[column.alias(name) for name, column in columns.items()])
 
 
-def _cut(batch: pa.RecordBatch, text_column: str, added: list[str]) -> pa.RecordBatch:
-    names = [n for n in batch.schema.names if n not in added]
+def _cut(batch: pa.RecordBatch, text_column: str, max_coverage: float) -> pa.RecordBatch:
+    """The rows that are hit no more than they may be, without their spans."""
+    n_words, spans = batch.column("n_words").to_pylist(), batch.column("spans").to_pylist()
+    hit = [sum(s["last"] - s["first"] for s in own) for own in spans]
+    kept = [i for i, n in enumerate(n_words) if hit[i] <= max_coverage * n]
+    if len(kept) < batch.num_rows:
+        batch, spans = batch.take(pa.array(kept, pa.int64())), [spans[i] for i in kept]
+    names = [n for n in batch.schema.names if n not in ("n_words", "spans", "items")]
     columns = {name: batch.column(name) for name in names}
-    spans = batch.column("spans").to_pylist()
     rows = [i for i, s in enumerate(spans) if s]
     if rows:
         texts = Texts(batch.column(text_column), ALNUM)
