@@ -40,6 +40,7 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     row that is linked with none. A null id is the smallest only where there is no other.
     """
     rows = numbered(docs, "__row")
+    tune(spark)
     with scratch_scope(spark):
         found = jaccard.jaccard_components(rows, n=5, num=80, den=100, id_column="__row")
         grouped = found.where("n_links > 0").select(F.col("doc_id").alias("__row"), F.col("component_id").alias("__group"))

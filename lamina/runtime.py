@@ -18,6 +18,8 @@ _WANTED = {
     # Split a skewed join even where that costs one more exchange further up.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Rows of long texts sent to Python at once: the buffers of both sides hold a batch or more.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 # Scratch tables written in the current scope, None outside of any.
