@@ -61,12 +61,40 @@ def test_survivor_does_not_depend_on_layout(spark):
 
 def test_copies_combine_before_the_shuffle(moves):
     """Rows of an only digest are not shuffled; of the others each task keeps one row per key before the shuffle."""
-    text = plan(drop_business_copies(moves, "id"))
+    many = moves.union(moves.sparkSession.range(100).selectExpr("id + 10", "id", "'x'"))
+    text = plan(drop_business_copies(many, "id"))
     assert "SortAggregate" not in text and "BroadcastHashJoin LeftAnti" in text
     assert text.index("WindowGroupLimit") < text.index("Exchange hashpartitioning") if "Exchange hashpartitioning" in text else True
     assert text.count("WindowGroupLimit") >= 2
 
 
+def test_rows_that_mostly_repeat_are_compared_at_once(spark, moves):
+    text = plan(drop_business_copies(moves, "id"))
+    assert "LeftAnti" not in text and text.count("WindowGroupLimit") >= 2 and "SortAggregate" not in text
+    few = spark.range(0, 4000, 1, 4).selectExpr("id % 3 AS a", "CAST(NULL AS STRING) AS b")
+    loads = with_audit(few, ctx("b2", 2)).unionByName(with_audit(few, ctx("b1", 1)))
+    # Whole rows are aggregated in tables of fixed width, whatever their audit is.
+    kept = drop_exact(loads)
+    assert rows(kept.select("a", "b", "_batch_id", "ingestion_day")) == [(i, None, "b1", 1) for i in range(3)]
+    assert "SortAggregate" not in plan(kept) and "WindowGroupLimit" not in plan(kept)
+
+
+@pytest.mark.parametrize("share", [0.25, 0.0, 1.0])
+def test_both_ways_give_the_same_rows(spark, monkeypatch, share):
+    monkeypatch.setattr(dedup, "_SEVERAL", share)
+    df = spark.range(0, 3000, 1, 4).selectExpr("IF(id % 5 = 0, NULL, id % 700) AS k", "IF(id % 4 = 0, NULL, id % 9) AS o", "CAST(id % 13 AS STRING) AS t")
+    loads = with_audit(df, ctx("b1", 1)).unionByName(with_audit(df.where("k < 300"), ctx("b2", 2)))
+    for last in (False, True):
+        told = {}
+        for r in df.collect():
+            best = told.get(r.k)
+            mine = ((r.o is not None, r.o or 0, r.t) if last else (r.o is None, r.o or 0, r.t))
+            told[r.k] = mine if best is None else (max if last else min)(best, mine)
+        got = {r.k: ((r.o is not None) if last else (r.o is None), r.o or 0, r.t) for r in keep_one(df, ["k"], ["o"], last).collect()}
+        assert got == told
+    assert rows(drop_exact(loads).select("k", "o", "t", "_batch_id")) == rows(df.distinct().withColumn("b", F.lit("b1")))
+
+
 def test_two_keys_of_one_digest_both_stay(spark, monkeypatch):
     df = spark.createDataFrame([(1, "a", 5), (2, "a", 4), (1, "a", 3), (None, "b", 1), (3, None, 1), (4, "z", 0)], "k int, t string, v int")
     expected = rows(df.groupBy("k", "t").agg(F.min("v").alias("v")))

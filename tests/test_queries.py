@@ -52,6 +52,7 @@ JOINING = [
     "fk_valid", "constraint_unique", "reconcile_counts", "upsert_by_key", "ingest_incremental",
     "fx_convert_multi", "dim_customer", "dim_geography", "silver_movements", "silver_rejects",
     "fact_portfolio", "kpi_portfolio_daily", "customer_profitability", "check_referential",
+    "dedup_exact", "dedup_business_key", "stream_null_keys",
 ]
 
 
@@ -71,6 +72,11 @@ def test_result_is_the_same_when_every_join_is_large_and_split(spark, sql, key):
             object.__setattr__(DEFAULT_SKEW, name, value)
 
 
+@pytest.mark.parametrize("key", ["dedup_exact", "dedup_business_key", "silver_movements"])
+def test_whole_rows_are_never_sorted_to_be_aggregated(spark, key):
+    assert "SortAggregate" not in plan(entry.queries()[key](spark, SMALL))
+
+
 def test_every_query_has_sql():
     assert set(bindings.QUERIES) == set(bindings.ORACLE)
     assert set(bindings.QUERIES) <= set(entry.queries())
