@@ -63,14 +63,22 @@ def beside(rows: DataFrame, chosen: DataFrame, on: str, how: str) -> DataFrame:
 
 
 def remove_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the passages of ten words or more that they share with benchmark items."""
+    """Documents without the passages of ten words or more that they share with benchmark items.
+
+    A document more than half of whose words are such goes; null and empty texts and those that share nothing stay as
+    they are, and so do repeated rows and columns of any name. Items without words match nothing.
+    """
     items = _table(spark, sf_dir, "benchmark")
     length = "n_chars" if "n_chars" in docs.columns else None
     return decontaminate.remove_items(docs, items, window=10, max_coverage=0.5, length_column=length)
 
 
 def reach_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in the numbers that bring the domains to their target shares of the tokens."""
+    """Documents in the numbers that bring the domains to their target shares of the tokens.
+
+    A warning names the shares that are not reached. Null and empty texts have no tokens and the rate of the labels'
+    frequencies; repeated rows get the same copies each; no column is replaced, whatever it is called.
+    """
     labels = _table(spark, sf_dir, "labels").withColumn("domain", mixing.domain_of_labels())
     # What mixing adds must not replace a column of the documents that is called like it.
     named = docs.select("doc_id", "text", F.struct(*[f"`{c}`" for c in docs.columns]).alias("row"))
@@ -79,7 +87,10 @@ def reach_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document with its size, its shard of sixteen and its slot there."""
+    """Every document with its size, its shard of sixteen and its slot there.
+
+    Equal texts share a shard, null ones as a group of size 1 a row; columns called size, shard or slot are replaced.
+    """
     return sharding.minimax_shards(docs, n_shards=16)
 
 
@@ -91,12 +102,13 @@ STAGES = [
     ("sharding", shard),
 ]
 
-# A trained classifier, and rates found by iteration, are beyond SQL. The tests hold only the near-duplicate stage
-# against planted rows; of the other stages and run() they check columns and row counts.
+# A trained classifier, and rates found by iteration, are beyond SQL. tests/llm/test_pipeline.py holds every stage and
+# run() against plain Python instead.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written and read again by the next; an empty table passes through."""
     docs = _table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
