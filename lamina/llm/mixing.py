@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lamina.runtime import materialize
+from lamina.runtime import materialize, scratch_scope
 
 _LABELLED = 50_000  # labels that the model is learned from, about
 _BROADCAST_WORDS = 200_000  # telling words up to which they are broadcast
@@ -257,17 +257,30 @@ def fit_rates(
     present = totals(F.lit(1.0))
     budget = present[domains.index(anchor)] / weights[anchor]
     targets = [weights[d] * budget for d in domains]
-    rate, before, reached = F.lit(1.0), math.inf, present
+    past: list[list[float]] = []
+
+    def rate() -> Column:
+        """The rate after the steps so far: a loop over their surpluses, so that the plan stays as small as it is."""
+        if not past:
+            return F.lit(1.0)
+        surpluses = F.array(*[F.array(*map(F.lit, step)) for step in past])
+
+        def after(r: Column, step: Column) -> Column:
+            slope = sum((p * step[i] for i, p in enumerate(chances)), F.lit(0.0))
+            return F.greatest(r - slope, F.lit(0.0))
+
+        return F.aggregate(surpluses, F.lit(1.0), after)
+
+    before, reached = math.inf, present
     for _ in range(steps):
         surplus = [(x - t) / s if s > 0 else 0.0 for x, t, s in zip(reached, targets, present)]
         loss = sum(e * e * s for e, s in zip(surplus, present)) / max(sum(present), 1.0)
         if loss < tolerance**2 or before - loss <= 1e-4 * loss:
             break
         before = loss
-        slope = sum((p * F.lit(e) for p, e in zip(chances, surplus)), F.lit(0.0))
-        rate = F.greatest(rate - slope, F.lit(0.0))
-        reached = totals(rate)
-    return Fit(rate, *(dict(zip(domains, x)) for x in (present, targets, reached)))
+        past.append(surplus)
+        reached = totals(rate())
+    return Fit(rate(), *(dict(zip(domains, x)) for x in (present, targets, reached)))
 
 
 def mix(
@@ -295,11 +308,13 @@ def mix(
     added = {"n_tokens", "rate", "copies", *(f"p_{d}" for d in domains)}
     kept = [c for c in (columns or docs.columns) if c.lower() not in added]
     draw = F.pmod(F.xxhash64(F.lit("copies"), id_column, text_column), F.lit(1 << 30)) / float(1 << 30)
-    model = fit_domains(docs, labelled, domains, id_column, text_column, domain_column, sample, broadcast_words)
-    plain = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(text_column).alias("__in_text"), draw.alias("__draw"))
-    found = domain_posteriors(plain, model, domains, "__in_text", broadcast_words)
-    found = materialize(found, "mixing-posteriors")
-    fit = fit_rates(found, weights, anchor)
+    # What the chances come from is deleted behind them; the rows with their chances stay.
+    with scratch_scope(docs.sparkSession):
+        model = fit_domains(docs, labelled, domains, id_column, text_column, domain_column, sample, broadcast_words)
+        plain = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(text_column).alias("__in_text"), draw.alias("__draw"))
+        found = domain_posteriors(plain, model, domains, "__in_text", broadcast_words)
+        found = materialize(found, "mixing-posteriors", lasting=True)
+        fit = fit_rates(found, weights, anchor)
     if fit.short():
         named = ", ".join(f"{d} {t:.4f} wanted, {x:.4f} reached" for d, (t, x) in fit.short().items())
         warnings.warn(f"mixing ends short of its targets; shares of the tokens: {named}", stacklevel=2)
