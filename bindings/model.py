@@ -191,7 +191,8 @@ def fact_transactions(spark, folder):
 def _loans(spark, folder):
     brands = table(spark, folder, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
     lines = lookup_join(
-        lines_with_orders(spark, folder), brands, ["l_partkey"], "left", skew_of=lineitem(spark, folder)
+        lines_with_orders(spark, folder), brands, ["l_partkey"], "left", skew_of=lineitem(spark, folder),
+        spread_by=["l_orderkey"],
     )
     amount = F.col("l_extendedprice").cast(tables.MONEY)
     return lines.select(
@@ -223,7 +224,7 @@ def kpi_portfolio_daily(spark, folder):
         F.col("c_custkey").alias("id_cli"), F.col("c_mktsegment").alias("segmento_desc"), "ciudad_res"
     )
     loans = gold.fact_portfolio(_loans(spark, folder))
-    kpi = gold.portfolio_kpi(loans, clients, AS_OF, skew_of=_loans(spark, folder).select("id_cli"))
+    kpi = gold.portfolio_kpi(loans, clients, AS_OF)
     return _doubles(
         kpi, "monto_total_cartera", "monto_en_mora", "total_provision_estimada", "tasa_mora_pct"
     )

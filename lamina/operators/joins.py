@@ -115,6 +115,8 @@ def lookup_join(
     right_is_large: bool = False,
     counted: tuple[DataFrame, str] | None = None,
     skew_of: DataFrame | None = None,
+    even: bool = False,
+    spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Join a fact side to a lookup side on equal column names.
 
@@ -125,7 +127,10 @@ def lookup_join(
     ``right_is_large`` skips the count where the caller knows that ``right`` grows with the data;
     ``counted`` gives a frame with one row per key of ``left`` and the name of its column of row
     counts, where the caller has them anyway; ``skew_of`` gives a frame with the same key columns
-    to look for hot keys in, where ``left`` itself is expensive. Which keys are split decides how
+    to look for hot keys in, where ``left`` itself is expensive. ``even`` says that no key of ``left``, nor
+    NULL, has many rows, so that nothing is split and the result stays partitioned by the keys alone.
+    ``spread_by`` names the columns that tell the rows of one key apart, all of them by default; with a few, no
+    other column has to come through the shuffles below only to be hashed. Which keys are split decides how
     the work is spread and never what the result is.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
@@ -138,6 +143,8 @@ def lookup_join(
         right = materialize(right, "lookup")
     if not right_is_large and is_small(right, policy):
         return left.join(F.broadcast(right), on, how).select(*columns)
+    if even:
+        return left.join(right, on, how).select(*columns)
     if counted:
         hot = hot_groups(counted[0], on, policy, counted[1])
     else:
@@ -145,7 +152,8 @@ def lookup_join(
     # The salt of a row depends on the row and its input partition alone: a recomputed task after a
     # lost executor sends its rows to the same place. Rows of one partition spread by their content,
     # and copies of one row by their partitions.
-    hashed = [F.col(f"`{f.name}`") for f in left.schema.fields if not isinstance(f.dataType, T.MapType)]
+    telling = [f for f in left.schema.fields if spread_by is None or f.name in spread_by]
+    hashed = [F.col(f"`{f.name}`") for f in telling if not isinstance(f.dataType, T.MapType)]
     spread = F.pmod(F.xxhash64(*hashed, F.spark_partition_id()), F.lit(1 << 20))
     no_key = F.greatest(*[F.col(k).isNull() for k in on], F.lit(False))
     if hot is None:

@@ -121,6 +121,23 @@ def test_small_lookup_is_broadcast_and_large_one_is_not(skewed, lookup):
     assert "__salt" in text
 
 
+def test_spread_by_few_columns_prunes_the_others(spark, skewed, lookup, tmp_path):
+    skewed.withColumn("wide", F.col("id") * 3).write.parquet(f"{tmp_path}/facts")
+    facts = spark.read.parquet(f"{tmp_path}/facts")
+    joined = lookup_join(facts, lookup, ["k"], "left", SPLIT, spread_by=["id"])
+    assert rows(joined) == rows(facts.join(lookup, ["k"], "left").select("id", "k", "wide", "v"))
+    assert "wide" not in plan(joined.select("k", "v"))
+    assert "wide" in plan(lookup_join(facts, lookup, ["k"], "left", SPLIT).select("k", "v"))
+
+
+def test_even_keys_are_neither_counted_nor_salted(skewed, lookup, monkeypatch):
+    monkeypatch.setattr("lamina.operators.joins.hot_groups", None)
+    policy = SkewPolicy(broadcast_rows=0)
+    joined = lookup_join(skewed, lookup, ["k"], "left", policy, even=True)
+    assert rows(joined) == rows(skewed.join(lookup, ["k"], "left").select("id", "k", "v"))
+    assert "__salt" not in plan(joined)
+
+
 def test_right_joins_are_refused(skewed, lookup):
     with pytest.raises(ValueError):
         lookup_join(skewed, lookup, ["k"], "full_outer")

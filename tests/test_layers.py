@@ -5,17 +5,19 @@ import os
 from dataclasses import replace
 from datetime import date, datetime, timedelta
 from decimal import Decimal
+from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
 
 from lamina import RunContext, Settings, from_mapping
+from lamina.operators.joins import SkewPolicy, lookup_join
 from lamina.plans import bronze, gold, silver, tables
 from lamina.plans.run import Layers, run_layers
 from lamina.runtime import scratch_dir
 from lamina.sources import files
 from lamina.sources.store import TableStore
-from tests.support import rows
+from tests.support import plan, rows
 
 DAY = date(2025, 3, 1)
 CTX = RunContext("run1", datetime(2025, 3, 1, 2, 0), DAY, "core")
@@ -406,3 +408,47 @@ def test_lines_that_do_not_fit_are_rejected(spark, folder):
     cleaned = silver.cleaned(read(spec.source).cache(), spec, Settings())
     assert files.CORRUPT not in cleaned.columns
     assert sorted(str(r["_cast_error"]) for r in cleaned.collect()) == ["None", files.CORRUPT]
+
+
+def test_indicators_sum_per_client_before_the_join(spark, monkeypatch):
+    """Clients unknown, missing or given twice, and nothing that a hot client brings to one task."""
+    loans = [(i, 7, "a", D(10), 5, D(1)) for i in range(2000)] + [
+        (3001, 8, "a", D(4), 0, D(1)), (3002, 8, "a", None, None, None), (3003, None, "a", D(2), 9, D(1)),
+        (3004, 9, "b", D(6), 3, D(1)), (3005, 9, "b", D(6), 0, D(1)), (3006, 5, None, D(0), 1, D(0)),
+    ]
+    schema = "id_oblig long, id_cli long, cod_prod string, sdo_capital decimal(18,2), dias_mora_act int, provision_estimada decimal(28,0)"
+    portfolio = spark.createDataFrame(loans, schema)
+    clients = spark.createDataFrame(
+        [(7, "s", "x"), (8, "s", "x"), (9, "s", "y"), (9, "s", "y"), (9, "t", "y")],
+        "id_cli long, segmento_desc string, ciudad_res string",
+    )
+    joins = []
+    plain = gold.lookup_join
+    monkeypatch.setattr(gold, "lookup_join", lambda left, *a, **kw: joins.append(left) or plain(left, *a, **kw))
+    for limit in (200_000, 0):
+        kpi = gold.portfolio_kpi(portfolio, clients, DAY, SkewPolicy(broadcast_rows=limit))
+        # product, segment, city: loans, total, late, late clients, provision, rate
+        assert rows(kpi.drop("fec_reporte")) == sorted([
+            ("a", "s", "x", 2002, D("20004.00"), D("20000.00"), 1, D(2001), D("99.98")),
+            ("a", None, None, 1, D("2.00"), D("2.00"), 0, D(1), D("100.00")),
+            ("b", "s", "y", 4, D("24.00"), D("12.00"), 1, D(4), D("50.00")),
+            ("b", "t", "y", 2, D("12.00"), D("6.00"), 1, D(2), D("50.00")),
+            (None, None, None, 1, D("0.00"), D("0.00"), 1, D(0), None),
+        ], key=repr)
+        assert dict(kpi.dtypes)["monto_en_mora"] == "decimal(28,2)"
+        assert joins.pop().groupBy("id_cli").count().agg({"count": "max"}).first()[0] <= 2
+
+
+def test_indicators_read_the_loans_once(spark, tmp_path, monkeypatch):
+    """Lines meet orders in one shuffled join, with the columns of the indicators and no others."""
+    from bindings import common, model
+
+    large = partial(lookup_join, policy=SkewPolicy(broadcast_rows=0))
+    monkeypatch.setattr(common, "lookup_join", large)
+    monkeypatch.setattr(model, "lookup_join", large)
+    joined, lines = [], model.lines_with_orders
+    monkeypatch.setattr(model, "lines_with_orders", lambda *a: joined.append(a) or lines(*a))
+    text = plan(model.kpi_portfolio_daily(spark, "/root/testdata/sf0.001"))
+    assert len(joined) == 1
+    carried = [line for line in text.split("\n") if line.startswith("Input") and "l_partkey" in line and "o_custkey" in line]
+    assert carried and not any("l_returnflag" in line or "l_linestatus" in line for line in carried)
