@@ -14,6 +14,8 @@ import os
 import re
 from collections.abc import Sequence
 from functools import lru_cache
+from itertools import compress
+from operator import not_
 
 import numpy as np
 
@@ -23,7 +25,7 @@ _PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\\s{_
 # Separators on which the two regular expression dialects do not agree, and the start of special tokens.
 _UNSURE = b"\x1c\x1d\x1e\x1f\x85\xa0"
 _SPECIAL = "<|"
-_REMEMBERED = 800_000
+_REMEMBERED = 1_600_000
 _LONGEST = 64  # characters of a word or piece that is remembered
 _TOGETHER = 2000  # pieces encoded as one text
 # What the memo is good for, as the tokenizer file says it.
@@ -34,7 +36,7 @@ class Encoder:
     """``encode`` gives the ids of a text as little-endian unsigned 32-bit integers.
 
     ``literal`` takes the strings of special tokens in a text as ordinary text. The memo holds
-    about 800,000 words and as many pieces; beyond, those go that have not been met for half as many new ones.
+    about 1,600,000 words and pieces; beyond, those go that have not been met for half as many new ones.
     """
 
     def __init__(self, path: str, literal: bool = False):
@@ -54,7 +56,10 @@ class Encoder:
             vocabulary = spec["model"]["vocab"]
             self._last = np.zeros(max(vocabulary.values()) + 1, bool)
             self._last[[number for token, number in vocabulary.items() if token.endswith(suffix)]] = True
-        self._words, self._pieces = _Memo(), _Memo()
+            # Pieces are lower case already, hold no white space and no character that NFC changes.
+            self._lean = Tokenizer(self.tokenizer.model)
+            self._lean.pre_tokenizer = self.tokenizer.pre_tokenizer
+        self._memo = _Memo()
 
     def encode(self, text: str | None) -> bytes:
         return self.encode_all([text])[0]
@@ -65,40 +70,53 @@ class Encoder:
         for i, text in enumerate(texts):
             if text:
                 (parted if self._by_piece and _sure(text) else whole).append(i)
+        self._memo.turn()
         words = [texts[i].lower().split() for i in parted]
-        long = self._learn(words)
-        for i, own in zip(parted, words):
-            out[i] = b"".join(map(self._words.held.__getitem__, own))
-        self._words.forget(long)
-        for i, ids in zip(whole, self._whole([texts[i] for i in whole])):
+        found = [list(map(self._memo.held.get, own)) for own in words]
+        # Words without ids are those not in the memo; most are met once only.
+        long = self._learn({w for own, ids in zip(words, found) for w in compress(own, map(not_, ids))})
+        for i, own, ids in zip(parted, words, found):
+            for at in list(compress(range(len(own)), map(not_, ids))):
+                ids[at] = self._memo.held[own[at]]
+            out[i] = b"".join(ids)
+        self._memo.forget(long)
+        for i, ids in zip(whole, _ids(self.tokenizer, [texts[i] for i in whole])):
             out[i] = ids
         return out
 
-    def _learn(self, words: list[list[str]]) -> list[str]:
-        """Have all these words in the memo; returns those too long to stay there."""
-        fresh = self._words.missing(set().union(*words))
-        pieces = list(map(_PIECE.findall, fresh))
-        new = self._pieces.missing(set().union(*pieces))
-        for first in range(0, len(new), _TOGETHER):
-            some = new[first : first + _TOGETHER]
-            self._pieces.held.update(zip(some, self._joined(some)))
-        known = self._pieces.held
-        self._words.held.update((w, b"".join([known[p] for p in own])) for w, own in zip(fresh, pieces))
-        self._pieces.forget([p for p in new if len(p) > _LONGEST])
-        return [w for w in fresh if len(w) > _LONGEST]
+    def _learn(self, words: set[str]) -> list[str]:
+        """Have all these words in the memo; returns what is too long to stay there.
+
+        A word of letters is a piece, and a piece as a word is that piece alone, so one memo holds both.
+        """
+        known = self._memo.held
+        fresh = self._memo.missing(words)
+        new = set(filter(str.isalpha, fresh))
+        mixed = list(fresh.difference(new))
+        pieces = list(map(_PIECE.findall, mixed))
+        new |= self._memo.missing(set().union(*pieces).difference(new))
+        listed = list(new)
+        for first in range(0, len(listed), _TOGETHER):
+            some = listed[first : first + _TOGETHER]
+            known.update(zip(some, self._joined(some)))
+        of = known.__getitem__
+        known.update([(w, b"".join(map(of, own))) for w, own in zip(mixed, pieces)])
+        new.update(mixed)
+        return [w for w in new if len(w) > _LONGEST]
 
     def _joined(self, pieces: list[str]) -> list[bytes]:
         """Ids of pieces, encoded as one text and parted at the ends of words."""
-        [ids] = self._whole([" ".join(pieces)])
+        [ids] = _ids(self._lean, [" ".join(pieces)])
         ends = np.flatnonzero(self._last[np.frombuffer(ids, "<u4")]) + 1
         if len(ends) != len(pieces):  # a piece whose end no token tells
-            return self._whole(pieces)
+            return _ids(self._lean, pieces)
         ends = (4 * ends).tolist()
         return [ids[a:b] for a, b in zip([0, *ends], ends)]
 
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) if texts else []
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+
+def _ids(tokenizer, texts: list[str]) -> list[bytes]:
+    found = tokenizer.encode_batch_fast(texts, add_special_tokens=False) if texts else []
+    return [np.array(e.ids, "<u4").tobytes() for e in found]
 
 
 def _sure(text: str) -> bool:
@@ -117,14 +135,16 @@ class _Memo:
         self.held: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
 
-    def missing(self, wanted: set[str]) -> list[str]:
-        """Which of the wanted are in neither generation; those of the older one move to the newer."""
+    def turn(self) -> None:
         if len(self.held) > _REMEMBERED // 2:
             self._older, self.held = self.held, {}
+
+    def missing(self, wanted: set[str]) -> set[str]:
+        """Which of the wanted are in neither generation; those of the older one move to the newer."""
         fresh = wanted.difference(self.held)
         again = fresh.intersection(self._older)
         self.held.update((w, self._older[w]) for w in again)
-        return list(fresh.difference(again))
+        return fresh.difference(again)
 
     def forget(self, names: list[str]) -> None:
         for name in names:

@@ -40,6 +40,8 @@ def bits_for(vocabulary: int) -> int:
 
 def pack(ids: np.ndarray, bits: int) -> bytes:
     """Ids as consecutive fields of ``bits`` bits, lowest bit first; eight ids fill ``bits`` bytes."""
+    if bits == 16:
+        return ids.astype("<u2").tobytes()
     n = len(ids)
     rows = np.zeros((-(-n // 8), 8), np.uint64)
     rows.reshape(-1)[:n] = ids
@@ -55,6 +57,8 @@ def pack(ids: np.ndarray, bits: int) -> bytes:
 
 def unpack(data: bytes, bits: int, n: int) -> np.ndarray:
     """The first ``n`` ids of packed data, as unsigned 32-bit integers."""
+    if bits == 16:
+        return np.frombuffer(data, "<u2", n).astype(np.uint32)
     groups = -(-n // 8)
     raw = np.zeros(groups * bits, np.uint8)
     held = np.frombuffer(data, np.uint8)[: groups * bits]

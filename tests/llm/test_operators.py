@@ -16,6 +16,7 @@ from tokenizers import Tokenizer
 from lamina.llm import (
     components, decontaminate, fixity, jaccard, language, mixing, onebit, quality, separators, sharding, token_files,
 )
+from lamina.llm import encoder as encoder_module
 from lamina.llm.encoder import Encoder
 from lamina.llm.files import Input, Output, new_folder
 from lamina.llm.words import ALNUM, SPACED, Texts
@@ -63,6 +64,27 @@ def test_encoder_gives_the_ids_of_the_whole_text():
     assert np.frombuffer(Encoder(TOKENIZER, literal=True).encode("<|endoftext|>"), "<u4").max() < 49_406
 
 
+def test_encoder_remembers_words_and_pieces_once():
+    encoder, plain = Encoder(TOKENIZER), Tokenizer.from_file(TOKENIZER)
+    signs = [chr(c) for c in range(256)]
+    texts = ["stone stone, STONE", "stone", "river7 stone,", *signs, *[f"a{c}b{c}{c} 's{c}" for c in signs], "x" * 80, "é" * 70 + "! x"]
+    for _ in range(2):
+        for text, ids in zip(texts, encoder.encode_all(texts)):
+            assert np.frombuffer(ids, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+    few = Encoder(TOKENIZER)
+    few.encode_all(["stone stone, river7", "stone"])
+    assert sorted(few._memo.held) == [",", "7", "river", "river7", "stone", "stone,"]
+
+
+def test_encoder_takes_back_what_an_older_generation_holds(monkeypatch):
+    monkeypatch.setattr(encoder_module, "_REMEMBERED", 20)
+    encoder, plain = Encoder(TOKENIZER), Tokenizer.from_file(TOKENIZER)
+    for seed in range(30):
+        some = [sentence(seed, 12), sentence(seed // 2, 12), "alpha, stone"]
+        for text, ids in zip(some, encoder.encode_all(some)):
+            assert np.frombuffer(ids, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
 def test_words_are_those_of_the_patterns():
     import pyarrow as pa
 
