@@ -3,8 +3,8 @@
 The tokenizer encodes pieces of a text one by one where that provably gives the ids of the whole:
 the file must split texts into letter runs, single digits and runs of other characters after lower
 casing, none of which holds white space, and mark the ends of pieces. For texts of Latin-1 characters words and their
-pieces are found here and each different piece is given to the tokenizer once, those that a batch of texts
-has new together; every other text is encoded as a whole.
+pieces are found here, each different word of a batch of texts is looked up once, and each different piece is given to
+the tokenizer once, those that a batch has new together; every other text is encoded as a whole.
 """
 
 from __future__ import annotations
@@ -14,20 +14,24 @@ import os
 import re
 from collections.abc import Sequence
 from functools import lru_cache
-from itertools import compress
+from itertools import chain, compress
 from operator import not_
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from lamina.llm.words import slices
 
 _LETTERS = "a-zªµºß-öø-ÿ"
 _NUMBERS = "0-9²³¹¼-¾"
 _PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\\s{_LETTERS}{_NUMBERS}]+")
-# Separators on which the two regular expression dialects do not agree, and the start of special tokens.
-_UNSURE = b"\x1c\x1d\x1e\x1f\x85\xa0"
-_SPECIAL = "<|"
+# Separators on which the regular expression dialects do not agree, what is not Latin-1, and the start of special tokens.
+_UNSURE = r"[\x1c-\x1f\x{85}\x{a0}\x{100}-\x{10ffff}]|<\|"
+TOGETHER = 1 << 22  # bytes of text whose different words are looked up at once
 _REMEMBERED = 1_600_000
 _LONGEST = 64  # characters of a word or piece that is remembered
-_TOGETHER = 2000  # pieces encoded as one text
+_JOINED = 2000  # pieces encoded as one text
 # What the memo is good for, as the tokenizer file says it.
 _SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 
@@ -66,23 +70,53 @@ class Encoder:
 
     def encode_all(self, texts: Sequence[str | None]) -> list[bytes]:
         """Ids of several texts; null and empty ones have none."""
-        out, whole, parted = [b""] * len(texts), [], []
-        for i, text in enumerate(texts):
-            if text:
-                (parted if self._by_piece and _sure(text) else whole).append(i)
+        ids, ends = self.encode_column(pa.array(texts, pa.large_string()))
+        raw, bounds = ids.tobytes(), [0, *(4 * ends).tolist()]
+        return [raw[a:b] for a, b in zip(bounds, bounds[1:])]
+
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts of a column, one after the other, and the end of each text among them."""
+        texts = pc.fill_null(texts, "")
+        whole = pc.match_substring_regex(texts, _UNSURE) if self._by_piece else pa.array(np.ones(len(texts), bool))
+        ids, ends = self._by_words(texts.filter(pc.invert(whole)))
+        if len(ends) == len(texts):
+            return ids, ends
+        starts = [0, *ends.tolist()]
+        by_words = (ids[a:b] for a, b in zip(starts, starts[1:]))
+        # An encoding takes far more room than its text.
+        parts = slices(pa.record_batch([texts.filter(whole)], ["text"]), "text")
+        at_once = chain.from_iterable(_ids(self.tokenizer, x.column("text").to_pylist()) for x in parts)
+        found = [np.frombuffer(next(at_once), "<u4") if w else next(by_words) for w in whole.to_pylist()]
+        return np.concatenate(found), np.cumsum([len(x) for x in found])
+
+    def _by_words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Each different word of these texts is looked up once; its ids are dealt out to all its places."""
+        split = pc.ascii_split_whitespace(pc.utf8_lower(texts))
+        words = split.flatten().dictionary_encode()
+        last = np.cumsum(pc.list_value_length(split).to_numpy(), dtype=np.int64)
+        if not len(words):
+            return np.zeros(0, "<u4"), last
+        ids = self._look_up(words.dictionary.to_numpy(zero_copy_only=False).tolist())
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        firsts = np.cumsum(sizes) - sizes
+        of = words.indices.to_numpy()
+        n = sizes[of]
+        ends = np.cumsum(n)
+        at = np.repeat(firsts[of] - (ends - n), n)
+        at += np.arange(len(at))
+        return np.frombuffer(b"".join(ids), "<u4")[at], np.concatenate(([0], ends))[last]
+
+    def _look_up(self, words: list[str]) -> list[bytes]:
+        """Ids of different words; an empty one has none."""
         self._memo.turn()
-        words = [texts[i].lower().split() for i in parted]
-        found = [list(map(self._memo.held.get, own)) for own in words]
-        # Words without ids are those not in the memo; most are met once only.
-        long = self._learn({w for own, ids in zip(words, found) for w in compress(own, map(not_, ids))})
-        for i, own, ids in zip(parted, words, found):
-            for at in list(compress(range(len(own)), map(not_, ids))):
-                ids[at] = self._memo.held[own[at]]
-            out[i] = b"".join(ids)
+        ids = list(map(self._memo.held.get, words))
+        # Words without ids are those not in the memo.
+        unmet = list(compress(range(len(words)), map(not_, ids)))
+        long = self._learn(set(map(words.__getitem__, unmet)) - {""})
+        for i in unmet:
+            ids[i] = self._memo.held.get(words[i], b"")
         self._memo.forget(long)
-        for i, ids in zip(whole, _ids(self.tokenizer, [texts[i] for i in whole])):
-            out[i] = ids
-        return out
+        return ids
 
     def _learn(self, words: set[str]) -> list[str]:
         """Have all these words in the memo; returns what is too long to stay there.
@@ -96,8 +130,8 @@ class Encoder:
         pieces = list(map(_PIECE.findall, mixed))
         new |= self._memo.missing(set().union(*pieces).difference(new))
         listed = list(new)
-        for first in range(0, len(listed), _TOGETHER):
-            some = listed[first : first + _TOGETHER]
+        for first in range(0, len(listed), _JOINED):
+            some = listed[first : first + _JOINED]
             known.update(zip(some, self._joined(some)))
         of = known.__getitem__
         known.update([(w, b"".join(map(of, own))) for w, own in zip(mixed, pieces)])
@@ -119,15 +153,6 @@ def _ids(tokenizer, texts: list[str]) -> list[bytes]:
     return [np.array(e.ids, "<u4").tobytes() for e in found]
 
 
-def _sure(text: str) -> bool:
-    """Whether the pieces of a text are found here as the tokenizer finds them."""
-    try:
-        raw = text.encode("latin-1")
-    except UnicodeEncodeError:
-        return False
-    return len(raw.translate(None, _UNSURE)) == len(raw) and _SPECIAL not in text
-
-
 class _Memo:
     """What was met last, in two generations: the older one goes when the newer one is full."""
 
@@ -142,7 +167,8 @@ class _Memo:
     def missing(self, wanted: set[str]) -> set[str]:
         """Which of the wanted are in neither generation; those of the older one move to the newer."""
         fresh = wanted.difference(self.held)
-        again = fresh.intersection(self._older)
+        # An intersection with a dictionary would go through all of the older ones.
+        again = set(filter(self._older.__contains__, fresh))
         self.held.update((w, self._older[w]) for w in again)
         return fresh.difference(again)
 

@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lamina.llm.encoder import shared_encoder
+from lamina.llm.encoder import TOGETHER, shared_encoder
 from lamina.llm.files import Input, Output
 from lamina.llm.words import slices
 from lamina.runtime import materialize
@@ -39,18 +39,16 @@ def write_flat(
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, out, done = TaskContext.get().partitionId(), None, 0
-        end = np.array([separator], f"<u{width}").tobytes()
         for batch in batches:
             if not batch.num_rows:
                 continue
             if out is None:
                 encoder, out = shared_encoder(tokenizer, literal=True), Output(folder, f"part-{part:06d}", ".ids")
-            for part_of in slices(batch, "text"):
-                for raw in encoder.encode_all(part_of.column("text").to_pylist()):
-                    ids = np.frombuffer(raw, "<u4")
-                    if len(ids) and int(ids.max()) >> (8 * width):
-                        raise ValueError(f"an id does not fit into {width} bytes")
-                    out.write(ids.astype(f"<u{width}").tobytes() + end)
+            for part_of in slices(batch, "text", TOGETHER):
+                ids, ends = encoder.encode_column(part_of.column("text"))
+                if len(ids) and int(ids.max()) >> (8 * width):
+                    raise ValueError(f"an id does not fit into {width} bytes")
+                out.write(np.insert(ids.astype(f"<u{width}"), ends, separator).tobytes())
             n = batch.num_rows
             yield pa.RecordBatch.from_pydict(
                 {

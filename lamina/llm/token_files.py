@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lamina.llm.encoder import shared_encoder
+from lamina.llm.encoder import TOGETHER, shared_encoder
 from lamina.llm.files import Input, Output
 from lamina.llm.words import slices
 
@@ -201,15 +201,16 @@ def write_token_files(
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = writer = None
         part = TaskContext.get().partitionId()
-        end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             if batch.num_rows and writer is None:
                 encoder = shared_encoder(tokenizer)
                 writer = TokenWriter(folder, f"part-{part:06d}", bits, block_ids)
-            for part_of in slices(batch, "text"):
-                encoded = encoder.encode_all(part_of.column("text").to_pylist())
-                for doc_id, ids in zip(part_of.column("doc_id").to_pylist(), encoded):
-                    writer.add(doc_id, np.frombuffer(ids + end, "<u4"))
+            for part_of in slices(batch, "text", TOGETHER):
+                ids, ends = encoder.encode_column(part_of.column("text"))
+                ids = np.insert(ids, ends, end_id)
+                ends = (ends + np.arange(1, len(ends) + 1)).tolist()
+                for doc_id, first, last in zip(part_of.column("doc_id").to_pylist(), [0, *ends], ends):
+                    writer.add(doc_id, ids[first:last])
         if writer is not None:
             writer.close()
             yield pa.RecordBatch.from_pydict(

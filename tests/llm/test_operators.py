@@ -85,6 +85,37 @@ def test_encoder_takes_back_what_an_older_generation_holds(monkeypatch):
             assert np.frombuffer(ids, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
 
 
+def test_encoder_does_not_go_through_its_older_generation():
+    class Closed(dict):
+        def __iter__(self):
+            raise AssertionError("all words of the older generation were visited")
+
+    encoder, plain = Encoder(TOKENIZER), Tokenizer.from_file(TOKENIZER)
+    encoder._memo._older = Closed({w: encoder.encode(w) for w in ("stone", "river7")})
+    encoder._memo.held = {}
+    got = np.frombuffer(encoder.encode("stone river7, alpha"), "<u4").tolist()
+    assert got == plain.encode("stone river7, alpha", add_special_tokens=False).ids
+    assert "stone" in encoder._memo.held
+
+
+def test_encoder_takes_whole_columns(monkeypatch):
+    import pyarrow as pa
+
+    encoder, plain = Encoder(TOKENIZER), Tokenizer.from_file(TOKENIZER)
+    asked, look_up = [], encoder._look_up
+    monkeypatch.setattr(encoder, "_look_up", lambda words: asked.extend(words) or look_up(words))
+    texts = ["dropped", " Stone  stone,\tstone\n", None, "", "  ", "漢字 stone", "STONE stone", "<|endoftext|> x", "a\x85b", "ÀÉ ß don't", "漢", "x" * 80]
+    for kind in (pa.string(), pa.large_string()):
+        asked.clear()
+        ids, ends = encoder.encode_column(pa.array(texts, kind).slice(1))
+        got = [ids[a:b].tolist() for a, b in zip([0, *ends.tolist()], ends.tolist())]
+        assert got == [plain.encode(t or "", add_special_tokens=False).ids for t in texts[1:]]
+        assert len(asked) == len(set(asked)) and "dropped" not in asked
+    for some in ([], [None], ["漢"], [" "]):
+        ids, ends = encoder.encode_column(pa.array(some, pa.string()))
+        assert ids.tolist() == [i for t in some for i in plain.encode(t or "", add_special_tokens=False).ids] and len(ends) == len(some)
+
+
 def test_words_are_those_of_the_patterns():
     import pyarrow as pa
 
